@@ -6,14 +6,17 @@ Interval rows from four sources are stacked into one table
 * MENTORED  (kind 0): the member is the mentee; test F10 (half-open)  -> mentored flag
 * MENTEE    (kind 1): the member is the mentor; test F11 (closed)     -> active mentees
 * CONTACT   (kind 2): contact chart rows the member owns; F11         -> count, latest start
-* CHAIN     (kind 3): (mentor, mentee) pairs, end = latest edge end; F12 (end only),
-  then the mentee must lead a live study at t (F11 on the schedule)   -> leaders in chain
-
-Probe rows (cohort rows, or as-of keys) join it once on user_id with the
-validity test as join residual, then two aggregations reduce it: first to one
-row per (probe, kind, other_id), which makes every count a distinct count
-without an Expand, then to one row per probe. Only the chain rows take a
-second join (to the leader intervals, on the mentee).
+* CHAIN     (kind 3): (mentor, mentee) pairs joined with the mentee's live-study
+  intervals: the pair must be alive at t (F12 on `alive_end`, the latest
+  edge end) and the study schedule valid at t (F11)                   -> leaders in chain
+
+The chain rows are joined on the fact side (pairs x leader intervals, keyed
+by the mentee), so the probes need a single join. Probe rows (cohort rows, or
+as-of keys) join the stack once on user_id with the validity test as join
+residual; two aggregations reduce it: first to one row per (probe, kind,
+other_id), which makes every count a distinct count without an Expand, then
+to one row per probe. Probes arrive hash-partitioned by user_id, so the join
+and both aggregations run without another shuffle of the probe side.
 """
 
 from __future__ import annotations
@@ -29,36 +32,48 @@ ALL_KINDS = (MENTORED, MENTEE, CONTACT, CHAIN)
 
 
 def interval_rows(
-    mentorships: DataFrame, contact_chart: DataFrame, kinds: tuple[int, ...] = ALL_KINDS
+    mentorships: DataFrame,
+    contact_chart: DataFrame,
+    kinds: tuple[int, ...] = ALL_KINDS,
+    leaders: DataFrame | None = None,
 ) -> DataFrame:
-    """The stacked interval table for the requested kinds."""
-    cols = ["user_id", "kind", "other_id", "start_date", "end_date"]
+    """The stacked interval table for the requested kinds.
+
+    Output: user_id, kind, other_id, start_date, end_date, alive_end.
+    CHAIN needs `leaders` (leader_id, start_date, end_date).
+    """
+    cols = ["user_id", "kind", "other_id", "start_date", "end_date", "alive_end"]
+    no_alive = F.lit(None).cast("date").alias("alive_end")
     parts = []
     if MENTORED in kinds:
         parts.append(
             mentorships.select(
-                "user_id", F.lit(MENTORED).alias("kind"), F.col("parent_user_id").alias("other_id"), "start_date", "end_date"
+                "user_id", F.lit(MENTORED).alias("kind"), F.col("parent_user_id").alias("other_id"),
+                "start_date", "end_date", no_alive,
             )
         )
     if MENTEE in kinds:
         parts.append(
             mentorships.select(
                 F.col("parent_user_id").alias("user_id"), F.lit(MENTEE).alias("kind"), F.col("user_id").alias("other_id"),
-                "start_date", "end_date",
+                "start_date", "end_date", no_alive,
             )
         )
     if CONTACT in kinds:
         parts.append(
             contact_chart.select(
                 F.col("chart_owner_id").alias("user_id"), F.lit(CONTACT).alias("kind"),
-                F.col("chart_member_id").alias("other_id"), "start_date", "end_date",
+                F.col("chart_member_id").alias("other_id"), "start_date", "end_date", no_alive,
             )
         )
     if CHAIN in kinds:
+        if leaders is None:
+            raise ValueError("CHAIN rows need the leader intervals")
+        pairs = ms.mentorship_pairs(mentorships)
         parts.append(
-            ms.mentorship_pairs(mentorships).select(
-                F.col("parent_user_id").alias("user_id"), F.lit(CHAIN).alias("kind"), F.col("user_id").alias("other_id"),
-                F.lit(None).cast("date").alias("start_date"), F.col("pair_end").alias("end_date"),
+            pairs.join(leaders, pairs.user_id == leaders.leader_id).select(
+                pairs.parent_user_id.alias("user_id"), F.lit(CHAIN).alias("kind"), pairs.user_id.alias("other_id"),
+                leaders.start_date, leaders.end_date, pairs.pair_end.alias("alive_end"),
             )
         )
     out = parts[0].select(*cols)
@@ -67,57 +82,35 @@ def interval_rows(
     return out.where(F.col("user_id").isNotNull())
 
 
-def _valid(kind: Column, start: Column, end: Column, t: Column) -> Column:
+def _valid(kind: Column, start: Column, end: Column, alive_end: Column, t: Column) -> Column:
     return (
         F.when(kind == MENTORED, valid_half_open(start, end, t))
-        .when(kind == CHAIN, alive_at(end, t))
+        .when(kind == CHAIN, valid_closed(start, end, t) & alive_at(alive_end, t))
         .otherwise(valid_closed(start, end, t))
     )
 
 
-def as_of_metrics(
-    probes: DataFrame,
-    key_cols: list[str],
-    times: dict[str, str],
-    intervals: DataFrame,
-    leaders: DataFrame | None = None,
-) -> DataFrame:
+def as_of_metrics(probes: DataFrame, key_cols: list[str], times: dict[str, str], intervals: DataFrame) -> DataFrame:
     """Date-dependent metrics for every probe row at each date column in `times`.
 
     `probes` has `key_cols` (which include user_id and are unique per row) and
-    the date columns named in `times` (suffix -> column). Returns one row per probe that matched
-    anything, with, per suffix: mentored_<sfx> (0/1), mentees_<sfx>,
-    contacts_<sfx>, contact_rows_<sfx> (0/1, a row was active), contact_latest_<sfx>,
-    chain_<sfx>. Missing probes mean "no active rows"; callers left-join.
+    the date columns named in `times` (suffix -> column). Returns one row per
+    probe that matched anything, with, per suffix: mentored_<sfx> (0/1),
+    mentees_<sfx>, contacts_<sfx>, contact_rows_<sfx> (0/1, a row was active),
+    contact_latest_<sfx>, chain_<sfx>. Missing probes mean "no active rows";
+    callers left-join.
     """
     sfx = list(times)
     p = probes.select(*key_cols, *[F.col(c).alias(f"_t_{s}") for s, c in times.items()])
     iv = intervals.withColumnRenamed("user_id", "_iv_user")
-    tcol = {s: p[f"_t_{s}"] for s in sfx}
-    valid = {s: _valid(iv.kind, iv.start_date, iv.end_date, tcol[s]) for s in sfx}
+    valid = {s: _valid(iv.kind, iv.start_date, iv.end_date, iv.alive_end, p[f"_t_{s}"]) for s in sfx}
     any_valid = valid[sfx[0]]
     for s in sfx[1:]:
         any_valid = any_valid | valid[s]
     j = p.join(iv, (p.user_id == iv._iv_user) & any_valid).select(
-        *key_cols, *[f"_t_{s}" for s in sfx], "kind", "other_id", "start_date",
-        *[valid[s].alias(f"_v_{s}") for s in sfx],
+        *key_cols, "kind", "other_id", "start_date", *[valid[s].alias(f"_v_{s}") for s in sfx],
     )
 
-    if leaders is not None:
-        chain = j.where(F.col("kind") == CHAIN)
-        li = leaders.select(F.col("leader_id"), F.col("start_date").alias("_ls"), F.col("end_date").alias("_le"))
-        covers = {s: valid_closed(li._ls, li._le, chain[f"_t_{s}"]) for s in sfx}
-        live = F.lit(False)
-        for s in sfx:
-            live = live | (chain[f"_v_{s}"] & covers[s])
-        chain = chain.join(li, (chain.other_id == li.leader_id) & live).select(
-            *key_cols, *[f"_t_{s}" for s in sfx], "kind", "other_id", "start_date",
-            *[(F.col(f"_v_{s}") & covers[s]).alias(f"_v_{s}") for s in sfx],
-        )
-        j = j.where(F.col("kind") != CHAIN).unionByName(chain)
-    else:
-        j = j.where(F.col("kind") != CHAIN)
-
     per_other = j.groupBy(*key_cols, "kind", "other_id").agg(
         *[F.max(F.col(f"_v_{s}").cast("int")).alias(f"_v_{s}") for s in sfx],
         *[F.max(F.when(F.col(f"_v_{s}"), F.col("start_date"))).alias(f"_st_{s}") for s in sfx],

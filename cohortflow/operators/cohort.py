@@ -31,47 +31,79 @@ def canonical_events(program_event: DataFrame) -> DataFrame:
     """Map every stored event id to the smallest id holding the same natural key (D3).
 
     A store written by a non-idempotent loader can hold one event under
-    several ids; the dataset keeps one row per (event, start, end, member).
-    The window is partitioned by the natural key over the event dimension.
+    several ids; the dataset keeps one row per (event, start, end, member),
+    measured under the smallest id (its type too). The window is partitioned
+    by the natural key and runs over the event dimension only.
     Output: id, event_id (canonical), name, type_id, start_date, end_date.
     """
     same_event = Window.partitionBy("name", "start_date", "end_date")
     return program_event.select(
-        "id", F.min("id").over(same_event).alias("event_id"), "name", "type_id", "start_date", "end_date"
+        "id",
+        F.min("id").over(same_event).alias("event_id"),
+        "name",
+        F.min_by("type_id", "id").over(same_event).alias("type_id"),
+        "start_date",
+        "end_date",
     )
 
 
-def cohort_windows(
-    event_attendees: DataFrame,
+def event_dimension(
     program_event: DataFrame,
     batch_event_ids: DataFrame | None = None,
+    event_types: DataFrame | None = None,
     calendar: AcademicCalendar = DEFAULT_CALENDAR,
 ) -> DataFrame:
-    """M0: one row per (event_id, user_id) of the batch with its windows.
+    """Stored ids of the batch's events with their canonical id, windows and (J5) type.
 
-    All attendees stored for a batch event count, not only those in this
-    run's file (Q16). `batch_event_ids` (a frame with `event_id`) limits the
-    events; default is every stored event.
-    Output: event_id, user_id, event_name, type_id, start_date, end_date,
-    before_date, after_date, fy.
+    With `event_types` the type join is inner: events of unknown type drop out.
+    Output: id, event_id, event_name, type_id, [event_type], start_date,
+    end_date, before_date, after_date, fy.
     """
     events = canonical_events(program_event)
     if batch_event_ids is not None:
-        events = events.join(batch_event_ids.select(F.col("event_id").alias("id")).distinct(), "id", "left_semi")
-    attendees = event_attendees.select(F.col("event_id").alias("id"), "user_id").where(F.col("user_id").isNotNull())
-    pairs = attendees.join(events.select("id", "event_id"), "id").select("event_id", "user_id").distinct()
+        events = events.join(batch_event_ids.select(F.col("event_id").alias("id")), "id", "left_semi")
+    if event_types is not None:
+        types = event_types.select(F.col("id").alias("type_id"), F.col("name").alias("event_type"))
+        events = events.join(types, "type_id")
     s, e = F.col("start_date"), F.col("end_date")
-    dims = events.where(F.col("id") == F.col("event_id")).select(
+    return events.select(
+        "id",
         "event_id",
         F.col("name").alias("event_name"),
         "type_id",
+        *(["event_type"] if event_types is not None else []),
         s,
         e,
         calendar.window_start(s).alias("before_date"),
         calendar.window_end(e).alias("after_date"),
         calendar.fiscal_year(e).alias("fy"),
     )
-    return pairs.join(dims, "event_id")
+
+
+def cohort_windows(
+    event_attendees: DataFrame,
+    program_event: DataFrame,
+    batch_event_ids: DataFrame | None = None,
+    calendar: AcademicCalendar = DEFAULT_CALENDAR,
+    event_types: DataFrame | None = None,
+) -> DataFrame:
+    """M0: one row per (event_id, user_id) of the batch with its windows.
+
+    All attendees stored for a batch event count, not only those in this
+    run's file (Q16). `batch_event_ids` (a frame with `event_id`) limits the
+    events; default is every stored event.
+
+    The rows leave hash-partitioned by user_id: every later join (members,
+    attendance facts, interval facts, per-member facts) and every grouping by
+    (event_id, user_id) reuses this one shuffle. A member's rows are bounded
+    by the number of events, so the partitioning holds up under skewed facts.
+    Output: event_id, user_id, event_name, type_id, [event_type], start_date,
+    end_date, before_date, after_date, fy.
+    """
+    dims = event_dimension(program_event, batch_event_ids, event_types, calendar)
+    attendees = event_attendees.select(F.col("event_id").alias("id"), "user_id").where(F.col("user_id").isNotNull())
+    rows = attendees.join(dims, "id").drop("id")
+    return rows.repartition("user_id").dropDuplicates(["event_id", "user_id"])
 
 
 def with_event_type(cohort: DataFrame, program_event_type: DataFrame) -> DataFrame:

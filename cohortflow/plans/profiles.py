@@ -66,21 +66,22 @@ class CohortPlan:
     batch_event_ids: DataFrame | None = None
 
     # -- building blocks -------------------------------------------------
-    def cohort(self) -> DataFrame:
-        """M0 over the batch."""
+    def cohort(self, with_type: bool = False) -> DataFrame:
+        """M0 over the batch (with the J5 type join when `with_type`)."""
         i = self.inputs
-        return cohort.cohort_windows(i.event_attendees, i.program_event, self.batch_event_ids, self.calendar)
+        types = i.program_event_type if with_type else None
+        return cohort.cohort_windows(i.event_attendees, i.program_event, self.batch_event_ids, self.calendar, types)
 
     def population(self, kind: str) -> DataFrame:
         i = self.inputs
-        rows = self.cohort()
         if kind == "pre":
-            rows = cohort.with_event_type(rows, i.program_event_type)
+            rows = self.cohort(with_type=True)
             members = cohort.member_profiles(i.members, i.org_units, self.rules, apply_region=False, apply_school_year=False)
         elif kind == "post":
+            rows = self.cohort()
             members = cohort.member_profiles(i.members, i.org_units, self.rules)
         elif kind == "dataset":
-            rows = cohort.with_event_type(rows, i.program_event_type)
+            rows = self.cohort(with_type=True)
             members = cohort.member_profiles(i.members, i.org_units, self.rules)
         else:
             raise ValueError(kind)
@@ -91,13 +92,15 @@ class CohortPlan:
         facts = attendance.session_facts(i.attendance, i.sessions)
         return attendance.attendance_windows(pop, attendance.window_facts(facts))
 
-    def as_of(self, pop: DataFrame, times: dict[str, str], kinds: tuple[int, ...]) -> DataFrame:
+    def intervals(self, kinds: tuple[int, ...]) -> DataFrame:
         i = self.inputs
-        intervals = asof.interval_rows(i.mentorships, i.contact_chart, kinds)
         leaders = None
         if asof.CHAIN in kinds:
             leaders = leadership.leader_intervals(i.study_groups, i.study_schedules, i.members)
-        return asof.as_of_metrics(pop, KEYS, times, intervals, leaders)
+        return asof.interval_rows(i.mentorships, i.contact_chart, kinds, leaders)
+
+    def as_of(self, pop: DataFrame, times: dict[str, str], kinds: tuple[int, ...]) -> DataFrame:
+        return asof.as_of_metrics(pop, KEYS, times, self.intervals(kinds))
 
     def member_facts(self, parts: tuple[str, ...]) -> DataFrame:
         i = self.inputs
@@ -158,12 +161,7 @@ class CohortPlan:
     def key_metrics(self, kinds: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
         """As-of metrics per distinct (user_id, as_of) key of the cohort."""
         keys = cohort.as_of_keys(self.cohort())
-        i = self.inputs
-        intervals = asof.interval_rows(i.mentorships, i.contact_chart, kinds)
-        leaders = None
-        if asof.CHAIN in kinds:
-            leaders = leadership.leader_intervals(i.study_groups, i.study_schedules, i.members)
-        return keys, asof.as_of_metrics(keys, ["user_id", "as_of"], {"k": "as_of"}, intervals, leaders)
+        return keys, asof.as_of_metrics(keys, ["user_id", "as_of"], {"k": "as_of"}, self.intervals(kinds))
 
     def mentor_activity(self) -> DataFrame:
         """A3 + A4 for keys of members who mentor: first time as mentor, active mentees at the key."""

@@ -72,8 +72,7 @@ def cohort_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_type_attendance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = fx.fixture_inputs(spark, sf_dir)
-    rows = cohort.with_event_type(_plan(spark, sf_dir).cohort(), inputs.program_event_type)
+    rows = _plan(spark, sf_dir).cohort(with_type=True)
     return rows.groupBy("type_id", "event_type").agg(
         F.count_distinct("event_id").alias("events"), F.count(F.lit(1)).alias("attendees")
     )
