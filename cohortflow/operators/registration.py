@@ -148,27 +148,37 @@ def new_event_attendees(attendees: DataFrame, existing: DataFrame | None) -> Dat
     return attendees.join(existing.select("event_id", "user_id"), ["event_id", "user_id"], "left_anti")
 
 
-def registration_summary(raw: DataFrame, events: DataFrame | None = None, type_id: TypeId = 0) -> DataFrame:
+def registration_summary(raw: DataFrame, events: DataFrame | None = None) -> DataFrame:
     """A10: the run counts as (metric, value) rows; no driver-side counting.
 
     raw_rows: rows in the file; rejected_rows: rows with unreadable date text;
     unique_events: distinct complete events after parsing; attendees_after:
-    (event, user) pairs left after the join, null-id drop and dedup; against
-    `events` when given, else against the batch's own events.
+    (event, start, end, user) left after the join, null-id drop and dedup,
+    against `events` when given, else against the batch's own events.
     """
     parsed = parse_registrations(raw)
     good = accepted(parsed)
     batch = batch_events(good)
-    store = events if events is not None else new_program_events(batch, None, type_id)
-    attendees = registration_attendees(good, store)
+    if events is not None:
+        attendees = registration_attendees(good, events)
+    else:
+        regs = good.select("user_id", "event", "start_date").where(F.col("user_id").isNotNull())
+        attendees = regs.join(batch, ["event", "start_date"]).select(*EVENT_KEY, "user_id").distinct()
     counts = parsed.agg(
         F.count(F.lit(1)).alias("raw_rows"), F.count(F.when(F.col("rejected"), F.lit(1))).alias("rejected_rows")
-    )
+    ).selectExpr("stack(2, 'raw_rows', raw_rows, 'rejected_rows', rejected_rows) AS (metric, value)")
     return (
-        counts.select(F.lit("raw_rows").alias("metric"), F.col("raw_rows").alias("value"))
-        .unionByName(counts.select(F.lit("rejected_rows").alias("metric"), F.col("rejected_rows").alias("value")))
-        .unionByName(batch.agg(F.count(F.lit(1)).alias("value")).select(F.lit("unique_events").alias("metric"), "value"))
+        counts.unionByName(batch.agg(F.count(F.lit(1)).alias("value")).select(F.lit("unique_events").alias("metric"), "value"))
         .unionByName(
             attendees.agg(F.count(F.lit(1)).alias("value")).select(F.lit("attendees_after").alias("metric"), "value")
         )
     )
+
+
+def event_report(events: DataFrame) -> DataFrame:
+    """O1: the stored events ordered by name, then dates, for a readable listing.
+
+    A global sort (range-partitioned), so it is kept out of every plan that
+    only needs the set of events.
+    """
+    return events.orderBy("name", "start_date", "end_date")

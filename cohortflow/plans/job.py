@@ -9,7 +9,10 @@
    events over all their stored attendees (Q16);
 5. write the dataset under a dated name (S6, S7), plus the reject table.
 
-The store writes are the lineage cut between registering and measuring.
+The store writes are the lineage cut between registering and measuring; the
+cohort is then checkpointed to the cluster's shared `spark.checkpoint.dir`
+so the profile branches share one copy and a lost executor costs at most the
+stage it ran.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from ..operators import registration as reg
 from ..sources import sinks
 from ..sources.schemas import NATIVE_TABLES
 from ..sources.tables import read_native_tables, read_registrations_csv
+from ..session import checkpoint_dir
 from .profiles import CohortPlan
 
 
@@ -84,7 +88,10 @@ def run(
     batch.rejects.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/rejects_{run_date.strftime('%m-%d-%Y')}")
 
     inputs = read_native_tables(spark, store_path)
-    plan = CohortPlan(inputs, rules, calendar, batch_event_ids=batch.batch_event_ids.select("event_id"))
+    checkpoint_dir(spark)  # fail early when the cluster names no shared checkpoint folder
+    plan = CohortPlan(
+        inputs, rules, calendar, batch_event_ids=batch.batch_event_ids.select("event_id"), checkpoint_cohort=True
+    )
     return sinks.write_dataset(plan.event_dataset(), output_dir, run_date, fmt)
 
 

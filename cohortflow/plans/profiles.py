@@ -64,13 +64,24 @@ class CohortPlan:
     rules: CohortRules = field(default_factory=CohortRules)
     calendar: AcademicCalendar = DEFAULT_CALENDAR
     batch_event_ids: DataFrame | None = None
+    # Write the cohort once to the cluster's checkpoint folder (reliable
+    # checkpoint, never a local one): the profile branches then read it back
+    # instead of recomputing it, and its lineage is cut.
+    checkpoint_cohort: bool = False
+    _memo: dict = field(default_factory=dict, repr=False, compare=False)
 
     # -- building blocks -------------------------------------------------
     def cohort(self, with_type: bool = False) -> DataFrame:
         """M0 over the batch (with the J5 type join when `with_type`)."""
+        if with_type in self._memo:
+            return self._memo[with_type]
         i = self.inputs
         types = i.program_event_type if with_type else None
-        return cohort.cohort_windows(i.event_attendees, i.program_event, self.batch_event_ids, self.calendar, types)
+        rows = cohort.cohort_windows(i.event_attendees, i.program_event, self.batch_event_ids, self.calendar, types)
+        if self.checkpoint_cohort:
+            rows = rows.checkpoint(eager=True)
+        self._memo[with_type] = rows
+        return rows
 
     def population(self, kind: str) -> DataFrame:
         i = self.inputs

@@ -19,6 +19,32 @@ RECOMMENDED_CONF = {
 }
 
 
+# Target bytes per shuffle partition on a cluster: large enough to keep task
+# overhead small, small enough to sort/aggregate in executor memory without
+# heavy spills.
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
+    """Shuffle and scan sizing for a run over `input_bytes` of facts.
+
+    The initial shuffle partition count is the fact volume over the target
+    partition size (AQE then coalesces small ones and splits skewed ones);
+    scans split files at the same size. Returns the settings applied.
+    """
+    n = max(spark.sparkContext.defaultParallelism, -(-input_bytes // partition_bytes))
+    conf = {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "cohortflow") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
