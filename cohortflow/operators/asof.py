@@ -79,7 +79,8 @@ def interval_rows(
     out = parts[0].select(*cols)
     for p in parts[1:]:
         out = out.unionByName(p.select(*cols))
-    return out.where(F.col("user_id").isNotNull())
+    # Copies of an edge or chart row collapse map-side before the join shuffle.
+    return out.where(F.col("user_id").isNotNull()).distinct()
 
 
 def _valid(kind: Column, start: Column, end: Column, alive_end: Column, t: Column) -> Column:

@@ -101,7 +101,10 @@ def cohort_windows(
     end_date, before_date, after_date, fy.
     """
     dims = event_dimension(program_event, batch_event_ids, event_types, calendar)
-    attendees = event_attendees.select(F.col("event_id").alias("id"), "user_id").where(F.col("user_id").isNotNull())
+    # Copies of an attendee row (a loader run twice) collapse map-side first.
+    attendees = (
+        event_attendees.select(F.col("event_id").alias("id"), "user_id").where(F.col("user_id").isNotNull()).distinct()
+    )
     rows = attendees.join(dims, "id").drop("id")
     return rows.repartition("user_id").dropDuplicates(["event_id", "user_id"])
 

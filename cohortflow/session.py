@@ -11,6 +11,11 @@ from pyspark.sql import SparkSession
 # broadcast), coalesces small shuffles and splits skewed join partitions even
 # when that costs an extra shuffle downstream.
 RECOMMENDED_CONF = {
+    # No broadcast from optimizer estimates (a projected file size says little
+    # about the hash table it becomes); AQE broadcasts a side only after its
+    # shuffle output has been measured below the threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
