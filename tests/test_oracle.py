@@ -46,3 +46,17 @@ def test_entry_smoke(spark):
     df = entry_module.entry(spark)
     assert len(df.columns) == 39
     assert df.count() > 0
+
+
+_DUCK_TYPES = {
+    "LongType": "BIGINT", "IntegerType": "INTEGER", "StringType": "VARCHAR", "DateType": "DATE",
+    "TimestampNTZType": "TIMESTAMP", "DoubleType": "DOUBLE", "BooleanType": "BOOLEAN",
+}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_column_types_match_oracle(spark, duck001, name):
+    df = QUERIES[name](spark, SF001)
+    spark_types = {f.name: _DUCK_TYPES.get(type(f.dataType).__name__) for f in df.schema.fields}
+    rel = duck001.sql(ORACLE[name])
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
