@@ -16,16 +16,16 @@ one row per member-day instead of every attendance row:
 * member rows ``(kind=3, lo=earliest attended day, n=all attendance rows)``:
   matched by every cohort row of the member.
 
-Facts shuffle once on (user, attended, id) after a map-side partial
+Facts are deduplicated on (user, attended, id, day) with a map-side partial
 aggregation (copies of a row collapse before the shuffle, and a member's rows
-spread over their ids); everything after that works on per-day aggregates
-whose size per member is bounded by the calendar, which also takes the edge
-off a member holding a large share of all rows.
+spread over their ids and days); everything after that works on per-day
+aggregates whose size per member is bounded by the calendar, which also takes
+the edge off a member holding a large share of all rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ABSENT, ATTENDED, CANCELLED, MEMBER = 0, 1, 2, 3
@@ -56,28 +56,20 @@ def counted_facts(facts: DataFrame) -> DataFrame:
 def window_facts(facts: DataFrame) -> DataFrame:
     """The reduced fact table for the window join: (user_id, kind, lo, hi, n).
 
-    Per (user, attended, id) the distinct days are gathered with a partial
-    aggregation (copies of a row collapse before the shuffle; the set is
-    bounded by the number of calendar days, not by row volume). Each day gives
-    a +1 row, each pair of consecutive days of the id a -1 link row.
+    Distinct (user, attended, id, day) first, with a partial aggregation, so
+    copies of a row collapse before any shuffle; then each id's days are
+    ordered (a window over one id holds its distinct days only, bounded by the
+    calendar). Each day gives a +1 row, each pair of consecutive days of the
+    id a -1 link row.
     """
-    per_id = counted_facts(facts).groupBy("user_id", "attended", "id").agg(
-        F.array_sort(F.collect_set("date")).alias("days")
-    )
-    n = F.size("days")
-    steps = per_id.select(
+    days = counted_facts(facts).distinct()
+    prev = F.lag("date").over(Window.partitionBy("user_id", "attended", "id").orderBy("date"))
+    runs = days.select("user_id", "attended", "date", prev.alias("prev"))
+    steps = runs.select(
         "user_id",
         F.col("attended").alias("kind"),
-        F.explode(
-            F.concat(
-                F.transform("days", lambda d: F.struct(d.alias("lo"), d.alias("hi"), F.lit(1).alias("n"))),
-                F.transform(
-                    F.arrays_zip(F.slice("days", 1, n - 1).alias("a"), F.slice("days", 2, n - 1).alias("b")),
-                    lambda p: F.struct(p["a"].alias("lo"), p["b"].alias("hi"), F.lit(-1).alias("n")),
-                ),
-            )
-        ).alias("r"),
-    )
+        F.explode(F.array(_step("date", "date", 1), _step("prev", "date", -1))).alias("r"),
+    ).where(F.col("r.lo").isNotNull())
     cancelled = facts.where(F.col("cancelled") & F.col("date").isNotNull()).select(
         "user_id", F.lit(CANCELLED).alias("kind"), _step("date", "date", 1).alias("r")
     )

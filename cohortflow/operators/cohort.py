@@ -109,12 +109,6 @@ def cohort_windows(
     return rows.repartition("user_id").dropDuplicates(["event_id", "user_id"])
 
 
-def with_event_type(cohort: DataFrame, program_event_type: DataFrame) -> DataFrame:
-    """Inner join to the event type; events of unknown type drop out."""
-    types = program_event_type.select(F.col("id").alias("type_id"), F.col("name").alias("event_type"))
-    return cohort.join(types, "type_id")
-
-
 def as_of_keys(cohort: DataFrame) -> DataFrame:
     """Distinct (user_id, as_of) over both dates a cohort row is measured at."""
     at_start = cohort.select("user_id", F.col("start_date").alias("as_of"))

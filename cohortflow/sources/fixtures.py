@@ -101,7 +101,8 @@ def program_event(registrations_typed: DataFrame) -> DataFrame:
 
 
 def program_event_type(events: DataFrame) -> DataFrame:
-    """One type row per type id in use; names from the fixed list, else 'Type <id>'."""
+    """One type row per type id in `events` (a frame with `type_id`); names from the
+    fixed list, else 'Type <id>'."""
     names = F.create_map(*[x for k, v in EVENT_TYPE_NAMES.items() for x in (F.lit(k), F.lit(v))])
     ids = events.select(F.col("type_id").alias("id")).where(F.col("id").isNotNull()).distinct()
     return ids.select(
@@ -191,9 +192,11 @@ def fixture_inputs(spark: SparkSession, sf_dir: str) -> CohortInputs:
     t = {name: driver_table(spark, sf_dir, name) for name in DRIVER_TABLES}
     regs = registrations(t["orders"])
     events = program_event(regs)
+    # The type ids in use, straight from the batch's events (no id numbering needed).
+    type_ids = reg.batch_events(regs).select(fixture_type_id(F.col("event")).alias("type_id"))
     return CohortInputs(
         program_event=events,
-        program_event_type=program_event_type(events),
+        program_event_type=program_event_type(type_ids),
         event_attendees=reg.registration_attendees(regs, events),
         members=members(t["customer"], t["events"]),
         org_units=org_units(t["nation"]),
