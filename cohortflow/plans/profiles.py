@@ -213,10 +213,10 @@ class CohortPlan:
         flags = self.as_of(pop, {"s": "start_date"}, (asof.MENTORED,))
         facts = self.member_facts(("outcome",))
         rows = (
-            pop.join(counts, KEYS)
+            pop.join(facts, "user_id", "left")
+            .join(counts, KEYS)
             .where(~attendance.dropped_before_event())
             .join(flags, KEYS, "left")
-            .join(facts, "user_id", "left")
         )
         return rows.select(
             "event_id", "event_name", "event_type", "start_date", "end_date", "user_id", "first", "last", "year", "campus",
@@ -233,7 +233,7 @@ class CohortPlan:
         counts = self.attendance_counts(pop)
         flags = self.as_of(pop, {"a": "after_date"}, (asof.MENTORED,))
         facts = self.member_facts(("outcome",))
-        rows = pop.join(counts, KEYS).join(flags, KEYS, "left").join(facts, "user_id", "left")
+        rows = pop.join(facts, "user_id", "left").join(counts, KEYS).join(flags, KEYS, "left")
         return rows.select(
             "event_id", "user_id",
             F.col("earliest_attendance").alias("earliest_BS_atten2"),
@@ -249,7 +249,7 @@ class CohortPlan:
         sfx, tcol, names = ("s", "start_date", LEAD_START_COLUMNS) if at == "start" else ("a", "after_date", LEAD_AFTER_COLUMNS)
         metrics = self.as_of(pop, {sfx: tcol}, (asof.MENTEE, asof.CONTACT, asof.CHAIN))
         facts = self.member_facts(("mentee", "mentor", "second_generation", "led"))
-        rows = pop.join(metrics, KEYS, "left").join(facts, "user_id", "left")
+        rows = pop.join(facts, "user_id", "left").join(metrics, KEYS, "left")
         return rows.select("event_id", "user_id", *self.leadership_columns(sfx, F.col(tcol), names))
 
     def event_dataset(self) -> DataFrame:
@@ -259,10 +259,10 @@ class CohortPlan:
         metrics = self.as_of(pop, {"s": "start_date", "a": "after_date"}, asof.ALL_KINDS)
         facts = self.member_facts(("mentee", "mentor", "second_generation", "led", "outcome"))
         rows = (
-            pop.join(counts, KEYS)
+            pop.join(facts, "user_id", "left")  # per-member facts first, while pop is partitioned by user_id
+            .join(counts, KEYS)
             .where(~attendance.dropped_before_event())
             .join(metrics, KEYS, "left")
-            .join(facts, "user_id", "left")
         )
         return rows.select(
             "event_name", "event_type", "start_date", "end_date",
