@@ -37,7 +37,10 @@ def canonical_events(program_event: DataFrame) -> DataFrame:
     Output: id, event_id (canonical), name, type_id, start_date, end_date.
     """
     same_event = Window.partitionBy("name", "start_date", "end_date")
-    return program_event.select(
+    # Copies of an event row collapse first (partial aggregation), so neither
+    # the window nor the attendee join sees them.
+    events = program_event.select("id", "name", "type_id", "start_date", "end_date").distinct()
+    return events.select(
         "id",
         F.min("id").over(same_event).alias("event_id"),
         "name",

@@ -174,3 +174,18 @@ def test_dataset_keys_within_pre_profile(m1, m5):
     pre_users = {(k[0], k[1]) for k in m1}
     name_to_id = {"Retreat": 1, "Day": 2, "Summer": 3}
     assert {(name_to_id[n], u) for n, u in m5} <= pre_users
+
+
+def test_d3_event_stored_under_two_ids_and_copied_rows(spark):
+    """A non-idempotent loader stored one event as ids 1 and 7 (and copied rows):
+    every member gets one row, under the smallest id."""
+    inputs = make_inputs(
+        spark,
+        program_event=[EVENTS[0], EVENTS[0], (7, "Retreat", 1, D(2015, 10, 3), D(2015, 10, 5))],
+        program_event_type=[(1, "Missions")],
+        event_attendees=[(1, 11), (7, 11), (7, 13), (1, 14), (1, 14), (7, 14)],
+        members=MEMBERS,
+        org_units=[(1, "Campus A", 1)],
+    )
+    rows = CohortPlan(inputs, RULES).pre_event_profile().collect()
+    assert sorted((r.event_id, r.user_id) for r in rows) == [(1, 11), (1, 13), (1, 14)]
