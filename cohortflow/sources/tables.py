@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schemas import NATIVE_TABLES, REGISTRATIONS_CSV
 
@@ -32,9 +34,21 @@ class CohortInputs:
         return CohortInputs(**values)
 
 
+def registration_columns(df: DataFrame) -> DataFrame:
+    """The four registration columns, taken by header name (any order, extra
+    columns pruned), typed as REGISTRATIONS_CSV; an unreadable id becomes null."""
+    return df.select(
+        *[
+            (F.col(f.name) if f.dataType == T.StringType() else F.col(f.name).try_cast(f.dataType)).alias(f.name)
+            for f in REGISTRATIONS_CSV.fields
+        ]
+    )
+
+
 def read_registrations_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The registration file, header row, explicit schema, no inference."""
-    return spark.read.schema(REGISTRATIONS_CSV).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """The registration file. Columns are matched by header name, every value
+    is read as text (no inference) and cast explicitly."""
+    return registration_columns(spark.read.option("header", True).option("inferSchema", False).csv(path))
 
 
 def read_native_tables(spark: SparkSession, base_path: str, fmt: str = "parquet") -> CohortInputs:

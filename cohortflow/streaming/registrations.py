@@ -10,18 +10,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.utils import AnalysisException
 
 from ..operators.registration import TypeId
 from ..plans.job import register_batch
 from ..session import checkpoint_dir
 from ..sources.schemas import REGISTRATIONS_CSV
+from ..sources.tables import registration_columns
 
 
-def registration_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(REGISTRATIONS_CSV).option("header", True)
+def registration_stream(
+    spark: SparkSession,
+    source_dir: str,
+    file_schema: StructType | None = None,
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """The registration files as a stream of typed rows.
+
+    A file stream needs its schema up front: `file_schema` is the files'
+    full column list (all text); by default the header of the files already
+    there is used, else the four registration columns. Columns are then taken
+    by name, as in the batch reader.
+    """
+    if file_schema is None:
+        try:
+            file_schema = spark.read.option("header", True).option("inferSchema", False).csv(source_dir).schema
+        except AnalysisException:
+            file_schema = StructType([StructField(f.name, StringType()) for f in REGISTRATIONS_CSV.fields])
+    reader = spark.readStream.schema(file_schema).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(source_dir)
+    return registration_columns(reader.csv(source_dir))
 
 
 def start_registration_ingest(

@@ -89,3 +89,14 @@ def test_streaming_ingest_matches_batch_and_replays_nothing(spark):
     job.register_batch(spark, spark.read.schema(fx.registrations_raw(spark.read.parquet(f"{SF001}/orders.parquet")).schema)
                        .option("header", True).csv(regs), f"{batch_root}/store", 1)
     assert _counts(spark, f"{batch_root}/store") == counts
+
+
+def test_registration_file_columns_are_taken_by_name(spark):
+    from cohortflow.sources.tables import read_registrations_csv
+
+    folder = tempfile.mkdtemp(prefix="cohortflow-csv-")
+    rows = [("Retreat", "x", "10/5/2015", "12.0", "10/3/2015")]
+    spark.createDataFrame(rows, "event string, note string, end_date string, acts247_user_id string, start_date string") \
+        .coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/regs")
+    r = read_registrations_csv(spark, f"{folder}/regs").first()
+    assert (r.acts247_user_id, r.event, r.start_date, r.end_date) == (12.0, "Retreat", "10/3/2015", "10/5/2015")
