@@ -30,6 +30,12 @@ from . import mentorship as ms
 MENTORED, MENTEE, CONTACT, CHAIN = 0, 1, 2, 3
 ALL_KINDS = (MENTORED, MENTEE, CONTACT, CHAIN)
 
+# Interval rows per member above which the member's rows are split over
+# several join tasks (salting). At most (interval rows / HOT_ROWS) members can
+# be that large, which bounds the broadcast list of hot members: 10^12
+# interval rows give at most 10^6 entries (about 16 MB).
+HOT_ROWS = 1_000_000
+
 
 def interval_rows(
     mentorships: DataFrame,
@@ -91,7 +97,39 @@ def _valid(kind: Column, start: Column, end: Column, alive_end: Column, t: Colum
     )
 
 
-def as_of_metrics(probes: DataFrame, key_cols: list[str], times: dict[str, str], intervals: DataFrame) -> DataFrame:
+def _salt_hot_members(probes: DataFrame, iv: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Spread members with more than `hot_rows` interval rows over several join keys.
+
+    A hot member gets ceil(rows / hot_rows) salts; each of its interval rows
+    takes one by a hash of the row, and each of its probe rows is repeated
+    once per salt. Everyone else keeps salt 0. The later aggregation per
+    (probe, kind, other_id) merges the salts, so results do not change.
+    """
+    hot = (
+        iv.groupBy(F.col("_iv_user").alias("user_id"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > hot_rows)
+        .select("user_id", F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_splits"))
+    )
+    hot = F.broadcast(hot)  # bounded: see HOT_ROWS
+    splits = F.coalesce(F.col("_splits"), F.lit(1))
+    iv = iv.join(hot.withColumnRenamed("user_id", "_iv_user"), "_iv_user", "left").select(
+        *[c for c in iv.columns],
+        F.pmod(F.xxhash64("kind", "other_id", "start_date", "end_date", "alive_end"), splits).cast("int").alias("_iv_salt"),
+    )
+    probes = probes.join(hot, "user_id", "left").select(
+        *probes.columns, F.explode(F.sequence(F.lit(0), splits - 1)).alias("_salt")
+    )
+    return probes, iv
+
+
+def as_of_metrics(
+    probes: DataFrame,
+    key_cols: list[str],
+    times: dict[str, str],
+    intervals: DataFrame,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Date-dependent metrics for every probe row at each date column in `times`.
 
     `probes` has `key_cols` (which include user_id and are unique per row) and
@@ -99,16 +137,20 @@ def as_of_metrics(probes: DataFrame, key_cols: list[str], times: dict[str, str],
     probe that matched anything, with, per suffix: mentored_<sfx> (0/1),
     mentees_<sfx>, contacts_<sfx>, contact_rows_<sfx> (0/1, a row was active),
     contact_latest_<sfx>, chain_<sfx>. Missing probes mean "no active rows";
-    callers left-join.
+    callers left-join. Members with more than `hot_rows` interval rows are
+    split over several join tasks (`_salt_hot_members`).
     """
     sfx = list(times)
     p = probes.select(*key_cols, *[F.col(c).alias(f"_t_{s}") for s, c in times.items()])
-    iv = intervals.withColumnRenamed("user_id", "_iv_user")
-    valid = {s: _valid(iv.kind, iv.start_date, iv.end_date, iv.alive_end, p[f"_t_{s}"]) for s in sfx}
+    p, iv = _salt_hot_members(p, intervals.withColumnRenamed("user_id", "_iv_user"), hot_rows)
+    # Both sides carry distinct column names, so plain names resolve unambiguously.
+    c = F.col
+    valid = {s: _valid(c("kind"), c("start_date"), c("end_date"), c("alive_end"), c(f"_t_{s}")) for s in sfx}
     any_valid = valid[sfx[0]]
     for s in sfx[1:]:
         any_valid = any_valid | valid[s]
-    j = p.join(iv, (p.user_id == iv._iv_user) & any_valid).select(
+    on = (c("user_id") == c("_iv_user")) & (c("_salt") == c("_iv_salt")) & any_valid
+    j = p.join(iv, on).select(
         *key_cols, "kind", "other_id", "start_date", *[valid[s].alias(f"_v_{s}") for s in sfx],
     )
 

@@ -109,7 +109,7 @@ def cohort_windows(
         event_attendees.select(F.col("event_id").alias("id"), "user_id").where(F.col("user_id").isNotNull()).distinct()
     )
     rows = attendees.join(dims, "id").drop("id")
-    return rows.repartition("user_id").dropDuplicates(["event_id", "user_id"])
+    return rows.dropDuplicates(["event_id", "user_id"])
 
 
 def as_of_keys(cohort: DataFrame) -> DataFrame:

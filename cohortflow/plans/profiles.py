@@ -68,6 +68,8 @@ class CohortPlan:
     # checkpoint, never a local one): the profile branches then read it back
     # instead of recomputing it, and its lineage is cut.
     checkpoint_cohort: bool = False
+    # Members with more interval rows than this are split over several join tasks.
+    hot_rows: int = asof.HOT_ROWS
     _memo: dict = field(default_factory=dict, repr=False, compare=False)
 
     # -- building blocks -------------------------------------------------
@@ -111,7 +113,7 @@ class CohortPlan:
         return asof.interval_rows(i.mentorships, i.contact_chart, kinds, leaders)
 
     def as_of(self, pop: DataFrame, times: dict[str, str], kinds: tuple[int, ...]) -> DataFrame:
-        return asof.as_of_metrics(pop, KEYS, times, self.intervals(kinds))
+        return asof.as_of_metrics(pop, KEYS, times, self.intervals(kinds), self.hot_rows)
 
     def member_facts(self, parts: tuple[str, ...]) -> DataFrame:
         i = self.inputs
@@ -172,7 +174,7 @@ class CohortPlan:
     def key_metrics(self, kinds: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
         """As-of metrics per distinct (user_id, as_of) key of the cohort."""
         keys = cohort.as_of_keys(self.cohort())
-        return keys, asof.as_of_metrics(keys, ["user_id", "as_of"], {"k": "as_of"}, self.intervals(kinds))
+        return keys, asof.as_of_metrics(keys, ["user_id", "as_of"], {"k": "as_of"}, self.intervals(kinds), self.hot_rows)
 
     def mentor_activity(self) -> DataFrame:
         """A3 + A4 for keys of members who mentor: first time as mentor, active mentees at the key."""

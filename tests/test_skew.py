@@ -15,12 +15,13 @@ from test_bruteforce import day, expected, world
 COPIES = {"event_attendees": 40, "attendance": 60, "mentorships": 30, "contact_chart": 30, "study_schedules": 20}
 
 
-def _dataset(spark, w):
+def _dataset(spark, w, hot_rows=None):
     inputs = make_inputs(
         spark, members=[member(u) for u in range(1, 13)], org_units=[(1, "Campus", 1)],
         program_event_type=[(1, "Missions")], **w,
     )
-    rows = CohortPlan(inputs, CohortRules()).event_dataset().collect()
+    plan = CohortPlan(inputs, CohortRules()) if hot_rows is None else CohortPlan(inputs, CohortRules(), hot_rows=hot_rows)
+    rows = plan.event_dataset().collect()
     return {(r["event_name"], r["user_id"]): r.asDict() for r in rows}
 
 
@@ -38,7 +39,7 @@ def test_copied_rows_change_nothing(spark, seed):
     _check(_dataset(spark, copied), expected(w))
 
 
-def test_hot_member(spark):
+def _hot_world():
     w = world(11)
     r = random.Random(7)
     hot = 1
@@ -55,4 +56,36 @@ def test_hot_member(spark):
     ]
     if not any(u == hot for _, u in w["event_attendees"]):
         w["event_attendees"] = w["event_attendees"] + [(1, hot)]
+    return w
+
+
+def test_hot_member(spark):
+    w = _hot_world()
     _check(_dataset(spark, w), expected(w))
+
+
+def test_hot_member_salted(spark):
+    """With a low threshold the hot member's interval rows are split over many
+    join keys (and colder members over a few): same results."""
+    w = _hot_world()
+    _check(_dataset(spark, w, hot_rows=97), expected(w))
+
+
+def test_salting_spreads_a_hot_members_rows(spark):
+    from pyspark.sql import functions as F
+
+    from cohortflow.operators.asof import _salt_hot_members
+
+    iv = spark.range(5000).select(
+        F.when(F.col("id") < 4000, F.lit(1)).otherwise(F.col("id") % 50 + 2).cast("bigint").alias("_iv_user"),
+        F.lit(2).alias("kind"), F.col("id").alias("other_id"), F.lit(None).cast("date").alias("start_date"),
+        F.lit(None).cast("date").alias("end_date"), F.lit(None).cast("date").alias("alive_end"),
+    )
+    probes = spark.createDataFrame([(1, 10), (2, 11)], "user_id bigint, event_id bigint")
+    p, salted = _salt_hot_members(probes, iv, hot_rows=500)
+    per_key = salted.groupBy("_iv_user", "_iv_salt").count()
+    hot = per_key.where("_iv_user = 1")
+    assert hot.count() == 8  # ceil(4000 / 500) join keys for the hot member
+    assert hot.agg(F.max("count")).first()[0] < 4000 / 4
+    assert per_key.where("_iv_user != 1").agg(F.max("_iv_salt")).first()[0] == 0
+    assert sorted((r.user_id, r._salt) for r in p.collect()) == [(1, s) for s in range(8)] + [(2, 0)]
