@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CohortRules
@@ -27,6 +27,17 @@ def event_windows(program_event: DataFrame, calendar: AcademicCalendar = DEFAULT
     )
 
 
+def completed_events(
+    program_event: DataFrame, run_date: Column, calendar: AcademicCalendar = DEFAULT_CALENDAR
+) -> DataFrame:
+    """Q20: events whose post window has ended by `run_date` (output: event_id).
+
+    The reference measures the post window even when it is still open; a
+    caller may restrict a batch to completed events with this.
+    """
+    return event_windows(program_event, calendar).where(F.col("after_date") <= run_date).select("event_id")
+
+
 def canonical_events(program_event: DataFrame) -> DataFrame:
     """Map every stored event id to the smallest id holding the same natural key (D3).
 

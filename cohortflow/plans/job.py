@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..config import CohortRules
 from ..functions.calendar import DEFAULT_CALENDAR, AcademicCalendar
+from ..operators import cohort
 from ..operators import registration as reg
 from ..sources import sinks
 from ..sources.schemas import NATIVE_TABLES
@@ -78,6 +79,7 @@ def run(
     calendar: AcademicCalendar = DEFAULT_CALENDAR,
     screen: bool = False,
     fmt: str = "parquet",
+    completed_only: bool = False,
 ) -> str:
     raw = read_registrations_csv(spark, registrations_path)
     staff = None
@@ -88,9 +90,13 @@ def run(
     batch.rejects.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/rejects_{run_date.strftime('%m-%d-%Y')}")
 
     inputs = read_native_tables(spark, store_path)
+    batch_ids = batch.batch_event_ids.select("event_id")
+    if completed_only:  # Q20: only events whose post window has ended by the run date
+        done = cohort.completed_events(inputs.program_event, F.lit(run_date), calendar)
+        batch_ids = batch_ids.join(done, "event_id", "left_semi")
     checkpoint_dir(spark)  # fail early when the cluster names no shared checkpoint folder
     plan = CohortPlan(
-        inputs, rules, calendar, batch_event_ids=batch.batch_event_ids.select("event_id"), checkpoint_cohort=True
+        inputs, rules, calendar, batch_event_ids=batch_ids, checkpoint_cohort=True
     )
     return sinks.write_dataset(plan.event_dataset(), output_dir, run_date, fmt)
 
@@ -106,10 +112,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--run-date", default=dt.date.today().isoformat())
     p.add_argument("--screen", action="store_true", help="apply the written preparation rules")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    p.add_argument("--completed-only", action="store_true", help="only events whose post window has ended")
     a = p.parse_args(argv)
     spark = build_session()
     path = run(spark, a.registrations, a.store, a.output, a.type_id, dt.date.fromisoformat(a.run_date),
-               screen=a.screen, fmt=a.format)
+               screen=a.screen, fmt=a.format, completed_only=a.completed_only)
     print(path)
 
 

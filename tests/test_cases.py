@@ -189,3 +189,13 @@ def test_d3_event_stored_under_two_ids_and_copied_rows(spark):
     )
     rows = CohortPlan(inputs, RULES).pre_event_profile().collect()
     assert sorted((r.event_id, r.user_id) for r in rows) == [(1, 11), (1, 13), (1, 14)]
+
+
+def test_q20_completed_events(spark):
+    from pyspark.sql import functions as F
+
+    from cohortflow.operators.cohort import completed_events
+
+    events = make_inputs(spark, program_event=EVENTS).program_event
+    done = completed_events(events, F.lit(D(2016, 3, 1)))
+    assert sorted(r.event_id for r in done.collect()) == [1, 2]

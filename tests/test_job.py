@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -100,3 +99,17 @@ def test_registration_file_columns_are_taken_by_name(spark):
         .coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/regs")
     r = read_registrations_csv(spark, f"{folder}/regs").first()
     assert (r.acts247_user_id, r.event, r.start_date, r.end_date) == (12.0, "Retreat", "10/3/2015", "10/5/2015")
+
+
+def test_completed_only_keeps_events_whose_post_window_ended(spark):
+    root = tempfile.mkdtemp(prefix="cohortflow-job-")
+    store, regs = f"{root}/store", f"{root}/registrations"
+    _store(spark, store)
+    _csv(spark, regs)
+    early = job.run(spark, regs, store, f"{root}/a", type_id=1, run_date=dt.date(1990, 1, 1),
+                    rules=FIXTURE_RULES, completed_only=True)
+    assert spark.read.parquet(early).count() == 0
+    late = job.run(spark, regs, store, f"{root}/b", type_id=1, run_date=dt.date(2030, 1, 1),
+                   rules=FIXTURE_RULES, completed_only=True)
+    full = job.run(spark, regs, store, f"{root}/c", type_id=1, run_date=dt.date(2030, 1, 1), rules=FIXTURE_RULES)
+    assert spark.read.parquet(late).count() == spark.read.parquet(full).count() > 0
