@@ -43,6 +43,8 @@ def write_dataset(df: DataFrame, output_dir: str, run_date: dt.date, fmt: str =
     """The wide dataset, partitioned by fiscal year (parquet), or CSV with a header.
 
     No row-index column: a distributed table has no row order to number.
+    An empty result partitioned by FY leaves no data files; read it back with
+    the dataset schema (`profiles.DATASET_COLUMNS` order).
     """
     path = f"{output_dir.rstrip('/')}/{dataset_name(run_date)}"
     writer = df.write.mode("overwrite")
