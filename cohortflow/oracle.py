@@ -11,6 +11,7 @@ FIXTURES.md (section B) are the CTEs below.
 from __future__ import annotations
 
 from .config import FIXTURE_RULES
+from .functions.calendar import ACADEMIC_CALENDAR
 from .functions.decode import EVENT_TYPE_NAMES, SCHOOL_YEAR_LABELS
 
 _EXCL_REGIONS = ", ".join(str(x) for x in FIXTURE_RULES.excluded_regions)
@@ -113,39 +114,30 @@ contact_chart AS (
 )"""
 
 
-def _before(d: str) -> str:
-    return (
-        f"CASE WHEN month({d}) IN (1, 2) THEN make_date(year({d}) - 1, 9, 1) "
-        f"WHEN month({d}) = 3 THEN make_date(year({d}) - 1, 10, 1) "
-        f"WHEN month({d}) = 4 THEN make_date(year({d}) - 1, 11, 1) "
-        f"WHEN month({d}) BETWEEN 5 AND 9 THEN make_date(year({d}), 2, 1) "
-        f"WHEN month({d}) = 10 THEN make_date(year({d}), 3, 1) "
-        f"WHEN month({d}) = 11 THEN make_date(year({d}), 4, 1) "
-        f"ELSE make_date(year({d}), 9, 1) END"
-    )
+# The academic calendar as a relation built from the one fixed table.
+_CALENDAR_VALUES = ", ".join(f"({m}, {', '.join(str(x) for x in row)})" for m, row in ACADEMIC_CALENDAR.items())
+CALENDAR = f"""
+calendar(month, b_dy, b_month, a_dy, a_month, fy_dy) AS (VALUES {_CALENDAR_VALUES})"""
 
 
-def _after(d: str) -> str:
+def _windowed(events: str, alias: str) -> str:
+    """FROM-clause fragment: `events` with the calendar rows of its start and end months."""
     return (
-        f"CASE WHEN month({d}) IN (1, 2) THEN make_date(year({d}), 10, 1) "
-        f"WHEN month({d}) = 3 THEN make_date(year({d}), 11, 1) "
-        f"WHEN month({d}) BETWEEN 4 AND 8 THEN make_date(year({d}), 12, 1) "
-        f"WHEN month({d}) = 9 THEN make_date(year({d}) + 1, 2, 1) "
-        f"WHEN month({d}) = 10 THEN make_date(year({d}) + 1, 3, 1) "
-        f"WHEN month({d}) = 11 THEN make_date(year({d}) + 1, 4, 1) "
-        f"ELSE make_date(year({d}) + 1, 5, 1) END"
+        f"{events} {alias} JOIN calendar CS ON CS.month = month({alias}.start_date) "
+        f"JOIN calendar CE ON CE.month = month({alias}.end_date)"
     )
 
 
-def _fy(d: str) -> str:
-    return f"CAST(CASE WHEN month({d}) >= 6 THEN year({d}) + 1 ELSE year({d}) END AS INTEGER)"
+_BEFORE = "make_date(CAST(year({a}.start_date) + CS.b_dy AS BIGINT), CS.b_month, 1)"
+_AFTER = "make_date(CAST(year({a}.end_date) + CE.a_dy AS BIGINT), CE.a_month, 1)"
+_FY = "CAST(year({a}.end_date) + CE.fy_dy AS INTEGER)"
 
 
 COHORT = f"""
 cohort AS (
   SELECT A.event_id, A.user_id, E.name AS event_name, E.type_id, E.start_date, E.end_date,
-         {_before('E.start_date')} AS before_date, {_after('E.end_date')} AS after_date, {_fy('E.end_date')} AS fy
-  FROM event_attendees A JOIN program_event E ON E.id = A.event_id
+         {_BEFORE.format(a='E')} AS before_date, {_AFTER.format(a='E')} AS after_date, {_FY.format(a='E')} AS fy
+  FROM event_attendees A JOIN {_windowed('program_event', 'E')} ON E.id = A.event_id
 ),
 keys AS (
   SELECT user_id, start_date AS t FROM cohort UNION SELECT user_id, after_date AS t FROM cohort
@@ -286,7 +278,7 @@ L2 = _leadership("l2", "after_date", L2_COLS)
 
 
 def _with(*ctes: str) -> str:
-    return "WITH " + ",".join([ADAPTERS, *ctes])
+    return "WITH " + ",".join([ADAPTERS, CALENDAR, *ctes])
 
 
 _PARSE = (
@@ -353,9 +345,9 @@ FROM batch B JOIN program_event E ON E.name = B.event AND E.start_date = B.start
     "event_attendees": _with() + """
 SELECT event_id, user_id FROM event_attendees""",
     "calendar_windows": _with() + f"""
-SELECT id AS event_id, {_before('start_date')} AS before_date, start_date, end_date,
-       {_after('end_date')} AS after_date, {_fy('end_date')} AS fy
-FROM program_event""",
+SELECT E.id AS event_id, {_BEFORE.format(a='E')} AS before_date, E.start_date, E.end_date,
+       {_AFTER.format(a='E')} AS after_date, {_FY.format(a='E')} AS fy
+FROM {_windowed('program_event', 'E')}""",
     "cohort_windows": _with(COHORT) + """
 SELECT event_id, user_id, event_name, type_id, start_date, end_date, before_date, after_date, fy FROM cohort""",
     "event_type_attendance": _with(COHORT) + """
