@@ -18,7 +18,13 @@ _EXCL_REGIONS = ", ".join(str(x) for x in FIXTURE_RULES.excluded_regions)
 _EXCL_ROLES = ", ".join(str(x) for x in FIXTURE_RULES.excluded_roles)
 _YEARS = ", ".join(str(x) for x in FIXTURE_RULES.school_years)
 _TYPE_VALUES = ", ".join(f"({k}, '{v}')" for k, v in EVENT_TYPE_NAMES.items())
-_YEAR_CASE = "CASE " + " ".join(f"WHEN U.school_year_id = {k} THEN '{v}'" for k, v in SCHOOL_YEAR_LABELS.items()) + " END"
+_YEAR_CASE = "CASE m.school_year_id " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in SCHOOL_YEAR_LABELS.items()) + " END"
+# outcome code -> label: 1 -> '1', 0 -> '0', anything else -> null
+_OUTCOME = "CASE WHEN {c} IN (0, 1) THEN CAST({c} AS VARCHAR) END"
+_ELIGIBLE = (
+    f"ou.region_id NOT IN ({_EXCL_REGIONS}) AND m.user_role_type_id NOT IN ({_EXCL_ROLES}) "
+    f"AND m.school_year_id IN ({_YEARS})"
+)
 
 
 def _plus_days(expr: str, n: int) -> str:
@@ -135,116 +141,115 @@ _FY = "CAST(year({a}.end_date) + CE.fy_dy AS INTEGER)"
 
 COHORT = f"""
 cohort AS (
-  SELECT A.event_id, A.user_id, E.name AS event_name, E.type_id, E.start_date, E.end_date,
-         {_BEFORE.format(a='E')} AS before_date, {_AFTER.format(a='E')} AS after_date, {_FY.format(a='E')} AS fy
-  FROM event_attendees A JOIN {_windowed('program_event', 'E')} ON E.id = A.event_id
+  SELECT ea.event_id, ea.user_id, ev.name AS event_name, ev.type_id, ev.start_date, ev.end_date,
+         {_BEFORE.format(a='ev')} AS before_date, {_AFTER.format(a='ev')} AS after_date, {_FY.format(a='ev')} AS fy
+  FROM event_attendees ea JOIN {_windowed('program_event', 'ev')} ON ev.id = ea.event_id
 ),
 keys AS (
   SELECT user_id, start_date AS t FROM cohort UNION SELECT user_id, after_date AS t FROM cohort
 ),
-earliest_bsa AS (
-  SELECT BSAU.user_id, min(BSA.date) AS earliest
-  FROM attendance BSAU JOIN sessions BSA ON BSA.id = BSAU.session_id
-  WHERE BSAU.attended = 1 AND BSA.cancel_reason_id IS NULL
-  GROUP BY BSAU.user_id
+first_attended AS (
+  SELECT a.user_id, min(s.date) AS first_day
+  FROM attendance a JOIN sessions s ON s.id = a.session_id AND s.cancel_reason_id IS NULL
+  WHERE a.attended = 1
+  GROUP BY ALL
 ),
-first_disciple AS (
-  SELECT user_id, min(start_date) AS first FROM mentorships GROUP BY user_id
+first_mentored AS (
+  SELECT user_id, min(start_date) AS first_day FROM mentorships WHERE user_id IS NOT NULL GROUP BY ALL
 ),
-slbs AS (
-  SELECT U.id, min(BSS.study_start_date) AS min
-  FROM members U JOIN study_groups BS ON U.id = BS.leader_id JOIN study_schedules BSS ON BSS.study_id = BS.id
-  GROUP BY U.id
+first_led AS (
+  SELECT g.leader_id AS user_id, min(sc.study_start_date) AS first_day
+  FROM study_groups g JOIN study_schedules sc ON sc.study_id = g.id
+  WHERE g.leader_id IS NOT NULL
+  GROUP BY ALL
 ),
-dm AS (
-  SELECT K.user_id, K.t, min(D.start_date) AS min,
-         count(DISTINCT CASE WHEN D.start_date <= K.t AND (D.end_date >= K.t OR D.end_date IS NULL) THEN D.user_id END) AS cnt
-  FROM keys K JOIN members U ON U.id = K.user_id JOIN mentorships D ON D.parent_user_id = U.id
-  GROUP BY K.user_id, K.t
+mentor_at AS (
+  SELECT k.user_id, k.t, min(e.start_date) AS first_day,
+         count(DISTINCT e.user_id) FILTER (WHERE e.start_date <= k.t AND coalesce(e.end_date >= k.t, true)) AS active
+  FROM keys k JOIN mentorships e ON e.parent_user_id = k.user_id
+  WHERE EXISTS (SELECT 1 FROM members m WHERE m.id = k.user_id)
+  GROUP BY ALL
 ),
-sg AS (
-  SELECT K.user_id, K.t, CAST(max(CASE WHEN D3.user_id IS NULL THEN 0 ELSE 1 END) AS INTEGER) AS sg
-  FROM keys K JOIN mentorships D1 ON D1.user_id = K.user_id
-  LEFT JOIN mentorships D2 ON D1.user_id = D2.parent_user_id
-  LEFT JOIN mentorships D3 ON D2.user_id = D3.parent_user_id
-  WHERE (D1.end_date IS NULL OR D1.end_date >= K.t)
-    AND (D2.end_date IS NULL OR D2.end_date >= K.t)
-    AND (D3.end_date IS NULL OR D3.end_date >= K.t)
-  GROUP BY K.user_id, K.t
+second_gen AS (
+  SELECT k.user_id, k.t, CAST(max(CASE WHEN grand.user_id IS NULL THEN 0 ELSE 1 END) AS INTEGER) AS flag
+  FROM keys k
+  JOIN mentorships own ON own.user_id = k.user_id
+  LEFT JOIN mentorships child ON child.parent_user_id = own.user_id
+  LEFT JOIN mentorships grand ON grand.parent_user_id = child.user_id
+  WHERE coalesce(own.end_date >= k.t, true) AND coalesce(child.end_date >= k.t, true)
+    AND coalesce(grand.end_date >= k.t, true)
+  GROUP BY ALL
 ),
-depth AS (
-  SELECT K.user_id, K.t, count(DISTINCT DC.chart_member_id) AS cnt, max(DC.start_date) AS latest
-  FROM keys K JOIN members O ON O.id = K.user_id
-  JOIN contact_chart DC ON DC.chart_owner_id = O.id AND DC.start_date <= K.t AND (DC.end_date IS NULL OR DC.end_date >= K.t)
-  GROUP BY K.user_id, K.t
+chart_at AS (
+  SELECT k.user_id, k.t, count(DISTINCT ch.chart_member_id) AS members, max(ch.start_date) AS latest
+  FROM keys k
+  JOIN contact_chart ch ON ch.chart_owner_id = k.user_id AND ch.start_date <= k.t AND coalesce(ch.end_date >= k.t, true)
+  WHERE EXISTS (SELECT 1 FROM members m WHERE m.id = k.user_id)
+  GROUP BY ALL
 ),
-chain_pairs AS MATERIALIZED (
-  SELECT K.user_id, K.t, D.user_id AS leader_id
-  FROM keys K
-  JOIN mentorships D ON D.parent_user_id = K.user_id AND (D.end_date IS NULL OR D.end_date >= K.t)
-  JOIN members P ON P.id = D.parent_user_id
+mentees_alive AS MATERIALIZED (
+  SELECT k.user_id, k.t, e.user_id AS mentee
+  FROM keys k JOIN mentorships e ON e.parent_user_id = k.user_id AND coalesce(e.end_date >= k.t, true)
+  WHERE EXISTS (SELECT 1 FROM members m WHERE m.id = k.user_id)
 ),
-live_studies AS MATERIALIZED (
-  SELECT BS.leader_id, BSS.study_start_date, BSS.study_end_date
-  FROM study_groups BS
-  JOIN study_schedules BSS ON BSS.study_id = BS.id AND BSS.is_latest = 1
-  JOIN members U ON U.id = BS.leader_id
-  WHERE BS.deleted = 0
+leader_spans AS MATERIALIZED (
+  SELECT g.leader_id, sc.study_start_date AS from_day, sc.study_end_date AS to_day
+  FROM study_groups g JOIN study_schedules sc ON sc.study_id = g.id
+  WHERE g.deleted = 0 AND sc.is_latest = 1 AND EXISTS (SELECT 1 FROM members m WHERE m.id = g.leader_id)
 ),
-chain AS (
-  SELECT CP.user_id, CP.t, count(DISTINCT L.leader_id) AS cnt
-  FROM chain_pairs CP
-  JOIN live_studies L ON L.leader_id = CP.leader_id AND L.study_start_date <= CP.t
-   AND (L.study_end_date IS NULL OR L.study_end_date >= CP.t)
-  GROUP BY CP.user_id, CP.t
+chain_at AS (
+  SELECT ma.user_id, ma.t, count(DISTINCT l.leader_id) AS leaders
+  FROM mentees_alive ma
+  JOIN leader_spans l ON l.leader_id = ma.mentee AND l.from_day <= ma.t AND coalesce(l.to_day >= ma.t, true)
+  GROUP BY ALL
 ),
-outcome AS (
-  SELECT user_id, max(CASE WHEN outcome = 1 THEN '1' WHEN outcome = 0 THEN '0' END) AS outcome
-  FROM outreach_outcomes GROUP BY user_id
+outcome_of AS (
+  SELECT user_id, max({_OUTCOME.format(c='outcome')}) AS label FROM outreach_outcomes WHERE user_id IS NOT NULL GROUP BY ALL
 )"""
 
+# Pre-event profile in the naive shape: facts joined to every cohort row, the
+# cancel test after the left joins, then distinct counts.
 P1 = f"""
 p1 AS (
-  SELECT W.event_id, W.event_name, ET.name AS event_type, W.start_date, W.end_date, U.id AS user_id,
-         U.first_name AS first, U.last_name AS last, {_YEAR_CASE} AS year, C.name AS campus,
-         EB.earliest AS earliest_BSA,
-         count(DISTINCT CASE WHEN BSAU.attended = 1 AND BSA.date BETWEEN W.before_date AND W.start_date THEN BSAU.id END) AS count_BSAtt,
-         count(DISTINCT CASE WHEN BSAU.attended = 0 AND BSA.date BETWEEN W.before_date AND W.start_date THEN BSAU.id END) AS count_BSAb,
-         CAST(max(CASE WHEN D.id IS NULL THEN 0 ELSE 1 END) AS INTEGER) AS Was_D_at_start,
-         max(CASE WHEN GPR.outcome = 1 THEN '1' WHEN GPR.outcome = 0 THEN '0' END) AS GP_outcome
-  FROM members U
-  JOIN org_units C ON C.id = U.campus_id
-  JOIN cohort W ON W.user_id = U.id
-  JOIN program_event_type ET ON ET.id = W.type_id
-  LEFT JOIN attendance BSAU ON BSAU.user_id = U.id
-  LEFT JOIN sessions BSA ON BSA.id = BSAU.session_id AND BSA.date BETWEEN W.before_date AND W.start_date
-  LEFT JOIN mentorships D ON D.user_id = U.id AND D.start_date <= W.start_date AND (D.end_date > W.start_date OR D.end_date IS NULL)
-  LEFT JOIN outreach_outcomes GPR ON GPR.user_id = U.id
-  LEFT JOIN earliest_bsa EB ON EB.user_id = U.id
-  WHERE U.user_role_type_id NOT IN ({_EXCL_ROLES}) AND BSA.cancel_reason_id IS NULL
-  GROUP BY W.event_id, W.event_name, ET.name, W.start_date, W.end_date, U.id, U.first_name, U.last_name,
-           U.school_year_id, C.name, EB.earliest
+  SELECT c.event_id, c.event_name, ty.name AS event_type, c.start_date, c.end_date, m.id AS user_id,
+         m.first_name AS first, m.last_name AS last, {_YEAR_CASE} AS year, ou.name AS campus,
+         fa.first_day AS earliest_BSA,
+         count(DISTINCT a.id) FILTER (WHERE a.attended = 1 AND s.id IS NOT NULL) AS count_BSAtt,
+         count(DISTINCT a.id) FILTER (WHERE a.attended = 0 AND s.id IS NOT NULL) AS count_BSAb,
+         CAST(bool_or(mt.start_date IS NOT NULL) AS INTEGER) AS Was_D_at_start,
+         max({_OUTCOME.format(c='o.outcome')}) AS GP_outcome
+  FROM cohort c
+  JOIN members m ON m.id = c.user_id
+  JOIN org_units ou ON ou.id = m.campus_id
+  JOIN program_event_type ty ON ty.id = c.type_id
+  LEFT JOIN attendance a ON a.user_id = m.id
+  LEFT JOIN sessions s ON s.id = a.session_id AND s.date BETWEEN c.before_date AND c.start_date
+  LEFT JOIN mentorships mt ON mt.user_id = m.id AND mt.start_date <= c.start_date AND coalesce(mt.end_date > c.start_date, true)
+  LEFT JOIN outreach_outcomes o ON o.user_id = m.id
+  LEFT JOIN first_attended fa ON fa.user_id = m.id
+  WHERE m.user_role_type_id NOT IN ({_EXCL_ROLES}) AND s.cancel_reason_id IS NULL
+  GROUP BY ALL
 )"""
 
+# Post-event profile: the cancel test sits in the session join.
 P2 = f"""
 p2 AS (
-  SELECT W.event_id, U.id AS user_id, EB.earliest AS earliest_BS_atten2,
-         count(DISTINCT CASE WHEN BSAU.attended = 1 AND BSA.date BETWEEN W.end_date AND W.after_date THEN BSAU.id END) AS Attended2,
-         count(DISTINCT CASE WHEN BSAU.attended = 0 AND BSA.date BETWEEN W.end_date AND W.after_date THEN BSAU.id END) AS Absent2,
-         CAST(max(CASE WHEN D.id IS NULL THEN 0 ELSE 1 END) AS INTEGER) AS Was_D_3_mo_After2,
-         max(CASE WHEN GPR.outcome = 1 THEN '1' WHEN GPR.outcome = 0 THEN '0' END) AS GP_outcome_post2
-  FROM members U
-  JOIN org_units C ON C.id = U.campus_id
-  JOIN cohort W ON W.user_id = U.id
-  LEFT JOIN attendance BSAU ON BSAU.user_id = U.id
-  LEFT JOIN sessions BSA ON BSA.id = BSAU.session_id AND BSA.date BETWEEN W.end_date AND W.after_date
-       AND BSA.cancel_reason_id IS NULL
-  LEFT JOIN mentorships D ON D.user_id = U.id AND D.start_date <= W.after_date AND (D.end_date > W.after_date OR D.end_date IS NULL)
-  LEFT JOIN outreach_outcomes GPR ON GPR.user_id = U.id
-  LEFT JOIN earliest_bsa EB ON EB.user_id = U.id
-  WHERE C.region_id NOT IN ({_EXCL_REGIONS}) AND U.user_role_type_id NOT IN ({_EXCL_ROLES})
-    AND BSA.cancel_reason_id IS NULL AND U.school_year_id IN ({_YEARS})
-  GROUP BY W.event_id, U.id, EB.earliest
+  SELECT c.event_id, m.id AS user_id, fa.first_day AS earliest_BS_atten2,
+         count(DISTINCT a.id) FILTER (WHERE a.attended = 1 AND s.id IS NOT NULL) AS Attended2,
+         count(DISTINCT a.id) FILTER (WHERE a.attended = 0 AND s.id IS NOT NULL) AS Absent2,
+         CAST(bool_or(mt.start_date IS NOT NULL) AS INTEGER) AS Was_D_3_mo_After2,
+         max({_OUTCOME.format(c='o.outcome')}) AS GP_outcome_post2
+  FROM cohort c
+  JOIN members m ON m.id = c.user_id
+  JOIN org_units ou ON ou.id = m.campus_id
+  LEFT JOIN attendance a ON a.user_id = m.id
+  LEFT JOIN sessions s ON s.id = a.session_id AND s.date BETWEEN c.end_date AND c.after_date
+       AND s.cancel_reason_id IS NULL
+  LEFT JOIN mentorships mt ON mt.user_id = m.id AND mt.start_date <= c.after_date AND coalesce(mt.end_date > c.after_date, true)
+  LEFT JOIN outreach_outcomes o ON o.user_id = m.id
+  LEFT JOIN first_attended fa ON fa.user_id = m.id
+  WHERE {_ELIGIBLE}
+  GROUP BY ALL
 )"""
 
 
@@ -252,20 +257,19 @@ def _leadership(name: str, t: str, cols: list[str]) -> str:
     c = cols
     return f"""
 {name} AS (
-  SELECT W.event_id, U.id AS user_id, FD.first AS {c[0]}, SLBS.min AS {c[1]}, DM.min AS {c[2]},
-         Depth.cnt AS "{c[3]}", Depth.latest AS {c[4]}, P.cnt AS {c[5]}, DM.cnt AS {c[6]},
-         SG.sg AS {c[7]}, U.last_login AS {c[8]}
-  FROM members U
-  JOIN org_units C ON C.id = U.campus_id
-  JOIN cohort W ON W.user_id = U.id
-  LEFT JOIN dm DM ON DM.user_id = U.id AND DM.t = W.{t}
-  LEFT JOIN slbs SLBS ON SLBS.id = U.id
-  LEFT JOIN sg SG ON SG.user_id = U.id AND SG.t = W.{t}
-  LEFT JOIN depth Depth ON Depth.user_id = U.id AND Depth.t = W.{t}
-  LEFT JOIN chain P ON P.user_id = U.id AND P.t = W.{t}
-  LEFT JOIN first_disciple FD ON FD.user_id = U.id
-  WHERE C.region_id NOT IN ({_EXCL_REGIONS}) AND U.user_role_type_id NOT IN ({_EXCL_ROLES})
-    AND U.school_year_id IN ({_YEARS})
+  SELECT c.event_id, m.id AS user_id, fm.first_day AS {c[0]}, fl.first_day AS {c[1]}, mr.first_day AS {c[2]},
+         ch.members AS "{c[3]}", ch.latest AS {c[4]}, cn.leaders AS {c[5]}, mr.active AS {c[6]},
+         sg.flag AS {c[7]}, m.last_login AS {c[8]}
+  FROM cohort c
+  JOIN members m ON m.id = c.user_id
+  JOIN org_units ou ON ou.id = m.campus_id
+  LEFT JOIN first_mentored fm ON fm.user_id = m.id
+  LEFT JOIN first_led fl ON fl.user_id = m.id
+  LEFT JOIN mentor_at mr ON mr.user_id = m.id AND mr.t = c.{t}
+  LEFT JOIN chart_at ch ON ch.user_id = m.id AND ch.t = c.{t}
+  LEFT JOIN chain_at cn ON cn.user_id = m.id AND cn.t = c.{t}
+  LEFT JOIN second_gen sg ON sg.user_id = m.id AND sg.t = c.{t}
+  WHERE {_ELIGIBLE}
 )"""
 
 
@@ -351,45 +355,42 @@ FROM {_windowed('program_event', 'E')}""",
     "cohort_windows": _with(COHORT) + """
 SELECT event_id, user_id, event_name, type_id, start_date, end_date, before_date, after_date, fy FROM cohort""",
     "event_type_attendance": _with(COHORT) + """
-SELECT W.type_id, ET.name AS event_type, count(DISTINCT W.event_id) AS events, count(*) AS attendees
-FROM cohort W JOIN program_event_type ET ON ET.id = W.type_id
-GROUP BY W.type_id, ET.name""",
+SELECT c.type_id, ty.name AS event_type, count(DISTINCT c.event_id) AS events, count(*) AS attendees
+FROM cohort c JOIN program_event_type ty ON ty.id = c.type_id
+GROUP BY ALL""",
     "eligible_members": _with() + f"""
-SELECT U.id AS user_id, U.first_name AS first, U.last_name AS last, {_YEAR_CASE} AS year, C.name AS campus,
-       C.region_id, U.last_login
-FROM members U JOIN org_units C ON C.id = U.campus_id
-WHERE C.region_id NOT IN ({_EXCL_REGIONS}) AND U.user_role_type_id NOT IN ({_EXCL_ROLES})
-  AND U.school_year_id IN ({_YEARS})""",
+SELECT m.id AS user_id, m.first_name AS first, m.last_name AS last, {_YEAR_CASE} AS year, ou.name AS campus,
+       ou.region_id, m.last_login
+FROM members m JOIN org_units ou ON ou.id = m.campus_id
+WHERE {_ELIGIBLE}""",
     "attendance_before": _with(COHORT, P1) + """
 SELECT event_id, user_id, count_BSAtt AS attended, count_BSAb AS absent FROM p1""",
     "attendance_after": _with(COHORT, P2) + """
 SELECT event_id, user_id, Attended2 AS attended, Absent2 AS absent FROM p2""",
     "earliest_attendance": _with(COHORT) + """
-SELECT user_id, earliest AS earliest_attendance FROM earliest_bsa""",
+SELECT user_id, first_day AS earliest_attendance FROM first_attended""",
     "earliest_mentored": _with(COHORT) + """
-SELECT user_id, first AS first_became_disciple FROM first_disciple WHERE user_id IS NOT NULL""",
+SELECT user_id, first_day AS first_became_disciple FROM first_mentored""",
     "mentored_as_of": _with(COHORT) + """
-SELECT W.event_id, W.user_id,
-       CAST(max(CASE WHEN D.id IS NOT NULL AND D.start_date <= W.start_date
-                     AND (D.end_date > W.start_date OR D.end_date IS NULL) THEN 1 ELSE 0 END) AS INTEGER) AS flag_at_start,
-       CAST(max(CASE WHEN D.id IS NOT NULL AND D.start_date <= W.after_date
-                     AND (D.end_date > W.after_date OR D.end_date IS NULL) THEN 1 ELSE 0 END) AS INTEGER) AS flag_after
-FROM cohort W LEFT JOIN mentorships D ON D.user_id = W.user_id
-GROUP BY W.event_id, W.user_id""",
+SELECT c.event_id, c.user_id,
+       CAST(coalesce(bool_or(mt.start_date <= c.start_date AND coalesce(mt.end_date > c.start_date, true)), false)
+            AS INTEGER) AS flag_at_start,
+       CAST(coalesce(bool_or(mt.start_date <= c.after_date AND coalesce(mt.end_date > c.after_date, true)), false)
+            AS INTEGER) AS flag_after
+FROM cohort c LEFT JOIN mentorships mt ON mt.user_id = c.user_id
+GROUP BY ALL""",
     "outreach_outcome": _with(COHORT) + """
-SELECT user_id, outcome FROM outcome WHERE user_id IS NOT NULL""",
+SELECT user_id, label AS outcome FROM outcome_of""",
     "mentor_activity": _with(COHORT) + """
-SELECT user_id, t AS as_of, min AS first_became_DM, cnt AS active_mentees FROM dm""",
+SELECT user_id, t AS as_of, first_day AS first_became_DM, active AS active_mentees FROM mentor_at""",
     "earliest_led_study": _with(COHORT) + """
-SELECT BS.leader_id AS user_id, min(BSS.study_start_date) AS earliest_led_bs
-FROM study_groups BS JOIN study_schedules BSS ON BSS.study_id = BS.id
-WHERE BS.leader_id IS NOT NULL GROUP BY BS.leader_id""",
+SELECT user_id, first_day AS earliest_led_bs FROM first_led""",
     "second_generation": _with(COHORT) + """
-SELECT user_id, t AS as_of, sg AS has_second_generation FROM sg""",
+SELECT user_id, t AS as_of, flag AS has_second_generation FROM second_gen""",
     "contact_chart_depth": _with(COHORT) + """
-SELECT user_id, t AS as_of, cnt AS count_of_DCC, latest AS latest_change_to_DC FROM depth""",
+SELECT user_id, t AS as_of, members AS count_of_DCC, latest AS latest_change_to_DC FROM chart_at""",
     "leaders_in_chain": _with(COHORT) + """
-SELECT user_id, t AS as_of, cnt AS slbs_in_chain FROM chain""",
+SELECT user_id, t AS as_of, leaders AS slbs_in_chain FROM chain_at""",
     "pre_event_profile": _with(COHORT, P1) + """
 SELECT * FROM p1""",
     "post_event_profile": _with(COHORT, P2) + """
@@ -401,17 +402,17 @@ SELECT * FROM l2""",
     "stacked_batches": _with(COHORT, P1) + """
 SELECT p1.*, NULL::DATE AS "3_mo_after", NULL::INTEGER AS "FY" FROM p1 WHERE start_date < DATE '1998-01-01'
 UNION ALL
-SELECT p1.*, W.after_date AS "3_mo_after", W.fy AS "FY"
-FROM p1 JOIN cohort W ON W.event_id = p1.event_id AND W.user_id = p1.user_id
+SELECT p1.*, c.after_date AS "3_mo_after", c.fy AS "FY"
+FROM p1 JOIN cohort c USING (event_id, user_id)
 WHERE p1.start_date >= DATE '1998-01-01'""",
     "event_dataset": _with(COHORT, P1, P2, L1, L2) + f"""
-SELECT p1.event_name, p1.event_type, p1.start_date, p1.end_date, W.after_date AS "3_mo_after", W.fy AS "FY",
+SELECT p1.event_name, p1.event_type, p1.start_date, p1.end_date, c.after_date AS "3_mo_after", c.fy AS "FY",
        p1.user_id, p1.first, p1.last, p1.year, p1.campus, p1.earliest_BSA, p1.count_BSAtt, p1.count_BSAb,
        p1.Was_D_at_start, p1.GP_outcome,
        p2.earliest_BS_atten2, p2.Attended2, p2.Absent2, p2.Was_D_3_mo_After2, p2.GP_outcome_post2,
        {_LEAD_SELECT}
 FROM p1
-JOIN cohort W ON W.event_id = p1.event_id AND W.user_id = p1.user_id
+JOIN cohort c ON c.event_id = p1.event_id AND c.user_id = p1.user_id
 JOIN p2 ON p2.event_id = p1.event_id AND p2.user_id = p1.user_id
 JOIN l1 ON l1.event_id = p1.event_id AND l1.user_id = p1.user_id
 JOIN l2 ON l2.event_id = p1.event_id AND l2.user_id = p1.user_id""",
