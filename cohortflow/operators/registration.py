@@ -26,7 +26,7 @@ def parse_registrations(raw: DataFrame) -> DataFrame:
     start = parse_date_text(F.col("start_date"))
     end = parse_date_text(F.col("end_date"))
     return raw.select(
-        F.col("acts247_user_id").try_cast("bigint").alias("user_id"),
+        F.col("member_id").try_cast("bigint").alias("user_id"),
         F.col("event"),
         start.alias("start_date"),
         end.alias("end_date"),
@@ -61,7 +61,7 @@ def screen_registrations(raw: DataFrame, staff: DataFrame | None = None) -> Data
     kept = raw.where(~cancelled & ~odd)
     if staff is None:
         return kept
-    user = F.col("acts247_user_id") if "acts247_user_id" in raw.columns else F.col("user_id")
+    user = F.col("member_id") if "member_id" in raw.columns else F.col("user_id")
     keyed = kept.withColumn("_uid", user.try_cast("bigint"))
     staff_ids = staff.select(F.col("id").alias("_uid"))
     return keyed.join(staff_ids, "_uid", "left_anti").drop("_uid")

@@ -54,7 +54,7 @@ registrations AS (
   FROM orders
 ),
 registrations_raw AS (
-  SELECT CAST(CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE o_custkey END AS DOUBLE) AS acts247_user_id,
+  SELECT CAST(CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE o_custkey END AS DOUBLE) AS member_id,
          CASE WHEN o_orderkey % 53 = 0 THEN NULL
               WHEN o_orderkey % 61 = 0 THEN o_orderpriority || ' CANCELLED'
               WHEN o_orderkey % 67 = 0 THEN o_orderpriority || ' été'
@@ -291,7 +291,7 @@ _PARSE = (
 )
 PARSED = f"""
 parsed AS (
-  SELECT CAST(acts247_user_id AS BIGINT) AS user_id, event,
+  SELECT CAST(member_id AS BIGINT) AS user_id, event,
          {_PARSE.format(c='start_date')} AS start_date, {_PARSE.format(c='end_date')} AS end_date,
          start_date AS start_text, end_date AS end_text
   FROM registrations_raw
@@ -322,7 +322,7 @@ SELECT R.* FROM registrations_raw R
 WHERE NOT coalesce(upper(R.event) LIKE '%CANCELLED%', false)
   AND NOT coalesce(regexp_matches(R.event, '[^\\x00-\\x7F]'), false)
   AND NOT EXISTS (SELECT 1 FROM members M WHERE M.user_role_type_id IN ({_EXCL_ROLES})
-                  AND M.id = CAST(R.acts247_user_id AS BIGINT))""",
+                  AND M.id = CAST(R.member_id AS BIGINT))""",
     "parsed_registration_dates": _with(PARSED) + """
 SELECT user_id, event, start_date, end_date, start_text, end_text, rejected FROM parsed_flagged""",
     "program_events": _with() + """

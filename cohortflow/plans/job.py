@@ -80,8 +80,9 @@ def run(
     screen: bool = False,
     fmt: str = "parquet",
     completed_only: bool = False,
+    id_column: str = "member_id",
 ) -> str:
-    raw = read_registrations_csv(spark, registrations_path)
+    raw = read_registrations_csv(spark, registrations_path, id_column)
     staff = None
     if screen:
         members = sinks.read_table_if_exists(spark, store_path, "members")
@@ -113,10 +114,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--screen", action="store_true", help="apply the written preparation rules")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     p.add_argument("--completed-only", action="store_true", help="only events whose post window has ended")
+    p.add_argument("--id-column", default="member_id", help="the registration file's member-id column")
     a = p.parse_args(argv)
     spark = build_session()
     path = run(spark, a.registrations, a.store, a.output, a.type_id, dt.date.fromisoformat(a.run_date),
-               screen=a.screen, fmt=a.format, completed_only=a.completed_only)
+               screen=a.screen, fmt=a.format, completed_only=a.completed_only, id_column=a.id_column)
     print(path)
 
 

@@ -83,7 +83,7 @@ def registrations_raw(orders: DataFrame) -> DataFrame:
         .otherwise(prio)
     )
     return orders.select(
-        _null_if(k % 41 == 0, F.col("o_custkey")).cast("double").alias("acts247_user_id"),
+        _null_if(k % 41 == 0, F.col("o_custkey")).cast("double").alias("member_id"),
         event.alias("event"),
         F.when(k % 71 == 0, F.lit("TBD")).otherwise(as_text(start)).alias("start_date"),
         _null_if(k % 37 == 0, as_text(end)).alias("end_date"),

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 REGISTRATIONS_CSV = T.StructType(
     [
-        T.StructField("acts247_user_id", T.DoubleType()),
+        T.StructField("member_id", T.DoubleType()),
         T.StructField("event", T.StringType()),
         T.StructField("start_date", T.StringType()),
         T.StructField("end_date", T.StringType()),

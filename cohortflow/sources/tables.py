@@ -34,21 +34,28 @@ class CohortInputs:
         return CohortInputs(**values)
 
 
-def registration_columns(df: DataFrame) -> DataFrame:
+def registration_columns(df: DataFrame, id_column: str = "member_id") -> DataFrame:
     """The four registration columns, taken by header name (any order, extra
-    columns pruned), typed as REGISTRATIONS_CSV; an unreadable id becomes null."""
+    columns pruned), typed as REGISTRATIONS_CSV; an unreadable id becomes null.
+    `id_column` names the file's member-id column."""
+    source = {"member_id": id_column}
     return df.select(
         *[
-            (F.col(f.name) if f.dataType == T.StringType() else F.col(f.name).try_cast(f.dataType)).alias(f.name)
+            (
+                F.col(source.get(f.name, f.name))
+                if f.dataType == T.StringType()
+                else F.col(source.get(f.name, f.name)).try_cast(f.dataType)
+            ).alias(f.name)
             for f in REGISTRATIONS_CSV.fields
         ]
     )
 
 
-def read_registrations_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_registrations_csv(spark: SparkSession, path: str, id_column: str = "member_id") -> DataFrame:
     """The registration file. Columns are matched by header name, every value
-    is read as text (no inference) and cast explicitly."""
-    return registration_columns(spark.read.option("header", True).option("inferSchema", False).csv(path))
+    is read as text (no inference) and cast explicitly. `id_column` names the
+    file's member-id column when it is not called member_id."""
+    return registration_columns(spark.read.option("header", True).option("inferSchema", False).csv(path), id_column)
 
 
 def read_native_tables(spark: SparkSession, base_path: str, fmt: str = "parquet") -> CohortInputs:

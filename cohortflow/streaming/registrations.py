@@ -25,6 +25,7 @@ def registration_stream(
     source_dir: str,
     file_schema: StructType | None = None,
     max_files_per_trigger: int | None = None,
+    id_column: str = "member_id",
 ) -> DataFrame:
     """The registration files as a stream of typed rows.
 
@@ -41,7 +42,7 @@ def registration_stream(
     reader = spark.readStream.schema(file_schema).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return registration_columns(reader.csv(source_dir))
+    return registration_columns(reader.csv(source_dir), id_column)
 
 
 def start_registration_ingest(
@@ -51,6 +52,7 @@ def start_registration_ingest(
     type_id: TypeId,
     checkpoint_location: str | None = None,
     available_now: bool = True,
+    id_column: str = "member_id",
 ) -> StreamingQuery:
     """Start the ingest; `available_now` processes what is there and stops.
 
@@ -62,6 +64,6 @@ def start_registration_ingest(
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         register_batch(batch.sparkSession, batch, store_path, type_id)
 
-    writer = registration_stream(spark, source_dir).writeStream.foreachBatch(upsert).option("checkpointLocation", location)
+    writer = registration_stream(spark, source_dir, id_column=id_column).writeStream.foreachBatch(upsert).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

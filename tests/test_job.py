@@ -95,10 +95,10 @@ def test_registration_file_columns_are_taken_by_name(spark):
 
     folder = tempfile.mkdtemp(prefix="cohortflow-csv-")
     rows = [("Retreat", "x", "10/5/2015", "12.0", "10/3/2015")]
-    spark.createDataFrame(rows, "event string, note string, end_date string, acts247_user_id string, start_date string") \
+    spark.createDataFrame(rows, "event string, note string, end_date string, person string, start_date string") \
         .coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/regs")
-    r = read_registrations_csv(spark, f"{folder}/regs").first()
-    assert (r.acts247_user_id, r.event, r.start_date, r.end_date) == (12.0, "Retreat", "10/3/2015", "10/5/2015")
+    r = read_registrations_csv(spark, f"{folder}/regs", id_column="person").first()
+    assert (r.member_id, r.event, r.start_date, r.end_date) == (12.0, "Retreat", "10/3/2015", "10/5/2015")
 
 
 def test_completed_only_keeps_events_whose_post_window_ended(spark):

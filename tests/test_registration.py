@@ -37,8 +37,8 @@ def test_screen_drops_cancelled_odd_names_and_staff(spark):
     kept = reg.screen_registrations(_raw(spark), staff).collect()
     names = {r.event for r in kept}
     assert "Gala CANCELLED" not in names and "Fête" not in names
-    assert 3.0 not in {r.acts247_user_id for r in kept}
-    assert None in {r.acts247_user_id for r in kept}
+    assert 3.0 not in {r.member_id for r in kept}
+    assert None in {r.member_id for r in kept}
 
 
 def test_new_events_ids_continue_and_idempotent_append(spark):
