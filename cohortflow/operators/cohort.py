@@ -107,20 +107,21 @@ def cohort_windows(
     run's file (Q16). `batch_event_ids` (a frame with `event_id`) limits the
     events; default is every stored event.
 
-    The rows leave hash-partitioned by user_id: every later join (members,
-    attendance facts, interval facts, per-member facts) and every grouping by
-    (event_id, user_id) reuses this one shuffle. A member's rows are bounded
-    by the number of events, so the partitioning holds up under skewed facts.
+    A member's rows are bounded by the number of events, so later joins on
+    user_id cannot concentrate a hot key on the cohort side.
     Output: event_id, user_id, event_name, type_id, [event_type], start_date,
     end_date, before_date, after_date, fy.
     """
-    dims = event_dimension(program_event, batch_event_ids, event_types, calendar)
-    # Copies of an attendee row (a loader run twice) collapse map-side first.
-    attendees = (
-        event_attendees.select(F.col("event_id").alias("id"), "user_id").where(F.col("user_id").isNotNull()).distinct()
-    )
-    rows = attendees.join(dims, "id").drop("id")
-    return rows.dropDuplicates(["event_id", "user_id"])
+    events = event_dimension(program_event, batch_event_ids, event_types, calendar)
+    # Stored id -> canonical id, then one narrow dedup of (event, member): copies of an
+    # attendee row and one event stored under several ids collapse map-side here.
+    ids = events.select("id", "event_id")
+    attendees = event_attendees.select(F.col("event_id").alias("id"), "user_id").where(F.col("user_id").isNotNull())
+    pairs = attendees.join(ids, "id").select("event_id", "user_id").distinct()
+    # Event attributes once per canonical event (every stored id of it carries the
+    # same ones, so this also works when the batch names only a non-canonical id).
+    dims = events.drop("id").distinct()
+    return pairs.join(dims, "event_id")
 
 
 def as_of_keys(cohort: DataFrame) -> DataFrame:

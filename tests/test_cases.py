@@ -199,3 +199,17 @@ def test_q20_completed_events(spark):
     events = make_inputs(spark, program_event=EVENTS).program_event
     done = completed_events(events, F.lit(D(2016, 3, 1)))
     assert sorted(r.event_id for r in done.collect()) == [1, 2]
+
+
+def test_d3_batch_names_only_a_duplicate_id(spark):
+    inputs = make_inputs(
+        spark,
+        program_event=[EVENTS[0], (7, "Retreat", 1, D(2015, 10, 3), D(2015, 10, 5))],
+        program_event_type=[(1, "Missions")],
+        event_attendees=[(1, 11), (7, 13)],
+        members=MEMBERS,
+        org_units=[(1, "Campus A", 1)],
+    )
+    batch = spark.createDataFrame([(7,)], "event_id bigint")
+    rows = CohortPlan(inputs, RULES, batch_event_ids=batch).pre_event_profile().collect()
+    assert sorted((r.event_id, r.user_id, r.event_name) for r in rows) == [(1, 13, "Retreat")]
