@@ -7,7 +7,8 @@
    failed run is completed by running it again;
 4. read the stores back (S3) and build the wide dataset for the batch's
    events over all their stored attendees (Q16);
-5. write the dataset under a dated name (S6, S7), plus the reject table.
+5. write the dataset under a dated name (S6, S7), plus the reject table and
+   the run counts (A10).
 
 The store writes are the lineage cut between registering and measuring; the
 cohort is then checkpointed to the cluster's shared `spark.checkpoint.dir`
@@ -88,7 +89,10 @@ def run(
         members = sinks.read_table_if_exists(spark, store_path, "members")
         staff = members.where(F.col("user_role_type_id").isin(*rules.excluded_roles)).select("id")
     batch = register_batch(spark, raw, store_path, type_id, staff, screen)
-    batch.rejects.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/rejects_{run_date.strftime('%m-%d-%Y')}")
+    stamp = run_date.strftime("%m-%d-%Y")
+    batch.rejects.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/rejects_{stamp}")
+    stored = sinks.read_table_if_exists(spark, store_path, "program_event")
+    reg.registration_summary(raw, stored).write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/summary_{stamp}")
 
     inputs = read_native_tables(spark, store_path)
     batch_ids = batch.batch_event_ids.select("event_id")

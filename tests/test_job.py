@@ -46,6 +46,8 @@ def test_job_writes_dataset_and_is_idempotent(spark):
     first = spark.read.parquet(path)
     assert len(first.columns) == 39 and first.count() > 0
     assert spark.read.parquet(f"{out}/rejects_12-03-2026").count() > 0
+    summary = {r.metric: r.value for r in spark.read.parquet(f"{out}/summary_12-03-2026").collect()}
+    assert summary["raw_rows"] > summary["rejected_rows"] > 0 and summary["attendees_after"] > 0
     counts = _counts(spark, store)
     ids = [r.id for r in spark.read.parquet(sinks.table_path(store, "program_event")).collect()]
     assert sorted(ids) == list(range(1, len(ids) + 1))
