@@ -12,11 +12,11 @@ Interval rows from four sources are stacked into one table
 
 The chain rows are joined on the fact side (pairs x leader intervals, keyed
 by the mentee), so the probes need a single join. Probe rows (cohort rows, or
-as-of keys) join the stack once on user_id with the validity test as join
-residual; two aggregations reduce it: first to one row per (probe, kind,
+as-of keys) join the stack once on (user_id, salt) with the validity test as
+join residual; two aggregations reduce it: first to one row per (probe, kind,
 other_id), which makes every count a distinct count without an Expand, then
-to one row per probe. Probes arrive hash-partitioned by user_id, so the join
-and both aggregations run without another shuffle of the probe side.
+to one row per probe. The salt is 0 except for members with more than
+HOT_ROWS interval rows, whose rows spread over several join tasks.
 """
 
 from __future__ import annotations
