@@ -172,8 +172,10 @@ class CohortPlan:
         )
 
     def key_metrics(self, kinds: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
-        """As-of metrics per distinct (user_id, as_of) key of the cohort."""
-        keys = cohort.as_of_keys(self.cohort())
+        """As-of metrics per distinct (user_id, as_of) key of the cohort's members
+        (the reference's derived tables join the member table)."""
+        members = self.inputs.members.select(F.col("id").alias("user_id"))
+        keys = cohort.as_of_keys(self.cohort()).join(members, "user_id", "left_semi")
         return keys, asof.as_of_metrics(keys, ["user_id", "as_of"], {"k": "as_of"}, self.intervals(kinds), self.hot_rows)
 
     def mentor_activity(self) -> DataFrame:
