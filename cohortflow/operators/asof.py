@@ -12,11 +12,12 @@ Interval rows from four sources are stacked into one table
 
 The chain rows are joined on the fact side (pairs x leader intervals, keyed
 by the mentee), so the probes need a single join. Probe rows (cohort rows, or
-as-of keys) join the stack once on (user_id, salt) with the validity test as
-join residual; two aggregations reduce it: first to one row per (probe, kind,
+as-of keys) join the stack once on user_id with the validity test as join
+residual; two aggregations reduce it: first to one row per (probe, kind,
 other_id), which makes every count a distinct count without an Expand, then
-to one row per probe. The salt is 0 except for members with more than
-HOT_ROWS interval rows, whose rows spread over several join tasks.
+to one row per probe. A member with a huge share of the interval rows is split
+by AQE's skew join when both join inputs arrive through planner shuffles, or
+explicitly by salting (`hot_rows`).
 """
 
 from __future__ import annotations
@@ -30,10 +31,10 @@ from . import mentorship as ms
 MENTORED, MENTEE, CONTACT, CHAIN = 0, 1, 2, 3
 ALL_KINDS = (MENTORED, MENTEE, CONTACT, CHAIN)
 
-# Interval rows per member above which the member's rows are split over
-# several join tasks (salting). At most (interval rows / HOT_ROWS) members can
-# be that large, which bounds the broadcast list of hot members: 10^12
-# interval rows give at most 10^6 entries (about 16 MB).
+# A threshold for explicit salting (`hot_rows`): members with more interval
+# rows than this are split over several join tasks. At most (interval rows /
+# HOT_ROWS) members can be that large, which bounds the broadcast list of hot
+# members: 10^12 interval rows give at most 10^6 entries (about 16 MB).
 HOT_ROWS = 1_000_000
 
 
@@ -128,7 +129,7 @@ def as_of_metrics(
     key_cols: list[str],
     times: dict[str, str],
     intervals: DataFrame,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Date-dependent metrics for every probe row at each date column in `times`.
 
@@ -142,14 +143,19 @@ def as_of_metrics(
     """
     sfx = list(times)
     p = probes.select(*key_cols, *[F.col(c).alias(f"_t_{s}") for s, c in times.items()])
-    p, iv = _salt_hot_members(p, intervals.withColumnRenamed("user_id", "_iv_user"), hot_rows)
+    iv = intervals.withColumnRenamed("user_id", "_iv_user")
+    if hot_rows is not None:
+        p, iv = _salt_hot_members(p, iv, hot_rows)
     # Both sides carry distinct column names, so plain names resolve unambiguously.
     c = F.col
     valid = {s: _valid(c("kind"), c("start_date"), c("end_date"), c("alive_end"), c(f"_t_{s}")) for s in sfx}
     any_valid = valid[sfx[0]]
     for s in sfx[1:]:
         any_valid = any_valid | valid[s]
-    on = (c("user_id") == c("_iv_user")) & (c("_salt") == c("_iv_salt")) & any_valid
+    on = c("user_id") == c("_iv_user")
+    if hot_rows is not None:
+        on = on & (c("_salt") == c("_iv_salt"))
+    on = on & any_valid
     j = p.join(iv, on).select(
         *key_cols, "kind", "other_id", "start_date", *[valid[s].alias(f"_v_{s}") for s in sfx],
     )

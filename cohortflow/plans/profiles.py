@@ -68,8 +68,9 @@ class CohortPlan:
     # checkpoint, never a local one): the profile branches then read it back
     # instead of recomputing it, and its lineage is cut.
     checkpoint_cohort: bool = False
-    # Members with more interval rows than this are split over several join tasks.
-    hot_rows: int = asof.HOT_ROWS
+    # Explicit salting of members with more interval rows than this (None: off,
+    # AQE's skew-join split handles hot members; see `as_of`).
+    hot_rows: int | None = None
     _memo: dict = field(default_factory=dict, repr=False, compare=False)
 
     # -- building blocks -------------------------------------------------
@@ -112,8 +113,13 @@ class CohortPlan:
             leaders = leadership.leader_intervals(i.study_groups, i.study_schedules, i.members)
         return asof.interval_rows(i.mentorships, i.contact_chart, kinds, leaders)
 
-    def as_of(self, pop: DataFrame, times: dict[str, str], kinds: tuple[int, ...]) -> DataFrame:
-        return asof.as_of_metrics(pop, KEYS, times, self.intervals(kinds), self.hot_rows)
+    def as_of(self, rows: DataFrame, times: dict[str, str], kinds: tuple[int, ...]) -> DataFrame:
+        """As-of metrics for cohort rows. The rows are passed straight from the
+        cohort's dedup (not from the member join), so the interval join gets a
+        planner-inserted shuffle on both sides and AQE can split a member with a
+        huge share of the interval rows; eligibility is applied when the
+        profile joins the metrics back."""
+        return asof.as_of_metrics(rows, KEYS, times, self.intervals(kinds), self.hot_rows)
 
     def member_facts(self, parts: tuple[str, ...]) -> DataFrame:
         i = self.inputs
@@ -214,7 +220,7 @@ class CohortPlan:
         """M1: event, member and pre-window columns, keyed by event_id."""
         pop = self.population("pre")
         counts = self.attendance_counts(pop)
-        flags = self.as_of(pop, {"s": "start_date"}, (asof.MENTORED,))
+        flags = self.as_of(self.cohort(with_type=True), {"s": "start_date"}, (asof.MENTORED,))
         facts = self.member_facts(("outcome",))
         rows = (
             pop.join(facts, "user_id", "left")
@@ -235,7 +241,7 @@ class CohortPlan:
         """M2: post-window columns, keyed by event_id."""
         pop = self.population("post")
         counts = self.attendance_counts(pop)
-        flags = self.as_of(pop, {"a": "after_date"}, (asof.MENTORED,))
+        flags = self.as_of(self.cohort(), {"a": "after_date"}, (asof.MENTORED,))
         facts = self.member_facts(("outcome",))
         rows = pop.join(facts, "user_id", "left").join(counts, KEYS).join(flags, KEYS, "left")
         return rows.select(
@@ -251,7 +257,7 @@ class CohortPlan:
         """M3 (at="start", t = start date) or M4 (at="after", t = post-window end)."""
         pop = self.population("post")
         sfx, tcol, names = ("s", "start_date", LEAD_START_COLUMNS) if at == "start" else ("a", "after_date", LEAD_AFTER_COLUMNS)
-        metrics = self.as_of(pop, {sfx: tcol}, (asof.MENTEE, asof.CONTACT, asof.CHAIN))
+        metrics = self.as_of(self.cohort(), {sfx: tcol}, (asof.MENTEE, asof.CONTACT, asof.CHAIN))
         facts = self.member_facts(("mentee", "mentor", "second_generation", "led"))
         rows = pop.join(facts, "user_id", "left").join(metrics, KEYS, "left")
         return rows.select("event_id", "user_id", *self.leadership_columns(sfx, F.col(tcol), names))
@@ -260,7 +266,7 @@ class CohortPlan:
         """M5: the 39-column dataset, one row per (event, member), built once for all events."""
         pop = self.population("dataset")
         counts = self.attendance_counts(pop)
-        metrics = self.as_of(pop, {"s": "start_date", "a": "after_date"}, asof.ALL_KINDS)
+        metrics = self.as_of(self.cohort(with_type=True), {"s": "start_date", "a": "after_date"}, asof.ALL_KINDS)
         facts = self.member_facts(("mentee", "mentor", "second_generation", "led", "outcome"))
         rows = (
             pop.join(facts, "user_id", "left")  # per-member facts first, while pop is partitioned by user_id

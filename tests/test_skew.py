@@ -89,3 +89,38 @@ def test_salting_spreads_a_hot_members_rows(spark):
     assert hot.agg(F.max("count")).first()[0] < 4000 / 4
     assert per_key.where("_iv_user != 1").agg(F.max("_iv_salt")).first()[0] == 0
     assert sorted((r.user_id, r._salt) for r in p.collect()) == [(1, s) for s in range(8)] + [(2, 0)]
+
+
+def test_aqe_splits_the_interval_join_for_a_hot_member(spark):
+    """The interval join has planner-inserted shuffles on both sides, so AQE's
+    skew-join split applies (thresholds lowered to this fixture's size)."""
+    import re
+
+    w = _hot_world()
+    r = random.Random(3)
+    w["contact_chart"] = w["contact_chart"] + [
+        (1, r.randrange(0, 5000), day(s), None) for s in (r.randrange(-300, 800) for _ in range(30000))
+    ]
+    inputs = make_inputs(
+        spark, members=[member(u) for u in range(1, 13)], org_units=[(1, "Campus", 1)],
+        program_event_type=[(1, "Missions")], **w,
+    )
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = CohortPlan(inputs, CohortRules()).event_dataset()
+        got = {(x["event_name"], x["user_id"]): x.asDict() for x in df.collect()}
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert re.search(r"SortMergeJoin\(skew=true\) \[user_id#\d+L\], \[_iv_user#\d+L\]", plan)
+    _check(got, expected(w))
