@@ -178,17 +178,21 @@ class CohortPlan:
         )
 
     def key_metrics(self, kinds: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
-        """As-of metrics per distinct (user_id, as_of) key of the cohort's members
-        (the reference's derived tables join the member table)."""
-        members = self.inputs.members.select(F.col("id").alias("user_id"))
-        keys = cohort.as_of_keys(self.cohort()).join(members, "user_id", "left_semi")
+        """As-of metrics per distinct (user_id, as_of) key of the cohort (keys come
+        straight from their dedup, so AQE can split the interval join)."""
+        keys = cohort.as_of_keys(self.cohort())
         return keys, asof.as_of_metrics(keys, ["user_id", "as_of"], {"k": "as_of"}, self.intervals(kinds), self.hot_rows)
 
+    def members_only(self, df: DataFrame) -> DataFrame:
+        """Rows of members only (the reference's derived tables join the member table)."""
+        return df.join(self.inputs.members.select(F.col("id").alias("user_id")), "user_id", "left_semi")
+
     def mentor_activity(self) -> DataFrame:
         """A3 + A4 for keys of members who mentor: first time as mentor, active mentees at the key."""
         keys, m = self.key_metrics((asof.MENTEE,))
         mentors = mentorship.as_mentor(self.inputs.mentorships).table()
-        return keys.join(mentors, "user_id").join(m, ["user_id", "as_of"], "left").select(
+        rows = self.members_only(keys.join(mentors, "user_id").join(m, ["user_id", "as_of"], "left"))
+        return rows.select(
             "user_id", "as_of", F.col("first_became_dm").alias("first_became_DM"),
             F.coalesce(F.col("mentees_k"), F.lit(0)).cast("bigint").alias("active_mentees"),
         )
@@ -205,7 +209,7 @@ class CohortPlan:
     def contact_chart_depth(self) -> DataFrame:
         """A6 per key with active chart rows: distinct members and latest start."""
         _, m = self.key_metrics((asof.CONTACT,))
-        return m.where(F.col("contact_rows_k") == 1).select(
+        return self.members_only(m.where(F.col("contact_rows_k") == 1)).select(
             "user_id", "as_of", F.coalesce(F.col("contacts_k"), F.lit(0)).cast("bigint").alias("count_of_DCC"),
             F.col("contact_latest_k").alias("latest_change_to_DC"),
         )
@@ -213,7 +217,7 @@ class CohortPlan:
     def leaders_in_chain(self) -> DataFrame:
         """A8 per key with at least one live study leader among live mentees."""
         _, m = self.key_metrics((asof.CHAIN,))
-        return m.where(F.col("chain_k") > 0).select("user_id", "as_of", F.col("chain_k").alias("slbs_in_chain"))
+        return self.members_only(m.where(F.col("chain_k") > 0)).select("user_id", "as_of", F.col("chain_k").alias("slbs_in_chain"))
 
     # -- profiles ------------------------------------------------------------
     def pre_event_profile(self) -> DataFrame:
