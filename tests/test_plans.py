@@ -15,7 +15,7 @@ def _plan_text(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["event_dataset", "pre_event_profile", "leaders_in_chain", "registration_summary"])
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_or_nested_loops(spark, name):
     text = _plan_text(QUERIES[name](spark, SF001))
     for op in FORBIDDEN:
@@ -39,3 +39,16 @@ def test_result_independent_of_partition_count(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert a == b and len(a) > 0
+
+
+def test_event_report_orders_by_name_then_dates(spark):
+    from builders import D
+    from cohortflow.operators.registration import event_report
+    from cohortflow.sources.schemas import PROGRAM_EVENT
+
+    events = spark.createDataFrame(
+        [(3, "b", 1, D(2015, 1, 1), D(2015, 1, 2)), (1, "a", 1, D(2016, 1, 1), D(2016, 1, 2)),
+         (2, "a", 1, D(2015, 1, 1), D(2015, 1, 2))],
+        PROGRAM_EVENT,
+    )
+    assert [r.id for r in event_report(events).collect()] == [2, 1, 3]
