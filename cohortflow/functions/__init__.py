@@ -1,0 +1 @@
+"""Column functions: academic calendar, date parsing, decodes, validity rules."""

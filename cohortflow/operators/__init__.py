@@ -1,0 +1 @@
+"""DataFrame operators: registration, cohort, attendance, as-of intervals, mentorship, leadership."""

@@ -1,0 +1 @@
+"""Native schemas, readers, sinks, and the adapters from the driver tables."""

@@ -1,0 +1 @@
+"""Structured Streaming ingest of registration files."""
