@@ -117,3 +117,14 @@ def test_completed_only_keeps_events_whose_post_window_ended(spark):
                     rules=FIXTURE_RULES, completed_only=True)
     # an empty partitioned result has no data files: read it with the dataset schema
     assert spark.read.schema(schema).parquet(early).count() == 0
+
+
+def test_cli_help():
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    out = subprocess.run([sys.executable, "-m", "cohortflow.plans.job", "--help"], cwd=ROOT, capture_output=True,
+                         text=True, timeout=120)
+    assert out.returncode == 0 and "--registrations" in out.stdout and "--completed-only" in out.stdout
