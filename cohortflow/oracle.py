@@ -152,23 +152,23 @@ first_attended AS (
   SELECT a.user_id, min(s.date) AS first_day
   FROM attendance a JOIN sessions s ON s.id = a.session_id AND s.cancel_reason_id IS NULL
   WHERE a.attended = 1
-  GROUP BY ALL
+  GROUP BY a.user_id
 ),
 first_mentored AS (
-  SELECT user_id, min(start_date) AS first_day FROM mentorships WHERE user_id IS NOT NULL GROUP BY ALL
+  SELECT user_id, min(start_date) AS first_day FROM mentorships WHERE user_id IS NOT NULL GROUP BY user_id
 ),
 first_led AS (
   SELECT g.leader_id AS user_id, min(sc.study_start_date) AS first_day
   FROM study_groups g JOIN study_schedules sc ON sc.study_id = g.id
   WHERE g.leader_id IS NOT NULL
-  GROUP BY ALL
+  GROUP BY g.leader_id
 ),
 mentor_at AS (
   SELECT k.user_id, k.t, min(e.start_date) AS first_day,
          count(DISTINCT e.user_id) FILTER (WHERE e.start_date <= k.t AND coalesce(e.end_date >= k.t, true)) AS active
   FROM keys k JOIN mentorships e ON e.parent_user_id = k.user_id
   WHERE EXISTS (SELECT 1 FROM members m WHERE m.id = k.user_id)
-  GROUP BY ALL
+  GROUP BY k.user_id, k.t
 ),
 second_gen AS (
   SELECT k.user_id, k.t, CAST(max(CASE WHEN grand.user_id IS NULL THEN 0 ELSE 1 END) AS INTEGER) AS flag
@@ -178,14 +178,14 @@ second_gen AS (
   LEFT JOIN mentorships grand ON grand.parent_user_id = child.user_id
   WHERE coalesce(own.end_date >= k.t, true) AND coalesce(child.end_date >= k.t, true)
     AND coalesce(grand.end_date >= k.t, true)
-  GROUP BY ALL
+  GROUP BY k.user_id, k.t
 ),
 chart_at AS (
   SELECT k.user_id, k.t, count(DISTINCT ch.chart_member_id) AS members, max(ch.start_date) AS latest
   FROM keys k
   JOIN contact_chart ch ON ch.chart_owner_id = k.user_id AND ch.start_date <= k.t AND coalesce(ch.end_date >= k.t, true)
   WHERE EXISTS (SELECT 1 FROM members m WHERE m.id = k.user_id)
-  GROUP BY ALL
+  GROUP BY k.user_id, k.t
 ),
 mentees_alive AS MATERIALIZED (
   SELECT k.user_id, k.t, e.user_id AS mentee
@@ -201,10 +201,10 @@ chain_at AS (
   SELECT ma.user_id, ma.t, count(DISTINCT l.leader_id) AS leaders
   FROM mentees_alive ma
   JOIN leader_spans l ON l.leader_id = ma.mentee AND l.from_day <= ma.t AND coalesce(l.to_day >= ma.t, true)
-  GROUP BY ALL
+  GROUP BY ma.user_id, ma.t
 ),
 outcome_of AS (
-  SELECT user_id, max({_OUTCOME.format(c='outcome')}) AS label FROM outreach_outcomes WHERE user_id IS NOT NULL GROUP BY ALL
+  SELECT user_id, max({_OUTCOME.format(c='outcome')}) AS label FROM outreach_outcomes WHERE user_id IS NOT NULL GROUP BY user_id
 )"""
 
 # Pre-event profile in the naive shape: facts joined to every cohort row, the
@@ -228,7 +228,8 @@ p1 AS (
   LEFT JOIN outreach_outcomes o ON o.user_id = m.id
   LEFT JOIN first_attended fa ON fa.user_id = m.id
   WHERE m.user_role_type_id NOT IN ({_EXCL_ROLES}) AND s.cancel_reason_id IS NULL
-  GROUP BY ALL
+  GROUP BY c.event_id, c.event_name, ty.name, c.start_date, c.end_date, m.id, m.first_name, m.last_name,
+           m.school_year_id, ou.name, fa.first_day
 )"""
 
 # Post-event profile: the cancel test sits in the session join.
@@ -249,7 +250,7 @@ p2 AS (
   LEFT JOIN outreach_outcomes o ON o.user_id = m.id
   LEFT JOIN first_attended fa ON fa.user_id = m.id
   WHERE {_ELIGIBLE}
-  GROUP BY ALL
+  GROUP BY c.event_id, m.id, fa.first_day
 )"""
 
 
@@ -357,7 +358,7 @@ SELECT event_id, user_id, event_name, type_id, start_date, end_date, before_date
     "event_type_attendance": _with(COHORT) + """
 SELECT c.type_id, ty.name AS event_type, count(DISTINCT c.event_id) AS events, count(*) AS attendees
 FROM cohort c JOIN program_event_type ty ON ty.id = c.type_id
-GROUP BY ALL""",
+GROUP BY c.type_id, ty.name""",
     "eligible_members": _with() + f"""
 SELECT m.id AS user_id, m.first_name AS first, m.last_name AS last, {_YEAR_CASE} AS year, ou.name AS campus,
        ou.region_id, m.last_login
@@ -378,7 +379,7 @@ SELECT c.event_id, c.user_id,
        CAST(coalesce(bool_or(mt.start_date <= c.after_date AND coalesce(mt.end_date > c.after_date, true)), false)
             AS INTEGER) AS flag_after
 FROM cohort c LEFT JOIN mentorships mt ON mt.user_id = c.user_id
-GROUP BY ALL""",
+GROUP BY c.event_id, c.user_id""",
     "outreach_outcome": _with(COHORT) + """
 SELECT user_id, label AS outcome FROM outcome_of""",
     "mentor_activity": _with(COHORT) + """
