@@ -53,6 +53,7 @@ def start_registration_ingest(
     checkpoint_location: str | None = None,
     available_now: bool = True,
     id_column: str = "member_id",
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the ingest; `available_now` processes what is there and stops.
 
@@ -64,6 +65,7 @@ def start_registration_ingest(
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         register_batch(batch.sparkSession, batch, store_path, type_id)
 
-    writer = registration_stream(spark, source_dir, id_column=id_column).writeStream.foreachBatch(upsert).option("checkpointLocation", location)
+    stream = registration_stream(spark, source_dir, max_files_per_trigger=max_files_per_trigger, id_column=id_column)
+    writer = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
