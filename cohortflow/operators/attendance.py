@@ -53,7 +53,7 @@ def counted_facts(facts: DataFrame) -> DataFrame:
     ).select("user_id", "attended", "id", "date")
 
 
-def window_facts(facts: DataFrame) -> DataFrame:
+def window_facts(facts: DataFrame, span: tuple[Column, Column] | None = None) -> DataFrame:
     """The reduced fact table for the window join: (user_id, kind, lo, hi, n).
 
     Distinct (user, attended, id, day) first, with a partial aggregation, so
@@ -61,8 +61,15 @@ def window_facts(facts: DataFrame) -> DataFrame:
     ordered (a window over one id holds its distinct days only, bounded by the
     calendar). Each day gives a +1 row, each pair of consecutive days of the
     id a -1 link row.
+
+    `span` (first, last day) bounds every window of the batch: dated rows
+    outside it can never be counted, so the day/link pipeline only sees the
+    batch's time span (exact: an id's days inside any window are still
+    consecutive among the kept days). Member totals and the earliest attended
+    day always read all rows.
     """
-    days = counted_facts(facts).distinct()
+    dated_facts = facts if span is None else facts.where(F.col("date").between(*span))
+    days = counted_facts(dated_facts).distinct()
     prev = F.lag("date").over(Window.partitionBy("user_id", "attended", "id").orderBy("date"))
     runs = days.select("user_id", "attended", "date", prev.alias("prev"))
     steps = runs.select(
@@ -70,7 +77,7 @@ def window_facts(facts: DataFrame) -> DataFrame:
         F.col("attended").alias("kind"),
         F.explode(F.array(_step("date", "date", 1), _step("prev", "date", -1))).alias("r"),
     ).where(F.col("r.lo").isNotNull())
-    cancelled = facts.where(F.col("cancelled") & F.col("date").isNotNull()).select(
+    cancelled = dated_facts.where(F.col("cancelled") & F.col("date").isNotNull()).select(
         "user_id", F.lit(CANCELLED).alias("kind"), _step("date", "date", 1).alias("r")
     )
     dated = steps.unionByName(cancelled).groupBy("user_id", "kind", F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi")).agg(

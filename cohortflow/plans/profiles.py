@@ -104,7 +104,11 @@ class CohortPlan:
     def attendance_counts(self, pop: DataFrame) -> DataFrame:
         i = self.inputs
         facts = attendance.session_facts(i.attendance, i.sessions)
-        return attendance.attendance_windows(pop, attendance.window_facts(facts))
+        # The batch's time span, as scalar subqueries over the (small) event dimension.
+        events = cohort.event_dimension(i.program_event, self.batch_event_ids, None, self.calendar)
+        bounds = events.select(F.struct(F.min("before_date").alias("lo"), F.max("after_date").alias("hi"))).scalar()
+        span = (bounds.getField("lo"), bounds.getField("hi"))
+        return attendance.attendance_windows(pop, attendance.window_facts(facts, span))
 
     def intervals(self, kinds: tuple[int, ...]) -> DataFrame:
         i = self.inputs

@@ -110,6 +110,8 @@ def test_c1_all_rows_cancelled_in_window_drops_pre_row(m1, m2):
 def test_c2_a_row_outside_the_window_keeps_the_member(m1):
     r = m1[(1, 11)]
     assert (r["count_BSAtt"], r["count_BSAb"]) == (0, 0)
+    # the earliest attended day reads all history, also outside the batch's time span
+    assert r["earliest_BSA"] == D(2014, 1, 1)
 
 
 def test_c3_one_day_event_counts_in_both_windows(m1, m2):
