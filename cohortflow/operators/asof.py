@@ -43,11 +43,14 @@ def interval_rows(
     contact_chart: DataFrame,
     kinds: tuple[int, ...] = ALL_KINDS,
     leaders: DataFrame | None = None,
+    span: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """The stacked interval table for the requested kinds.
 
     Output: user_id, kind, other_id, start_date, end_date, alive_end.
-    CHAIN needs `leaders` (leader_id, start_date, end_date).
+    CHAIN needs `leaders` (leader_id, start_date, end_date). With `span`
+    (first, last as-of date), rows that cannot be valid at any date in it are
+    left out: ended before it, or starting after it (nulls are kept).
     """
     cols = ["user_id", "kind", "other_id", "start_date", "end_date", "alive_end"]
     no_alive = F.lit(None).cast("date").alias("alive_end")
@@ -86,8 +89,17 @@ def interval_rows(
     out = parts[0].select(*cols)
     for p in parts[1:]:
         out = out.unionByName(p.select(*cols))
+    out = out.where(F.col("user_id").isNotNull())
+    if span is not None:
+        first, last = span
+        c = F.col
+        out = out.where(
+            F.coalesce(c("end_date") >= first, F.lit(True))
+            & F.coalesce(c("alive_end") >= first, F.lit(True))
+            & F.coalesce(c("start_date") <= last, F.lit(True))
+        )
     # Copies of an edge or chart row collapse map-side before the join shuffle.
-    return out.where(F.col("user_id").isNotNull()).distinct()
+    return out.distinct()
 
 
 def _valid(kind: Column, start: Column, end: Column, alive_end: Column, t: Column) -> Column:

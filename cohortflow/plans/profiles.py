@@ -101,21 +101,41 @@ class CohortPlan:
             raise ValueError(kind)
         return rows.join(members, "user_id")
 
+    def bounds(self) -> Column:
+        """The batch's time span as one scalar subquery over the (small) event dimension:
+        first_window_day (earliest pre-window start), first_probe (earliest start date),
+        last_day (latest post-window end). Every window and every as-of date lies inside."""
+        if "bounds" not in self._memo:
+            i = self.inputs
+            events = cohort.event_dimension(i.program_event, self.batch_event_ids, None, self.calendar)
+            self._memo["bounds"] = events.select(
+                F.struct(
+                    F.min("before_date").alias("first_window_day"),
+                    F.min("start_date").alias("first_probe"),
+                    F.max("after_date").alias("last_day"),
+                )
+            ).scalar()
+        return self._memo["bounds"]
+
     def attendance_counts(self, pop: DataFrame) -> DataFrame:
         i = self.inputs
         facts = attendance.session_facts(i.attendance, i.sessions)
-        # The batch's time span, as scalar subqueries over the (small) event dimension.
-        events = cohort.event_dimension(i.program_event, self.batch_event_ids, None, self.calendar)
-        bounds = events.select(F.struct(F.min("before_date").alias("lo"), F.max("after_date").alias("hi"))).scalar()
-        span = (bounds.getField("lo"), bounds.getField("hi"))
+        b = self.bounds()
+        span = (b.getField("first_window_day"), b.getField("last_day"))
         return attendance.attendance_windows(pop, attendance.window_facts(facts, span))
 
     def intervals(self, kinds: tuple[int, ...]) -> DataFrame:
+        """The interval stack, limited to rows that can be valid at some as-of date of
+        the batch (every as-of date lies between its first start date and last
+        post-window end)."""
         i = self.inputs
         leaders = None
         if asof.CHAIN in kinds:
             leaders = leadership.leader_intervals(i.study_groups, i.study_schedules, i.members)
-        return asof.interval_rows(i.mentorships, i.contact_chart, kinds, leaders)
+        b = self.bounds()
+        return asof.interval_rows(
+            i.mentorships, i.contact_chart, kinds, leaders, (b.getField("first_probe"), b.getField("last_day"))
+        )
 
     def as_of(self, rows: DataFrame, times: dict[str, str], kinds: tuple[int, ...]) -> DataFrame:
         """As-of metrics for cohort rows. The rows are passed straight from the

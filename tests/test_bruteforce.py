@@ -184,3 +184,25 @@ def test_dataset_matches_row_by_row_emulation(spark, seed):
     for key, cols in want.items():
         for c, v in cols.items():
             assert got[key][c] == v, (seed, key, c, got[key][c], v)
+
+
+@pytest.mark.parametrize("seed", [1, 4])
+def test_one_event_batch_matches_emulation(spark, seed):
+    """A batch of one event: facts and intervals outside its time span are pruned,
+    results for its rows are unchanged."""
+    w = world(seed)
+    inputs = make_inputs(
+        spark,
+        members=[member(u) for u in range(1, 13)],
+        org_units=[(1, "Campus", 1)],
+        program_event_type=[(1, "Missions")],
+        **w,
+    )
+    batch = spark.createDataFrame([(2,)], "event_id bigint")
+    plan = CohortPlan(inputs, CohortRules(), batch_event_ids=batch)
+    got = {(r["event_name"], r["user_id"]): r.asDict() for r in plan.event_dataset().collect()}
+    want = {k: v for k, v in expected(w).items() if k[0] == "E2"}
+    assert set(got) == set(want) and want
+    for key, cols in want.items():
+        for c, v in cols.items():
+            assert got[key][c] == v, (seed, key, c, got[key][c], v)
