@@ -101,10 +101,15 @@ class CohortPlan:
             raise ValueError(kind)
         return rows.join(members, "user_id")
 
-    def bounds(self) -> Column:
+    def bounds(self) -> Column | None:
         """The batch's time span as one scalar subquery over the (small) event dimension:
         first_window_day (earliest pre-window start), first_probe (earliest start date),
-        last_day (latest post-window end). Every window and every as-of date lies inside."""
+        last_day (latest post-window end). Every window and every as-of date lies inside.
+
+        Only for a batch that is a subset of the stored events (None otherwise): a
+        whole-store run spans all history, so the facts would not shrink."""
+        if self.batch_event_ids is None:
+            return None
         if "bounds" not in self._memo:
             i = self.inputs
             events = cohort.event_dimension(i.program_event, self.batch_event_ids, None, self.calendar)
@@ -121,7 +126,7 @@ class CohortPlan:
         i = self.inputs
         facts = attendance.session_facts(i.attendance, i.sessions)
         b = self.bounds()
-        span = (b.getField("first_window_day"), b.getField("last_day"))
+        span = None if b is None else (b.getField("first_window_day"), b.getField("last_day"))
         return attendance.attendance_windows(pop, attendance.window_facts(facts, span))
 
     def intervals(self, kinds: tuple[int, ...]) -> DataFrame:
@@ -133,9 +138,8 @@ class CohortPlan:
         if asof.CHAIN in kinds:
             leaders = leadership.leader_intervals(i.study_groups, i.study_schedules, i.members)
         b = self.bounds()
-        return asof.interval_rows(
-            i.mentorships, i.contact_chart, kinds, leaders, (b.getField("first_probe"), b.getField("last_day"))
-        )
+        span = None if b is None else (b.getField("first_probe"), b.getField("last_day"))
+        return asof.interval_rows(i.mentorships, i.contact_chart, kinds, leaders, span)
 
     def as_of(self, rows: DataFrame, times: dict[str, str], kinds: tuple[int, ...]) -> DataFrame:
         """As-of metrics for cohort rows. The rows are passed straight from the
