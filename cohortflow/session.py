@@ -76,6 +76,7 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return configured
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
-    os.makedirs(fallback, exist_ok=True) if "://" not in fallback else None
+    if "://" not in fallback:
+        os.makedirs(fallback, exist_ok=True)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
