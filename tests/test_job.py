@@ -157,3 +157,21 @@ def test_stream_of_two_files_equals_two_batches(spark):
     assert _counts(spark, f"{root}/s1") == _counts(spark, f"{root}/s2")
     ids = sorted(r.id for r in spark.read.parquet(sinks.table_path(f"{root}/s1", "program_event")).collect())
     assert ids == list(range(1, len(ids) + 1))
+
+
+def test_job_checkpoints_into_the_sessions_checkpoint_dir(spark):
+    from cohortflow.session import checkpoint_dir
+
+    folder = checkpoint_dir(spark)
+    local = folder.removeprefix("file:")
+
+    def files():
+        return {os.path.join(d, f) for d, _, fs in os.walk(local) for f in fs}
+
+    before = files()
+    root = tempfile.mkdtemp(prefix="cohortflow-job-")
+    _store(spark, f"{root}/store")
+    _csv(spark, f"{root}/registrations")
+    job.run(spark, f"{root}/registrations", f"{root}/store", f"{root}/out", type_id=1, run_date=RUN_DATE,
+            rules=FIXTURE_RULES)
+    assert files() - before  # the cohort checkpoint was written under spark.checkpoint.dir
