@@ -12,7 +12,10 @@ QUERIES = entry_module.queries()
 ORACLE = entry_module.oracle_sql()
 
 # Units also checked at sf0.01 (the driver's scale); all run at sf0.001.
-AT_SF01 = ["event_dataset", "pre_event_profile", "second_generation", "leaders_in_chain", "registration_summary"]
+AT_SF01 = [
+    "event_dataset", "pre_event_profile", "second_generation", "leaders_in_chain", "registration_summary",
+    "attendance_before", "mentored_as_of", "stacked_batches",
+]
 
 
 @pytest.fixture(scope="module")
