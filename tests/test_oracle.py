@@ -5,10 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_module
+from cohortflow.queries import QUERIES
 from conftest import SF001, SF01
 from oracle_compare import compare, duck_connection
 
-QUERIES = entry_module.queries()
 ORACLE = entry_module.oracle_sql()
 
 # Units also checked at sf0.01 (the driver's scale); all run at sf0.001.
@@ -29,7 +29,7 @@ def duck01():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
