@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -80,3 +82,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         os.makedirs(fallback, exist_ok=True)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    Workers import the functions they run by name; a package that lies only on
+    the driver's path is not there for them.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_cohortflow_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="cohortflow-"), "cohortflow")
+    context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+    context._cohortflow_shipped = True
