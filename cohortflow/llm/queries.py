@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from ..sources.scratch import scratch_path
-from . import decontaminate, minhash_forest, mixing, tokens, toxicity
+from . import brown, decontaminate, lines, minhash_forest, mixing, resample, secrets, sketch, tokens, toxicity
 from .oracle import ORACLE_SQL  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,6 +29,21 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.near_duplicate_lines(table(spark, sf_dir, "documents"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [rule.kind for rule in secrets.BASE]
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    own = F.filter("__secrets", lambda s: s["kind"].isin(*base))
+    count = lambda kind: F.size(F.filter("__secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in base], F.sha2(listed(own), 256).alias("base_sha256"), listed(F.col("__secrets")).alias("spans")
+    )
+
+
 def op4_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -39,6 +56,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, lexicon).select("doc_id", out.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -59,6 +80,30 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_tokens(spark, folder, manifest).withColumnRenamed("id", "doc_id")
 
 
+def op9_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = brown.held_out(F.col("doc_id"))
+    model, counts = brown.train(docs.where(~out))
+    scored = brown.scored(docs, model, counts)
+    return scored.select("doc_id", out.alias("held_out"), *scored.columns[1:])
+
+
+def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.edited(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_pareto_mix, op4_minhash_forest, op5_toxicity, op7_decontaminate, op8_token_files)
+    query.__name__: query
+    for query in (
+        op1_pareto_mix,
+        op2_line_dedup,
+        op3_secret_scan,
+        op4_minhash_forest,
+        op5_toxicity,
+        op6_importance_resampling,
+        op7_decontaminate,
+        op8_token_files,
+        op9_brown_lm,
+        op10_scaled_sketch,
+    )
 }

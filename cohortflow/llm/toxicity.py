@@ -191,7 +191,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.where(usable) if usable is not None else known
     known = known.groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).cast("int").alias("label"))
     known = known.orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(known, "id")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")  # at most `sample` rows
     rows = rows.groupBy("text").agg(F.max("label").alias("label")).persist()
     try:
         totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
