@@ -1,3 +1,120 @@
-"""DuckDB SQL for the corpus queries that SQL can express."""
+"""DuckDB SQL for the corpus queries that SQL can express.
 
-ORACLE_SQL: dict[str, str] = {}
+Written from the queries' contracts. Operators that learn a model, tokenize or
+hash in their own way (2, 3, 5, 6, 8, 9, 10 and the pipeline) have no SQL; the
+tests in tests/llm hold them against plain Python.
+"""
+
+from __future__ import annotations
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"'[^\x20\x09-\x0D]+'"
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+_OP1 = rf"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_SPACED})) AS size FROM documents
+),
+sources AS (
+  SELECT source, count(*) AS n, sum(size)::BIGINT AS source_size,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::BIGINT AS weight,
+         row_number() OVER (ORDER BY source NULLS LAST) AS place
+  FROM sized GROUP BY source
+),
+filled AS (
+  SELECT *, source_size * 2 / weight AS fill,
+         coalesce(sum(source_size) OVER before, 0)::BIGINT AS full_size, coalesce(sum(weight) OVER before, 0)::BIGINT AS full_weight,
+         (sum(source_size) OVER ())::BIGINT AS all_size, (sum(weight) OVER ())::BIGINT AS all_weight
+  FROM sources
+  WINDOW before AS (ORDER BY source_size * 2 / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+leveled AS (
+  SELECT *, (all_size * 1.5::DOUBLE - full_size * 2) / (all_weight - full_weight) AS level FROM filled
+),
+targets AS (
+  SELECT source, n, source_size,
+         least(source_size * 2, (SELECT arg_min(level, fill) FROM leveled WHERE fill >= level) * weight)::DOUBLE AS target
+  FROM leveled
+),
+units AS (
+  SELECT source, doc_id, sum(size)::BIGINT AS words FROM sized GROUP BY source, doc_id
+),
+valued AS (
+  SELECT units.*, source_size, target, floor(target / source_size) AS certain,
+         target / source_size - floor(target / source_size) AS rest,
+         ('0x' || left(md5(doc_id::VARCHAR || ':mix'), 13))::BIGINT::DOUBLE AS bits,
+         sqrt(words * n / source_size) AS longer
+  FROM units JOIN targets ON units.source IS NOT DISTINCT FROM targets.source
+),
+ranked AS (
+  SELECT *, CASE WHEN rest > 0 AND words > 0
+                 THEN ((bits + 0.5::DOUBLE) / 4503599627370496) / (1 - (bits + 0.5::DOUBLE) / 4503599627370496) / (rest / (1 - rest) * longer)
+                 ELSE 'inf'::DOUBLE END AS value
+  FROM valued
+),
+drawn AS (
+  SELECT *, coalesce(sum(words) OVER (PARTITION BY source ORDER BY value, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM ranked
+)
+SELECT s.doc_id, s.size, d.source_size, d.target,
+       (CASE WHEN words = 0 THEN 0
+             ELSE s.size * (certain + CASE WHEN certain < 2 AND before + words / 2 <= target - certain * source_size THEN 1 ELSE 0 END) END)::BIGINT AS taken
+FROM sized s JOIN drawn d ON s.doc_id = d.doc_id AND s.source IS NOT DISTINCT FROM d.source"""
+
+_OP4 = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_FOLDED}, {_SPACED}) AS w FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i : i + 2])
+                                      WHEN len(w) > 0 THEN [w] ELSE [] END) AS s
+  FROM words
+),
+sizes AS (
+  SELECT doc_id, count(s) AS n FROM words LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n
+  HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))
+),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, y FROM reached r JOIN links ON x = r.other
+)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sizes JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)"""
+
+_OP7 = rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all({_FOLDED}, {_ALNUM}) AS w FROM documents
+),
+items AS (
+  SELECT item_id, regexp_extract_all({_FOLDED}, {_ALNUM}) AS w FROM benchmark WHERE item_id IS NOT NULL
+),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size,
+         unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: w[i : i + 9])) AS win
+  FROM items WHERE len(w) > 0
+),
+runs AS (
+  SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS pos, w
+  FROM words, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size
+),
+found AS (
+  SELECT doc_id, pos, r.size, item_id FROM runs r JOIN windows v ON v.size = r.size AND v.win = r.w[pos : pos + r.size - 1]
+),
+hits AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS word FROM found) GROUP BY doc_id
+),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op1_pareto_mix": _OP1, "op4_minhash_forest": _OP4, "op7_decontaminate": _OP7}

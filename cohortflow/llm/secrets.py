@@ -1,7 +1,7 @@
 """Secret scan through a trigram inverted index.
 
 From each rule's regular expression a Boolean query over trigrams is derived
-that every match must satisfy. Every Arrow batch of documents is one segment
+that every match must satisfy. Every slice of an Arrow batch is one segment
 of the index: a pass over its bytes collects the postings (trigram -> rows) of
 the rules' trigrams, a rule's query is answered by intersecting and uniting
 postings, and only the rows it leaves are verified with the regular expression.
@@ -27,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import FOLD, text_bytes
+from .text import FOLD, sliced, text_bytes
 
 #: Strings that a part of a pattern may stand for before it counts as unknown, and the largest class that is spelt out.
-STRINGS, CLASS = 64, 4
+STRINGS, CLASS = 64, 8
 SCANNED = 4 << 20
 
 
@@ -188,7 +188,7 @@ def _scanned(rules: tuple[Rule, ...], text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = [trigram_query(rule) for rule in rules]
         index = Index(sorted({t for query in queries for clause in query for alternative in clause for t in alternative}))
-        for batch in batches:
+        for batch in sliced(batches, text_at):
             data, offsets = text_bytes(batch.column(text_at))
             postings = index.postings(data, offsets)
             spans: list[list[tuple[int, int, int]]] = [[] for _ in range(batch.num_rows)]
