@@ -5,16 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted date text formats, tried in this order. Month-first
-# slash dates come first (`10/3/2015` is 3 October); the day-first form only
-# wins when the first number cannot be a month (`13/1/2015` is 13 January).
-DATE_TEXT_FORMATS = ("M/d/yyyy", "yyyy-M-d", "d/M/yyyy")
+# Fixed value: two-digit years below this are 20xx, the others 19xx.
+CENTURY_PIVOT = 69
+# A clock time after the date is allowed and ignored.
+_CLOCK = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$"
 
 
 def parse_date_text(text: Column) -> Column:
-    """Text -> DateType, null when no format matches (ANSI-safe `try_to_date`)."""
-    trimmed = F.trim(text)
-    return F.coalesce(*[F.try_to_date(trimmed, fmt) for fmt in DATE_TEXT_FORMATS])
+    """Text -> DateType, null when no form matches.
+
+    The form is chosen by its shape, so a text is parsed once. In this order:
+
+    1. ``10/3/2015`` or ``10-3-2015``: month first; day first only where the
+       first number cannot be a month (``13/1/2015`` is 13 January);
+    2. ``10/3/15`` or ``10-3-15``: the same with a two-digit year;
+    3. ``2015-10-03`` (also without leading zeros);
+    4. ``Oct 3, 2015`` or ``October 3, 2015``;
+    5. ``3 Oct 2015`` or ``3 October 2015``.
+
+    Each may be followed by a clock time (``2015-10-03T00:00:00``).
+    """
+    day = F.regexp_replace(F.trim(text), _CLOCK, "")
+    first = F.regexp_extract(day, r"^(\d{1,2})", 1).try_cast("int")
+    slashed = F.regexp_replace(day, "-", "/")
+    short = F.regexp_extract(day, r"(\d{2})$", 1).try_cast("int")
+    century = F.when(short < CENTURY_PIVOT, F.lit("20")).otherwise(F.lit("19"))
+    full = F.concat(F.regexp_extract(slashed, r"^(.*/)\d{2}$", 1), century, F.regexp_extract(day, r"(\d{2})$", 1))
+    numeric = F.when(day.rlike(r"^\d{1,2}([/-])\d{1,2}\1\d{4}$"), slashed).when(day.rlike(r"^\d{1,2}([/-])\d{1,2}\1\d{2}$"), full)
+    named = F.initcap(F.lower(day))
+    return (
+        F.when(numeric.isNotNull() & (first <= 12), F.try_to_date(numeric, "M/d/yyyy"))
+        .when(numeric.isNotNull(), F.try_to_date(numeric, "d/M/yyyy"))
+        .when(day.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(day, "yyyy-M-d"))
+        .when(day.rlike(r"^[A-Za-z]{3} \d{1,2}, \d{4}$"), F.try_to_date(named, "MMM d, yyyy"))
+        .when(day.rlike(r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$"), F.try_to_date(named, "MMMM d, yyyy"))
+        .when(day.rlike(r"^\d{1,2} [A-Za-z]{3} \d{4}$"), F.try_to_date(named, "d MMM yyyy"))
+        .when(day.rlike(r"^\d{1,2} [A-Za-z]{4,9} \d{4}$"), F.try_to_date(named, "d MMMM yyyy"))
+    )
 
 
 def unparseable(text: Column, parsed: Column) -> Column:

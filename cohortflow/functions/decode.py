@@ -40,7 +40,3 @@ def outcome_label(outcome: Column) -> Column:
     """Outreach outcome 1 -> '1', 0 -> '0', anything else -> null."""
     return F.when(outcome == 1, F.lit("1")).when(outcome == 0, F.lit("0"))
 
-
-def presence_flag(found: Column) -> Column:
-    """Match flag as int 0/1 (X5, normalised to int in both profiles)."""
-    return F.when(found, F.lit(1)).otherwise(F.lit(0))

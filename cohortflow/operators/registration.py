@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from typing import Callable, Union
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date_text, unparseable
+from ..sources.scratch import materialize
+from .ranking import ordered_totals
 
 EVENT_KEY = ["event", "start_date", "end_date"]
 
@@ -23,17 +25,22 @@ def parse_registrations(raw: DataFrame) -> DataFrame:
 
     Output: user_id, event, start_date, end_date, start_text, end_text, rejected.
     """
-    start = parse_date_text(F.col("start_date"))
-    end = parse_date_text(F.col("end_date"))
-    return raw.select(
+    rows = raw.select(
         F.col("member_id").try_cast("bigint").alias("user_id"),
-        F.col("event"),
-        start.alias("start_date"),
-        end.alias("end_date"),
+        "event",
+        parse_date_text(F.col("start_date")).alias("start_date"),
+        parse_date_text(F.col("end_date")).alias("end_date"),
         F.col("start_date").alias("start_text"),
         F.col("end_date").alias("end_text"),
-        (unparseable(F.col("start_date"), start) | unparseable(F.col("end_date"), end)).alias("rejected"),
     )
+    bad = unparseable(F.col("start_text"), F.col("start_date")) | unparseable(F.col("end_text"), F.col("end_date"))
+    return rows.select("*", bad.alias("rejected"))
+
+
+def parsed_once(raw: DataFrame) -> DataFrame:
+    """`parse_registrations`, written once: every date text is parsed one time
+    however often the rows are read."""
+    return materialize(parse_registrations(raw), "parsed")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -88,8 +95,8 @@ def new_program_events(batch: DataFrame, existing: DataFrame | None, type_id: Ty
     """Events of the batch that the store does not hold yet, with new ids.
 
     Ids continue after the store's largest id (scalar subquery, no collect),
-    numbered in natural-key order. The window is unpartitioned but runs over
-    the distinct new events only, a dimension-sized set.
+    numbered in natural-key order by range-partitioned prefix sums, so no task
+    holds all new events.
     Output: id, name, type_id, start_date, end_date.
     """
     new = batch
@@ -98,9 +105,9 @@ def new_program_events(batch: DataFrame, existing: DataFrame | None, type_id: Ty
         stored = existing.select(F.col("name").alias("event"), "start_date", "end_date")
         new = batch.join(stored, EVENT_KEY, "left_anti")
         base = F.coalesce(existing.select(F.max("id")).scalar(), F.lit(0)).cast("bigint")
-    order = Window.orderBy("event", "start_date", "end_date")
-    return new.select(
-        (base + F.row_number().over(order)).cast("bigint").alias("id"),
+    numbered = ordered_totals(new, [F.col(c) for c in EVENT_KEY], "place")
+    return numbered.select(
+        (base + F.col("place") + 1).cast("bigint").alias("id"),
         F.col("event").alias("name"),
         _type_column(type_id).cast("int").alias("type_id"),
         "start_date",
@@ -108,12 +115,6 @@ def new_program_events(batch: DataFrame, existing: DataFrame | None, type_id: Ty
     )
 
 
-def upsert_program_events(batch: DataFrame, existing: DataFrame | None, type_id: TypeId) -> DataFrame:
-    """S3 + S4: the store after the append (existing rows plus the new ones)."""
-    new = new_program_events(batch, existing, type_id)
-    return new if existing is None else existing.select(*new.columns).unionByName(new)
-
-
 def resolve_event_ids(batch: DataFrame, events: DataFrame) -> DataFrame:
     """Batch events -> their stored ids on the full natural key.
 
@@ -148,31 +149,31 @@ def new_event_attendees(attendees: DataFrame, existing: DataFrame | None) -> Dat
     return attendees.join(existing.select("event_id", "user_id"), ["event_id", "user_id"], "left_anti")
 
 
-def registration_summary(raw: DataFrame, events: DataFrame | None = None) -> DataFrame:
-    """A10: the run counts as (metric, value) rows; no driver-side counting.
+def registration_summary(parsed: DataFrame, events: DataFrame | None = None, screened_out: int = 0) -> DataFrame:
+    """A10: the run counts as one row.
 
-    raw_rows: rows in the file; rejected_rows: rows with unreadable date text;
-    unique_events: distinct complete events after parsing; attendees_after:
-    (event, start, end, user) left after the join, null-id drop and dedup,
-    against `events` when given, else against the batch's own events.
+    `parsed` are the rows that were registered, as `parsed_once` gives them.
+    raw_rows: rows of the file that passed the screen; screened_rows: rows the
+    screen took out; rejected_rows: rows with unreadable date text;
+    unique_events: distinct complete events after parsing; attendees_before:
+    attendee rows before the join; attendees_after: (event, start, end, user)
+    left after the join, null-id drop and dedup; batch_events: events of the
+    batch that have an id. The join is against `events` when given, else
+    against the batch's own events.
     """
-    parsed = parse_registrations(raw)
     good = accepted(parsed)
     batch = batch_events(good)
-    if events is not None:
-        attendees = registration_attendees(good, events)
-    else:
-        regs = good.select("user_id", "event", "start_date").where(F.col("user_id").isNotNull())
-        attendees = regs.join(batch, ["event", "start_date"]).select(*EVENT_KEY, "user_id").distinct()
-    counts = parsed.agg(
-        F.count(F.lit(1)).alias("raw_rows"), F.count(F.when(F.col("rejected"), F.lit(1))).alias("rejected_rows")
-    ).selectExpr("stack(2, 'raw_rows', raw_rows, 'rejected_rows', rejected_rows) AS (metric, value)")
-    return (
-        counts.unionByName(batch.agg(F.count(F.lit(1)).alias("value")).select(F.lit("unique_events").alias("metric"), "value"))
-        .unionByName(
-            attendees.agg(F.count(F.lit(1)).alias("value")).select(F.lit("attendees_after").alias("metric"), "value")
-        )
-    )
+    held = batch if events is None else events.select(F.col("name").alias("event"), "start_date", "end_date").distinct()
+    known = good.where(F.col("user_id").isNotNull()).select("user_id", "event", "start_date").distinct()
+    attendees = known.join(held, ["event", "start_date"])
+    in_batch = batch if events is None else batch.join(held, EVENT_KEY, "left_semi")
+    size = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    return parsed.agg(
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.lit(screened_out).cast("bigint").alias("screened_rows"),
+        F.count_if("rejected").alias("rejected_rows"),
+        F.count_if(~F.col("rejected")).alias("attendees_before"),
+    ).select("*", size(batch).alias("unique_events"), size(attendees).alias("attendees_after"), size(in_batch).alias("batch_events"))
 
 
 def event_report(events: DataFrame) -> DataFrame:

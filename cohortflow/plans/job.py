@@ -10,9 +10,10 @@
 5. write the dataset under a dated name (S6, S7), plus the reject table and
    the run counts (A10).
 
-The store writes are the lineage cut between registering and measuring; the
-cohort is then checkpointed to the cluster's shared `spark.checkpoint.dir`
-so the profile branches share one copy and a lost executor costs at most the
+The store has one writer at a time, which is checked. The store writes are the
+lineage cut between registering and measuring; parsed rows, event dimension and
+cohort are written once to the cluster's shared `spark.checkpoint.dir`, so the
+branches that read them share one copy and a lost executor costs at most the
 stage it ran.
 """
 
@@ -32,14 +33,19 @@ from ..operators import registration as reg
 from ..sources import sinks
 from ..sources.schemas import NATIVE_TABLES
 from ..sources.tables import read_native_tables, read_registrations_csv
-from ..session import checkpoint_dir
+from ..sources.scratch import materialize
 from .profiles import CohortPlan
 
 
+# The tables whose bytes decide the number of shuffle partitions.
+FACT_TABLES = ("attendance", "sessions", "mentorships", "study_groups", "study_schedules", "contact_chart", "event_attendees")
+
+
 @dataclass(frozen=True)
 class RegisteredBatch:
     batch_event_ids: DataFrame  # event, start_date, end_date, event_id
     rejects: DataFrame
+    summary: DataFrame
 
 
 def register_batch(
@@ -52,21 +58,24 @@ def register_batch(
 ) -> RegisteredBatch:
     """Steps 1-3 for one batch of raw registration rows (any source, incl. a stream batch)."""
     rows = reg.screen_registrations(raw, staff) if screen else raw
-    parsed = reg.parse_registrations(rows)
+    parsed = reg.parsed_once(rows)
+    screened_out = raw.count() - parsed.count() if screen else 0
     good = reg.accepted(parsed)
     batch = reg.batch_events(good)
 
-    stored_events = sinks.read_table_if_exists(spark, store_path, "program_event")
-    sinks.append_table(reg.new_program_events(batch, stored_events, type_id), store_path, "program_event")
-    events = sinks.read_table_if_exists(spark, store_path, "program_event")
-    if events is None:  # nothing stored and nothing new: an empty store
-        events = spark.createDataFrame([], NATIVE_TABLES["program_event"])
+    with sinks.single_writer(spark, store_path):
+        stored_events = sinks.read_table_if_exists(spark, store_path, "program_event")
+        sinks.append_table(reg.new_program_events(batch, stored_events, type_id), store_path, "program_event")
+        events = sinks.read_table_if_exists(spark, store_path, "program_event")
+        if events is None:  # nothing stored and nothing new: an empty store
+            events = spark.createDataFrame([], NATIVE_TABLES["program_event"])
 
-    attendees = reg.registration_attendees(good, events)
-    stored_attendees = sinks.read_table_if_exists(spark, store_path, "event_attendees")
-    sinks.append_table(reg.new_event_attendees(attendees, stored_attendees), store_path, "event_attendees")
+        attendees = reg.registration_attendees(good, events)
+        stored_attendees = sinks.read_table_if_exists(spark, store_path, "event_attendees")
+        sinks.append_table(reg.new_event_attendees(attendees, stored_attendees), store_path, "event_attendees")
 
-    return RegisteredBatch(reg.resolve_event_ids(batch, events), reg.rejected(parsed))
+    ids = materialize(reg.resolve_event_ids(batch, events), "batch_events")
+    return RegisteredBatch(ids, reg.rejected(parsed), reg.registration_summary(parsed, events, screened_out))
 
 
 def run(
@@ -87,27 +96,27 @@ def run(
     staff = None
     if screen:
         members = sinks.read_table_if_exists(spark, store_path, "members")
-        staff = members.where(F.col("user_role_type_id").isin(*rules.excluded_roles)).select("id")
+        if members is not None:
+            staff = members.where(F.col("user_role_type_id").isin(*rules.excluded_roles)).select("id")
     batch = register_batch(spark, raw, store_path, type_id, staff, screen)
     stamp = run_date.strftime("%m-%d-%Y")
     batch.rejects.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/rejects_{stamp}")
+    batch.summary.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/summary_{stamp}")
     stored = sinks.read_table_if_exists(spark, store_path, "program_event")
-    reg.registration_summary(raw, stored).write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/summary_{stamp}")
+    if stored is not None:
+        reg.event_report(stored).write.mode("overwrite").option("header", True).csv(f"{output_dir.rstrip('/')}/events_{stamp}")
 
     inputs = read_native_tables(spark, store_path)
     batch_ids = batch.batch_event_ids.select("event_id")
     if completed_only:  # Q20: only events whose post window has ended by the run date
         done = cohort.completed_events(inputs.program_event, F.lit(run_date), calendar)
         batch_ids = batch_ids.join(done, "event_id", "left_semi")
-    checkpoint_dir(spark)  # fail early when the cluster names no shared checkpoint folder
-    plan = CohortPlan(
-        inputs, rules, calendar, batch_event_ids=batch_ids, checkpoint_cohort=True
-    )
+    plan = CohortPlan(inputs, rules, calendar, batch_event_ids=batch_ids)
     return sinks.write_dataset(plan.event_dataset(), output_dir, run_date, fmt)
 
 
 def main(argv: list[str] | None = None) -> None:
-    from ..session import build_session
+    from ..session import build_session, size_for_input
 
     p = argparse.ArgumentParser(description="Register a registration file and build its event dataset.")
     p.add_argument("--registrations", required=True)
@@ -121,6 +130,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--id-column", default="member_id", help="the registration file's member-id column")
     a = p.parse_args(argv)
     spark = build_session()
+    size_for_input(spark, sum(sinks.stored_bytes(spark, sinks.table_path(a.store, name)) for name in FACT_TABLES))
     path = run(spark, a.registrations, a.store, a.output, a.type_id, dt.date.fromisoformat(a.run_date),
                screen=a.screen, fmt=a.format, completed_only=a.completed_only, id_column=a.id_column)
     print(path)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from .schemas import NATIVE_TABLES
-from .tables import CohortInputs
 
 
 def table_path(base_path: str, name: str) -> str:
@@ -16,22 +18,48 @@ def table_path(base_path: str, name: str) -> str:
 
 
 def read_table_if_exists(spark: SparkSession, base_path: str, name: str) -> DataFrame | None:
-    """A stored native table, or None before its first write."""
+    """A stored native table, or None before its first write. Any other failure is raised."""
     try:
-        df = spark.read.schema(NATIVE_TABLES[name]).parquet(table_path(base_path, name))
-    except AnalysisException:
+        return spark.read.schema(NATIVE_TABLES[name]).parquet(table_path(base_path, name))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return df
 
 
-def append_table(df: DataFrame, base_path: str, name: str) -> None:
-    """Append rows (the committer makes each append all-or-nothing)."""
-    df.write.mode("append").parquet(table_path(base_path, name))
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files below `path`; 0 when there are none."""
+    store, target = _hadoop_path(spark, path)
+    return store.getContentSummary(target).getLength() if store.exists(target) else 0
+
 
+@contextmanager
+def single_writer(spark: SparkSession, base_path: str) -> Iterator[None]:
+    """Hold the store for one registering run.
 
-def write_native_tables(inputs: CohortInputs, base_path: str, mode: str = "overwrite") -> None:
-    for name in NATIVE_TABLES:
-        getattr(inputs, name).write.mode(mode).parquet(table_path(base_path, name))
+    New ids follow the largest stored one, so two runs at once would issue
+    equal ids; the second is refused here. The mark is a file that the store
+    creates atomically; a run that died leaves it, to be removed by hand.
+    """
+    store, mark = _hadoop_path(spark, table_path(base_path, "_registering"))
+    store.mkdirs(mark.getParent())
+    if not store.createNewFile(mark):
+        raise RuntimeError(f"another run is registering into {base_path} (or died there: then remove {mark.toString()})")
+    try:
+        yield
+    finally:
+        store.delete(mark, False)
+
+
+def append_table(df: DataFrame, base_path: str, name: str) -> None:
+    """Append rows. An append that was cut off is completed by running the batch
+    again: rows that are stored already are left out by key."""
+    df.write.mode("append").parquet(table_path(base_path, name))
 
 
 def dataset_name(run_date: dt.date) -> str:

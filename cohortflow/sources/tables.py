@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,10 +54,41 @@ def registration_columns(df: DataFrame, id_column: str = "member_id") -> DataFra
 
 
 def read_registrations_csv(spark: SparkSession, path: str, id_column: str = "member_id") -> DataFrame:
-    """The registration file. Columns are matched by header name, every value
-    is read as text (no inference) and cast explicitly. `id_column` names the
-    file's member-id column when it is not called member_id."""
-    return registration_columns(spark.read.option("header", True).option("inferSchema", False).csv(path), id_column)
+    """The registration files below `path`. Each file's columns are matched by
+    its own header, every value is read as text (no inference) and cast
+    explicitly. `id_column` names the member-id column when it is not called
+    member_id. A file without one of the four columns raises."""
+    parts = []
+    for header, files in registration_headers(spark, path):
+        df = spark.read.schema(text_schema(header)).option("header", True).option("enforceSchema", False).csv(files)
+        parts.append(registration_columns(df, id_column))
+    if not parts:
+        return spark.createDataFrame([], REGISTRATIONS_CSV)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def text_schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+def registration_headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """The different headers of the files below `path`, each with its files.
+
+    A file's header is the first row of its first block; rows of one block
+    keep their order in a partition. One row per file reaches the driver.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    firsts = (
+        lines.where("file_block_start = 0")
+        .withColumn("at", F.monotonically_increasing_id())
+        .groupBy("file_path")
+        .agg(F.min_by("value", "at").alias("header"))
+    )
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for row in firsts.orderBy("file_path").collect():
+        names = next(csv.reader([row.header.removeprefix("\ufeff")]))
+        by_header.setdefault(tuple(names), []).append(row.file_path)
+    return [(list(names), files) for names, files in by_header.items()]
 
 
 def read_native_tables(spark: SparkSession, base_path: str, fmt: str = "parquet") -> CohortInputs:

@@ -3,21 +3,26 @@
 A file-source stream over the registration folder feeds `foreachBatch`, which
 runs the same idempotent event and attendee appends as the batch job. The
 stream's checkpoint records which files were taken; a replayed micro-batch
-appends nothing new, so the store sees each registration once.
+appends nothing new, so the store sees each registration once. Rows with
+unreadable dates go to `registration_rejects` in the store, one folder per
+micro-batch, which a replay overwrites.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StructType
 
 from ..operators.registration import TypeId
 from ..plans.job import register_batch
 from ..session import checkpoint_dir
 from ..sources.schemas import REGISTRATIONS_CSV
-from ..sources.tables import registration_columns
+from ..sources.sinks import table_path
+from ..sources.tables import registration_columns, text_schema
+
+REJECTS = "registration_rejects"
 
 
 def registration_stream(
@@ -32,14 +37,17 @@ def registration_stream(
     A file stream needs its schema up front: `file_schema` is the files'
     full column list (all text); by default the header of the files already
     there is used, else the four registration columns. Columns are then taken
-    by name, as in the batch reader.
+    by name; a file with another header stops the stream.
     """
     if file_schema is None:
         try:
             file_schema = spark.read.option("header", True).option("inferSchema", False).csv(source_dir).schema
-        except AnalysisException:
-            file_schema = StructType([StructField(f.name, StringType()) for f in REGISTRATIONS_CSV.fields])
-    reader = spark.readStream.schema(file_schema).option("header", True)
+        except AnalysisException as error:  # no file is there yet
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            file_schema = text_schema([id_column if f.name == "member_id" else f.name for f in REGISTRATIONS_CSV.fields])
+    # A file whose header differs from the schema raises; its columns are never taken by position.
+    reader = spark.readStream.schema(file_schema).option("header", True).option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return registration_columns(reader.csv(source_dir), id_column)
@@ -63,7 +71,8 @@ def start_registration_ingest(
     location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/registration_ingest"
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        register_batch(batch.sparkSession, batch, store_path, type_id)
+        registered = register_batch(batch.sparkSession, batch, store_path, type_id)
+        registered.rejects.write.mode("overwrite").parquet(f"{table_path(store_path, REJECTS)}/epoch_id={epoch_id}")
 
     stream = registration_stream(spark, source_dir, max_files_per_trigger=max_files_per_trigger, id_column=id_column)
     writer = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", location)

@@ -48,8 +48,10 @@ def test_job_writes_dataset_and_is_idempotent(spark):
     first = spark.read.parquet(path)
     assert len(first.columns) == 39 and first.count() > 0
     assert spark.read.parquet(f"{out}/rejects_12-03-2026").count() > 0
-    summary = {r.metric: r.value for r in spark.read.parquet(f"{out}/summary_12-03-2026").collect()}
-    assert summary["raw_rows"] > summary["rejected_rows"] > 0 and summary["attendees_after"] > 0
+    summary = spark.read.parquet(f"{out}/summary_12-03-2026").first()
+    assert summary.raw_rows > summary.rejected_rows > 0 and summary.attendees_after > 0
+    listed = spark.read.option("header", True).csv(f"{out}/events_12-03-2026")
+    assert listed.count() == summary.batch_events
     counts = _counts(spark, store)
     ids = [r.id for r in spark.read.parquet(sinks.table_path(store, "program_event")).collect()]
     assert sorted(ids) == list(range(1, len(ids) + 1))
@@ -69,6 +71,11 @@ def test_csv_output_and_screen(spark):
     path = job.run(spark, regs, store, out, type_id=1, run_date=RUN_DATE, rules=FIXTURE_RULES, screen=True, fmt="csv")
     back = spark.read.option("header", True).csv(path)
     assert "count of DCC2" in back.columns and "3_mo_after" in back.columns
+    summary = spark.read.parquet(f"{out}/summary_12-03-2026").first()
+    stored = _counts(spark, store)
+    # the counts are those of the rows that were registered
+    assert (summary.unique_events, summary.attendees_after) == stored
+    assert summary.raw_rows + summary.screened_rows == fx.fixture_registrations_raw(spark, SF001).count()
     names = spark.read.parquet(sinks.table_path(store, "program_event")).select("name").collect()
     assert not any("CANCELLED" in r.name or not r.name.isascii() for r in names)
 
@@ -174,4 +181,91 @@ def test_job_checkpoints_into_the_sessions_checkpoint_dir(spark):
     _csv(spark, f"{root}/registrations")
     job.run(spark, f"{root}/registrations", f"{root}/store", f"{root}/out", type_id=1, run_date=RUN_DATE,
             rules=FIXTURE_RULES)
-    assert files() - before  # the cohort checkpoint was written under spark.checkpoint.dir
+    assert files() - before  # parsed rows, event dimension and cohort were written under spark.checkpoint.dir
+
+
+def _two_headers(spark, folder):
+    """Two files with the same columns in another order."""
+    a = [(1.0, "Retreat", "10/3/2015", "10/5/2015")]
+    spark.createDataFrame(a, "member_id double, event string, start_date string, end_date string") \
+        .coalesce(1).write.mode("overwrite").option("header", True).csv(folder)
+    b = [("10/5/2015", "x", "10/3/2015", 2.0, "Retreat")]
+    spark.createDataFrame(b, "end_date string, note string, start_date string, member_id double, event string") \
+        .coalesce(1).write.mode("append").option("header", True).csv(folder)
+
+
+def test_columns_by_name_in_every_file(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from cohortflow.sources.tables import read_registrations_csv
+    from cohortflow.streaming.registrations import start_registration_ingest as start
+
+    root = tempfile.mkdtemp(prefix="cohortflow-csv-")
+    _two_headers(spark, f"{root}/in")
+    rows = read_registrations_csv(spark, f"{root}/in").collect()
+    assert sorted((r.member_id, r.event, r.start_date, r.end_date) for r in rows) == [
+        (1.0, "Retreat", "10/3/2015", "10/5/2015"), (2.0, "Retreat", "10/3/2015", "10/5/2015")]
+    # a stream has one schema: a file with another header stops it instead of being misread
+    _store(spark, f"{root}/store")
+    with pytest.raises(PySparkException):
+        start(spark, f"{root}/in", f"{root}/store", type_id=1, checkpoint_location=f"{root}/ckpt").awaitTermination(300)
+
+
+def test_empty_registration_folder(spark):
+    from cohortflow.sources.tables import read_registrations_csv
+    from cohortflow.streaming.registrations import registration_stream
+
+    root = tempfile.mkdtemp(prefix="cohortflow-csv-")
+    assert read_registrations_csv(spark, root).count() == 0
+    assert registration_stream(spark, root, id_column="person").columns == ["member_id", "event", "start_date", "end_date"]
+
+
+def test_stream_rejects_equal_batch_rejects(spark):
+    root = tempfile.mkdtemp(prefix="cohortflow-stream3-")
+    _store(spark, f"{root}/s1")
+    _store(spark, f"{root}/s2")
+    _csv(spark, f"{root}/in")
+    for _ in range(2):  # the second start finds nothing new
+        start_registration_ingest(spark, f"{root}/in", f"{root}/s1", type_id=1, checkpoint_location=f"{root}/ckpt").awaitTermination(300)
+    raw = job.read_registrations_csv(spark, f"{root}/in")
+    want = job.register_batch(spark, raw, f"{root}/s2", 1).rejects
+    got = spark.read.parquet(f"{root}/s1/registration_rejects").drop("epoch_id")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 0
+
+
+def test_one_writer_and_other_failures_are_raised(spark):
+    import pytest
+
+    root = tempfile.mkdtemp(prefix="cohortflow-store-")
+    with sinks.single_writer(spark, root):
+        with pytest.raises(RuntimeError, match="another run"):
+            with sinks.single_writer(spark, root):
+                pass
+    with sinks.single_writer(spark, root):
+        pass
+    assert sinks.read_table_if_exists(spark, root, "members") is None
+    with pytest.raises(Exception, match="no-such-scheme"):
+        sinks.read_table_if_exists(spark, "no-such-scheme*?[", "members")
+
+
+def test_screen_without_a_members_table(spark):
+    root = tempfile.mkdtemp(prefix="cohortflow-store-")
+    _csv(spark, f"{root}/in")
+    raw = job.read_registrations_csv(spark, f"{root}/in")
+    batch = job.register_batch(spark, raw, f"{root}/store", 1, None, screen=True)
+    assert batch.summary.first().screened_rows > 0
+
+
+def test_catalog_tables(spark):
+    from cohortflow.sources.tables import read_catalog_tables
+
+    inputs = fx.fixture_inputs(spark, SF001)
+    spark.sql("CREATE DATABASE IF NOT EXISTS cohort_store")
+    try:
+        for name in NATIVE_TABLES:
+            path = tempfile.mkdtemp(prefix="cohortflow-table-") + "/t"
+            getattr(inputs, name).write.option("path", path).mode("overwrite").saveAsTable(f"cohort_store.{name}")
+        back = read_catalog_tables(spark, "cohort_store")
+        assert back.attendance.count() == inputs.attendance.count()
+    finally:
+        spark.sql("DROP DATABASE cohort_store CASCADE")

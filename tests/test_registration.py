@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
+
 from builders import D
+from cohortflow.functions.dates import parse_date_text
 from cohortflow.operators import registration as reg
 from cohortflow.sources.schemas import PROGRAM_EVENT, REGISTRATIONS_CSV
 
@@ -48,7 +52,7 @@ def test_new_events_ids_continue_and_idempotent_append(spark):
     new = reg.new_program_events(batch, existing, 3).collect()
     assert sorted((r.id, r.name) for r in new) == [(8, "Camp"), (9, "Fête"), (10, "Gala CANCELLED")]
     assert {r.type_id for r in new} == {3}
-    store = reg.upsert_program_events(batch, existing, 3)
+    store = existing.unionByName(reg.new_program_events(batch, existing, 3))
     # The same batch again adds no events and no attendees.
     assert reg.new_program_events(batch, store, 3).count() == 0
     attendees = reg.registration_attendees(good, store)
@@ -67,7 +71,38 @@ def test_c13_same_name_and_start_two_end_dates_attach_to_both(spark):
 
 
 def test_summary_counts(spark):
-    rows = {r.metric: r.value for r in reg.registration_summary(_raw(spark)).collect()}
-    assert rows["raw_rows"] == len(RAW)
-    assert rows["rejected_rows"] == 1
-    assert rows["unique_events"] == 4
+    row = reg.registration_summary(reg.parsed_once(_raw(spark))).first().asDict()
+    assert row == {
+        "raw_rows": 8, "screened_rows": 0, "rejected_rows": 1, "attendees_before": 7,
+        "unique_events": 4, "attendees_after": 6, "batch_events": 4,
+    }
+
+
+def test_summary_against_a_store(spark):
+    parsed = reg.parsed_once(_raw(spark))
+    stored = [(1, "Retreat", 1, D(2015, 10, 3), D(2015, 10, 5)), (2, "Retreat", 1, D(2015, 10, 3), D(2015, 10, 9)), (3, "Camp", 1, D(2015, 1, 13), D(2015, 1, 14))]
+    row = reg.registration_summary(parsed, spark.createDataFrame(stored, PROGRAM_EVENT), screened_out=5).first()
+    # three people at Retreat attach to both of its stored end dates (Q15), one is at Camp
+    assert (row.screened_rows, row.attendees_after, row.batch_events, row.unique_events) == (5, 7, 2, 4)
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("10/3/2015", D(2015, 10, 3)), ("13/1/2015", D(2015, 1, 13)), ("10-3-2015", D(2015, 10, 3)), ("10/3/15", D(2015, 10, 3)),
+        ("10/3/95", D(1995, 10, 3)), ("13-1-15", D(2015, 1, 13)), ("2015-10-03", D(2015, 10, 3)), ("2015-1-3", D(2015, 1, 3)),
+        ("10/3/2015 0:00", D(2015, 10, 3)), ("2015-10-03 00:00:00", D(2015, 10, 3)), ("2015-10-03T00:00:00", D(2015, 10, 3)),
+        ("2015-10-03 23:59:59.123", D(2015, 10, 3)), ("Oct 3, 2015", D(2015, 10, 3)), ("october 3, 2015", D(2015, 10, 3)),
+        ("3 Oct 2015", D(2015, 10, 3)), ("3 OCTOBER 2015", D(2015, 10, 3)), ("  10/3/2015 ", D(2015, 10, 3)), ("TBD", None),
+        ("10/3-2015", None), ("2/30/2015", None), ("14/13/2015", None), ("Foo 3, 2015", None), ("10/3/215", None), ("", None), (None, None),
+    ],
+)
+def test_date_forms(spark, text, want):
+    row = spark.createDataFrame([(text,)], "t string").select(parse_date_text(F.col("t")).alias("d")).first()
+    assert row.d == want
+
+
+def test_dates_are_parsed_once(spark):
+    """The summary reads the written rows: no parse expression is left in its plan."""
+    plan = reg.registration_summary(reg.parsed_once(_raw(spark)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "gettimestamp" not in plan and "rlike" not in plan.lower()
