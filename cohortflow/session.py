@@ -30,16 +30,20 @@ RECOMMENDED_CONF = {
 # overhead small, small enough to sort/aggregate in executor memory without
 # heavy spills.
 PARTITION_BYTES = 256 * 1024 * 1024
+# More partitions than this cost more on the driver (map output tracking is
+# partitions x partitions) than larger ones cost on the executors.
+MAX_PARTITIONS = 32_768
 
 
 def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
     """Shuffle and scan sizing for a run over `input_bytes` of facts.
 
     The initial shuffle partition count is the fact volume over the target
-    partition size (AQE then coalesces small ones and splits skewed ones);
-    scans split files at the same size. Returns the settings applied.
+    partition size, at most MAX_PARTITIONS (AQE then coalesces small ones and
+    splits skewed ones); scans split files at the target size. Returns the
+    settings applied.
     """
-    n = max(spark.sparkContext.defaultParallelism, -(-input_bytes // partition_bytes))
+    n = min(MAX_PARTITIONS, max(spark.sparkContext.defaultParallelism, -(-input_bytes // partition_bytes)))
     conf = {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
@@ -79,6 +83,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
     if "://" not in fallback:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{fallback} is not a shared folder")
         os.makedirs(fallback, exist_ok=True)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback

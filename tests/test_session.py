@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortflow.session import PARTITION_BYTES, checkpoint_dir, size_for_input
+from cohortflow.session import MAX_PARTITIONS, PARTITION_BYTES, checkpoint_dir, size_for_input
 
 
 def test_size_for_input_sets_partitions_from_volume(spark):
@@ -13,7 +13,9 @@ def test_size_for_input_sets_partitions_from_volume(spark):
     before = {k: spark.conf.get(k, None) for k in keys}
     try:
         conf = size_for_input(spark, 100 * 1024**4)  # 100 TB of facts
-        assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // PARTITION_BYTES
+        assert int(conf["spark.sql.shuffle.partitions"]) == MAX_PARTITIONS < 50_000
+        assert int(size_for_input(spark, 1024**4)["spark.sql.shuffle.partitions"]) == 1024**4 // PARTITION_BYTES
+        conf = size_for_input(spark, 100 * 1024**4)
         assert spark.conf.get("spark.sql.shuffle.partitions") == conf["spark.sql.shuffle.partitions"]
         small = size_for_input(spark, 1024)
         assert int(small["spark.sql.shuffle.partitions"]) == spark.sparkContext.defaultParallelism
