@@ -15,27 +15,49 @@ by the mentee), so the probes need a single join. Probe rows (cohort rows, or
 as-of keys) join the stack once on user_id with the validity test as join
 residual; two aggregations reduce it: first to one row per (probe, kind,
 other_id), which makes every count a distinct count without an Expand, then
-to one row per probe. A member with a huge share of the interval rows is split
-by AQE's skew join when both join inputs arrive through planner shuffles, or
-explicitly by salting (`hot_rows`).
+to one row per probe.
+
+Where only existence matters (every kind but CONTACT, which needs its latest
+start), overlapping intervals of one (member, kind, other) are merged first.
+Every member's interval rows are dealt over SALTS join keys and the probes
+repeat once per key, so a member with a huge share of the rows meets its probes
+in several tasks in any session; because the aggregation behind the join is
+keyed without the salt, it has its own shuffle, and AQE can split further.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.validity import alive_at, valid_closed, valid_half_open
+from ..functions.validity import OPEN_END, alive_at, open_end, valid_closed, valid_half_open
 from . import mentorship as ms
 
 MENTORED, MENTEE, CONTACT, CHAIN = 0, 1, 2, 3
 ALL_KINDS = (MENTORED, MENTEE, CONTACT, CHAIN)
 
-# A threshold for explicit salting (`hot_rows`): members with more interval
-# rows than this are split over several join tasks. At most (interval rows /
-# HOT_ROWS) members can be that large, which bounds the broadcast list of hot
-# members: 10^12 interval rows give at most 10^6 entries (about 16 MB).
-HOT_ROWS = 1_000_000
+# Join keys that each member's interval rows are dealt over.
+SALTS = 4
+
+# Columns of the interval stack.
+COLUMNS = ["user_id", "kind", "other_id", "start_date", "end_date", "alive_end"]
+
+
+def merged_intervals(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Unions of overlapping or touching [start_date, end_date] per key (null end =
+    open): valid on exactly the same days under a closed test, and under a
+    half-open one. Rows without a start are never valid and go. Output: keys,
+    start_date, end_date."""
+    rows = rows.where(F.col("start_date").isNotNull()).select(*keys, "start_date", open_end(F.col("end_date")).alias("end_date"))
+    ordered = Window.partitionBy(*keys).orderBy("start_date", "end_date")
+    before = F.max("end_date").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    starts = rows.withColumn("island", F.when(F.col("start_date") <= before, 0).otherwise(1))
+    islands = starts.withColumn("island", F.sum("island").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    out = islands.groupBy(*keys, "island").agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"))
+    closed = F.when(F.col("end_date") < F.lit(OPEN_END).cast("date"), F.col("end_date"))
+    return out.select(*keys, "start_date", closed.alias("end_date"))
 
 
 def interval_rows(
@@ -52,44 +74,31 @@ def interval_rows(
     (first, last as-of date), rows that cannot be valid at any date in it are
     left out: ended before it, or starting after it (nulls are kept).
     """
-    cols = ["user_id", "kind", "other_id", "start_date", "end_date", "alive_end"]
-    no_alive = F.lit(None).cast("date").alias("alive_end")
-    parts = []
+    existing = []  # kinds of which only "some interval is valid" matters
     if MENTORED in kinds:
-        parts.append(
-            mentorships.select(
-                "user_id", F.lit(MENTORED).alias("kind"), F.col("parent_user_id").alias("other_id"),
-                "start_date", "end_date", no_alive,
-            )
-        )
+        existing.append(_stacked(mentorships, MENTORED, "user_id", "parent_user_id"))
     if MENTEE in kinds:
-        parts.append(
-            mentorships.select(
-                F.col("parent_user_id").alias("user_id"), F.lit(MENTEE).alias("kind"), F.col("user_id").alias("other_id"),
-                "start_date", "end_date", no_alive,
-            )
-        )
+        existing.append(_stacked(mentorships, MENTEE, "parent_user_id", "user_id"))
+    parts = []
+    if existing:
+        both = reduce(DataFrame.unionByName, existing).where(F.col("user_id").isNotNull())
+        parts.append(merged_intervals(both, ["user_id", "kind", "other_id"]).withColumn("alive_end", F.lit(None).cast("date")))
     if CONTACT in kinds:
-        parts.append(
-            contact_chart.select(
-                F.col("chart_owner_id").alias("user_id"), F.lit(CONTACT).alias("kind"),
-                F.col("chart_member_id").alias("other_id"), "start_date", "end_date", no_alive,
-            )
-        )
+        chart = _stacked(contact_chart, CONTACT, "chart_owner_id", "chart_member_id").where(F.col("user_id").isNotNull())
+        # Copies of a chart row collapse map-side before the join shuffle.
+        parts.append(chart.withColumn("alive_end", F.lit(None).cast("date")).distinct())
     if CHAIN in kinds:
         if leaders is None:
             raise ValueError("CHAIN rows need the leader intervals")
         pairs = ms.mentorship_pairs(mentorships)
+        led = merged_intervals(leaders, ["leader_id"])
         parts.append(
-            pairs.join(leaders, pairs.user_id == leaders.leader_id).select(
+            pairs.join(led, pairs.user_id == led.leader_id).select(
                 pairs.parent_user_id.alias("user_id"), F.lit(CHAIN).alias("kind"), pairs.user_id.alias("other_id"),
-                leaders.start_date, leaders.end_date, pairs.pair_end.alias("alive_end"),
+                led.start_date, led.end_date, pairs.pair_end.alias("alive_end"),
             )
         )
-    out = parts[0].select(*cols)
-    for p in parts[1:]:
-        out = out.unionByName(p.select(*cols))
-    out = out.where(F.col("user_id").isNotNull())
+    out = reduce(DataFrame.unionByName, [p.select(*COLUMNS) for p in parts])
     if span is not None:
         first, last = span
         c = F.col
@@ -98,8 +107,11 @@ def interval_rows(
             & F.coalesce(c("alive_end") >= first, F.lit(True))
             & F.coalesce(c("start_date") <= last, F.lit(True))
         )
-    # Copies of an edge or chart row collapse map-side before the join shuffle.
-    return out.distinct()
+    return out
+
+
+def _stacked(rows: DataFrame, kind: int, user: str, other: str) -> DataFrame:
+    return rows.select(F.col(user).alias("user_id"), F.lit(kind).alias("kind"), F.col(other).alias("other_id"), "start_date", "end_date")
 
 
 def _valid(kind: Column, start: Column, end: Column, alive_end: Column, t: Column) -> Column:
@@ -110,38 +122,11 @@ def _valid(kind: Column, start: Column, end: Column, alive_end: Column, t: Colum
     )
 
 
-def _salt_hot_members(probes: DataFrame, iv: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Spread members with more than `hot_rows` interval rows over several join keys.
-
-    A hot member gets ceil(rows / hot_rows) salts; each of its interval rows
-    takes one by a hash of the row, and each of its probe rows is repeated
-    once per salt. Everyone else keeps salt 0. The later aggregation per
-    (probe, kind, other_id) merges the salts, so results do not change.
-    """
-    hot = (
-        iv.groupBy(F.col("_iv_user").alias("user_id"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select("user_id", F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_splits"))
-    )
-    hot = F.broadcast(hot)  # bounded: see HOT_ROWS
-    splits = F.coalesce(F.col("_splits"), F.lit(1))
-    iv = iv.join(hot.withColumnRenamed("user_id", "_iv_user"), "_iv_user", "left").select(
-        *[c for c in iv.columns],
-        F.pmod(F.xxhash64("kind", "other_id", "start_date", "end_date", "alive_end"), splits).cast("int").alias("_iv_salt"),
-    )
-    probes = probes.join(hot, "user_id", "left").select(
-        *probes.columns, F.explode(F.sequence(F.lit(0), splits - 1)).alias("_salt")
-    )
-    return probes, iv
-
-
 def as_of_metrics(
     probes: DataFrame,
     key_cols: list[str],
     times: dict[str, str],
     intervals: DataFrame,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Date-dependent metrics for every probe row at each date column in `times`.
 
@@ -150,24 +135,20 @@ def as_of_metrics(
     probe that matched anything, with, per suffix: mentored_<sfx> (0/1),
     mentees_<sfx>, contacts_<sfx>, contact_rows_<sfx> (0/1, a row was active),
     contact_latest_<sfx>, chain_<sfx>. Missing probes mean "no active rows";
-    callers left-join. Members with more than `hot_rows` interval rows are
-    split over several join tasks (`_salt_hot_members`).
+    callers left-join.
     """
     sfx = list(times)
-    p = probes.select(*key_cols, *[F.col(c).alias(f"_t_{s}") for s, c in times.items()])
-    iv = intervals.withColumnRenamed("user_id", "_iv_user")
-    if hot_rows is not None:
-        p, iv = _salt_hot_members(p, iv, hot_rows)
+    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_salt")
+    p = probes.select(*key_cols, *[F.col(c).alias(f"_t_{s}") for s, c in times.items()], salts)
+    dealt = F.pmod(F.xxhash64("kind", "other_id", "start_date"), F.lit(SALTS)).cast("int").alias("_iv_salt")
+    iv = intervals.withColumnRenamed("user_id", "_iv_user").select("*", dealt)
     # Both sides carry distinct column names, so plain names resolve unambiguously.
     c = F.col
     valid = {s: _valid(c("kind"), c("start_date"), c("end_date"), c("alive_end"), c(f"_t_{s}")) for s in sfx}
     any_valid = valid[sfx[0]]
     for s in sfx[1:]:
         any_valid = any_valid | valid[s]
-    on = c("user_id") == c("_iv_user")
-    if hot_rows is not None:
-        on = on & (c("_salt") == c("_iv_salt"))
-    on = on & any_valid
+    on = (c("user_id") == c("_iv_user")) & (c("_salt") == c("_iv_salt")) & any_valid
     j = p.join(iv, on).select(
         *key_cols, "kind", "other_id", "start_date", *[valid[s].alias(f"_v_{s}") for s in sfx],
     )

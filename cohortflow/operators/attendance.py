@@ -1,26 +1,26 @@
 """Study-session attendance before and after each event (A1, A2, UDF1, Q3).
 
 The reference counts `count(distinct attendance.id)` per member over a date
-window, with the session joined on id and date range. Here the facts are first
-reduced to per-(member, day) rows, so the join with the cohort touches at most
-one row per member-day instead of every attendance row:
+window, with the session joined on id and date range. Here one pass over
+attendance and sessions reduces the facts to per-(member, day) rows, so the
+join with the cohort touches at most one row per member-day and kind:
 
 * day rows ``(user, kind=attended, lo=day, hi=day, n)``: distinct attendance
   ids seen on that day;
 * link rows ``(user, kind, lo=prev_day, hi=day, n=-1 per id)``: an id seen on
   several days would be counted once per day; each pair of consecutive days of
   one id that both fall in a window takes one back, so the window sum is an
-  exact distinct count for any input (ids are not unique in the fixture);
+  exact distinct count for any input (ids repeat in the fixture);
 * cancelled rows ``(kind=2)``: raw attendance rows on cancelled sessions, for
   the pre-event drop rule (Q3);
-* member rows ``(kind=3, lo=earliest attended day, n=all attendance rows)``:
-  matched by every cohort row of the member.
-
-Facts are deduplicated on (user, attended, id, day) with a map-side partial
-aggregation (copies of a row collapse before the shuffle, and a member's rows
-spread over their ids and days); everything after that works on per-day
-aggregates whose size per member is bounded by the calendar, which also takes
-the edge off a member holding a large share of all rows.
+* member rows ``(kind=3)``: all attendance rows of the member and the earliest
+  attended day.
+
+The facts are scanned and joined once, placed by (user, attended, id), and
+aggregated and windowed in that placement. The reduced rows are written once
+and joined on (user, year of `hi`): a window touches two or three years, so
+the rows that meet under one key are bounded by a year's days, and a hot
+member spreads over the years.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialize
+
 ABSENT, ATTENDED, CANCELLED, MEMBER = 0, 1, 2, 3
 
 
@@ -46,52 +48,48 @@ def session_facts(attendance: DataFrame, sessions: DataFrame) -> DataFrame:
     )
 
 
-def counted_facts(facts: DataFrame) -> DataFrame:
-    """Rows the window counts may see: held sessions, attended 0/1, id present."""
-    return facts.where(
-        F.col("date").isNotNull() & ~F.col("cancelled") & F.col("attended").isin(0, 1) & F.col("id").isNotNull()
-    ).select("user_id", "attended", "id", "date")
+def window_facts(facts: DataFrame, span: tuple[Column, Column] | None = None) -> DataFrame:
+    """The reduced fact table: (user_id, kind, lo, hi, n, first_day).
 
+    One row per (user, attended, id, day, cancelled) with its raw count, in one
+    placement that the id's window reuses; one explode then gives the day,
+    link, cancelled and member rows, and one sum reduces them.
 
-def window_facts(facts: DataFrame, span: tuple[Column, Column] | None = None) -> DataFrame:
-    """The reduced fact table for the window join: (user_id, kind, lo, hi, n).
-
-    Distinct (user, attended, id, day) first, with a partial aggregation, so
-    copies of a row collapse before any shuffle; then each id's days are
-    ordered (a window over one id holds its distinct days only, bounded by the
-    calendar). Each day gives a +1 row, each pair of consecutive days of the
-    id a -1 link row.
-
-    `span` (first, last day) bounds every window of the batch: dated rows
-    outside it can never be counted, so the day/link pipeline only sees the
-    batch's time span (exact: an id's days inside any window are still
-    consecutive among the kept days). Member totals and the earliest attended
-    day always read all rows.
+    `span` (first, last day) bounds every window of the batch: rows outside it
+    can never be counted in a window, so only member rows come from them.
     """
-    dated_facts = facts if span is None else facts.where(F.col("date").between(*span))
-    days = counted_facts(dated_facts).distinct()
-    prev = F.lag("date").over(Window.partitionBy("user_id", "attended", "id").orderBy("date"))
-    runs = days.select("user_id", "attended", "date", prev.alias("prev"))
-    steps = runs.select(
-        "user_id",
-        F.col("attended").alias("kind"),
-        F.explode(F.array(_step("date", "date", 1), _step("prev", "date", -1))).alias("r"),
-    ).where(F.col("r.lo").isNotNull())
-    cancelled = dated_facts.where(F.col("cancelled") & F.col("date").isNotNull()).select(
-        "user_id", F.lit(CANCELLED).alias("kind"), _step("date", "date", 1).alias("r")
+    dated = F.col("date").isNotNull()
+    held = dated & ~F.col("cancelled")
+    inside = dated if span is None else dated & F.col("date").between(*span)
+    placed = facts.repartition("user_id", "attended", "id")
+    days = placed.groupBy("user_id", "attended", "id", "date", "cancelled").agg(F.count(F.lit(1)).alias("n"))
+    counted = held & F.col("inside") & F.col("attended").isin(0, 1) & F.col("id").isNotNull()
+    days = days.withColumn("inside", inside).withColumn("counted", counted)
+    prev = F.lag("date").over(Window.partitionBy("user_id", "attended", "id", "counted").orderBy("date"))
+    n = F.col("n")
+    rows = F.array(
+        _row(F.lit(MEMBER), F.lit(None), F.lit(None), n, F.when(held & (F.col("attended") == 1), F.col("date"))),
+        F.when(F.col("counted"), _row(F.col("attended"), F.col("date"), F.col("date"), F.lit(1))),
+        F.when(F.col("counted") & F.col("prev").isNotNull(), _row(F.col("attended"), F.col("prev"), F.col("date"), F.lit(-1))),
+        F.when(F.col("cancelled") & F.col("inside"), _row(F.lit(CANCELLED), F.col("date"), F.col("date"), n)),
     )
-    dated = steps.unionByName(cancelled).groupBy("user_id", "kind", F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi")).agg(
-        F.sum("r.n").cast("bigint").alias("n")
+    exploded = days.withColumn("prev", prev).select("user_id", F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r"))
+    return (
+        exploded.select("user_id", "r.*")
+        .groupBy("user_id", "kind", "lo", "hi")
+        .agg(F.sum("n").cast("bigint").alias("n"), F.min("first_day").alias("first_day"))
     )
-    held = F.col("date").isNotNull() & ~F.col("cancelled") & (F.col("attended") == 1)
-    member = facts.groupBy("user_id").agg(
-        F.min(F.when(held, F.col("date"))).alias("lo"), F.count(F.lit(1)).alias("n")
-    ).select("user_id", F.lit(MEMBER).alias("kind"), "lo", F.lit(None).cast("date").alias("hi"), "n")
-    return dated.unionByName(member)
 
 
-def _step(lo: str, hi: str, n: int) -> Column:
-    return F.struct(F.col(lo).alias("lo"), F.col(hi).alias("hi"), F.lit(n).alias("n"))
+def _row(kind: Column, lo: Column, hi: Column, n: Column, first_day: Column | None = None) -> Column:
+    first_day = F.lit(None) if first_day is None else first_day
+    return F.struct(
+        kind.cast("int").alias("kind"),
+        lo.cast("date").alias("lo"),
+        hi.cast("date").alias("hi"),
+        n.cast("bigint").alias("n"),
+        first_day.cast("date").alias("first_day"),
+    )
 
 
 def earliest_attendance(facts: DataFrame) -> DataFrame:
@@ -110,25 +108,27 @@ def attendance_windows(probes: DataFrame, wfacts: DataFrame) -> DataFrame:
     Output: event_id, user_id, attended_before, absent_before, attended_after,
     absent_after, cancelled_before, total_rows, earliest_attendance.
     """
-    p = probes.select("event_id", "user_id", "before_date", "start_date", "end_date", "after_date")
-    f = wfacts.withColumnRenamed("user_id", "f_user_id")
+    wfacts = materialize(wfacts, "member_days")
+    years = F.explode(F.sequence(F.year("before_date"), F.year("after_date"))).alias("year")
+    p = probes.select("event_id", "user_id", "before_date", "start_date", "end_date", "after_date", years)
+    dated = wfacts.where(F.col("kind") != MEMBER)
+    f = dated.select(F.col("user_id").alias("f_user_id"), F.year("hi").alias("f_year"), "kind", "lo", "hi", "n")
     in_before = (f.lo >= p.before_date) & (f.hi <= p.start_date)
     in_after = (f.lo >= p.end_date) & (f.hi <= p.after_date)
-    cond = (p.user_id == f.f_user_id) & ((f.kind == MEMBER) | in_before | in_after)
-    j = p.join(f, cond, "left")
+    j = p.join(f, (p.user_id == f.f_user_id) & (p.year == f.f_year) & (in_before | in_after), "left")
 
     def total_of(kind: int, window: Column) -> Column:
         return F.coalesce(F.sum(F.when((F.col("kind") == kind) & window, F.col("n"))), F.lit(0)).cast("bigint")
 
-    return j.groupBy(p.event_id, p.user_id).agg(
+    counts = j.groupBy(p.event_id, p.user_id).agg(
         total_of(ATTENDED, in_before).alias("attended_before"),
         total_of(ABSENT, in_before).alias("absent_before"),
         total_of(ATTENDED, in_after).alias("attended_after"),
         total_of(ABSENT, in_after).alias("absent_after"),
         total_of(CANCELLED, in_before).alias("cancelled_before"),
-        total_of(MEMBER, F.lit(True)).alias("total_rows"),
-        F.min(F.when(F.col("kind") == MEMBER, F.col("lo"))).alias("earliest_attendance"),
     )
+    member = wfacts.where(F.col("kind") == MEMBER).select("user_id", F.col("n").alias("total_rows"), F.col("first_day").alias("earliest_attendance"))
+    return counts.join(member, "user_id", "left").withColumn("total_rows", F.coalesce("total_rows", F.lit(0)))
 
 
 def dropped_before_event() -> Column:

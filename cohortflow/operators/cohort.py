@@ -113,15 +113,15 @@ def cohort_windows(
     end_date, before_date, after_date, fy.
     """
     events = event_dimension(program_event, batch_event_ids, event_types, calendar)
-    # Stored id -> canonical id, then one narrow dedup of (event, member): copies of an
-    # attendee row and one event stored under several ids collapse map-side here.
-    ids = events.select("id", "event_id")
+    return attendee_windows(event_attendees, events)
+
+
+def attendee_windows(event_attendees: DataFrame, events: DataFrame) -> DataFrame:
+    """The cohort over an event dimension: canonical id and event attributes come
+    in one join, then copies of an attendee row and one event stored under
+    several ids (which all carry the same attributes) collapse map-side."""
     attendees = event_attendees.select(F.col("event_id").alias("id"), "user_id").where(F.col("user_id").isNotNull())
-    pairs = attendees.join(ids, "id").select("event_id", "user_id").distinct()
-    # Event attributes once per canonical event (every stored id of it carries the
-    # same ones, so this also works when the batch names only a non-canonical id).
-    dims = events.drop("id").distinct()
-    return pairs.join(dims, "event_id")
+    return attendees.join(events, "id").drop("id").distinct()
 
 
 def as_of_keys(cohort: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..config import CohortRules
 from ..functions.calendar import DEFAULT_CALENDAR, AcademicCalendar
 from ..operators import asof, attendance, cohort, leadership, mentorship, per_member
+from ..sources.scratch import materialize
 from ..sources.tables import CohortInputs
 
 KEYS = ["event_id", "user_id"]
@@ -64,27 +65,27 @@ class CohortPlan:
     rules: CohortRules = field(default_factory=CohortRules)
     calendar: AcademicCalendar = DEFAULT_CALENDAR
     batch_event_ids: DataFrame | None = None
-    # Write the cohort once to the cluster's checkpoint folder (reliable
-    # checkpoint, never a local one): the profile branches then read it back
-    # instead of recomputing it, and its lineage is cut.
-    checkpoint_cohort: bool = False
-    # Explicit salting of members with more interval rows than this (None: off,
-    # AQE's skew-join split handles hot members; see `as_of`).
-    hot_rows: int | None = None
     _memo: dict = field(default_factory=dict, repr=False, compare=False)
 
     # -- building blocks -------------------------------------------------
     def cohort(self, with_type: bool = False) -> DataFrame:
-        """M0 over the batch (with the J5 type join when `with_type`)."""
-        if with_type in self._memo:
-            return self._memo[with_type]
-        i = self.inputs
-        types = i.program_event_type if with_type else None
-        rows = cohort.cohort_windows(i.event_attendees, i.program_event, self.batch_event_ids, self.calendar, types)
-        if self.checkpoint_cohort:
-            rows = rows.checkpoint(eager=True)
-        self._memo[with_type] = rows
-        return rows
+        """M0 over the batch (with the J5 type join when `with_type`), written once to
+        the shared checkpoint folder: the branches read it back instead of
+        computing it again, and its lineage is cut."""
+        key = f"cohort_{with_type}"
+        if key not in self._memo:
+            rows = cohort.attendee_windows(self.inputs.event_attendees, self.events(with_type))
+            self._memo[key] = materialize(rows, "cohort")
+        return self._memo[key]
+
+    def events(self, with_type: bool = False) -> DataFrame:
+        """The batch's event dimension (J5 type join when `with_type`), written once."""
+        key = f"events_{with_type}"
+        if key not in self._memo:
+            types = self.inputs.program_event_type if with_type else None
+            rows = cohort.event_dimension(self.inputs.program_event, self.batch_event_ids, types, self.calendar)
+            self._memo[key] = materialize(rows, "events")
+        return self._memo[key]
 
     def population(self, kind: str) -> DataFrame:
         i = self.inputs
@@ -111,9 +112,7 @@ class CohortPlan:
         if self.batch_event_ids is None:
             return None
         if "bounds" not in self._memo:
-            i = self.inputs
-            events = cohort.event_dimension(i.program_event, self.batch_event_ids, None, self.calendar)
-            self._memo["bounds"] = events.select(
+            self._memo["bounds"] = self.events().select(
                 F.struct(
                     F.min("before_date").alias("first_window_day"),
                     F.min("start_date").alias("first_probe"),
@@ -142,12 +141,9 @@ class CohortPlan:
         return asof.interval_rows(i.mentorships, i.contact_chart, kinds, leaders, span)
 
     def as_of(self, rows: DataFrame, times: dict[str, str], kinds: tuple[int, ...]) -> DataFrame:
-        """As-of metrics for cohort rows. The rows are passed straight from the
-        cohort's dedup (not from the member join), so the interval join gets a
-        planner-inserted shuffle on both sides and AQE can split a member with a
-        huge share of the interval rows; eligibility is applied when the
-        profile joins the metrics back."""
-        return asof.as_of_metrics(rows, KEYS, times, self.intervals(kinds), self.hot_rows)
+        """As-of metrics for cohort rows; eligibility is applied when the profile
+        joins the metrics back."""
+        return asof.as_of_metrics(rows, KEYS, times, self.intervals(kinds))
 
     def member_facts(self, parts: tuple[str, ...]) -> DataFrame:
         i = self.inputs
@@ -206,10 +202,9 @@ class CohortPlan:
         )
 
     def key_metrics(self, kinds: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
-        """As-of metrics per distinct (user_id, as_of) key of the cohort (keys come
-        straight from their dedup, so AQE can split the interval join)."""
+        """As-of metrics per distinct (user_id, as_of) key of the cohort."""
         keys = cohort.as_of_keys(self.cohort())
-        return keys, asof.as_of_metrics(keys, ["user_id", "as_of"], {"k": "as_of"}, self.intervals(kinds), self.hot_rows)
+        return keys, asof.as_of_metrics(keys, ["user_id", "as_of"], {"k": "as_of"}, self.intervals(kinds))
 
     def members_only(self, df: DataFrame) -> DataFrame:
         """Rows of members only (the reference's derived tables join the member table)."""

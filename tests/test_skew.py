@@ -4,6 +4,7 @@ or when one member holds a large share of the facts."""
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 
@@ -15,13 +16,12 @@ from test_bruteforce import day, expected, world
 COPIES = {"event_attendees": 40, "attendance": 60, "mentorships": 30, "contact_chart": 30, "study_schedules": 20}
 
 
-def _dataset(spark, w, hot_rows=None):
+def _dataset(spark, w):
     inputs = make_inputs(
         spark, members=[member(u) for u in range(1, 13)], org_units=[(1, "Campus", 1)],
         program_event_type=[(1, "Missions")], **w,
     )
-    plan = CohortPlan(inputs, CohortRules()) if hot_rows is None else CohortPlan(inputs, CohortRules(), hot_rows=hot_rows)
-    rows = plan.event_dataset().collect()
+    rows = CohortPlan(inputs, CohortRules()).event_dataset().collect()
     return {(r["event_name"], r["user_id"]): r.asDict() for r in rows}
 
 
@@ -64,38 +64,43 @@ def test_hot_member(spark):
     _check(_dataset(spark, w), expected(w))
 
 
-def test_hot_member_salted(spark):
-    """With a low threshold the hot member's interval rows are split over many
-    join keys (and colder members over a few): same results."""
-    w = _hot_world()
-    _check(_dataset(spark, w, hot_rows=97), expected(w))
+def test_interval_rows_are_dealt_over_the_salts(spark):
+    """A hot member's interval rows meet their probes under several join keys."""
+    from cohortflow.operators import asof
 
+    iv = spark.range(4000).selectExpr(
+        "1L AS user_id", "2 AS kind", "id AS other_id", "DATE'2015-01-01' AS start_date",
+        "CAST(NULL AS DATE) AS end_date", "CAST(NULL AS DATE) AS alive_end",
+    )
+    probes = spark.sql("SELECT 1L AS user_id, 10L AS event_id, DATE'2015-06-01' AS t")
+    out = asof.as_of_metrics(probes, ["event_id", "user_id"], {"k": "t"}, iv)
+    assert [(r.event_id, r.contacts_k) for r in out.collect()] == [(10, 4000)]
+    assert re.search(r"Join.*_salt#\d+\].*_iv_salt#\d+\]", out._jdf.queryExecution().executedPlan().toString())
 
-def test_salting_spreads_a_hot_members_rows(spark):
-    from pyspark.sql import functions as F
 
-    from cohortflow.operators.asof import _salt_hot_members
+def test_merged_intervals(spark):
+    from cohortflow.operators.asof import merged_intervals
 
-    iv = spark.range(5000).select(
-        F.when(F.col("id") < 4000, F.lit(1)).otherwise(F.col("id") % 50 + 2).cast("bigint").alias("_iv_user"),
-        F.lit(2).alias("kind"), F.col("id").alias("other_id"), F.lit(None).cast("date").alias("start_date"),
-        F.lit(None).cast("date").alias("end_date"), F.lit(None).cast("date").alias("alive_end"),
+    rows = [(1, day(0), day(10)), (1, day(5), day(20)), (1, day(20), day(25)), (1, day(40), day(41)), (1, day(60), None),
+            (1, day(70), day(71)), (1, None, day(5)), (2, day(0), None), (2, day(0), day(3)), (3, None, None)]
+    out = merged_intervals(spark.createDataFrame(rows, "k long, start_date date, end_date date"), ["k"])
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [(1, day(0), day(25)), (1, day(40), day(41)), (1, day(60), None), (2, day(0), None)], key=str
     )
-    probes = spark.createDataFrame([(1, 10), (2, 11)], "user_id bigint, event_id bigint")
-    p, salted = _salt_hot_members(probes, iv, hot_rows=500)
-    per_key = salted.groupBy("_iv_user", "_iv_salt").count()
-    hot = per_key.where("_iv_user = 1")
-    assert hot.count() == 8  # ceil(4000 / 500) join keys for the hot member
-    assert hot.agg(F.max("count")).first()[0] < 4000 / 4
-    assert per_key.where("_iv_user != 1").agg(F.max("_iv_salt")).first()[0] == 0
-    assert sorted((r.user_id, r._salt) for r in p.collect()) == [(1, s) for s in range(8)] + [(2, 0)]
 
 
-def test_aqe_splits_the_interval_join_for_a_hot_member(spark):
-    """The interval join has planner-inserted shuffles on both sides, so AQE's
-    skew-join split applies (thresholds lowered to this fixture's size)."""
-    import re
+def test_hot_member_with_repeated_ids_splits_the_attendance_join(spark):
+    """One member holds over a third of the attendance rows and repeats ids over many days:
+    the year-keyed join is split, and the counts stay exact."""
+    w = _hot_world()
+    r = random.Random(5)
+    w["attendance"] = w["attendance"] + [(r.randrange(0, 12), 1, r.randrange(100, 142), r.choice([0, 1])) for _ in range(4000)]
+    _check(_dataset(spark, w), expected(w))
+
 
+def test_aqe_splits_the_interval_join_for_a_hot_member(spark):
+    """AQE's skew-join split applies to the salted interval join without any forcing
+    setting (thresholds lowered to this fixture's size)."""
     w = _hot_world()
     r = random.Random(3)
     w["contact_chart"] = w["contact_chart"] + [
@@ -106,6 +111,7 @@ def test_aqe_splits_the_interval_join_for_a_hot_member(spark):
         program_event_type=[(1, "Missions")], **w,
     )
     conf = {
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
@@ -122,5 +128,5 @@ def test_aqe_splits_the_interval_join_for_a_hot_member(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert re.search(r"SortMergeJoin\(skew=true\) \[user_id#\d+L\], \[_iv_user#\d+L\]", plan)
+    assert re.search(r"SortMergeJoin\(skew=true\) \[user_id#\d+L, _salt#\d+\], \[_iv_user#\d+L, _iv_salt#\d+\]", plan)
     _check(got, expected(w))
