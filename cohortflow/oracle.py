@@ -1,31 +1,15 @@
 """DuckDB SQL for every query unit: the correctness oracle.
 
-Written independently of the Spark plans, in the reference's own naive shape:
-per-event queries become one query over all cohort rows, but the joins stay
-as written there (attendance x sessions x mentorships x outcomes, then
-COUNT(DISTINCT); the three-way mentorship self-join; derived tables per
-as-of date). The driver tables are pre-registered views; the adapters of
-FIXTURES.md (section B) are the CTEs below.
+Written from the rules of SURVEY 2.11, with every constant spelt out here, so
+a wrong constant or rule in the package shows. Its building blocks are facts
+and flags, not the package's reductions: one row per (event, member,
+attendance id) with a flag per window, then sums; EXISTS and NOT EXISTS over
+edges for every state at a date. The driver tables are pre-registered views;
+the adapters of FIXTURES.md (section B) are the first CTEs.
 """
 
 from __future__ import annotations
 
-from .config import FIXTURE_RULES
-from .functions.calendar import ACADEMIC_CALENDAR
-from .functions.decode import EVENT_TYPE_NAMES, SCHOOL_YEAR_LABELS
-
-_EXCL_REGIONS = ", ".join(str(x) for x in FIXTURE_RULES.excluded_regions)
-_EXCL_ROLES = ", ".join(str(x) for x in FIXTURE_RULES.excluded_roles)
-_YEARS = ", ".join(str(x) for x in FIXTURE_RULES.school_years)
-_TYPE_VALUES = ", ".join(f"({k}, '{v}')" for k, v in EVENT_TYPE_NAMES.items())
-_YEAR_CASE = "CASE m.school_year_id " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in SCHOOL_YEAR_LABELS.items()) + " END"
-# outcome code -> label: 1 -> '1', 0 -> '0', anything else -> null
-_OUTCOME = "CASE WHEN {c} IN (0, 1) THEN CAST({c} AS VARCHAR) END"
-_ELIGIBLE = (
-    f"ou.region_id NOT IN ({_EXCL_REGIONS}) AND m.user_role_type_id NOT IN ({_EXCL_ROLES}) "
-    f"AND m.school_year_id IN ({_YEARS})"
-)
-
 
 def _plus_days(expr: str, n: int) -> str:
     return f"CAST(CAST({expr} AS DATE) + INTERVAL {n} DAY AS DATE)"
@@ -33,244 +17,258 @@ def _plus_days(expr: str, n: int) -> str:
 
 _MONTH0 = "CAST(date_trunc('month', o_orderdate) AS DATE)"
 
+# The written date form of an order, by o_orderkey % 9.
+_FORMS = ["%-m/%-d/%Y", "%Y-%m-%d", "%-m/%-d/%y", "%-m-%-d-%Y", "%-m/%-d/%Y 0:00", "%Y-%m-%d 00:00:00", "%Y-%m-%dT00:00:00", "%b %-d, %Y", "%-d %b %Y"]
+
+
+def _written(day: str) -> str:
+    return "CASE o_orderkey % 9 " + " ".join(f"WHEN {i} THEN strftime({day}, '{form}')" for i, form in enumerate(_FORMS)) + " END"
+
+
 ADAPTERS = f"""
 members AS (
-  SELECT c.c_custkey AS id, c.c_name AS first_name, c.c_mktsegment AS last_name,
-         CAST(CASE WHEN c.c_custkey % 23 = 0 THEN NULL ELSE 1 + c.c_custkey % 7 END AS INTEGER) AS school_year_id,
-         CAST(c.c_nationkey AS BIGINT) AS campus_id,
-         CAST(CASE WHEN c.c_custkey % 29 = 0 THEN NULL ELSE 1 + c.c_custkey % 8 END AS INTEGER) AS user_role_type_id,
-         ev.last_login
-  FROM customer c LEFT JOIN (SELECT user_id, max(ts) AS last_login FROM events GROUP BY user_id) ev
-    ON ev.user_id = c.c_custkey
+  SELECT c_custkey AS id, c_name AS first_name, c_mktsegment AS last_name,
+         CAST(CASE WHEN c_custkey % 23 <> 0 THEN 1 + c_custkey % 7 END AS INTEGER) AS school_year_id,
+         CAST(c_nationkey AS BIGINT) AS campus_id,
+         CAST(CASE WHEN c_custkey % 29 <> 0 THEN 1 + c_custkey % 8 END AS INTEGER) AS user_role_type_id,
+         (SELECT max(ts) FROM events WHERE events.user_id = c_custkey) AS last_login
+  FROM customer
 ),
 org_units AS (
   SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, CAST(n_regionkey AS INTEGER) AS region_id FROM nation
 ),
 registrations AS (
-  SELECT CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE o_custkey END AS user_id,
-         CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE o_orderpriority END AS event,
+  SELECT CASE WHEN o_orderkey % 41 <> 0 THEN o_custkey END AS user_id,
+         CASE WHEN o_orderkey % 53 <> 0 THEN o_orderpriority END AS event,
          {_MONTH0} AS start_date,
-         CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE {_plus_days(_MONTH0, 3)} END AS end_date
+         CASE WHEN o_orderkey % 37 <> 0 THEN {_plus_days(_MONTH0, 3)} END AS end_date
   FROM orders
 ),
 registrations_raw AS (
-  SELECT CAST(CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE o_custkey END AS DOUBLE) AS member_id,
+  SELECT CAST(CASE WHEN o_orderkey % 41 <> 0 THEN o_custkey END AS DOUBLE) AS member_id,
          CASE WHEN o_orderkey % 53 = 0 THEN NULL
               WHEN o_orderkey % 61 = 0 THEN o_orderpriority || ' CANCELLED'
               WHEN o_orderkey % 67 = 0 THEN o_orderpriority || ' été'
               ELSE o_orderpriority END AS event,
-         CASE WHEN o_orderkey % 71 = 0 THEN 'TBD'
-              WHEN o_orderkey % 2 = 0 THEN strftime({_MONTH0}, '%-m/%-d/%Y')
-              ELSE strftime({_MONTH0}, '%Y-%m-%d') END AS start_date,
-         CASE WHEN o_orderkey % 37 = 0 THEN NULL
-              WHEN o_orderkey % 2 = 0 THEN strftime({_plus_days(_MONTH0, 3)}, '%-m/%-d/%Y')
-              ELSE strftime({_plus_days(_MONTH0, 3)}, '%Y-%m-%d') END AS end_date
+         CASE WHEN o_orderkey % 71 = 0 THEN 'TBD' ELSE {_written(_MONTH0)} END AS start_date,
+         CASE WHEN o_orderkey % 37 <> 0 THEN {_written(_plus_days(_MONTH0, 3))} END AS end_date
   FROM orders
 ),
 program_event AS (
-  SELECT CAST(row_number() OVER (ORDER BY event, start_date, end_date) AS BIGINT) AS id, event AS name,
-         CAST(substr(event, 1, 1) AS INTEGER) AS type_id, start_date, end_date
-  FROM (SELECT DISTINCT event, start_date, end_date FROM registrations
-        WHERE event IS NOT NULL AND start_date IS NOT NULL AND end_date IS NOT NULL) d
+  SELECT CAST(rank() OVER (ORDER BY event, start_date, end_date) AS BIGINT) AS id, event AS name,
+         CAST(left(event, 1) AS INTEGER) AS type_id, start_date, end_date
+  FROM registrations
+  WHERE event IS NOT NULL AND start_date IS NOT NULL AND end_date IS NOT NULL
+  GROUP BY event, start_date, end_date
 ),
 program_event_type AS (
-  SELECT CAST(t.id AS INTEGER) AS id, coalesce(n.name, 'Type ' || CAST(t.id AS VARCHAR)) AS name
-  FROM (SELECT DISTINCT type_id AS id FROM program_event WHERE type_id IS NOT NULL) t
-  LEFT JOIN (VALUES {_TYPE_VALUES}) n(nid, name) ON n.nid = t.id
+  SELECT DISTINCT type_id AS id,
+         CASE type_id WHEN 1 THEN 'Missions' WHEN 3 THEN 'Spiritual Impact Bootcamp' WHEN 4 THEN 'Summer Projects'
+              WHEN 5 THEN 'Fathers House' WHEN 6 THEN 'SEEK' WHEN 7 THEN 'NST' WHEN 8 THEN 'SLS'
+              ELSE 'Type ' || type_id END AS name
+  FROM program_event WHERE type_id IS NOT NULL
 ),
 event_attendees AS (
-  SELECT DISTINCT E.id AS event_id, R.user_id
-  FROM registrations R JOIN program_event E ON E.name = R.event AND E.start_date = R.start_date
-  WHERE R.user_id IS NOT NULL
+  SELECT DISTINCT e.id AS event_id, r.user_id
+  FROM registrations r JOIN program_event e ON (e.name, e.start_date) = (r.event, r.start_date)
+  WHERE r.user_id IS NOT NULL
 ),
 sessions AS (
   SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS date,
-         CASE WHEN o_orderstatus = 'P' THEN 1 END AS cancel_reason_id
+         CASE WHEN o_orderstatus = 'P' OR o_custkey % 40 = 7 THEN 1 END AS cancel_reason_id
   FROM orders
 ),
 attendance AS (
-  SELECT l_orderkey * 10 + l_linenumber AS id, o_custkey AS user_id, l_orderkey AS session_id,
-         CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS attended
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN -10 * o_custkey ELSE 10 * l_orderkey END + l_linenumber AS id,
+         CASE WHEN NOT (o_custkey % 40 = 7 AND l_orderkey % 8 <> 0) THEN o_custkey END AS user_id,
+         l_orderkey AS session_id, CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS attended
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
 mentorships AS (
-  SELECT o_orderkey AS id, o_custkey AS user_id, CAST(floor(o_custkey / 10) AS BIGINT) AS parent_user_id,
+  SELECT o_orderkey AS id,
+         CASE WHEN NOT (o_custkey % 4 = 1 OR o_orderkey % 43 = 0) THEN o_custkey END AS user_id,
+         CASE WHEN NOT (o_custkey < 10 OR o_custkey % 7 = 3) THEN CAST(o_custkey // 10 AS BIGINT) END AS parent_user_id,
          CAST(o_orderdate AS DATE) AS start_date,
-         CASE WHEN o_orderstatus = 'O' THEN NULL ELSE {_plus_days('o_orderdate', 365)} END AS end_date
-  FROM orders WHERE o_orderpriority = '1-URGENT' AND o_custkey >= 10
+         CASE WHEN o_orderstatus <> 'O' THEN {_plus_days('o_orderdate', 365)} END AS end_date
+  FROM orders
 ),
 outreach_outcomes AS (
-  SELECT o_custkey AS user_id, CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 0 END AS outcome
-  FROM orders WHERE o_orderpriority = '5-LOW' AND o_custkey % 3 <> 0
+  SELECT CASE WHEN o_custkey % 3 <> 0 THEN o_custkey END AS user_id,
+         CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS outcome
+  FROM orders
 ),
 study_groups AS (
-  SELECT o_orderkey AS id, o_custkey AS leader_id, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS deleted
-  FROM orders WHERE o_orderpriority = '2-HIGH'
+  SELECT o_orderkey AS id, CASE WHEN o_custkey % 3 = 1 THEN o_custkey END AS leader_id,
+         CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS deleted
+  FROM orders
 ),
 study_schedules AS (
   SELECT l_orderkey AS study_id, CAST(l_shipdate AS DATE) AS study_start_date,
-         CASE WHEN l_linestatus = 'O' THEN NULL ELSE {_plus_days('l_shipdate', 365)} END AS study_end_date,
+         CASE WHEN l_linestatus <> 'O' THEN {_plus_days('l_shipdate', 365)} END AS study_end_date,
          CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END AS is_latest
   FROM lineitem
 ),
 contact_chart AS (
-  SELECT o_custkey AS chart_owner_id, l_partkey AS chart_member_id, CAST(l_shipdate AS DATE) AS start_date,
-         CASE WHEN l_linestatus = 'O' THEN NULL ELSE {_plus_days('l_shipdate', 365)} END AS end_date
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity <= 10
+  SELECT CASE WHEN o_custkey % 5 <> 2 THEN o_custkey END AS chart_owner_id,
+         CASE WHEN l_partkey % 19 <> 0 THEN l_partkey END AS chart_member_id, CAST(l_shipdate AS DATE) AS start_date,
+         CASE WHEN l_linestatus <> 'O' THEN {_plus_days('l_shipdate', 365)} END AS end_date
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 )"""
 
+# Academic windows: the first month of the pre-window by the event's first month, and of the
+# post-window's end by its last month, each with the years to add; the fiscal year turns in June.
+WINDOWS = """
+event_windows AS (
+  SELECT id AS event_id, name AS event_name, type_id, start_date, end_date,
+         make_date(CAST(year(start_date) - CASE WHEN month(start_date) <= 4 THEN 1 ELSE 0 END AS BIGINT),
+                   CASE WHEN month(start_date) IN (1, 2, 12) THEN 9 WHEN month(start_date) = 3 THEN 10
+                        WHEN month(start_date) = 4 THEN 11 WHEN month(start_date) <= 9 THEN 2
+                        WHEN month(start_date) = 10 THEN 3 ELSE 4 END, 1) AS before_date,
+         make_date(CAST(year(end_date) + CASE WHEN month(end_date) >= 9 THEN 1 ELSE 0 END AS BIGINT),
+                   CASE WHEN month(end_date) <= 2 THEN 10 WHEN month(end_date) = 3 THEN 11 WHEN month(end_date) <= 8 THEN 12
+                        WHEN month(end_date) = 9 THEN 2 WHEN month(end_date) = 10 THEN 3 WHEN month(end_date) = 11 THEN 4
+                        ELSE 5 END, 1) AS after_date,
+         CAST(year(end_date + INTERVAL 7 MONTH) AS INTEGER) AS fy
+  FROM program_event
+)"""
 
-# The academic calendar as a relation built from the one fixed table.
-_CALENDAR_VALUES = ", ".join(f"({m}, {', '.join(str(x) for x in row)})" for m, row in ACADEMIC_CALENDAR.items())
-CALENDAR = f"""
-calendar(month, b_dy, b_month, a_dy, a_month, fy_dy) AS (VALUES {_CALENDAR_VALUES})"""
-
-
-def _windowed(events: str, alias: str) -> str:
-    """FROM-clause fragment: `events` with the calendar rows of its start and end months."""
-    return (
-        f"{events} {alias} JOIN calendar CS ON CS.month = month({alias}.start_date) "
-        f"JOIN calendar CE ON CE.month = month({alias}.end_date)"
-    )
-
-
-_BEFORE = "make_date(CAST(year({a}.start_date) + CS.b_dy AS BIGINT), CS.b_month, 1)"
-_AFTER = "make_date(CAST(year({a}.end_date) + CE.a_dy AS BIGINT), CE.a_month, 1)"
-_FY = "CAST(year({a}.end_date) + CE.fy_dy AS INTEGER)"
-
-
-COHORT = f"""
+COHORT = """
 cohort AS (
-  SELECT ea.event_id, ea.user_id, ev.name AS event_name, ev.type_id, ev.start_date, ev.end_date,
-         {_BEFORE.format(a='ev')} AS before_date, {_AFTER.format(a='ev')} AS after_date, {_FY.format(a='ev')} AS fy
-  FROM event_attendees ea JOIN {_windowed('program_event', 'ev')} ON ev.id = ea.event_id
+  SELECT user_id, event_windows.* FROM event_attendees JOIN event_windows USING (event_id)
 ),
 keys AS (
-  SELECT user_id, start_date AS t FROM cohort UNION SELECT user_id, after_date AS t FROM cohort
+  SELECT DISTINCT user_id, unnest([start_date, after_date]) AS t FROM cohort
 ),
-first_attended AS (
-  SELECT a.user_id, min(s.date) AS first_day
-  FROM attendance a JOIN sessions s ON s.id = a.session_id AND s.cancel_reason_id IS NULL
-  WHERE a.attended = 1
-  GROUP BY a.user_id
+cards AS (
+  SELECT members.id AS user_id, first_name AS first, last_name AS last,
+         CASE WHEN school_year_id BETWEEN 1 AND 6
+              THEN ['Freshman', 'Sophomore', 'Junior', 'Senior', 'Senior+', 'Grad Student'][school_year_id] END AS year,
+         org_units.name AS campus, region_id, last_login,
+         user_role_type_id NOT IN (4, 6) AS role_fits,
+         region_id <> 2 AND user_role_type_id NOT IN (4, 6) AND school_year_id BETWEEN 1 AND 6 AS eligible
+  FROM members JOIN org_units ON campus_id = org_units.id
 ),
-first_mentored AS (
-  SELECT user_id, min(start_date) AS first_day FROM mentorships WHERE user_id IS NOT NULL GROUP BY user_id
+facts AS (
+  SELECT a.user_id, a.id, a.attended, s.date, s.cancel_reason_id IS NOT NULL AS cancelled
+  FROM attendance a LEFT JOIN sessions s ON s.id = a.session_id
+  WHERE a.user_id IS NOT NULL
 ),
-first_led AS (
-  SELECT g.leader_id AS user_id, min(sc.study_start_date) AS first_day
-  FROM study_groups g JOIN study_schedules sc ON sc.study_id = g.id
-  WHERE g.leader_id IS NOT NULL
-  GROUP BY g.leader_id
+sightings AS (
+  SELECT event_id, user_id, id, attended,
+         bool_or(date BETWEEN before_date AND start_date) AS in_before, bool_or(date BETWEEN end_date AND after_date) AS in_after
+  FROM cohort JOIN facts USING (user_id)
+  WHERE NOT cancelled AND id IS NOT NULL
+  GROUP BY event_id, user_id, id, attended
 ),
-mentor_at AS (
-  SELECT k.user_id, k.t, min(e.start_date) AS first_day,
-         count(DISTINCT e.user_id) FILTER (WHERE e.start_date <= k.t AND coalesce(e.end_date >= k.t, true)) AS active
-  FROM keys k JOIN mentorships e ON e.parent_user_id = k.user_id
-  WHERE EXISTS (SELECT 1 FROM members m WHERE m.id = k.user_id)
-  GROUP BY k.user_id, k.t
+counts AS (
+  SELECT event_id, user_id,
+         count(*) FILTER (in_before AND attended = 1) AS came_before, count(*) FILTER (in_before AND attended = 0) AS missed_before,
+         count(*) FILTER (in_after AND attended = 1) AS came_after, count(*) FILTER (in_after AND attended = 0) AS missed_after
+  FROM sightings GROUP BY event_id, user_id
 ),
-second_gen AS (
-  SELECT k.user_id, k.t, CAST(max(CASE WHEN grand.user_id IS NULL THEN 0 ELSE 1 END) AS INTEGER) AS flag
-  FROM keys k
-  JOIN mentorships own ON own.user_id = k.user_id
-  LEFT JOIN mentorships child ON child.parent_user_id = own.user_id
-  LEFT JOIN mentorships grand ON grand.parent_user_id = child.user_id
-  WHERE coalesce(own.end_date >= k.t, true) AND coalesce(child.end_date >= k.t, true)
-    AND coalesce(grand.end_date >= k.t, true)
-  GROUP BY k.user_id, k.t
+all_called_off AS (
+  SELECT event_id, user_id FROM cohort JOIN facts USING (user_id)
+  GROUP BY event_id, user_id
+  HAVING bool_and(coalesce(cancelled AND date BETWEEN before_date AND start_date, false))
 ),
-chart_at AS (
-  SELECT k.user_id, k.t, count(DISTINCT ch.chart_member_id) AS members, max(ch.start_date) AS latest
-  FROM keys k
-  JOIN contact_chart ch ON ch.chart_owner_id = k.user_id AND ch.start_date <= k.t AND coalesce(ch.end_date >= k.t, true)
-  WHERE EXISTS (SELECT 1 FROM members m WHERE m.id = k.user_id)
-  GROUP BY k.user_id, k.t
+member_dates AS (
+  SELECT id AS user_id,
+         (SELECT min(date) FROM facts WHERE facts.user_id = members.id AND attended = 1 AND NOT cancelled) AS first_came,
+         (SELECT min(start_date) FROM mentorships WHERE mentorships.user_id = members.id) AS first_mentored,
+         (SELECT min(start_date) FROM mentorships WHERE parent_user_id = members.id) AS first_mentor,
+         (SELECT min(study_start_date) FROM study_schedules WHERE study_id IN (SELECT g.id FROM study_groups g WHERE g.leader_id = members.id)) AS first_led,
+         (SELECT CAST(max(outcome) AS VARCHAR) FROM outreach_outcomes o WHERE o.user_id = members.id) AS outcome
+  FROM members
 ),
-mentees_alive AS MATERIALIZED (
-  SELECT k.user_id, k.t, e.user_id AS mentee
-  FROM keys k JOIN mentorships e ON e.parent_user_id = k.user_id AND coalesce(e.end_date >= k.t, true)
-  WHERE EXISTS (SELECT 1 FROM members m WHERE m.id = k.user_id)
+mentored AS (
+  SELECT user_id, t, EXISTS (FROM mentorships e WHERE e.user_id = keys.user_id AND e.start_date <= t AND (e.end_date IS NULL OR e.end_date > t)) AS yes
+  FROM keys
 ),
-leader_spans AS MATERIALIZED (
-  SELECT g.leader_id, sc.study_start_date AS from_day, sc.study_end_date AS to_day
-  FROM study_groups g JOIN study_schedules sc ON sc.study_id = g.id
-  WHERE g.deleted = 0 AND sc.is_latest = 1 AND EXISTS (SELECT 1 FROM members m WHERE m.id = g.leader_id)
+mentees AS (
+  SELECT user_id, t, first_mentor,
+         (SELECT count(DISTINCT e.user_id) FROM mentorships e
+          WHERE e.parent_user_id = keys.user_id AND t BETWEEN e.start_date AND coalesce(e.end_date, t)) AS active
+  FROM keys JOIN member_dates USING (user_id)
+  WHERE EXISTS (FROM mentorships e WHERE e.parent_user_id = keys.user_id)
 ),
-chain_at AS (
-  SELECT ma.user_id, ma.t, count(DISTINCT l.leader_id) AS leaders
-  FROM mentees_alive ma
-  JOIN leader_spans l ON l.leader_id = ma.mentee AND l.from_day <= ma.t AND coalesce(l.to_day >= ma.t, true)
-  GROUP BY ma.user_id, ma.t
+lines AS (  -- of every key: is the own mentorship alive, are there mentee edges, and what live mentees lead to
+  SELECT user_id, t,
+         EXISTS (FROM mentorships e WHERE e.user_id = keys.user_id AND coalesce(e.end_date, t) >= t) AS own_alive,
+         EXISTS (FROM mentorships e WHERE e.parent_user_id = keys.user_id) AS mentors,
+         EXISTS (FROM mentorships e JOIN mentorships g ON g.parent_user_id = e.user_id
+                 WHERE e.parent_user_id = keys.user_id AND coalesce(e.end_date, t) >= t AND coalesce(g.end_date, t) >= t
+                   AND g.user_id IS NOT NULL) AS has_grand,
+         EXISTS (FROM mentorships e WHERE e.parent_user_id = keys.user_id AND coalesce(e.end_date, t) >= t
+                   AND NOT EXISTS (FROM mentorships g WHERE g.parent_user_id = e.user_id)) AS childless,
+         EXISTS (FROM mentorships e JOIN mentorships g ON g.parent_user_id = e.user_id
+                 WHERE e.parent_user_id = keys.user_id AND coalesce(e.end_date, t) >= t AND coalesce(g.end_date, t) >= t
+                   AND g.user_id IS NULL) AS unnamed_grand
+  FROM keys
+),
+second_gen AS (
+  SELECT user_id, t, CASE WHEN NOT mentors THEN 0 WHEN has_grand THEN 1 WHEN childless OR unnamed_grand THEN 0 END AS flag
+  FROM lines WHERE own_alive
 ),
-outcome_of AS (
-  SELECT user_id, max({_OUTCOME.format(c='outcome')}) AS label FROM outreach_outcomes WHERE user_id IS NOT NULL GROUP BY user_id
+charts AS (
+  SELECT keys.user_id, t, count(DISTINCT chart_member_id) AS people, max(start_date) AS latest
+  FROM keys JOIN contact_chart ON chart_owner_id = keys.user_id AND t BETWEEN start_date AND coalesce(end_date, t)
+  WHERE keys.user_id IN (SELECT id FROM members)
+  GROUP BY keys.user_id, t
+),
+led_spans AS (
+  SELECT DISTINCT leader_id, study_start_date AS from_day, study_end_date AS to_day
+  FROM study_groups JOIN study_schedules ON study_id = study_groups.id
+  WHERE deleted = 0 AND is_latest = 1 AND leader_id IN (SELECT id FROM members)
+),
+followers AS (
+  SELECT DISTINCT keys.user_id, t, e.user_id AS mentee
+  FROM keys JOIN mentorships e ON e.parent_user_id = keys.user_id AND coalesce(e.end_date, t) >= t
+  WHERE keys.user_id IN (SELECT id FROM members)
+),
+chains AS (
+  SELECT user_id, t, count(*) AS leaders FROM followers
+  WHERE EXISTS (FROM led_spans WHERE leader_id = mentee AND t BETWEEN from_day AND coalesce(to_day, t))
+  GROUP BY user_id, t
 )"""
 
-# Pre-event profile in the naive shape: facts joined to every cohort row, the
-# cancel test after the left joins, then distinct counts.
-P1 = f"""
+# Pre-event profile: the role rule only; a member whose rows are all called off inside the window drops out.
+P1 = """
 p1 AS (
-  SELECT c.event_id, c.event_name, ty.name AS event_type, c.start_date, c.end_date, m.id AS user_id,
-         m.first_name AS first, m.last_name AS last, {_YEAR_CASE} AS year, ou.name AS campus,
-         fa.first_day AS earliest_BSA,
-         count(DISTINCT a.id) FILTER (WHERE a.attended = 1 AND s.id IS NOT NULL) AS count_BSAtt,
-         count(DISTINCT a.id) FILTER (WHERE a.attended = 0 AND s.id IS NOT NULL) AS count_BSAb,
-         CAST(bool_or(mt.start_date IS NOT NULL) AS INTEGER) AS Was_D_at_start,
-         max({_OUTCOME.format(c='o.outcome')}) AS GP_outcome
-  FROM cohort c
-  JOIN members m ON m.id = c.user_id
-  JOIN org_units ou ON ou.id = m.campus_id
-  JOIN program_event_type ty ON ty.id = c.type_id
-  LEFT JOIN attendance a ON a.user_id = m.id
-  LEFT JOIN sessions s ON s.id = a.session_id AND s.date BETWEEN c.before_date AND c.start_date
-  LEFT JOIN mentorships mt ON mt.user_id = m.id AND mt.start_date <= c.start_date AND coalesce(mt.end_date > c.start_date, true)
-  LEFT JOIN outreach_outcomes o ON o.user_id = m.id
-  LEFT JOIN first_attended fa ON fa.user_id = m.id
-  WHERE m.user_role_type_id NOT IN ({_EXCL_ROLES}) AND s.cancel_reason_id IS NULL
-  GROUP BY c.event_id, c.event_name, ty.name, c.start_date, c.end_date, m.id, m.first_name, m.last_name,
-           m.school_year_id, ou.name, fa.first_day
+  SELECT event_id, event_name, ty.name AS event_type, start_date, end_date, user_id, first, last, year, campus,
+         first_came AS earliest_BSA, coalesce(came_before, 0) AS count_BSAtt, coalesce(missed_before, 0) AS count_BSAb,
+         CAST(mentored.yes AS INTEGER) AS Was_D_at_start, outcome AS GP_outcome
+  FROM cohort
+  JOIN cards USING (user_id) JOIN member_dates USING (user_id)
+  JOIN program_event_type ty ON ty.id = type_id
+  JOIN mentored ON mentored.user_id = cohort.user_id AND mentored.t = start_date
+  LEFT JOIN counts USING (event_id, user_id)
+  WHERE role_fits AND NOT EXISTS (FROM all_called_off x WHERE x.event_id = cohort.event_id AND x.user_id = cohort.user_id)
 )"""
 
-# Post-event profile: the cancel test sits in the session join.
-P2 = f"""
+# Post-event profile: all three rules, nobody drops out.
+P2 = """
 p2 AS (
-  SELECT c.event_id, m.id AS user_id, fa.first_day AS earliest_BS_atten2,
-         count(DISTINCT a.id) FILTER (WHERE a.attended = 1 AND s.id IS NOT NULL) AS Attended2,
-         count(DISTINCT a.id) FILTER (WHERE a.attended = 0 AND s.id IS NOT NULL) AS Absent2,
-         CAST(bool_or(mt.start_date IS NOT NULL) AS INTEGER) AS Was_D_3_mo_After2,
-         max({_OUTCOME.format(c='o.outcome')}) AS GP_outcome_post2
-  FROM cohort c
-  JOIN members m ON m.id = c.user_id
-  JOIN org_units ou ON ou.id = m.campus_id
-  LEFT JOIN attendance a ON a.user_id = m.id
-  LEFT JOIN sessions s ON s.id = a.session_id AND s.date BETWEEN c.end_date AND c.after_date
-       AND s.cancel_reason_id IS NULL
-  LEFT JOIN mentorships mt ON mt.user_id = m.id AND mt.start_date <= c.after_date AND coalesce(mt.end_date > c.after_date, true)
-  LEFT JOIN outreach_outcomes o ON o.user_id = m.id
-  LEFT JOIN first_attended fa ON fa.user_id = m.id
-  WHERE {_ELIGIBLE}
-  GROUP BY c.event_id, m.id, fa.first_day
+  SELECT event_id, user_id, first_came AS earliest_BS_atten2, coalesce(came_after, 0) AS Attended2,
+         coalesce(missed_after, 0) AS Absent2, CAST(mentored.yes AS INTEGER) AS Was_D_3_mo_After2, outcome AS GP_outcome_post2
+  FROM cohort
+  JOIN cards USING (user_id) JOIN member_dates USING (user_id)
+  JOIN mentored ON mentored.user_id = cohort.user_id AND mentored.t = after_date
+  LEFT JOIN counts USING (event_id, user_id)
+  WHERE eligible
 )"""
 
 
-def _leadership(name: str, t: str, cols: list[str]) -> str:
-    c = cols
+def _leadership(name: str, day: str, cols: list[str]) -> str:
+    values = ["first_mentored", "first_led", "mentees.first_mentor", "people", "latest", "leaders", "active", "flag", "last_login"]
+    listed = ", ".join(f'{value} AS "{col}"' for value, col in zip(values, cols))
+    states = " ".join(
+        f"LEFT JOIN {state} ON {state}.user_id = cohort.user_id AND {state}.t = {day}" for state in ("mentees", "charts", "chains", "second_gen")
+    )
     return f"""
 {name} AS (
-  SELECT c.event_id, m.id AS user_id, fm.first_day AS {c[0]}, fl.first_day AS {c[1]}, mr.first_day AS {c[2]},
-         ch.members AS "{c[3]}", ch.latest AS {c[4]}, cn.leaders AS {c[5]}, mr.active AS {c[6]},
-         sg.flag AS {c[7]}, m.last_login AS {c[8]}
-  FROM cohort c
-  JOIN members m ON m.id = c.user_id
-  JOIN org_units ou ON ou.id = m.campus_id
-  LEFT JOIN first_mentored fm ON fm.user_id = m.id
-  LEFT JOIN first_led fl ON fl.user_id = m.id
-  LEFT JOIN mentor_at mr ON mr.user_id = m.id AND mr.t = c.{t}
-  LEFT JOIN chart_at ch ON ch.user_id = m.id AND ch.t = c.{t}
-  LEFT JOIN chain_at cn ON cn.user_id = m.id AND cn.t = c.{t}
-  LEFT JOIN second_gen sg ON sg.user_id = m.id AND sg.t = c.{t}
-  WHERE {_ELIGIBLE}
+  SELECT event_id, cohort.user_id, {listed}
+  FROM cohort JOIN cards ON cards.user_id = cohort.user_id JOIN member_dates d ON d.user_id = cohort.user_id {states}
+  WHERE eligible
 )"""
 
 
@@ -283,23 +281,32 @@ L2 = _leadership("l2", "after_date", L2_COLS)
 
 
 def _with(*ctes: str) -> str:
-    return "WITH " + ",".join([ADAPTERS, CALENDAR, *ctes])
+    return "WITH " + ",".join([ADAPTERS, *ctes])
+
+
+def _parsed(col: str) -> str:
+    """The accepted written forms, by shape; a clock time behind the date is cut off first."""
+    day = f"regexp_replace(trim({col}), '[ T][0-9]{{1,2}}:[0-9]{{2}}(:[0-9]{{2}}([.][0-9]+)?)?$', '')"
+    number, same = "[0-9]{1,2}", f"replace({day}, '-', '/')"
+    long_forms = f"coalesce(try_strptime({same}, '%m/%d/%Y'), try_strptime({same}, '%d/%m/%Y'))"
+    short_forms = f"coalesce(try_strptime({same}, '%m/%d/%y'), try_strptime({same}, '%d/%m/%y'))"
+    names = f"coalesce(try_strptime({day}, '%b %d, %Y'), try_strptime({day}, '%B %d, %Y'), try_strptime({day}, '%d %b %Y'), try_strptime({day}, '%d %B %Y'))"
+    return (
+        f"CAST(CASE WHEN regexp_full_match({day}, '{number}/{number}/[0-9]{{4}}|{number}-{number}-[0-9]{{4}}') THEN {long_forms} "
+        f"WHEN regexp_full_match({day}, '{number}/{number}/[0-9]{{2}}|{number}-{number}-[0-9]{{2}}') THEN {short_forms} "
+        f"WHEN regexp_full_match({day}, '[0-9]{{4}}-{number}-{number}') THEN try_strptime({day}, '%Y-%m-%d') "
+        f"ELSE {names} END AS DATE)"
+    )
 
 
-_PARSE = (
-    "CAST(coalesce(try_strptime(trim({c}), '%m/%d/%Y'), try_strptime(trim({c}), '%Y-%m-%d'), "
-    "try_strptime(trim({c}), '%d/%m/%Y')) AS DATE)"
-)
 PARSED = f"""
 parsed AS (
-  SELECT CAST(member_id AS BIGINT) AS user_id, event,
-         {_PARSE.format(c='start_date')} AS start_date, {_PARSE.format(c='end_date')} AS end_date,
+  SELECT CAST(member_id AS BIGINT) AS user_id, event, {_parsed('start_date')} AS start_date, {_parsed('end_date')} AS end_date,
          start_date AS start_text, end_date AS end_text
   FROM registrations_raw
 ),
 parsed_flagged AS (
-  SELECT *, ((start_text IS NOT NULL AND trim(start_text) <> '' AND start_date IS NULL)
-          OR (end_text IS NOT NULL AND trim(end_text) <> '' AND end_date IS NULL)) AS rejected
+  SELECT *, coalesce(trim(start_text) <> '' AND start_date IS NULL, false) OR coalesce(trim(end_text) <> '' AND end_date IS NULL, false) AS rejected
   FROM parsed
 ),
 batch AS (
@@ -308,113 +315,93 @@ batch AS (
 )"""
 
 _LEAD_SELECT = ", ".join(f'{a}."{c}"' for a, cols in (("l1", L1_COLS), ("l2", L2_COLS)) for c in cols)
+_STATES = (WINDOWS, COHORT)
+
+# The event store after the batch, with the early part (before the split day) numbered first.
+STORE = """
+store AS (
+  SELECT event, start_date, end_date,
+         CAST(row_number() OVER (ORDER BY start_date >= DATE '1998-01-01', event, start_date, end_date) AS BIGINT) AS id
+  FROM batch
+)"""
 
 ORACLE_SQL: dict[str, str] = {
     "registration_summary": _with(PARSED) + """
-SELECT 'raw_rows' AS metric, count(*) AS value FROM parsed_flagged
-UNION ALL SELECT 'rejected_rows', count(*) FILTER (WHERE rejected) FROM parsed_flagged
-UNION ALL SELECT 'unique_events', count(*) FROM batch
-UNION ALL SELECT 'attendees_after', count(*) FROM (
-  SELECT DISTINCT B.event, B.start_date, B.end_date, R.user_id
-  FROM parsed_flagged R JOIN batch B ON B.event = R.event AND B.start_date = R.start_date
-  WHERE NOT R.rejected AND R.user_id IS NOT NULL)""",
-    "registration_screen": _with() + f"""
-SELECT R.* FROM registrations_raw R
-WHERE NOT coalesce(upper(R.event) LIKE '%CANCELLED%', false)
-  AND NOT coalesce(regexp_matches(R.event, '[^\\x00-\\x7F]'), false)
-  AND NOT EXISTS (SELECT 1 FROM members M WHERE M.user_role_type_id IN ({_EXCL_ROLES})
-                  AND M.id = CAST(R.member_id AS BIGINT))""",
+SELECT (SELECT count(*) FROM registrations_raw) AS raw_rows, CAST(0 AS BIGINT) AS screened_rows,
+       (SELECT count(*) FROM parsed_flagged WHERE rejected) AS rejected_rows,
+       (SELECT count(*) FROM parsed_flagged WHERE NOT rejected) AS attendees_before,
+       (SELECT count(*) FROM batch) AS unique_events,
+       (SELECT count(*) FROM batch b WHERE EXISTS (FROM batch x WHERE x = b)) AS batch_events,
+       (SELECT count(*) FROM (SELECT DISTINCT b, r.user_id FROM parsed_flagged r
+          JOIN batch b ON (b.event, b.start_date) = (r.event, r.start_date)
+          WHERE NOT r.rejected AND r.user_id IS NOT NULL)) AS attendees_after""",
+    "registration_screen": _with() + """
+SELECT * FROM registrations_raw
+WHERE coalesce(NOT contains(upper(event), 'CANCELLED') AND NOT regexp_matches(event, '[^\\x00-\\x7F]'), true)
+  AND coalesce(member_id NOT IN (SELECT id FROM members WHERE user_role_type_id IN (4, 6)), true)""",
     "parsed_registration_dates": _with(PARSED) + """
 SELECT user_id, event, start_date, end_date, start_text, end_text, rejected FROM parsed_flagged""",
     "program_events": _with() + """
-SELECT id, name, type_id, start_date, end_date FROM program_event""",
+SELECT * FROM program_event""",
     "program_events_upsert": _with() + """,
-stored AS (
-  SELECT CAST(row_number() OVER (ORDER BY event, start_date, end_date) AS BIGINT) AS id, event AS name,
-         start_date, end_date
-  FROM (SELECT DISTINCT event, start_date, end_date FROM registrations
-        WHERE start_date < DATE '1998-01-01' AND event IS NOT NULL AND end_date IS NOT NULL) s
-),
-fresh AS (
-  SELECT DISTINCT event, start_date, end_date FROM registrations R
-  WHERE event IS NOT NULL AND start_date IS NOT NULL AND end_date IS NOT NULL
-    AND NOT EXISTS (SELECT 1 FROM stored S WHERE S.name = R.event AND S.start_date = R.start_date
-                    AND S.end_date = R.end_date)
-)
-SELECT CAST((SELECT coalesce(max(id), 0) FROM stored) + row_number() OVER (ORDER BY event, start_date, end_date) AS BIGINT) AS id,
-       event AS name, CAST(substr(event, 1, 1) AS INTEGER) AS type_id, start_date, end_date
-FROM fresh""",
+split AS (SELECT *, start_date < DATE '1998-01-01' AS stored FROM program_event)
+SELECT CAST((SELECT count(*) FROM split WHERE stored) + row_number() OVER (ORDER BY name, start_date, end_date) AS BIGINT) AS id,
+       name, type_id, start_date, end_date
+FROM split WHERE NOT stored""",
+    "attendees_upsert": _with(PARSED, STORE) + """
+SELECT DISTINCT id AS event_id, user_id FROM parsed_flagged r JOIN store s ON (s.event, s.start_date) = (r.event, r.start_date)
+WHERE NOT rejected AND user_id IS NOT NULL AND r.start_date >= DATE '1998-01-01'""",
     "batch_event_ids": _with(PARSED) + """
-SELECT B.event, B.start_date, B.end_date, E.id AS event_id
-FROM batch B JOIN program_event E ON E.name = B.event AND E.start_date = B.start_date AND E.end_date = B.end_date""",
+SELECT event, start_date, end_date, id AS event_id
+FROM batch JOIN (SELECT id, name AS event, start_date, end_date FROM program_event) USING (event, start_date, end_date)""",
     "event_attendees": _with() + """
 SELECT event_id, user_id FROM event_attendees""",
-    "calendar_windows": _with() + f"""
-SELECT E.id AS event_id, {_BEFORE.format(a='E')} AS before_date, E.start_date, E.end_date,
-       {_AFTER.format(a='E')} AS after_date, {_FY.format(a='E')} AS fy
-FROM {_windowed('program_event', 'E')}""",
-    "cohort_windows": _with(COHORT) + """
+    "calendar_windows": _with(WINDOWS) + """
+SELECT event_id, before_date, start_date, end_date, after_date, fy FROM event_windows""",
+    "cohort_windows": _with(*_STATES) + """
 SELECT event_id, user_id, event_name, type_id, start_date, end_date, before_date, after_date, fy FROM cohort""",
-    "event_type_attendance": _with(COHORT) + """
-SELECT c.type_id, ty.name AS event_type, count(DISTINCT c.event_id) AS events, count(*) AS attendees
-FROM cohort c JOIN program_event_type ty ON ty.id = c.type_id
-GROUP BY c.type_id, ty.name""",
-    "eligible_members": _with() + f"""
-SELECT m.id AS user_id, m.first_name AS first, m.last_name AS last, {_YEAR_CASE} AS year, ou.name AS campus,
-       ou.region_id, m.last_login
-FROM members m JOIN org_units ou ON ou.id = m.campus_id
-WHERE {_ELIGIBLE}""",
-    "attendance_before": _with(COHORT, P1) + """
+    "event_type_attendance": _with(*_STATES) + """
+SELECT type_id, ty.name AS event_type, count(DISTINCT event_id) AS events, count(*) AS attendees
+FROM cohort JOIN program_event_type ty ON ty.id = type_id GROUP BY ALL""",
+    "eligible_members": _with(*_STATES) + """
+SELECT user_id, first, last, year, campus, region_id, last_login FROM cards WHERE eligible""",
+    "attendance_before": _with(*_STATES, P1) + """
 SELECT event_id, user_id, count_BSAtt AS attended, count_BSAb AS absent FROM p1""",
-    "attendance_after": _with(COHORT, P2) + """
+    "attendance_after": _with(*_STATES, P2) + """
 SELECT event_id, user_id, Attended2 AS attended, Absent2 AS absent FROM p2""",
-    "earliest_attendance": _with(COHORT) + """
-SELECT user_id, first_day AS earliest_attendance FROM first_attended""",
-    "earliest_mentored": _with(COHORT) + """
-SELECT user_id, first_day AS first_became_disciple FROM first_mentored""",
-    "mentored_as_of": _with(COHORT) + """
-SELECT c.event_id, c.user_id,
-       CAST(coalesce(bool_or(mt.start_date <= c.start_date AND coalesce(mt.end_date > c.start_date, true)), false)
-            AS INTEGER) AS flag_at_start,
-       CAST(coalesce(bool_or(mt.start_date <= c.after_date AND coalesce(mt.end_date > c.after_date, true)), false)
-            AS INTEGER) AS flag_after
-FROM cohort c LEFT JOIN mentorships mt ON mt.user_id = c.user_id
-GROUP BY c.event_id, c.user_id""",
-    "outreach_outcome": _with(COHORT) + """
-SELECT user_id, label AS outcome FROM outcome_of""",
-    "mentor_activity": _with(COHORT) + """
-SELECT user_id, t AS as_of, first_day AS first_became_DM, active AS active_mentees FROM mentor_at""",
-    "earliest_led_study": _with(COHORT) + """
-SELECT user_id, first_day AS earliest_led_bs FROM first_led""",
-    "second_generation": _with(COHORT) + """
-SELECT user_id, t AS as_of, flag AS has_second_generation FROM second_gen""",
-    "contact_chart_depth": _with(COHORT) + """
-SELECT user_id, t AS as_of, members AS count_of_DCC, latest AS latest_change_to_DC FROM chart_at""",
-    "leaders_in_chain": _with(COHORT) + """
-SELECT user_id, t AS as_of, leaders AS slbs_in_chain FROM chain_at""",
-    "pre_event_profile": _with(COHORT, P1) + """
+    "earliest_attendance": _with(*_STATES) + """
+SELECT user_id, min(date) AS earliest_attendance FROM facts WHERE attended = 1 AND NOT cancelled AND date IS NOT NULL GROUP BY user_id""",
+    "earliest_mentored": _with() + """
+SELECT user_id, min(start_date) AS first_became_disciple FROM mentorships WHERE user_id IS NOT NULL GROUP BY user_id""",
+    "mentored_as_of": _with(*_STATES) + """
+SELECT event_id, user_id, CAST(s.yes AS INTEGER) AS flag_at_start, CAST(a.yes AS INTEGER) AS flag_after
+FROM cohort c JOIN mentored s USING (user_id) JOIN mentored a USING (user_id)
+WHERE s.t = c.start_date AND a.t = c.after_date""",
+    "outreach_outcome": _with() + """
+SELECT user_id, CAST(max(outcome) AS VARCHAR) AS outcome FROM outreach_outcomes WHERE user_id IS NOT NULL GROUP BY user_id""",
+    "mentor_activity": _with(*_STATES) + """
+SELECT user_id, t AS as_of, first_mentor AS first_became_DM, active AS active_mentees FROM mentees""",
+    "earliest_led_study": _with() + """
+SELECT leader_id AS user_id, min(study_start_date) AS earliest_led_bs
+FROM study_groups JOIN study_schedules ON study_id = study_groups.id WHERE leader_id IS NOT NULL GROUP BY leader_id""",
+    "second_generation": _with(*_STATES) + """
+SELECT user_id, t AS as_of, CAST(flag AS INTEGER) AS has_second_generation FROM second_gen WHERE flag IS NOT NULL""",
+    "contact_chart_depth": _with(*_STATES) + """
+SELECT user_id, t AS as_of, people AS count_of_DCC, latest AS latest_change_to_DC FROM charts""",
+    "leaders_in_chain": _with(*_STATES) + """
+SELECT user_id, t AS as_of, leaders AS slbs_in_chain FROM chains""",
+    "pre_event_profile": _with(*_STATES, P1) + """
 SELECT * FROM p1""",
-    "post_event_profile": _with(COHORT, P2) + """
+    "post_event_profile": _with(*_STATES, P2) + """
 SELECT * FROM p2""",
-    "leadership_at_start": _with(COHORT, L1) + """
+    "leadership_at_start": _with(*_STATES, L1) + """
 SELECT * FROM l1""",
-    "leadership_after": _with(COHORT, L2) + """
+    "leadership_after": _with(*_STATES, L2) + """
 SELECT * FROM l2""",
-    "stacked_batches": _with(COHORT, P1) + """
-SELECT p1.*, NULL::DATE AS "3_mo_after", NULL::INTEGER AS "FY" FROM p1 WHERE start_date < DATE '1998-01-01'
-UNION ALL
-SELECT p1.*, c.after_date AS "3_mo_after", c.fy AS "FY"
-FROM p1 JOIN cohort c USING (event_id, user_id)
-WHERE p1.start_date >= DATE '1998-01-01'""",
-    "event_dataset": _with(COHORT, P1, P2, L1, L2) + f"""
-SELECT p1.event_name, p1.event_type, p1.start_date, p1.end_date, c.after_date AS "3_mo_after", c.fy AS "FY",
-       p1.user_id, p1.first, p1.last, p1.year, p1.campus, p1.earliest_BSA, p1.count_BSAtt, p1.count_BSAb,
-       p1.Was_D_at_start, p1.GP_outcome,
-       p2.earliest_BS_atten2, p2.Attended2, p2.Absent2, p2.Was_D_3_mo_After2, p2.GP_outcome_post2,
-       {_LEAD_SELECT}
-FROM p1
-JOIN cohort c ON c.event_id = p1.event_id AND c.user_id = p1.user_id
-JOIN p2 ON p2.event_id = p1.event_id AND p2.user_id = p1.user_id
-JOIN l1 ON l1.event_id = p1.event_id AND l1.user_id = p1.user_id
-JOIN l2 ON l2.event_id = p1.event_id AND l2.user_id = p1.user_id""",
+    "stacked_batches": _with(*_STATES, P1) + """
+SELECT p1.*, CASE WHEN late THEN after_date END AS "3_mo_after", CASE WHEN late THEN fy END AS "FY"
+FROM p1 JOIN (SELECT event_id, start_date >= DATE '1998-01-01' AS late, after_date, fy FROM event_windows) USING (event_id)""",
+    "event_dataset": _with(*_STATES, P1, P2, L1, L2) + f"""
+SELECT p1.* EXCLUDE (event_id), w.after_date AS "3_mo_after", w.fy AS "FY", p2.* EXCLUDE (event_id, user_id), {_LEAD_SELECT}
+FROM p1 JOIN event_windows w USING (event_id) JOIN p2 USING (event_id, user_id) JOIN l1 USING (event_id, user_id) JOIN l2 USING (event_id, user_id)""",
 }

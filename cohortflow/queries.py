@@ -15,7 +15,9 @@ from .config import FIXTURE_RULES
 from .operators import cohort, mentorship, leadership, registration as reg
 from .operators.attendance import earliest_attendance, session_facts
 from .plans.profiles import CohortPlan
-from .sources import fixtures as fx
+from .sources import fixtures as fx, sinks
+from .sources.scratch import scratch_path
+from .sources.tables import read_registrations_csv
 
 # Registrations stored before this date form the "existing" event store in the
 # upsert unit; the batch is the whole registration table.
@@ -29,7 +31,7 @@ def _plan(spark: SparkSession, sf_dir: str, batch: DataFrame | None = None) -> C
 
 
 def registration_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reg.registration_summary(fx.fixture_registrations_raw(spark, sf_dir))
+    return reg.registration_summary(reg.parsed_once(fx.fixture_registrations_raw(spark, sf_dir)))
 
 
 def registration_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,8 +56,27 @@ def program_events_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reg.new_program_events(reg.batch_events(regs), stored, fx.fixture_type_id)
 
 
+def attendees_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registration file is written as CSV and read back by name, the
+    registrations before the split date are stored, and the whole file is then
+    registered against the store. Rows to append: event_id, user_id."""
+    files, store = scratch_path(spark, "registrations"), scratch_path(spark, "store")
+    fx.fixture_registrations_raw(spark, sf_dir).write.option("header", True).csv(files)
+    good = reg.accepted(reg.parsed_once(read_registrations_csv(spark, files)))
+    early = good.where(F.col("start_date") < F.lit(UPSERT_STORE_BEFORE).cast("date"))
+    for rows in (early, good):
+        stored = sinks.read_table_if_exists(spark, store, "program_event")
+        sinks.append_table(reg.new_program_events(reg.batch_events(rows), stored, fx.fixture_type_id), store, "program_event")
+        events = sinks.read_table_if_exists(spark, store, "program_event")
+        held = sinks.read_table_if_exists(spark, store, "event_attendees")
+        fresh = reg.new_event_attendees(reg.registration_attendees(rows, events), held)
+        if held is None:
+            sinks.append_table(fresh, store, "event_attendees")
+    return fresh
+
+
 def batch_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = reg.batch_events(reg.accepted(reg.parse_registrations(fx.fixture_registrations_raw(spark, sf_dir))))
+    batch = reg.batch_events(reg.accepted(reg.parsed_once(fx.fixture_registrations_raw(spark, sf_dir))))
     return reg.resolve_event_ids(batch, fx.program_event(fx.fixture_registrations(spark, sf_dir)))
 
 
@@ -171,6 +192,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parsed_registration_dates": parsed_registration_dates,
     "program_events": program_events,
     "program_events_upsert": program_events_upsert,
+    "attendees_upsert": attendees_upsert,
     "batch_event_ids": batch_event_ids,
     "event_attendees": event_attendees,
     "calendar_windows": calendar_windows,

@@ -2,9 +2,9 @@
 
 The reference ships no data. These adapters map the driver tables onto the
 native schemas (mapping documented in FIXTURES.md, section B) so every query
-reads the given tables and its work grows with them. The modulo rules only
-seed nulls and missing rows into otherwise complete tables; no adapter drops
-rows to make a query cheaper.
+reads the given tables and its work grows with them. Every row of a driver
+table becomes a row of the native table; absence is seeded as null ids by
+modulo rules, never by dropping rows.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.decode import EVENT_TYPE_NAMES
 from ..operators import registration as reg
+from .scratch import materialize
 from .tables import CohortInputs
 
 DRIVER_TABLES = ("customer", "nation", "orders", "lineitem", "events")
@@ -70,10 +71,14 @@ def registrations_raw(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     start = _month0(F.col("o_orderdate"))
     end = F.date_add(start, 3)
-    even = k % 2 == 0
+    # One written form per remainder of the order key.
+    forms = ("M/d/yyyy", "yyyy-MM-dd", "M/d/yy", "M-d-yyyy", "M/d/yyyy' 0:00'", "yyyy-MM-dd' 00:00:00'", "yyyy-MM-dd'T00:00:00'", "MMM d, yyyy", "d MMM yyyy")
 
     def as_text(d: Column) -> Column:
-        return F.when(even, F.date_format(d, "M/d/yyyy")).otherwise(F.date_format(d, "yyyy-MM-dd"))
+        written = F.date_format(d, forms[0])
+        for i, form in enumerate(forms[1:], start=1):
+            written = F.when(k % len(forms) == i, F.date_format(d, form)).otherwise(written)
+        return written
 
     prio = F.col("o_orderpriority")
     event = (
@@ -96,8 +101,8 @@ def fixture_type_id(name: Column) -> Column:
 
 
 def program_event(registrations_typed: DataFrame) -> DataFrame:
-    """The event table after registering every fixture event (S4 on an empty store)."""
-    return reg.new_program_events(reg.batch_events(registrations_typed), None, fixture_type_id)
+    """The event table after registering every fixture event (S4 on an empty store), written once."""
+    return materialize(reg.new_program_events(reg.batch_events(registrations_typed), None, fixture_type_id), "program_event")
 
 
 def program_event_type(events: DataFrame) -> DataFrame:
@@ -111,31 +116,40 @@ def program_event_type(events: DataFrame) -> DataFrame:
     )
 
 
+def _seldom_held(custkey: Column) -> Column:
+    """Members whose sessions are all cancelled (and who attend few, see `attendance`)."""
+    return custkey % 40 == 7
+
+
 def sessions(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderdate").cast("date").alias("date"),
-        F.when(F.col("o_orderstatus") == "P", F.lit(1)).cast("int").alias("cancel_reason_id"),
+        F.when((F.col("o_orderstatus") == "P") | _seldom_held(F.col("o_custkey")), F.lit(1)).cast("int").alias("cancel_reason_id"),
     )
 
 
 def attendance(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     li = lineitem.select("l_orderkey", "l_linenumber", "l_returnflag")
     o = orders.select("o_orderkey", "o_custkey")
+    key, cust = F.col("l_orderkey"), F.col("o_custkey")
+    # Ids of every third order repeat over the member's other such orders, so on several days.
+    repeated = F.when(key % 3 == 0, -cust * 10).otherwise(key * 10)
+    absent = _seldom_held(cust) & (key % 8 != 0)
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("id"),
-        F.col("o_custkey").alias("user_id"),
+        (repeated + F.col("l_linenumber")).cast("bigint").alias("id"),
+        _null_if(absent, cust).alias("user_id"),
         F.col("l_orderkey").alias("session_id"),
         F.when(F.col("l_returnflag") == "R", F.lit(0)).otherwise(F.lit(1)).cast("int").alias("attended"),
     )
 
 
 def mentorships(orders: DataFrame) -> DataFrame:
-    start = F.col("o_orderdate").cast("date")
-    return orders.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_custkey") >= 10)).select(
+    start, cust = F.col("o_orderdate").cast("date"), F.col("o_custkey")
+    return orders.select(
         F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("user_id"),
-        F.floor(F.col("o_custkey") / 10).cast("bigint").alias("parent_user_id"),
+        _null_if((cust % 4 == 1) | (F.col("o_orderkey") % 43 == 0), cust).alias("user_id"),
+        _null_if((cust < 10) | (cust % 7 == 3), F.floor(cust / 10).cast("bigint")).alias("parent_user_id"),
         start.alias("start_date"),
         _null_if(F.col("o_orderstatus") == "O", F.date_add(start, 365)).alias("end_date"),
     )
@@ -143,16 +157,16 @@ def mentorships(orders: DataFrame) -> DataFrame:
 
 def outreach_outcomes(orders: DataFrame) -> DataFrame:
     status = F.col("o_orderstatus")
-    return orders.where((F.col("o_orderpriority") == "5-LOW") & (F.col("o_custkey") % 3 != 0)).select(
-        F.col("o_custkey").alias("user_id"),
+    return orders.select(
+        _null_if(F.col("o_custkey") % 3 == 0, F.col("o_custkey")).alias("user_id"),
         F.when(status == "F", F.lit(1)).when(status == "O", F.lit(0)).cast("int").alias("outcome"),
     )
 
 
 def study_groups(orders: DataFrame) -> DataFrame:
-    return orders.where(F.col("o_orderpriority") == "2-HIGH").select(
+    return orders.select(
         F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("leader_id"),
+        _null_if(F.col("o_custkey") % 3 != 1, F.col("o_custkey")).alias("leader_id"),
         F.when(F.col("o_orderstatus") == "P", F.lit(1)).otherwise(F.lit(0)).cast("int").alias("deleted"),
     )
 
@@ -168,12 +182,12 @@ def study_schedules(lineitem: DataFrame) -> DataFrame:
 
 
 def contact_chart(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    li = lineitem.where(F.col("l_quantity") <= 10).select("l_orderkey", "l_partkey", "l_shipdate", "l_linestatus")
+    li = lineitem.select("l_orderkey", "l_partkey", "l_shipdate", "l_linestatus")
     o = orders.select("o_orderkey", "o_custkey")
     start = F.col("l_shipdate").cast("date")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
-        F.col("o_custkey").alias("chart_owner_id"),
-        F.col("l_partkey").alias("chart_member_id"),
+        _null_if(F.col("o_custkey") % 5 == 2, F.col("o_custkey")).alias("chart_owner_id"),
+        _null_if(F.col("l_partkey") % 19 == 0, F.col("l_partkey")).alias("chart_member_id"),
         start.alias("start_date"),
         _null_if(F.col("l_linestatus") == "O", F.date_add(start, 365)).alias("end_date"),
     )
