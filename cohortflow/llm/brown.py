@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
-from .text import FOLD, SPACED, text_bytes, words
+from .text import FOLD, SPACED, sliced, text_bytes, words
 
 TOP, ENDINGS, CLASSES = 1000, 256, 64
 #: Words whose counts are broadcast: 16 bytes each.
@@ -44,6 +44,8 @@ HEAD = 1 << 19
 #: Rounds of exchange at most, weight of the class model, added count of a class transition.
 ROUNDS, MIX, ADDED = 20, 0.95, 0.5
 PRIOR = 0.1
+#: Words that a counting task holds before it hands them on.
+PENDING = 1_000_000
 END = 1  # the end token's key
 
 
@@ -71,11 +73,29 @@ def sequence(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    """Counts of each task's words, in parts of at most `PENDING` words."""
+    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys, endings, n = (np.concatenate(x) for x in zip(*parts))
+        found, at, back = np.unique(keys, return_index=True, return_inverse=True)
+        return found, endings[at], np.bincount(back, weights=n).astype(np.int64)
+
+    def out() -> pa.RecordBatch:
+        keys, endings, n = merged()
+        parts.clear()
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(endings), pa.array(n)], ["word", "ending", "n"])
+
+    for batch in sliced(batches, 0):
         keys, endings, _ = sequence(batch.column(0))
         found, at, n = np.unique(keys, return_index=True, return_counts=True)
-        columns = [pa.array(found.view(np.int64)), pa.array(endings[at].astype(np.int32)), pa.array(n.astype(np.int64))]
-        yield pa.RecordBatch.from_arrays(columns, ["word", "ending", "n"])
+        parts.append((found, endings[at].astype(np.int32), n.astype(np.int64)))
+        if sum(len(p[0]) for p in parts) > 2 * PENDING:
+            parts[:] = [merged()]
+            if len(parts[0][0]) > PENDING:
+                yield out()
+    if parts:
+        yield out()
 
 
 def _units(keys: np.ndarray, endings: np.ndarray, top: np.ndarray) -> np.ndarray:
@@ -92,7 +112,7 @@ def _paired(top: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = np.zeros(size * size, dtype=np.int64)
-        for batch in batches:
+        for batch in sliced(batches, 0):
             keys, endings, _ = sequence(batch.column(0))
             units = np.where(endings == ENDINGS, end, _units(keys, endings, top))
             before = np.concatenate([[end], units[:-1]])
@@ -240,9 +260,7 @@ def _scored(shared):
         model: Model = shared.value
         end = len(model.classes) - 1
         row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in sliced(batches, 1):
             keys, endings, first = sequence(batch.column(1))
             found, at, back = np.unique(keys, return_index=True, return_inverse=True)
             unit = np.where(endings[at] == ENDINGS, end, _units(found, endings[at], model.top))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
-from .text import ALNUM, FOLD, rolled, text_bytes, words
+from .text import ALNUM, FOLD, rolled, sliced, text_bytes, words
 
 WINDOW = 10
 #: Windows in one broadcast. About 300 bytes each in a worker.
@@ -111,9 +111,7 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 def _scan(block, text_at: int, result_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(block.value)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in sliced(batches, text_at):
             data, offsets = text_bytes(batch.column(text_at))
             starts, ends, hashes, first = words(data, offsets, ALNUM)
             row_of = lambda word: int(np.searchsorted(first, word, "right")) - 1

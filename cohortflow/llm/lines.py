@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from ..sources.scratch import materialize
 from . import sets as S
 from .components import components
-from .minhash_forest import _permutations, forest_regions
+from .membership import bit_table, passing
+from .minhash_forest import forest_regions
 from .text import rolled
 
 CHARS, BANDS, ROWS, PERCENT = 8, 10, 4, 80
@@ -72,11 +73,9 @@ def shingle_runs(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.n
 
 def _banded(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _permutations(bands * rows)
+        a, b = S.permutations(bands * rows)
         for batch in batches:
-            nodes = batch.column("node").dictionary_encode()
-            first = np.sort(np.unique(nodes.indices.to_numpy(), return_index=True)[1])
-            batch = batch.take(pa.array(first))
+            batch = _once(batch)
             parts = [np.zeros((0, bands * rows), np.uint32)]
             for hashes, begin, end in shingle_runs(batch.column("line"), size):
                 short = (hashes >> np.uint64(32)).astype(np.uint32)
@@ -94,9 +93,16 @@ def _banded(size: int, bands: int, rows: int):
     return run
 
 
-def _packed(size: int):
+def _once(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch's first row of each node."""
+    nodes = batch.column("node").dictionary_encode()
+    return batch.take(pa.array(np.sort(np.unique(nodes.indices.to_numpy(), return_index=True)[1])))
+
+
+def _packed(size: int, table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = _once(batch.filter(passing(table.value, batch.column("h"))))
             blobs = [np.unique(h[a:b]).tobytes() for h, begin, end in shingle_runs(batch.column("line"), size) for a, b in zip(begin, end)]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(blobs, pa.binary())], ["node", "set"])
 
@@ -116,8 +122,8 @@ def near_duplicate_lines(
     sketch = materialize(sketch.groupBy("node").agg(F.any_value("keys").alias("keys")), "bands")
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        chosen = filled.join(nodes, "node").groupBy("node").agg(F.any_value("line").alias("line"))
-        return chosen.select("node", "line").mapInArrow(_packed(chars), "node binary, set binary")
+        found = filled.select("node", "line", F.xxhash64("node").alias("h"))
+        return found.mapInArrow(_packed(chars, bit_table(nodes, "node")), "node binary, set binary")
 
     members, sets = forest_regions(sketch.select(F.explode("keys").alias("region"), "node"), sets_of)
     roots = components(S.region_join(members, sets, percent), "a", "b")

@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from ..sources.scratch import materialize
 from . import sets as S
 from .components import components
-from .text import mix, text_shingles
+from .membership import bit_table, passing
+from .text import mix, sliced, text_shingles
 
 TREES, DEPTH = 24, 5
 #: Rows of a region that are compared with each other in one task.
@@ -41,22 +42,6 @@ REGION = 256
 LEVELS, DEEPER = 5, 3
 
 
-def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
-    seeds = mix(np.arange(1, 2 * n + 1, dtype=np.uint64))
-    return (seeds[:n] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (seeds[n:] >> np.uint64(32)).astype(np.uint32)
-
-
-def signature(items: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least value of each permutation over the set's elements."""
-    low = np.full(len(a), 0xFFFFFFFF, dtype=np.uint32)
-    short = (items >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(short), 512):
-        x = short[at : at + 512, None] * a
-        x += b
-        np.minimum(low, x.min(axis=0), out=low)
-    return low
-
-
 def tree_keys(signatures: np.ndarray, trees: int, depth: int) -> np.ndarray:
     """Each row's region key in each tree, as rows x trees."""
     return np.stack([S.combined(signatures[:, t * depth : (t + 1) * depth], t + 1) for t in range(trees)], axis=1)
@@ -64,16 +49,14 @@ def tree_keys(signatures: np.ndarray, trees: int, depth: int) -> np.ndarray:
 
 def _sketched(size: int, trees: int, depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _permutations(trees * depth)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        a, b = S.permutations(trees * depth)
+        for batch in sliced(batches, 1):
             n, one, two, signatures = [], [], [], []
             for items in text_shingles(batch.column(1), size):
                 n.append(len(items))
                 one.append(int(mix(items.copy()).sum(dtype=np.uint64).view(np.int64)) if len(items) else 0)
                 two.append(int(mix(items ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)) if len(items) else 0)
-                signatures.append(signature(items, a, b))
+                signatures.append(S.signature(items, a, b))
             keys = tree_keys(np.stack(signatures), trees, depth)
             lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, trees, dtype=np.int32), pa.array(keys.ravel()))
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists]
@@ -82,9 +65,9 @@ def _sketched(size: int, trees: int, depth: int):
     return run
 
 
-def _packed(size: int):
+def _packed(size: int, table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced((b.filter(passing(table.value, b.column(2))) for b in batches), 1):
             blobs = [items.tobytes() for items in text_shingles(batch.column(1), size)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], ["node", "set"])
 
@@ -93,24 +76,23 @@ def _packed(size: int):
 
 def forest_regions(rows: DataFrame, sets_of, limit: int = REGION) -> tuple[DataFrame, DataFrame | None]:
     """Bounded regions (region, node) of `rows` (region, node), and the sets of
-    their nodes. `sets_of(nodes)` gives (node, set) for a table of nodes."""
+    their nodes. `sets_of(nodes)` gives (node, set) for a table of nodes, and may
+    repeat a node and give others too."""
     sizes = materialize(S.region_sizes(rows), "regions")
     members = [materialize(S.bounded_regions(rows, sizes, limit), "members")]
     large = sizes.where(F.col("n") > limit).select("region", "n")
     rows = materialize(rows.join(large.select("region"), "region").select("region", "node"), "crowded")
     nodes = members[0].select("node").unionByName(rows.select("node")).distinct()
     sets = materialize(sets_of(nodes), "sets")
-    for level in range(LEVELS):
-        if rows.isEmpty():
-            break
-        rows = materialize(S.refined(rows, sets, DEEPER), "deeper")
-        sizes = materialize(S.region_sizes(rows), "regions")
-        members.append(S.bounded_regions(rows, sizes, limit))
-        large = sizes.where(F.col("n") > limit).select("region", "n")
-        if level == LEVELS - 1:
-            members.append(S.blocked(rows.join(large.select("region"), "region"), large, limit))
-        else:
-            rows = materialize(rows.join(large.select("region"), "region").select("region", "node"), "crowded")
+    if not rows.isEmpty():
+        deep = materialize(S.refined(rows, sets, LEVELS, DEEPER), "deeper")
+        for level in range(LEVELS):
+            rows = deep.select(F.col("keys")[level].alias("region"), "node", "keys")
+            sizes = materialize(S.region_sizes(rows), "regions")
+            members.append(S.bounded_regions(rows, sizes, limit))
+            large = sizes.where(F.col("n") > limit).select("region", "n")
+            deep = rows.join(large.select("region"), "region").select("keys", "node")
+        members.append(S.blocked(rows.join(large.select("region"), "region").select("region", "node"), large, limit))
     out = members[0]
     for more in members[1:]:
         out = out.unionByName(more)
@@ -135,8 +117,8 @@ def near_duplicates(
     rows = classes.select(F.explode("keys").alias("region"), "node")
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        chosen = narrow.join(nodes.select(F.col("node").alias("id")), "id").dropDuplicates(["id"])
-        return chosen.select("id", "text").mapInArrow(_packed(words), f"node {kind}, set binary")
+        found = narrow.where("id is not null").select("id", "text", F.xxhash64("id").alias("h"))
+        return found.mapInArrow(_packed(words, bit_table(nodes, "node")), f"node {kind}, set binary")
 
     members, sets = forest_regions(rows, sets_of)
     links = S.region_join(members, sets, percent)

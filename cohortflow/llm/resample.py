@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import ordered_totals
 from .mixing import uniform
-from .text import SPACED, rolled, text_bytes, words
+from .text import SPACED, rolled, sliced, text_bytes, words
 
 BUCKETS, SAMPLE, SHARE, SEED = 10_000, 20_000, 0.85, "resample"
 
@@ -48,7 +48,7 @@ def bucket_counts(texts: DataFrame, buckets: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, dtype=np.int64)
-        for batch in batches:
+        for batch in sliced(batches, 0):
             total += np.bincount(ngram_buckets(batch.column(0), buckets)[0], minlength=buckets)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
@@ -69,7 +69,7 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
 
 def _weighed(ratio: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             bucket, row = ngram_buckets(batch.column(1), len(ratio))
             weight = np.bincount(row, weights=ratio[bucket], minlength=batch.num_rows)
             n = np.bincount(row, minlength=batch.num_rows)

@@ -105,11 +105,12 @@ def region_join(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between members of one region.
 
     `members` (region, node) has regions of a bounded number of rows; `sets`
-    (node, set) has each node's distinct sorted 64-bit elements, packed.
+    (node, set) has each node's distinct sorted 64-bit elements, packed. It may
+    repeat a node.
     """
     node = members.schema["node"].dataType.simpleString()
     return (
-        members.join(sets, "node")
+        members.join(sets.dropDuplicates(["node"]), "node")
         .select("region", "node", "set")
         .repartition("region")
         .sortWithinPartitions("region", "node")
@@ -117,22 +118,42 @@ def region_join(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _deeper(hashes: int):
-    """Region keys one level down: each row's next `hashes` min-hashes under
-    permutations that all rows of its region share."""
+def _deeper(levels: int, hashes: int):
+    """Region keys of `levels` more levels: each adds `hashes` min-hashes under
+    permutations that all rows of the region share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = []
-            for key, blob in zip(batch.column("region").to_pylist(), batch.column("set").to_pylist()):
+            keys = np.zeros((batch.num_rows, levels), dtype=np.int64)
+            for row, (key, blob) in enumerate(zip(batch.column("region").to_pylist(), batch.column("set"))):
                 seed = np.uint64(key & 0xFFFFFFFFFFFFFFFF)
-                salts = mix(seed + np.arange(1, hashes + 1, dtype=np.uint64))
-                keys.append(int(combined(np.array([[mix(unpack(blob) ^ s).min() for s in salts]]), seed)[0]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("node")], ["region", "node"])
+                low = signature(unpack(blob.as_py()), *permutations(levels * hashes, seed))[None, :]
+                for level in range(levels):
+                    seed = combined(low[:, level * hashes : (level + 1) * hashes], seed).view(np.uint64)[0]
+                    keys[row, level] = seed.view(np.int64)
+            lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, levels, dtype=np.int32), pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays([lists, batch.column("node")], ["keys", "node"])
 
     return run
 
 
+def permutations(n: int, seed: int | np.uint64 = 0) -> tuple[np.ndarray, np.ndarray]:
+    """n multiply-add permutations of 32-bit values: (factors, terms)."""
+    seeds = mix(np.uint64(seed) + np.arange(1, 2 * n + 1, dtype=np.uint64))
+    return (seeds[:n] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), (seeds[n:] >> np.uint64(32)).astype(np.uint32)
+
+
+def signature(items: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least value of each permutation over the set's elements."""
+    low = np.full(len(a), 0xFFFFFFFF, dtype=np.uint32)
+    short = (items >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(short), 512):
+        x = short[at : at + 512, None] * a
+        x += b
+        np.minimum(low, x.min(axis=0), out=low)
+    return low
+
+
 def combined(hashes: np.ndarray, salt) -> np.ndarray:
     """One signed 64-bit key per row of a matrix of min-hashes."""
     key = np.full(len(hashes), salt, dtype=np.uint64)
@@ -158,9 +179,12 @@ def bounded_regions(rows: DataFrame, sizes: DataFrame, limit: int) -> DataFrame:
     return rows.join(once.select("region"), "region").select("region", "node")
 
 
-def refined(rows: DataFrame, sets: DataFrame, hashes: int) -> DataFrame:
-    """`rows` of too large regions, dealt into deeper regions."""
-    return rows.join(sets, "node").select("region", "node", "set").mapInArrow(_deeper(hashes), rows.select("region", "node").schema)
+def refined(rows: DataFrame, sets: DataFrame, levels: int, hashes: int) -> DataFrame:
+    """(keys, node): for each row of a too large region its region keys on the
+    next `levels` levels."""
+    node = rows.schema["node"].dataType.simpleString()
+    joined = rows.join(sets.dropDuplicates(["node"]), "node").select("region", "node", "set")
+    return joined.mapInArrow(_deeper(levels, hashes), f"keys array<long>, node {node}")
 
 
 def blocked(rows: DataFrame, sizes: DataFrame, limit: int) -> DataFrame:

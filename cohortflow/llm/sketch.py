@@ -29,7 +29,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .text import mix, text_shingles
+from .text import mix, sliced, text_shingles
 
 WORDS = 5
 #: One of so many shingle hashes is retained.
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id_col, fingerprint) for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             prints = [fingerprint(items, scale) for items in text_shingles(batch.column(1), words)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.string())], [id_col, "fingerprint"])
 

@@ -13,8 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PIECE = 2 << 20
+SLICE = 4 << 20
 
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
@@ -45,6 +47,19 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about `SLICE` bytes of text (column `at`), so that
+    the arrays of a worker's step follow neither the batch size nor the mean
+    text; a longer text is a slice of its own."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        part = (np.cumsum(size) - size) // SLICE
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (two multiply-xorshift rounds); changes and returns `x`."""
     x ^= x >> np.uint64(30)
