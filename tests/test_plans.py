@@ -24,7 +24,8 @@ def test_no_python_or_nested_loops(spark, name):
 
 def test_filters_reach_the_parquet_scan(spark):
     text = _plan_text(QUERIES["leaders_in_chain"](spark, SF001))
-    assert "PushedFilters: [IsNotNull(l_orderkey)" in text and "PushedFilters: [IsNotNull(user_id)" in text
+    assert "PushedFilters: [IsNotNull(l_shipdate), IsNotNull(l_orderkey)]" in text
+    assert "PushedFilters: [IsNotNull(user_id), IsNotNull(start_date)]" in text
     # column pruning: the orders scan for study groups reads only what it uses
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string>" in text
 
