@@ -90,12 +90,19 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once per application.
+# Rows of an Arrow batch of texts: 10,000 (Spark's default) of a few KB each fill
+# tens of MB on both sides of every worker.
+TEXT_BATCH_ROWS = 1_000
 
-    Workers import the functions they run by name; a package that lies only on
-    the driver's path is not there for them.
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Make the session fit for Python workers that read whole texts.
+
+    Small Arrow batches, and this package on every worker, once per
+    application: workers import the functions they run by name, and a package
+    that lies only on the driver's path is not there for them.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_cohortflow_shipped", False):
         return
