@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import random
@@ -164,18 +165,25 @@ def leaky(rng, bench):
     return rows
 
 
-def hits(text, bench, size=10):
-    doc, flags, found = alnum(text), [], set()
-    flags = [False] * len(doc)
+@functools.lru_cache
+def item_windows(bench, size):
+    found = {}
     for item, own in bench:
         w = alnum(own)
-        if item is None or not w:
-            continue
-        for window in [w[i : i + size] for i in range(max(1, len(w) - size + 1))]:
-            for at in range(len(doc) - len(window) + 1):
-                if doc[at : at + len(window)] == window:
-                    flags[at : at + len(window)] = [True] * len(window)
-                    found.add(str(item))
+        for i in range(max(1, len(w) - size + 1) if w and item is not None else 0):
+            found.setdefault(tuple(w[i : i + size]), set()).add(str(item))
+    return found
+
+
+def hits(text, bench, size=10):
+    windows, doc, found = item_windows(tuple(bench), size), alnum(text), set()
+    flags = [False] * len(doc)
+    for length in {len(w) for w in windows}:
+        for at in range(len(doc) - length + 1):
+            items = windows.get(tuple(doc[at : at + length]))
+            if items:
+                flags[at : at + length] = [True] * length
+                found |= items
     return flags, sorted(found)
 
 
