@@ -39,13 +39,17 @@ from ..sources.scratch import materialize
 
 END = 1
 NO_ID = -(1 << 63)
-#: Distinct chunks that one worker remembers before it starts anew.
-CACHED = 500_000
+#: Distinct chunks that one worker remembers: this many new ones, and as many from before.
+CACHED = 400_000
 _MARK = "<|endoftext|>"
 
 
 class Encoder:
-    """Ids of whole texts as little-endian bytes, through a cache of chunks."""
+    """Ids of whole texts as little-endian bytes, through a cache of chunks.
+
+    The cache has two halves. When the new half is full it becomes the old
+    one, and what the old one held and nobody asked for again is forgotten.
+    """
 
     def __init__(self, path: str, dtype: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -55,6 +59,7 @@ class Encoder:
         self.dtype = dtype
         self.mark = self.tokenizer.token_to_id(_MARK)
         self.cache: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
@@ -78,12 +83,24 @@ class Encoder:
         missing = set(chunks).difference(self.cache)
         if missing:
             if len(self.cache) + len(missing) > CACHED:
-                self.cache.clear()
+                self.cache, self.old = {}, self.cache
                 missing = set(chunks)
-            self._learn(list(missing))
+            for chunk in [c for c in missing if c in self.old]:
+                self.cache[chunk] = self.old.pop(chunk)
+            self._learn(list(missing.difference(self.cache)))
         return b"".join(map(self.cache.__getitem__, chunks))
 
 
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
+
+
+def encoder_of(path: str, dtype: str) -> Encoder:
+    """The worker's encoder; its cache serves all tasks that the worker runs."""
+    if (path, dtype) not in _ENCODERS:
+        _ENCODERS[path, dtype] = Encoder(path, dtype)
+    return _ENCODERS[path, dtype]
+
+
 def _store(uri: str):
     """(file system, path) that a task reads and writes for `uri`."""
     from pyarrow import fs
@@ -95,7 +112,7 @@ def _store(uri: str):
 
 def _written(folder: str, path: str, dtype: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, tail = Encoder(path, dtype), np.array([end], dtype=dtype).tobytes()
+        encoder, tail = encoder_of(path, dtype), np.array([end], dtype=dtype).tobytes()
         width = len(tail)
         shard = TaskContext.get().partitionId()
         store, root = _store(folder)
