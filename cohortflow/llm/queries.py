@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import prepare_workers
 from ..sources.scratch import scratch_path
 from . import brown, decontaminate, lines, minhash_forest, mixing, resample, secrets, sketch, tokens, toxicity
 from .oracle import ORACLE_SQL  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_package(spark)
+    prepare_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

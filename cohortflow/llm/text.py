@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 2 << 20
-SLICE = 4 << 20
+PIECE = 1 << 20
+SLICE = 2 << 20
 
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.llm import decontaminate, minhash_forest, mixing, tokens, toxicity
 from cohortflow.llm.queries import table, tokenizer_path
-from cohortflow.session import ship_package
+from cohortflow.session import prepare_workers
 from cohortflow.sources.scratch import materialize, scratch_path
 
 
@@ -24,7 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: five words, similarity 0.8."""
-    ship_package(spark)
+    prepare_workers(spark)
     return minhash_forest.deduplicated(docs, words=5, percent=80)
 
 
@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as token files, read back: doc_id, start, n_tokens, ids_crc32."""
-    ship_package(spark)
+    prepare_workers(spark)
     folder = scratch_path(spark, "tokens")
     manifest = tokens.write_tokens(docs, folder, tokenizer_path())
     return tokens.read_tokens(spark, folder, manifest).withColumnRenamed("id", "doc_id")
