@@ -123,10 +123,10 @@ def near_duplicate_lines(
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         found = filled.select("node", "line", F.xxhash64("node").alias("h"))
-        return found.mapInArrow(_packed(chars, bit_table(nodes, "node")), "node binary, set binary")
+        return found.mapInArrow(_packed(chars, bit_table(nodes, "node")), "node binary, set binary").dropDuplicates(["node"])
 
-    members, sets = forest_regions(sketch.select(F.explode("keys").alias("region"), "node"), sets_of)
-    roots = components(S.region_join(members, sets, percent), "a", "b")
+    members, sets = forest_regions(sketch, sets_of)
+    roots = components(S.linked(members, sets, percent), "a", "b")
     places = lines.select("id", "line_no", "node")
     named = places.join(roots, "node", "left").select("id", "line_no", F.coalesce("root", "node").alias("component"))
     named = materialize(named, "lines")

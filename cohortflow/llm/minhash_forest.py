@@ -39,7 +39,7 @@ TREES, DEPTH = 24, 5
 #: Rows of a region that are compared with each other in one task.
 REGION = 256
 #: How often a too large region is divided by `DEEPER` more min-hashes.
-LEVELS, DEEPER = 5, 3
+LEVELS, DEEPER = 4, 4
 
 
 def tree_keys(signatures: np.ndarray, trees: int, depth: int) -> np.ndarray:
@@ -74,10 +74,40 @@ def _packed(size: int, table):
     return run
 
 
-def forest_regions(rows: DataFrame, sets_of, limit: int = REGION) -> tuple[DataFrame, DataFrame | None]:
-    """Bounded regions (region, node) of `rows` (region, node), and the sets of
-    their nodes. `sets_of(nodes)` gives (node, set) for a table of nodes, and may
-    repeat a node and give others too."""
+def _in_table(table):
+    """(region, node) of the keys that pass the bit table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, hashes = batch.column("keys"), batch.column("hashes").flatten()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
+            mask = passing(table.value, hashes)
+            yield pa.RecordBatch.from_arrays(
+                [keys.flatten().filter(mask), batch.column("node").take(pa.array(row).filter(mask))], ["region", "node"]
+            )
+
+    return run
+
+
+def shared_regions(sketch: DataFrame) -> DataFrame:
+    """(region, node) for the keys of `sketch` (node, keys) that two nodes or more have.
+
+    Keys are counted alone; most are nobody else's and are dropped in place by
+    a bounded bit table of the others before anything with nodes is shuffled.
+    """
+    counts = sketch.select(F.explode("keys").alias("region")).groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+    several = materialize(counts.where("n > 1").select("region"), "several")
+    kind = sketch.schema["node"].dataType.simpleString()
+    hashed = sketch.select("node", "keys", F.transform("keys", lambda key: F.xxhash64(key)).alias("hashes"))
+    maybe = hashed.mapInArrow(_in_table(bit_table(several, "region")), f"region long, node {kind}")
+    return materialize(maybe.join(several, "region").select("region", "node"), "shared")
+
+
+def forest_regions(sketch: DataFrame, sets_of, limit: int = REGION) -> tuple[DataFrame, DataFrame | None]:
+    """Bounded regions (region, node) of `sketch` (node, keys: its region in each
+    order), and the sets of their nodes. `sets_of(nodes)` gives (node, set) for a table of nodes, each
+    once; it may give others too."""
+    rows = shared_regions(sketch)
     sizes = materialize(S.region_sizes(rows), "regions")
     members = [materialize(S.bounded_regions(rows, sizes, limit), "members")]
     large = sizes.where(F.col("n") > limit).select("region", "n")
@@ -91,8 +121,8 @@ def forest_regions(rows: DataFrame, sets_of, limit: int = REGION) -> tuple[DataF
             sizes = materialize(S.region_sizes(rows), "regions")
             members.append(S.bounded_regions(rows, sizes, limit))
             large = sizes.where(F.col("n") > limit).select("region", "n")
-            deep = rows.join(large.select("region"), "region").select("keys", "node")
-        members.append(S.blocked(rows.join(large.select("region"), "region").select("region", "node"), large, limit))
+            deep = materialize(rows.join(large.select("region"), "region").select("keys", "node"), "deeper")
+        members.append(S.blocked(deep.select(F.col("keys")[LEVELS - 1].alias("region"), "node"), large, limit))
     out = members[0]
     for more in members[1:]:
         out = out.unionByName(more)
@@ -114,16 +144,17 @@ def near_duplicates(
     classes = materialize(
         sketch.where("n > 0 and id is not null").groupBy(*same).agg(F.min("id").alias("node"), F.any_value("keys").alias("keys")), "classes"
     )
-    rows = classes.select(F.explode("keys").alias("region"), "node")
+    shared = materialize(sketch.where("id is not null").groupBy("id").count().where("count > 1").select("id"), "shared")
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         found = narrow.where("id is not null").select("id", "text", F.xxhash64("id").alias("h"))
-        return found.mapInArrow(_packed(words, bit_table(nodes, "node")), f"node {kind}, set binary")
+        packed = found.mapInArrow(_packed(words, bit_table(nodes, "node")), f"node {kind}, set binary")
+        return packed if shared.isEmpty() else packed.dropDuplicates(["node"])
 
-    members, sets = forest_regions(rows, sets_of)
-    links = S.region_join(members, sets, percent)
+    members, sets = forest_regions(classes.select("node", "keys"), sets_of)
+    links = S.linked(members, sets, percent)
     # Classes of one id (rows that share it) are one document.
-    roots = components(links.unionByName(_shared_ids(sketch, classes)), "a", "b")
+    roots = components(links.unionByName(_shared_ids(sketch, classes, shared)), "a", "b")
     named = classes.select(*same, "node").join(roots, "node", "left")
     named = named.select(*same, F.coalesce("root", "node").alias("component"))
     out = sketch.select("id", *same).join(named, same, "left")
@@ -137,14 +168,10 @@ def near_duplicates(
     )
 
 
-def _shared_ids(sketch: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links between the classes of rows that share an id but not a text."""
-    several = sketch.where("n > 0 and id is not null").groupBy("id").agg(
-        F.min(F.struct("n", "one", "two")).alias("low"), F.max(F.struct("n", "one", "two")).alias("high")
-    )
-    twice = several.where("low <> high").select("id")
-    own = sketch.where("n > 0").join(twice, "id").join(classes.select("n", "one", "two", "node"), ["n", "one", "two"])
-    return own.select(F.col("id").alias("a"), F.col("node").alias("b"))
+def _shared_ids(sketch: DataFrame, classes: DataFrame, shared: DataFrame) -> DataFrame:
+    """Links between the classes of rows that share an id."""
+    own = sketch.where("n > 0").join(shared, "id").join(classes.select("n", "one", "two", "node"), ["n", "one", "two"])
+    return own.select(F.col("id").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

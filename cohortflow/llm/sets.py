@@ -15,9 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import Forest
+from ..sources.scratch import materialize
+from .components import Forest, components
 from .text import mix
 
+#: One of so many regions is compared first.
+EARLY = 4
 #: Cells of the 0/1 matrix that one comparison step holds.
 CELLS = 1 << 22
 
@@ -105,12 +108,11 @@ def region_join(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between members of one region.
 
     `members` (region, node) has regions of a bounded number of rows; `sets`
-    (node, set) has each node's distinct sorted 64-bit elements, packed. It may
-    repeat a node.
+    (node, set) has each node's distinct sorted 64-bit elements, packed.
     """
     node = members.schema["node"].dataType.simpleString()
     return (
-        members.join(sets.dropDuplicates(["node"]), "node")
+        members.join(sets, "node")
         .select("region", "node", "set")
         .repartition("region")
         .sortWithinPartitions("region", "node")
@@ -118,6 +120,22 @@ def region_join(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what the links of all regions connect.
+
+    A share of the regions is compared first. Of the others only those are
+    compared whose members the links found so far leave in several components:
+    a link inside a component changes nothing.
+    """
+    members = materialize(members, "members")
+    early = F.pmod(F.xxhash64("region"), F.lit(EARLY)) == 0
+    roots = components(region_join(members.where(early), sets, percent), "a", "b")
+    named = members.where(~early).join(roots, "node", "left").select("region", "node", F.coalesce("root", "node").alias("part"))
+    open_regions = named.groupBy("region").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    rest = named.join(open_regions.select("region"), "region").select("region", "node")
+    return region_join(rest, sets, percent).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+
+
 def _deeper(levels: int, hashes: int):
     """Region keys of `levels` more levels: each adds `hashes` min-hashes under
     permutations that all rows of the region share."""
@@ -183,7 +201,7 @@ def refined(rows: DataFrame, sets: DataFrame, levels: int, hashes: int) -> DataF
     """(keys, node): for each row of a too large region its region keys on the
     next `levels` levels."""
     node = rows.schema["node"].dataType.simpleString()
-    joined = rows.join(sets.dropDuplicates(["node"]), "node").select("region", "node", "set")
+    joined = rows.join(sets, "node").select("region", "node", "set")
     return joined.mapInArrow(_deeper(levels, hashes), f"keys array<long>, node {node}")
 
 
