@@ -16,8 +16,8 @@ def corpus(n=400, seed=3):
         bad = i % 5 == 0
         if bad:
             at = rng.randrange(len(text))
-            text = f"{text[:at]} {rng.choice(['grumbler', 'Grуmblеr', 'grumb1er', 'swindleheit', 'swindleung'])} {text[at:]}"
-        elif i % 50 == 1:
+            text = f"{text[:at]} {rng.choice(['grumbler', 'Grυmblеr', 'grumb1er', 'swindleheit', 'swindleung'])} {text[at:]}"
+        elif i % 80 == 1:
             text += " toy grumbler box"
         rows.append((i, text, "en", "s"))
         labels.append((i, int(bad)))
