@@ -31,7 +31,7 @@ from ..sources.scratch import materialize
 from . import sets as S
 from .components import components
 from .membership import bit_table, passing
-from .minhash_forest import forest_regions
+from .minhash_forest import forest_links
 from .text import rolled
 
 CHARS, BANDS, ROWS, PERCENT = 8, 10, 4, 80
@@ -125,8 +125,7 @@ def near_duplicate_lines(
         found = filled.select("node", "line", F.xxhash64("node").alias("h"))
         return found.mapInArrow(_packed(chars, bit_table(nodes, "node")), "node binary, set binary").dropDuplicates(["node"])
 
-    members, sets = forest_regions(sketch, sets_of)
-    roots = components(S.linked(members, sets, percent), "a", "b")
+    roots = components(forest_links(sketch, sets_of, percent), "a", "b")
     places = lines.select("id", "line_no", "node")
     named = places.join(roots, "node", "left").select("id", "line_no", F.coalesce("root", "node").alias("component"))
     named = materialize(named, "lines")

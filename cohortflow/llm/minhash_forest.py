@@ -1,16 +1,20 @@
 """Near-duplicate documents by an LSH forest over word shingles.
 
 Each document's set of word shingles gets `trees` short min-hash sequences.
-In one tree's sorted order, documents with a common prefix are neighbours and
-form a region. Depth adapts per region: a region of more than `REGION` rows is
-divided by further min-hashes of its own until it is small (or `LEVELS` is
-reached: then it is dealt into blocks that share the region's smallest node).
+In one tree, documents with a common prefix are neighbours and form a region.
 All pairs of a region are compared on their full sets, and the links'
 components are found by distributed union-find.
 
+A region of more than `REGION` rows is divided by further min-hashes of its own
+until it is small (or `LEVELS` is reached: then it is dealt into blocks that
+share the region's smallest node). That only finds most links cheaply: the rows
+of all such regions then go through an exact prefix join (`prefix_join`), which
+finds every link between the components known so far.
+
 * Texts with the same set are one node, so copies cost nothing beyond a groupBy.
 * A pair at the least similarity s is missed by every order with probability
   (1 - s^depth)^trees: 8e-7 at 0.85 and 7e-5 at 0.8 for 24 trees of depth 5.
+  A pair that meets in a crowded region is never missed.
 * Regions that several trees find again are compared once.
 
 Defined results: null and empty texts and texts without words have the empty
@@ -33,6 +37,7 @@ from ..sources.scratch import materialize
 from . import sets as S
 from .components import components
 from .membership import bit_table, passing
+from .prefix_join import prefix_links
 from .text import mix, sliced, text_shingles
 
 TREES, DEPTH = 24, 5
@@ -103,15 +108,16 @@ def shared_regions(sketch: DataFrame) -> DataFrame:
     return materialize(maybe.join(several, "region").select("region", "node"), "shared")
 
 
-def forest_regions(sketch: DataFrame, sets_of, limit: int = REGION) -> tuple[DataFrame, DataFrame | None]:
+def forest_regions(sketch: DataFrame, sets_of, limit: int = REGION) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Bounded regions (region, node) of `sketch` (node, keys: its region in each
-    order), and the sets of their nodes. `sets_of(nodes)` gives (node, set) for a table of nodes, each
+    order), the sets of their nodes, and the nodes of the regions over `limit`. `sets_of(nodes)` gives (node, set) for a table of nodes, each
     once; it may give others too."""
     rows = shared_regions(sketch)
     sizes = materialize(S.region_sizes(rows), "regions")
     members = [materialize(S.bounded_regions(rows, sizes, limit), "members")]
     large = sizes.where(F.col("n") > limit).select("region", "n")
     rows = materialize(rows.join(large.select("region"), "region").select("region", "node"), "crowded")
+    crowded = rows.select("node").distinct()
     nodes = members[0].select("node").unionByName(rows.select("node")).distinct()
     sets = materialize(sets_of(nodes), "sets")
     if not rows.isEmpty():
@@ -126,7 +132,20 @@ def forest_regions(sketch: DataFrame, sets_of, limit: int = REGION) -> tuple[Dat
     out = members[0]
     for more in members[1:]:
         out = out.unionByName(more)
-    return out, sets
+    return out, sets, crowded
+
+
+def forest_links(sketch: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Links (a, b) between the nodes of `sketch` that connect all that share a
+    region and are linked."""
+    members, sets, crowded = forest_regions(sketch, sets_of)
+    links = S.linked(members, sets, percent)
+    if crowded.isEmpty():
+        return links
+    links = materialize(links, "links")
+    parts = crowded.join(components(links, "a", "b"), "node", "left").select("node", F.coalesce("root", "node").alias("part"))
+    crowd = materialize(parts.join(sets, "node").select("node", "part", "set"), "crowd")
+    return links.unionByName(prefix_links(crowd, percent))
 
 
 def near_duplicates(
@@ -151,8 +170,7 @@ def near_duplicates(
         packed = found.mapInArrow(_packed(words, bit_table(nodes, "node")), f"node {kind}, set binary")
         return packed if shared.isEmpty() else packed.dropDuplicates(["node"])
 
-    members, sets = forest_regions(classes.select("node", "keys"), sets_of)
-    links = S.linked(members, sets, percent)
+    links = forest_links(classes.select("node", "keys"), sets_of, percent)
     # Classes of one id (rows that share it) are one document.
     roots = components(links.unionByName(_shared_ids(sketch, classes, shared)), "a", "b")
     named = classes.select(*same, "node").join(roots, "node", "left")
