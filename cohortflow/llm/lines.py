@@ -4,10 +4,11 @@ A text is cut at "\n"; a line is compared lower-cased and trimmed. Equal lines
 are one node (the MD5 of the compared line). Each node's shingles of `CHARS`
 characters (the line is padded at its end, so short lines have some too) get
 `BANDS` x `ROWS` min-hashes; lines that agree on a whole band are candidates.
-At similarity 0.8 a pair is missed by every band with probability 0.005.
+At similarity 0.8 a pair is missed by every band with probability 3e-5.
 Candidates meet in one task per band bucket with their whole shingle sets and
 are verified exactly; a bucket of too many lines is divided by further
-min-hashes first. Components come from distributed union-find, and each keeps
+min-hashes first, and the lines of all such buckets then go through an exact
+prefix join, so a pair that meets in one is never missed. Components come from distributed union-find, and each keeps
 its first line, by id and line number.
 
 Defined results: null and empty texts have no lines; blank lines are never
@@ -34,7 +35,7 @@ from .membership import bit_table, passing
 from .minhash_forest import forest_links
 from .text import rolled
 
-CHARS, BANDS, ROWS, PERCENT = 8, 10, 4, 80
+CHARS, BANDS, ROWS, PERCENT = 8, 20, 4, 80
 #: Characters that are sketched in one step.
 STEP = 1 << 16
 

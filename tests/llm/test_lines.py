@@ -2,8 +2,12 @@
 
 import random
 
+import numpy as np
+
 from fixtures import awkward, frame, prose
 from cohortflow.llm import lines as L
+from cohortflow.llm.components import Forest
+from cohortflow.llm.sets import intersections
 
 
 def shingled(line):
@@ -60,6 +64,28 @@ def test_equal_to_all_pairs(spark):
     assert len(names) == len(set(names.values()))
 
 
+def test_template_of_many_variants(spark):
+    """1,200 lines of one template: each has one partner at 0.8 or a little more, all share the crowded buckets."""
+    rng = random.Random(8)
+    base = "".join(rng.choices("abcdefghij klmnopqrst", k=150)).strip().replace("  ", "xy")
+    changed = lambda line, places: "".join(rng.choice("0123456789") if i in places else c for i, c in enumerate(line))
+    lines = []
+    for _ in range(600):
+        one = changed(base, rng.sample(range(len(base)), 2))
+        lines += [one, changed(one, rng.sample(range(len(base)), 2))]
+    lines = sorted(set(lines))
+    names: dict = {}
+    sets = [np.array(sorted(names.setdefault(x, len(names)) for x in shingled(line)), dtype=np.uint64) for line in lines]
+    size = np.array([len(s) for s in sets])
+    shared = intersections(sets)
+    forest = Forest()
+    for a, b in zip(*np.nonzero(np.triu(100 * shared >= 80 * (size[:, None] + size[None, :] - shared), 1))):
+        forest.union(int(a), int(b))
+    out = L.near_duplicate_lines(frame(spark, [(i, line, "en", "s") for i, line in enumerate(lines)])).collect()
+    assert len(out) == len(lines)
+    assert sum(r.first_id != forest.find(r.doc_id) for r in out) == 0
+
+
 def test_lines_are_cut(spark):
     rows = [(1, "same line of some words here\nown a\n\nlast", "en", "s"), (2, "Same line of some words here \nown b quite different\n\n", "en", "s"), (3, None, "en", "s")]
     docs = frame(spark, rows)
