@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from fixtures import awkward, frame, prose
+from corpus_fixtures import awkward, frame, prose
 from cohortflow.llm import lines as L
 from cohortflow.llm.components import Forest
 from cohortflow.llm.sets import intersections

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from fixtures import awkward, frame, prose, spaced
+from corpus_fixtures import awkward, frame, prose, spaced
 from cohortflow.llm import minhash_forest as M
 from cohortflow.llm import sets as S
 

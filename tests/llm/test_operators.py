@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fixtures import alnum, awkward, frame, prose, spaced
+from corpus_fixtures import alnum, awkward, frame, prose, spaced
 from cohortflow.llm import brown, decontaminate, mixing, resample, secrets, sketch, tokens
 from cohortflow.operators.ranking import ordered_totals
 from cohortflow.sources.scratch import scratch_path

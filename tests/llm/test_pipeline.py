@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline as P
-from fixtures import frame, awkward
+from corpus_fixtures import frame, awkward
 from test_minhash_forest import brute
 from test_operators import hits
 from cohortflow.llm import queries

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from fixtures import alnum, awkward, prose, spaced
+from corpus_fixtures import alnum, awkward, prose, spaced
 from cohortflow.llm import text as T
 from cohortflow.llm.components import components
 

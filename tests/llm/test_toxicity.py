@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from fixtures import awkward, frame, prose
+from corpus_fixtures import awkward, frame, prose
 from cohortflow.llm import toxicity as T
 
 
