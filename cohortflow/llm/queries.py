@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import prepare_workers
 from ..sources.scratch import scratch_path
-from . import brown, decontaminate, lines, minhash_forest, mixing, resample, secrets, sketch, tokens, toxicity
+from . import brown, byte_bpe, decontaminate, fim, lines, minhash_forest, mixing, resample, secrets, sketch, target, tokens, toxicity
 from .oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -18,10 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +92,26 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edited(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = tokenizer_path("byte_bpe_50k.tiktoken")
+    tokens = byte_bpe.encoded(table(spark, sf_dir, "documents"), ranks).select("id", "ids")
+    return byte_bpe.decoded(tokens, ranks).select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.transformed(table(spark, sf_dir, "documents")).drop("pieces")
+    return fim.restored(out).withColumnRenamed("id", "doc_id").drop("output", "restored")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -105,5 +125,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_files,
         op9_brown_lm,
         op10_scaled_sketch,
+        op11_target_resampling,
+        op12_byte_bpe,
+        op13_fill_in_middle,
     )
 }

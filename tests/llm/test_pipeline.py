@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.01"
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(entry.oracle_sql()) <= set(names)
 
 
