@@ -16,7 +16,7 @@ function resets the automaton. State and symbol tell whether a pre-token
 starts. Pieces of a very long text hand on their last state.
 
 Each distinct slice is merged once per worker: pairs of lowest rank first,
-leftmost first among equal ones, from a heap, so one very long slice is no
+leftmost first among equal ones; a very long slice uses a heap, so it is no
 worse than n log n. Ids come with the byte offset of each token, and with these
 an id list is decoded, whole or in part.
 
@@ -44,8 +44,11 @@ from .text import sliced, text_bytes
 
 #: Bytes of text scanned, and ids decoded, at a time; code points composed in one block.
 PIECE, BLOCK = 1 << 20, 128
-#: Slices that one worker remembers: this many new ones of at most `SHORT_SLICE` bytes, and as many from before.
-CACHED, SHORT_SLICE = 200_000, 256
+#: Distinct slices that one worker remembers: this many new ones or so many bytes of them, and as many from before;
+#: slices looked up at a time.
+CACHED, CACHED_BYTES, SLICES = 200_000, 32 << 20, 100_000
+#: Slices of up to so many bytes are merged in a list, longer ones from a heap.
+SHORT_SLICE = 100
 
 # Symbols. LETTER is any letter; SHORT ends a contraction by itself (s, t, m, d); LONG is the first letter
 # of re, ve or ll with the second behind it. RUN is white space before white space or the end of the
@@ -187,15 +190,18 @@ class Vocabulary:
         lengths = np.fromiter((len(token or b"") for token in tokens), np.int64, size)
         self.places = np.concatenate([[0], np.cumsum(lengths)])
         self.blob = np.frombuffer(b"".join(token or b"" for token in tokens), dtype=np.uint8)
-        self.cache: dict[bytes, tuple[int, ...]] = {}
-        self.old: dict[bytes, tuple[int, ...]] = {}
+        self.cache: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.size = 0
 
     def merged(self, piece: bytes) -> tuple[int, ...]:
         """The ids of one slice: always the pair of lowest rank, the leftmost of equal ones."""
-        whole = self.ranks.get(piece)
+        ranks, n = self.ranks, len(piece)
+        whole = ranks.get(piece)
         if whole is not None:
             return (whole,)
-        n, ranks = len(piece), self.ranks
+        if n <= SHORT_SLICE:
+            return self._merged_short(piece)
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # by the start of each part
 
         def joined(at: int) -> int | None:
@@ -222,29 +228,43 @@ class Vocabulary:
             at = end[at]
         return tuple(out)
 
-    def ids_of(self, piece: bytes) -> tuple[int, ...]:
-        """`merged` through a cache of two halves: a full new half becomes the old one."""
-        ids = self.cache.get(piece)
-        if ids is None:
-            ids = self.old.pop(piece, None) or self.merged(piece)
-            if len(piece) > SHORT_SLICE:
-                return ids
-            if len(self.cache) >= CACHED:
-                self.cache, self.old = {}, self.cache
-            self.cache[piece] = ids
-        return ids
+    def _merged_short(self, piece: bytes) -> tuple[int, ...]:
+        get, none = self.ranks.get, len(self.known)
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        pairs = [get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+        while pairs and (low := min(pairs)) < none:
+            at = pairs.index(low)
+            parts[at] += parts.pop(at + 1)
+            del pairs[at]
+            if at < len(pairs):
+                pairs[at] = get(parts[at] + parts[at + 1], none)
+            if at:
+                pairs[at - 1] = get(parts[at - 1] + parts[at], none)
+        return tuple(map(self.ranks.__getitem__, parts))
+
+    def learn(self, pieces: set[bytes]) -> None:
+        """Bring the ids of slices into the cache of two halves: a full new half
+        becomes the old one, and what the old one held unasked is forgotten."""
+        missing = pieces.difference(self.cache)
+        if len(self.cache) + len(missing) > CACHED or self.size > CACHED_BYTES:
+            self.cache, self.old, self.size, missing = {}, self.cache, 0, pieces
+        self.size += sum(map(len, missing))
+        for piece in missing:
+            self.cache[piece] = self.old.get(piece) or np.array(self.merged(piece), dtype=np.int32).tobytes()
 
     def encoded(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, the first id of each row)."""
         starts = slices(data, offsets)
         whole, cuts = data.tobytes(), [*starts.tolist(), len(data)]
-        ids_of, parts, counts = self.ids_of, [], np.zeros(len(starts) + 1, dtype=np.int64)
-        for at in range(0, len(starts), 100_000):
-            lists = [ids_of(whole[a:b]) for a, b in zip(cuts[at : at + 100_000], cuts[at + 1 : at + 100_001])]
-            counts[at + 1 : at + 1 + len(lists)] = np.fromiter(map(len, lists), np.int64, len(lists))
-            parts.append(np.array([i for ids in lists for i in ids], dtype=np.int32))
+        parts, counts = [], np.zeros(len(starts) + 1, dtype=np.int64)
+        for at in range(0, len(starts), SLICES):
+            pieces = [whole[a:b] for a, b in zip(cuts[at : at + SLICES], cuts[at + 1 : at + SLICES + 1])]
+            self.learn(set(pieces))
+            lists = list(map(self.cache.__getitem__, pieces))
+            counts[at + 1 : at + 1 + len(lists)] = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+            parts += lists
         before = np.cumsum(counts)
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32), before[np.searchsorted(starts, offsets)]
+        return np.frombuffer(b"".join(parts), dtype=np.int32), before[np.searchsorted(starts, offsets)]
 
     def token_ends(self, ids: np.ndarray) -> np.ndarray:
         """0 and the byte place where each id's token ends in the decoded bytes."""
