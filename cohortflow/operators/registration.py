@@ -6,13 +6,15 @@ numbered only over events that are new, ordered by natural key.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Callable, Union
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date_text, unparseable
 from ..sources.scratch import materialize
+from ..sources.tables import MALFORMED
 from .ranking import ordered_totals
 
 EVENT_KEY = ["event", "start_date", "end_date"]
@@ -23,8 +25,12 @@ TypeId = Union[int, Column, Callable[[Column], Column]]
 def parse_registrations(raw: DataFrame) -> DataFrame:
     """Text dates -> DateType, user id -> bigint, reject flag (Q17).
 
-    Output: user_id, event, start_date, end_date, start_text, end_text, rejected.
+    A row is rejected when a date text is unreadable, or when its line was
+    malformed (`tables.MALFORMED`, where the source has that column).
+    Output: user_id, event, start_date, end_date, start_text, end_text,
+    malformed, rejected.
     """
+    malformed = F.col(MALFORMED) if MALFORMED in raw.columns else F.lit(None).cast("string")
     rows = raw.select(
         F.col("member_id").try_cast("bigint").alias("user_id"),
         "event",
@@ -32,15 +38,44 @@ def parse_registrations(raw: DataFrame) -> DataFrame:
         parse_date_text(F.col("end_date")).alias("end_date"),
         F.col("start_date").alias("start_text"),
         F.col("end_date").alias("end_text"),
+        malformed.alias(MALFORMED),
+        *(["screened"] if "screened" in raw.columns else []),
     )
     bad = unparseable(F.col("start_text"), F.col("start_date")) | unparseable(F.col("end_text"), F.col("end_date"))
-    return rows.select("*", bad.alias("rejected"))
+    return rows.withColumn("rejected", bad | F.col(MALFORMED).isNotNull())
 
 
-def parsed_once(raw: DataFrame) -> DataFrame:
-    """`parse_registrations`, written once: every date text is parsed one time
-    however often the rows are read."""
-    return materialize(parse_registrations(raw), "parsed")
+@dataclass(frozen=True)
+class ParsedBatch:
+    """Parsed rows, written once, and what was counted on the way."""
+
+    rows: DataFrame
+    raw_rows: int  # rows that passed the screen
+    screened_rows: int  # rows that the screen took out
+    rejected_rows: int
+    malformed_rows: int  # of the rejected ones
+
+
+def parsed_once(raw: DataFrame, screen: bool = False, staff: DataFrame | None = None) -> ParsedBatch:
+    """`parse_registrations`, after `screen_registrations` where asked, written once:
+    every date text is parsed one time however often the rows are read.
+
+    The counts that need no join (A10) are observed while the rows are written,
+    in the writing stage, so no row is read again for them and a task that runs
+    twice counts once.
+    """
+    rows = parse_registrations(screened(raw, staff) if screen else raw.withColumn("screened", F.lit(False)))
+    seen = Observation()
+    kept = ~F.col("screened")
+    observed = rows.observe(
+        seen,
+        F.count_if(kept).alias("raw_rows"),
+        F.count_if("screened").alias("screened_rows"),
+        F.count_if(kept & F.col("rejected")).alias("rejected_rows"),
+        F.count_if(kept & F.col(MALFORMED).isNotNull()).alias("malformed_rows"),
+    )
+    written = materialize(observed.where(kept).drop("screened"), "parsed")
+    return ParsedBatch(written, **seen.get)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -49,29 +84,35 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    """The reject table: rows with date text that no accepted format reads."""
+    """The reject table: rows with date text that no accepted format reads, and
+    malformed lines, which have only their text."""
     return parsed.where(F.col("rejected")).select(
-        F.col("user_id"), F.col("event"), F.col("start_text").alias("start_date"), F.col("end_text").alias("end_date")
+        "user_id", "event", F.col("start_text").alias("start_date"), F.col("end_text").alias("end_date"), MALFORMED
     )
 
 
-def screen_registrations(raw: DataFrame, staff: DataFrame | None = None) -> DataFrame:
-    """the written preparation rules, as an optional ingest screen.
+def screened(raw: DataFrame, staff: DataFrame | None = None) -> DataFrame:
+    """`raw` with `screened`, whether the written preparation rules drop the row.
 
-    Drops names containing CANCELLED (any case) or any non-ASCII character, and,
-    when `staff` (a frame with `id`) is given, rows of staff members. Null names
-    and null user ids are kept; later steps decide about them.
+    They drop names containing CANCELLED (any case) or any non-ASCII character,
+    and, when `staff` (a frame with `id`) is given, rows of staff members. Null
+    names and null user ids are kept; later steps decide about them.
     """
     name = F.col("event")
     cancelled = F.coalesce(F.upper(name).contains("CANCELLED"), F.lit(False))
     odd = F.coalesce(name.rlike("[^\\x00-\\x7F]"), F.lit(False))
-    kept = raw.where(~cancelled & ~odd)
     if staff is None:
-        return kept
+        return raw.withColumn("screened", cancelled | odd)
     user = F.col("member_id") if "member_id" in raw.columns else F.col("user_id")
-    keyed = kept.withColumn("_uid", user.try_cast("bigint"))
-    staff_ids = staff.select(F.col("id").alias("_uid"))
-    return keyed.join(staff_ids, "_uid", "left_anti").drop("_uid")
+    keyed = raw.withColumn("_uid", user.try_cast("bigint"))
+    staff_ids = staff.select(F.col("id").alias("_uid"), F.lit(True).alias("_staff")).distinct()
+    of_staff = F.coalesce(F.col("_staff"), F.lit(False))
+    return keyed.join(staff_ids, "_uid", "left").withColumn("screened", cancelled | odd | of_staff).drop("_uid", "_staff")
+
+
+def screen_registrations(raw: DataFrame, staff: DataFrame | None = None) -> DataFrame:
+    """The rows that the written preparation rules keep (see `screened`)."""
+    return screened(raw, staff).where(~F.col("screened")).drop("screened")
 
 
 def batch_events(registrations: DataFrame) -> DataFrame:
@@ -149,31 +190,31 @@ def new_event_attendees(attendees: DataFrame, existing: DataFrame | None) -> Dat
     return attendees.join(existing.select("event_id", "user_id"), ["event_id", "user_id"], "left_anti")
 
 
-def registration_summary(parsed: DataFrame, events: DataFrame | None = None, screened_out: int = 0) -> DataFrame:
+def registration_summary(parsed: ParsedBatch, events: DataFrame | None = None) -> DataFrame:
     """A10: the run counts as one row.
 
-    `parsed` are the rows that were registered, as `parsed_once` gives them.
     raw_rows: rows of the file that passed the screen; screened_rows: rows the
-    screen took out; rejected_rows: rows with unreadable date text;
-    unique_events: distinct complete events after parsing; attendees_before:
-    attendee rows before the join; attendees_after: (event, start, end, user)
-    left after the join, null-id drop and dedup; batch_events: events of the
-    batch that have an id. The join is against `events` when given, else
-    against the batch's own events.
+    screen took out; rejected_rows: malformed rows and rows with unreadable date
+    text; malformed_rows: the former; attendees_before: attendee rows before the
+    join. These were counted while the rows were written.
+    unique_events: distinct complete events after parsing; attendees_after:
+    (event, start, end, user) left after the join, null-id drop and dedup;
+    batch_events: events of the batch that have an id. The join is against
+    `events` when given, else against the batch's own events.
     """
-    good = accepted(parsed)
+    good = accepted(parsed.rows)
     batch = batch_events(good)
     held = batch if events is None else events.select(F.col("name").alias("event"), "start_date", "end_date").distinct()
     known = good.where(F.col("user_id").isNotNull()).select("user_id", "event", "start_date").distinct()
     attendees = known.join(held, ["event", "start_date"])
     in_batch = batch if events is None else batch.join(held, EVENT_KEY, "left_semi")
     size = lambda df: df.agg(F.count(F.lit(1))).scalar()
-    return parsed.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.lit(screened_out).cast("bigint").alias("screened_rows"),
-        F.count_if("rejected").alias("rejected_rows"),
-        F.count_if(~F.col("rejected")).alias("attendees_before"),
-    ).select("*", size(batch).alias("unique_events"), size(attendees).alias("attendees_after"), size(in_batch).alias("batch_events"))
+    counted = {
+        "raw_rows": parsed.raw_rows, "screened_rows": parsed.screened_rows, "rejected_rows": parsed.rejected_rows,
+        "malformed_rows": parsed.malformed_rows, "attendees_before": parsed.raw_rows - parsed.rejected_rows,
+    }
+    one = good.sparkSession.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counted.items()])
+    return one.select("*", size(batch).alias("unique_events"), size(attendees).alias("attendees_after"), size(in_batch).alias("batch_events"))
 
 
 def event_report(events: DataFrame) -> DataFrame:

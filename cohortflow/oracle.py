@@ -17,12 +17,16 @@ def _plus_days(expr: str, n: int) -> str:
 
 _MONTH0 = "CAST(date_trunc('month', o_orderdate) AS DATE)"
 
-# The written date form of an order, by o_orderkey % 9.
-_FORMS = ["%-m/%-d/%Y", "%Y-%m-%d", "%-m/%-d/%y", "%-m-%-d-%Y", "%-m/%-d/%Y 0:00", "%Y-%m-%d 00:00:00", "%Y-%m-%dT00:00:00", "%b %-d, %Y", "%-d %b %Y"]
+# The written date form of an order, by o_orderkey % 19.
+_FORMS = [
+    "%-m/%-d/%Y", "%Y-%m-%d", "%-m/%-d/%y", "%-m-%-d-%Y", "%-m/%-d/%Y 0:00", "%Y-%m-%d 00:00:00", "%Y-%m-%dT00:00:00", "%b %-d, %Y", "%-d %b %Y",
+    "%-m/%-d/%Y 12:00:00 AM", "%Y/%m/%d", "%-d-%b-%y", "%-d-%b-%Y", "%B %-dth, %Y", "%b %-d %Y", "%Y-%m-%dT00:00:00Z", "%Y%m%d", "%-m.%-d.%Y",
+    "%a %b %-d %Y",
+]
 
 
 def _written(day: str) -> str:
-    return "CASE o_orderkey % 9 " + " ".join(f"WHEN {i} THEN strftime({day}, '{form}')" for i, form in enumerate(_FORMS)) + " END"
+    return "CASE o_orderkey % 19 " + " ".join(f"WHEN {i} THEN strftime({day}, '{form}')" for i, form in enumerate(_FORMS)) + " END"
 
 
 ADAPTERS = f"""
@@ -44,8 +48,8 @@ registrations AS (
          CASE WHEN o_orderkey % 37 <> 0 THEN {_plus_days(_MONTH0, 3)} END AS end_date
   FROM orders
 ),
-registrations_raw AS (
-  SELECT CAST(CASE WHEN o_orderkey % 41 <> 0 THEN o_custkey END AS DOUBLE) AS member_id,
+keyed_registrations AS (
+  SELECT o_orderkey AS k, CAST(CASE WHEN o_orderkey % 41 <> 0 THEN o_custkey END AS DOUBLE) AS member_id,
          CASE WHEN o_orderkey % 53 = 0 THEN NULL
               WHEN o_orderkey % 61 = 0 THEN o_orderpriority || ' CANCELLED'
               WHEN o_orderkey % 67 = 0 THEN o_orderpriority || ' été'
@@ -54,6 +58,9 @@ registrations_raw AS (
          CASE WHEN o_orderkey % 37 <> 0 THEN {_written(_plus_days(_MONTH0, 3))} END AS end_date
   FROM orders
 ),
+registrations_raw AS (
+  SELECT * EXCLUDE k FROM keyed_registrations
+),
 program_event AS (
   SELECT CAST(rank() OVER (ORDER BY event, start_date, end_date) AS BIGINT) AS id, event AS name,
          CAST(left(event, 1) AS INTEGER) AS type_id, start_date, end_date
@@ -286,11 +293,12 @@ def _with(*ctes: str) -> str:
 
 def _parsed(col: str) -> str:
     """The accepted written forms, by shape; a clock time behind the date is cut off first."""
-    day = f"regexp_replace(trim({col}), '[ T][0-9]{{1,2}}:[0-9]{{2}}(:[0-9]{{2}}([.][0-9]+)?)?$', '')"
+    day = f"regexp_replace(trim({col}), '[ T][0-9]{{1,2}}:[0-9]{{2}}(:[0-9]{{2}}([.][0-9]+)?)?( AM|Z)?$', '')"
+    others = "['%B %dth, %Y', '%b %d %Y', '%Y/%m/%d', '%d-%b-%y', '%d-%b-%Y', '%Y%m%d', '%m.%d.%Y', '%a %b %d %Y']"
     number, same = "[0-9]{1,2}", f"replace({day}, '-', '/')"
     long_forms = f"coalesce(try_strptime({same}, '%m/%d/%Y'), try_strptime({same}, '%d/%m/%Y'))"
     short_forms = f"coalesce(try_strptime({same}, '%m/%d/%y'), try_strptime({same}, '%d/%m/%y'))"
-    names = f"coalesce(try_strptime({day}, '%b %d, %Y'), try_strptime({day}, '%B %d, %Y'), try_strptime({day}, '%d %b %Y'), try_strptime({day}, '%d %B %Y'))"
+    names = f"coalesce(try_strptime({day}, '%b %d, %Y'), try_strptime({day}, '%B %d, %Y'), try_strptime({day}, '%d %b %Y'), try_strptime({day}, '%d %B %Y'), try_strptime({day}, {others}))"
     return (
         f"CAST(CASE WHEN regexp_full_match({day}, '{number}/{number}/[0-9]{{4}}|{number}-{number}-[0-9]{{4}}') THEN {long_forms} "
         f"WHEN regexp_full_match({day}, '{number}/{number}/[0-9]{{2}}|{number}-{number}-[0-9]{{2}}') THEN {short_forms} "
@@ -299,6 +307,22 @@ def _parsed(col: str) -> str:
     )
 
 
+# Lines of the registration file that are no rows, and the rows that the other lines hold.
+DAMAGED = """
+lines AS (
+  SELECT *, k % 97 AS harm, coalesce(CAST(member_id AS VARCHAR), '') AS id_text, coalesce(event, '') AS event_text,
+         coalesce(start_date, '') AS from_text, coalesce(end_date, '') AS to_text
+  FROM keyed_registrations
+),
+damaged AS (
+  SELECT CASE harm WHEN 1 THEN id_text || ',' || event_text
+                   WHEN 2 THEN id_text || ',' || event_text || ',"' || from_text || '",' || CASE WHEN to_text = '' THEN '' ELSE '"' || to_text || '"' END || ',more'
+                   WHEN 3 THEN id_text || ',"' || event_text || ',' || from_text || ',' || to_text
+                   ELSE id_text || ',"' || event_text || '"x,' || from_text || ',' || to_text END AS line
+  FROM lines WHERE harm BETWEEN 1 AND 4
+)"""
+UNDAMAGED = "\nregistrations_left AS (SELECT member_id, event, start_date, end_date FROM lines WHERE harm NOT BETWEEN 1 AND 4)"
+
 PARSED = f"""
 parsed AS (
   SELECT CAST(member_id AS BIGINT) AS user_id, event, {_parsed('start_date')} AS start_date, {_parsed('end_date')} AS end_date,
@@ -328,19 +352,31 @@ store AS (
 ORACLE_SQL: dict[str, str] = {
     "registration_summary": _with(PARSED) + """
 SELECT (SELECT count(*) FROM registrations_raw) AS raw_rows, CAST(0 AS BIGINT) AS screened_rows,
-       (SELECT count(*) FROM parsed_flagged WHERE rejected) AS rejected_rows,
+       (SELECT count(*) FROM parsed_flagged WHERE rejected) AS rejected_rows, CAST(0 AS BIGINT) AS malformed_rows,
        (SELECT count(*) FROM parsed_flagged WHERE NOT rejected) AS attendees_before,
        (SELECT count(*) FROM batch) AS unique_events,
        (SELECT count(*) FROM batch b WHERE EXISTS (FROM batch x WHERE x = b)) AS batch_events,
        (SELECT count(*) FROM (SELECT DISTINCT b, r.user_id FROM parsed_flagged r
           JOIN batch b ON (b.event, b.start_date) = (r.event, r.start_date)
           WHERE NOT r.rejected AND r.user_id IS NOT NULL)) AS attendees_after""",
+    "registration_rejects": _with(DAMAGED, UNDAMAGED, PARSED.replace("registrations_raw", "registrations_left")) + """
+SELECT user_id, event, start_text AS start_date, end_text AS end_date, NULL AS malformed FROM parsed_flagged WHERE rejected
+UNION ALL SELECT NULL, NULL, NULL, NULL, line FROM damaged""",
+    "damaged_registration_summary": _with(DAMAGED, UNDAMAGED, PARSED.replace("registrations_raw", "registrations_left")) + """
+SELECT (SELECT count(*) FROM lines) AS raw_rows, CAST(0 AS BIGINT) AS screened_rows,
+       (SELECT count(*) FROM damaged) + (SELECT count(*) FROM parsed_flagged WHERE rejected) AS rejected_rows,
+       (SELECT count(*) FROM damaged) AS malformed_rows,
+       (SELECT count(*) FROM parsed_flagged WHERE NOT rejected) AS attendees_before,
+       (SELECT count(*) FROM batch) AS unique_events, (SELECT count(*) FROM batch) AS batch_events,
+       (SELECT count(*) FROM (SELECT DISTINCT b, r.user_id FROM parsed_flagged r
+          JOIN batch b ON (b.event, b.start_date) = (r.event, r.start_date)
+          WHERE NOT r.rejected AND r.user_id IS NOT NULL)) AS attendees_after""",
     "registration_screen": _with() + """
 SELECT * FROM registrations_raw
 WHERE coalesce(NOT contains(upper(event), 'CANCELLED') AND NOT regexp_matches(event, '[^\\x00-\\x7F]'), true)
   AND coalesce(member_id NOT IN (SELECT id FROM members WHERE user_role_type_id IN (4, 6)), true)""",
     "parsed_registration_dates": _with(PARSED) + """
-SELECT user_id, event, start_date, end_date, start_text, end_text, rejected FROM parsed_flagged""",
+SELECT user_id, event, start_date, end_date, start_text, end_text, CAST(NULL AS VARCHAR) AS malformed, rejected FROM parsed_flagged""",
     "program_events": _with() + """
 SELECT * FROM program_event""",
     "program_events_upsert": _with() + """,

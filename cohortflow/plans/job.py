@@ -1,7 +1,7 @@
 """The batch job: register a registration file, then measure its events.
 
-1. read the file (S1), parse dates, reject unreadable rows (Q17), optionally
-   apply the written preparation screen (F13);
+1. read the file (S1), parse dates, reject malformed rows and unreadable dates
+   (Q17), optionally apply the written preparation screen (F13);
 2. append events the store lacks, numbered after the largest stored id (S4);
 3. append attendees the store lacks (S5); both appends are idempotent, so a
    failed run is completed by running it again;
@@ -57,10 +57,8 @@ def register_batch(
     screen: bool = False,
 ) -> RegisteredBatch:
     """Steps 1-3 for one batch of raw registration rows (any source, incl. a stream batch)."""
-    rows = reg.screen_registrations(raw, staff) if screen else raw
-    parsed = reg.parsed_once(rows)
-    screened_out = raw.count() - parsed.count() if screen else 0
-    good = reg.accepted(parsed)
+    parsed = reg.parsed_once(raw, screen, staff)
+    good = reg.accepted(parsed.rows)
     batch = reg.batch_events(good)
 
     with sinks.single_writer(spark, store_path):
@@ -75,7 +73,7 @@ def register_batch(
         sinks.append_table(reg.new_event_attendees(attendees, stored_attendees), store_path, "event_attendees")
 
     ids = materialize(reg.resolve_event_ids(batch, events), "batch_events")
-    return RegisteredBatch(ids, reg.rejected(parsed), reg.registration_summary(parsed, events, screened_out))
+    return RegisteredBatch(ids, reg.rejected(parsed.rows), reg.registration_summary(parsed, events))
 
 
 def run(

@@ -34,6 +34,21 @@ def registration_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reg.registration_summary(reg.parsed_once(fx.fixture_registrations_raw(spark, sf_dir)))
 
 
+def registration_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registration file with damaged lines, written as text and read back;
+    its reject table: unreadable dates by their values, malformed lines by their text."""
+    files = scratch_path(spark, "registrations")
+    fx.write_damaged_registrations(spark, sf_dir, files)
+    return reg.rejected(reg.parsed_once(read_registrations_csv(spark, files)).rows)
+
+
+def damaged_registration_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 over the registration file with damaged lines."""
+    files = scratch_path(spark, "registrations")
+    fx.write_damaged_registrations(spark, sf_dir, files)
+    return reg.registration_summary(reg.parsed_once(read_registrations_csv(spark, files)))
+
+
 def registration_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = fx.fixture_inputs(spark, sf_dir)
     staff = inputs.members.where(F.col("user_role_type_id").isin(*FIXTURE_RULES.excluded_roles))
@@ -62,7 +77,7 @@ def attendees_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     registered against the store. Rows to append: event_id, user_id."""
     files, store = scratch_path(spark, "registrations"), scratch_path(spark, "store")
     fx.fixture_registrations_raw(spark, sf_dir).write.option("header", True).csv(files)
-    good = reg.accepted(reg.parsed_once(read_registrations_csv(spark, files)))
+    good = reg.accepted(reg.parsed_once(read_registrations_csv(spark, files)).rows)
     early = good.where(F.col("start_date") < F.lit(UPSERT_STORE_BEFORE).cast("date"))
     for rows in (early, good):
         stored = sinks.read_table_if_exists(spark, store, "program_event")
@@ -76,7 +91,7 @@ def attendees_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = reg.batch_events(reg.accepted(reg.parsed_once(fx.fixture_registrations_raw(spark, sf_dir))))
+    batch = reg.batch_events(reg.accepted(reg.parsed_once(fx.fixture_registrations_raw(spark, sf_dir)).rows))
     return reg.resolve_event_ids(batch, fx.program_event(fx.fixture_registrations(spark, sf_dir)))
 
 
@@ -188,6 +203,8 @@ def event_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "registration_summary": registration_summary,
+    "registration_rejects": registration_rejects,
+    "damaged_registration_summary": damaged_registration_summary,
     "registration_screen": registration_screen,
     "parsed_registration_dates": parsed_registration_dates,
     "program_events": program_events,

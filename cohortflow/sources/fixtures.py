@@ -68,11 +68,20 @@ def registrations(orders: DataFrame) -> DataFrame:
 
 def registrations_raw(orders: DataFrame) -> DataFrame:
     """Registrations as the CSV gives them: double user id, free-text dates, unscreened names."""
+    return keyed_registrations(orders).drop("k")
+
+
+def keyed_registrations(orders: DataFrame) -> DataFrame:
+    """`registrations_raw` with the order key `k` that seeds it."""
     k = F.col("o_orderkey")
     start = _month0(F.col("o_orderdate"))
     end = F.date_add(start, 3)
     # One written form per remainder of the order key.
-    forms = ("M/d/yyyy", "yyyy-MM-dd", "M/d/yy", "M-d-yyyy", "M/d/yyyy' 0:00'", "yyyy-MM-dd' 00:00:00'", "yyyy-MM-dd'T00:00:00'", "MMM d, yyyy", "d MMM yyyy")
+    forms = (
+        "M/d/yyyy", "yyyy-MM-dd", "M/d/yy", "M-d-yyyy", "M/d/yyyy' 0:00'", "yyyy-MM-dd' 00:00:00'", "yyyy-MM-dd'T00:00:00'", "MMM d, yyyy", "d MMM yyyy",
+        "M/d/yyyy' 12:00:00 AM'", "yyyy/MM/dd", "d-MMM-yy", "d-MMM-yyyy", "MMMM d'th', yyyy", "MMM d yyyy", "yyyy-MM-dd'T00:00:00Z'", "yyyyMMdd", "M.d.yyyy",
+        "E MMM d yyyy",
+    )
 
     def as_text(d: Column) -> Column:
         written = F.date_format(d, forms[0])
@@ -92,7 +101,27 @@ def registrations_raw(orders: DataFrame) -> DataFrame:
         event.alias("event"),
         F.when(k % 71 == 0, F.lit("TBD")).otherwise(as_text(start)).alias("start_date"),
         _null_if(k % 37 == 0, as_text(end)).alias("end_date"),
+        k.alias("k"),
+    )
+
+
+def write_damaged_registrations(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The registration file, written as CSV lines below `path`, every file with the
+    header. Some lines lack values, have one too many, leave a quote open or go on
+    behind a closing quote."""
+    rows = keyed_registrations(driver_table(spark, sf_dir, "orders"))
+    k, text = F.col("k") % 97, lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
+    quoted = lambda name: F.when(F.col(name).isNull(), F.lit("")).otherwise(F.concat(F.lit('"'), F.col(name), F.lit('"')))
+    line = (
+        F.when(k == 1, F.concat_ws(",", text("member_id"), text("event")))
+        .when(k == 2, F.concat_ws(",", text("member_id"), text("event"), quoted("start_date"), quoted("end_date"), F.lit("more")))
+        .when(k == 3, F.concat_ws(",", text("member_id"), F.concat(F.lit('"'), text("event")), text("start_date"), text("end_date")))
+        .when(k == 4, F.concat_ws(",", text("member_id"), F.concat(F.lit('"'), text("event"), F.lit('"x')), text("start_date"), text("end_date")))
+        .otherwise(F.concat_ws(",", text("member_id"), text("event"), quoted("start_date"), quoted("end_date")))
     )
+    # One column, named like the header, written as it is.
+    lines = rows.select(line.alias("member_id,event,start_date,end_date"))
+    lines.write.options(header=True, sep="\x01", quote="", escapeQuotes=False).csv(path)
 
 
 def fixture_type_id(name: Column) -> Column:

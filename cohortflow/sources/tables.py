@@ -36,61 +36,86 @@ class CohortInputs:
         return CohortInputs(**values)
 
 
+#: Column with the text of a line that is no row of the file's columns; null for all others.
+MALFORMED = "malformed"
+
+
 def registration_columns(df: DataFrame, id_column: str = "member_id") -> DataFrame:
     """The four registration columns, taken by header name (any order, extra
     columns pruned), typed as REGISTRATIONS_CSV; an unreadable id becomes null.
-    `id_column` names the file's member-id column."""
+    `id_column` names the file's member-id column. A malformed line keeps its
+    text in MALFORMED and nothing else: how far it could be split says nothing
+    about where its values belong."""
     source = {"member_id": id_column}
-    return df.select(
-        *[
-            (
-                F.col(source.get(f.name, f.name))
-                if f.dataType == T.StringType()
-                else F.col(source.get(f.name, f.name)).try_cast(f.dataType)
-            ).alias(f.name)
-            for f in REGISTRATIONS_CSV.fields
-        ]
-    )
+    whole = F.col(MALFORMED).isNull() if MALFORMED in df.columns else F.lit(True)
+    own = []
+    for f in REGISTRATIONS_CSV.fields:
+        value = F.col(source.get(f.name, f.name))
+        own.append(F.when(whole, value if f.dataType == T.StringType() else value.try_cast(f.dataType)).alias(f.name))
+    return df.select(*own, *([MALFORMED] if MALFORMED in df.columns else []))
+
+
+def text_schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+def csv_options(header: list[str]) -> tuple[T.StructType, dict[str, object]]:
+    """Schema and reader options of registration files with this header.
+
+    Every value is read as text (no inference); a quote inside a quoted value
+    is doubled. A line with another number of values than the header has, or
+    with a quote that is not closed, keeps its text in MALFORMED (Q17); for that
+    a line is split whole, also where only some columns are wanted. The header of
+    each file must be this one.
+    """
+    options = {
+        "header": True, "enforceSchema": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED,
+        "escape": '"', "unescapedQuoteHandling": "STOP_AT_CLOSING_QUOTE", "columnPruning": False,
+    }
+    return text_schema([*header, MALFORMED]), options
 
 
 def read_registrations_csv(spark: SparkSession, path: str, id_column: str = "member_id") -> DataFrame:
     """The registration files below `path`. Each file's columns are matched by
-    its own header, every value is read as text (no inference) and cast
-    explicitly. `id_column` names the member-id column when it is not called
-    member_id. A file without one of the four columns raises."""
+    its own header and cast explicitly; a malformed line is a row of its own,
+    with its text in MALFORMED. `id_column` names the member-id column when it is
+    not called member_id. A file without one of the four columns raises."""
     parts = []
     for header, files in registration_headers(spark, path):
-        df = spark.read.schema(text_schema(header)).option("header", True).option("enforceSchema", False).csv(files)
-        parts.append(registration_columns(df, id_column))
+        schema, options = csv_options(header)
+        parts.append(registration_columns(spark.read.schema(schema).options(**options).csv(files), id_column))
     if not parts:
-        return spark.createDataFrame([], REGISTRATIONS_CSV)
+        return spark.createDataFrame([], T.StructType([*REGISTRATIONS_CSV.fields, T.StructField(MALFORMED, T.StringType())]))
     return reduce(DataFrame.unionByName, parts)
 
 
-def text_schema(names: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
-
-
 def registration_headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
     """The different headers of the files below `path`, each with its files.
 
-    A file's header is the first row of its first block; rows of one block
-    keep their order in a partition. One row per file reaches the driver.
+    Only the first line of each file is read, through the file system of the
+    path; a compressed file is decompressed as far as that.
     """
-    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    firsts = (
-        lines.where("file_block_start = 0")
-        .withColumn("at", F.monotonically_increasing_id())
-        .groupBy("file_path")
-        .agg(F.min_by("value", "at").alias("header"))
-    )
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for row in firsts.orderBy("file_path").collect():
-        names = next(csv.reader([row.header.removeprefix("\ufeff")]))
-        by_header.setdefault(tuple(names), []).append(row.file_path)
+    for file in sorted(spark.read.text(path).inputFiles()):
+        line = first_line(spark, file)
+        if line is not None:
+            by_header.setdefault(tuple(next(csv.reader([line.removeprefix("\ufeff")]))), []).append(file)
     return [(list(names), files) for names, files in by_header.items()]
 
 
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a text file; None when the file is empty."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    stream = stream if codec is None else codec.createInputStream(stream)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
 def read_native_tables(spark: SparkSession, base_path: str, fmt: str = "parquet") -> CohortInputs:
     """One directory per table under `base_path` (parquet by default).
 

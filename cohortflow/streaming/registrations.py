@@ -4,7 +4,7 @@ A file-source stream over the registration folder feeds `foreachBatch`, which
 runs the same idempotent event and attendee appends as the batch job. The
 stream's checkpoint records which files were taken; a replayed micro-batch
 appends nothing new, so the store sees each registration once. Rows with
-unreadable dates go to `registration_rejects` in the store, one folder per
+unreadable dates and malformed lines go to `registration_rejects` in the store, one folder per
 micro-batch, which a replay overwrites.
 """
 
@@ -20,7 +20,7 @@ from ..plans.job import register_batch
 from ..session import checkpoint_dir
 from ..sources.schemas import REGISTRATIONS_CSV
 from ..sources.sinks import table_path
-from ..sources.tables import registration_columns, text_schema
+from ..sources.tables import csv_options, registration_columns, text_schema
 
 REJECTS = "registration_rejects"
 
@@ -47,7 +47,8 @@ def registration_stream(
                 raise
             file_schema = text_schema([id_column if f.name == "member_id" else f.name for f in REGISTRATIONS_CSV.fields])
     # A file whose header differs from the schema raises; its columns are never taken by position.
-    reader = spark.readStream.schema(file_schema).option("header", True).option("enforceSchema", False)
+    schema, options = csv_options(file_schema.fieldNames())
+    reader = spark.readStream.schema(schema).options(**options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return registration_columns(reader.csv(source_dir), id_column)
