@@ -1,28 +1,26 @@
-"""As-of metrics: one interval join serves every date-dependent metric at every probe date.
+"""As-of metrics: one sorted sweep serves every date-dependent metric at every probe date.
 
-Interval rows from four sources are stacked into one table
-``(user_id, kind, other_id, start_date, end_date)``:
+Four sources give intervals of (member, kind, other):
 
 * MENTORED  (kind 0): the member is the mentee; test F10 (half-open)  -> mentored flag
 * MENTEE    (kind 1): the member is the mentor; test F11 (closed)     -> active mentees
 * CONTACT   (kind 2): contact chart rows the member owns; F11         -> count, latest start
 * CHAIN     (kind 3): (mentor, mentee) pairs joined with the mentee's live-study
-  intervals: the pair must be alive at t (F12 on `alive_end`, the latest
-  edge end) and the study schedule valid at t (F11)                   -> leaders in chain
-
-The chain rows are joined on the fact side (pairs x leader intervals, keyed
-by the mentee), so the probes need a single join. Probe rows (cohort rows, or
-as-of keys) join the stack once on user_id with the validity test as join
-residual; two aggregations reduce it: first to one row per (probe, kind,
-other_id), which makes every count a distinct count without an Expand, then
-to one row per probe.
-
-Where only existence matters (every kind but CONTACT, which needs its latest
-start), overlapping intervals of one (member, kind, other) are merged first.
-Every member's interval rows are dealt over SALTS join keys and the probes
-repeat once per key, so a member with a huge share of the rows meets its probes
-in several tasks in any session; because the aggregation behind the join is
-keyed without the salt, it has its own shuffle, and AQE can split further.
+  intervals: the pair must be alive at t (F12 on its latest edge end) and the
+  study schedule valid at t (F11), so the interval ends with the earlier of both
+                                                                      -> leaders in chain
+
+Overlapping intervals of one (member, kind, other) are merged, so at any date at
+most one of them holds, and the number of others is a number of intervals. Each
+interval is +1 on its first day and -1 on the first day it does not hold any
+more. The changes are added up per (member, day), and one running sum per member
+over changes and probes, sorted by day, gives every count: the cost is intervals
++ probes, no interval is tested against a probe, and what a sort holds of a
+hot member is a row per day, not its intervals.
+
+The latest start among the active contact rows is no sum. It has its own path:
+rows of one (owner, start) are one row with the latest end, and these, at most
+one per day and member, are joined with the probes by validity.
 """
 
 from __future__ import annotations
@@ -32,25 +30,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.validity import OPEN_END, alive_at, open_end, valid_closed, valid_half_open
+from ..functions.validity import OPEN_END, open_end
 from . import mentorship as ms
 
 MENTORED, MENTEE, CONTACT, CHAIN = 0, 1, 2, 3
 ALL_KINDS = (MENTORED, MENTEE, CONTACT, CHAIN)
 
-# Join keys that each member's interval rows are dealt over.
-SALTS = 4
-
-# Columns of the interval stack.
-COLUMNS = ["user_id", "kind", "other_id", "start_date", "end_date", "alive_end"]
+# The count that a kind's changes add to.
+COUNTS = {MENTORED: "mentors", MENTEE: "mentees", CONTACT: "contacts", CHAIN: "chain"}
 
 
 def merged_intervals(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Unions of overlapping or touching [start_date, end_date] per key (null end =
     open): valid on exactly the same days under a closed test, and under a
-    half-open one. Rows without a start are never valid and go. Output: keys,
-    start_date, end_date."""
+    half-open one. Rows without a start, or with an end before it, are never valid
+    and go. Output: keys, start_date, end_date."""
     rows = rows.where(F.col("start_date").isNotNull()).select(*keys, "start_date", open_end(F.col("end_date")).alias("end_date"))
+    rows = rows.where(F.col("end_date") >= F.col("start_date"))
     ordered = Window.partitionBy(*keys).orderBy("start_date", "end_date")
     before = F.max("end_date").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     starts = rows.withColumn("island", F.when(F.col("start_date") <= before, 0).otherwise(1))
@@ -67,58 +63,71 @@ def interval_rows(
     leaders: DataFrame | None = None,
     span: tuple[Column, Column] | None = None,
 ) -> DataFrame:
-    """The stacked interval table for the requested kinds.
+    """The merged intervals of the requested kinds: user_id, kind, other_id,
+    start_date, end_date (null: open).
 
-    Output: user_id, kind, other_id, start_date, end_date, alive_end.
     CHAIN needs `leaders` (leader_id, start_date, end_date). With `span`
-    (first, last as-of date), rows that cannot be valid at any date in it are
-    left out: ended before it, or starting after it (nulls are kept).
+    (first, last as-of date), intervals that cannot hold at any date in it are
+    left out: ended before it, or starting after it.
     """
-    existing = []  # kinds of which only "some interval is valid" matters
+    stacked = []
     if MENTORED in kinds:
-        existing.append(_stacked(mentorships, MENTORED, "user_id", "parent_user_id"))
+        stacked.append(_stacked(mentorships, MENTORED, "user_id", "parent_user_id"))
     if MENTEE in kinds:
-        existing.append(_stacked(mentorships, MENTEE, "parent_user_id", "user_id"))
-    parts = []
-    if existing:
-        both = reduce(DataFrame.unionByName, existing).where(F.col("user_id").isNotNull())
-        parts.append(merged_intervals(both, ["user_id", "kind", "other_id"]).withColumn("alive_end", F.lit(None).cast("date")))
+        stacked.append(_stacked(mentorships, MENTEE, "parent_user_id", "user_id"))
     if CONTACT in kinds:
-        chart = _stacked(contact_chart, CONTACT, "chart_owner_id", "chart_member_id").where(F.col("user_id").isNotNull())
-        # Copies of a chart row collapse map-side before the join shuffle.
-        parts.append(chart.withColumn("alive_end", F.lit(None).cast("date")).distinct())
+        stacked.append(_stacked(contact_chart, CONTACT, "chart_owner_id", "chart_member_id"))
+    parts = []
+    if stacked:
+        rows = reduce(DataFrame.unionByName, stacked).where(F.col("user_id").isNotNull())
+        # Only the mentored flag asks whether there is any interval; the others count named members.
+        rows = rows.where((F.col("kind") == MENTORED) | F.col("other_id").isNotNull())
+        parts.append(merged_intervals(within(rows, span), ["user_id", "kind", "other_id"]))
     if CHAIN in kinds:
         if leaders is None:
             raise ValueError("CHAIN rows need the leader intervals")
         pairs = ms.mentorship_pairs(mentorships)
-        led = merged_intervals(leaders, ["leader_id"])
+        led = merged_intervals(within(leaders, span), ["leader_id"])
+        end = F.least(open_end(led.end_date), pairs.pair_end)
         parts.append(
-            pairs.join(led, pairs.user_id == led.leader_id).select(
-                pairs.parent_user_id.alias("user_id"), F.lit(CHAIN).alias("kind"), pairs.user_id.alias("other_id"),
-                led.start_date, led.end_date, pairs.pair_end.alias("alive_end"),
-            )
+            pairs.join(led, pairs.user_id == led.leader_id)
+            .where(end >= led.start_date)
+            .select(
+                pairs.parent_user_id.alias("user_id"), F.lit(CHAIN).alias("kind"), pairs.user_id.alias("other_id"), led.start_date,
+                F.when(end < F.lit(OPEN_END).cast("date"), end).alias("end_date"),
+            )
         )
-    out = reduce(DataFrame.unionByName, [p.select(*COLUMNS) for p in parts])
-    if span is not None:
-        first, last = span
-        c = F.col
-        out = out.where(
-            F.coalesce(c("end_date") >= first, F.lit(True))
-            & F.coalesce(c("alive_end") >= first, F.lit(True))
-            & F.coalesce(c("start_date") <= last, F.lit(True))
-        )
-    return out
+    return reduce(DataFrame.unionByName, parts)
+
+
+def within(rows: DataFrame, span: tuple[Column, Column] | None) -> DataFrame:
+    """Intervals that may hold at some date of the span; all of them without one."""
+    if span is None:
+        return rows
+    first, last = span
+    return rows.where(F.coalesce(F.col("end_date") >= first, F.lit(True)) & F.coalesce(F.col("start_date") <= last, F.lit(True)))
+
+
+def contact_starts(contact_chart: DataFrame, span: tuple[Column, Column] | None = None) -> DataFrame:
+    """The contact chart for the latest active start: per owner and start date the
+    latest end (open: far future). Output: owner_id, start_date, last_end."""
+    rows = within(contact_chart, span).where(F.col("chart_owner_id").isNotNull() & F.col("start_date").isNotNull())
+    return rows.groupBy(F.col("chart_owner_id").alias("owner_id"), "start_date").agg(F.max(open_end(F.col("end_date"))).alias("last_end"))
 
 
 def _stacked(rows: DataFrame, kind: int, user: str, other: str) -> DataFrame:
     return rows.select(F.col(user).alias("user_id"), F.lit(kind).alias("kind"), F.col(other).alias("other_id"), "start_date", "end_date")
 
 
-def _valid(kind: Column, start: Column, end: Column, alive_end: Column, t: Column) -> Column:
-    return (
-        F.when(kind == MENTORED, valid_half_open(start, end, t))
-        .when(kind == CHAIN, valid_closed(start, end, t) & alive_at(alive_end, t))
-        .otherwise(valid_closed(start, end, t))
+def changes(intervals: DataFrame) -> DataFrame:
+    """How many more or fewer intervals of each kind hold from a day on: one row per
+    (user_id, _t) with a column per kind. A closed interval holds on its last day, a
+    half-open one (MENTORED) does not."""
+    ends = F.when(F.col("kind") == MENTORED, F.col("end_date")).otherwise(F.date_add("end_date", 1))
+    both = F.array(F.struct(F.col("start_date").alias("_t"), F.lit(1).alias("d")), F.struct(ends.alias("_t"), F.lit(-1).alias("d")))
+    rows = intervals.select("user_id", "kind", F.explode(both).alias("r")).where(F.col("r._t").isNotNull())
+    return rows.groupBy("user_id", F.col("r._t").alias("_t")).agg(
+        *[F.sum(F.when(F.col("kind") == kind, F.col("r.d"))).alias(name) for kind, name in COUNTS.items()]
     )
 
 
@@ -127,46 +136,30 @@ def as_of_metrics(
     key_cols: list[str],
     times: dict[str, str],
     intervals: DataFrame,
+    contacts: DataFrame | None = None,
 ) -> DataFrame:
     """Date-dependent metrics for every probe row at each date column in `times`.
 
     `probes` has `key_cols` (which include user_id and are unique per row) and
     the date columns named in `times` (suffix -> column). Returns one row per
-    probe that matched anything, with, per suffix: mentored_<sfx> (0/1),
-    mentees_<sfx>, contacts_<sfx>, contact_rows_<sfx> (0/1, a row was active),
-    contact_latest_<sfx>, chain_<sfx>. Missing probes mean "no active rows";
-    callers left-join.
+    probe with, per suffix: mentored_<sfx> (0/1), mentees_<sfx>,
+    contacts_<sfx>, chain_<sfx> (0 where none holds), and, where `contacts`
+    (`contact_starts`) is given, contact_latest_<sfx> (null where no row is active).
     """
-    sfx = list(times)
-    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_salt")
-    p = probes.select(*key_cols, *[F.col(c).alias(f"_t_{s}") for s, c in times.items()], salts)
-    dealt = F.pmod(F.xxhash64("kind", "other_id", "start_date"), F.lit(SALTS)).cast("int").alias("_iv_salt")
-    iv = intervals.withColumnRenamed("user_id", "_iv_user").select("*", dealt)
-    # Both sides carry distinct column names, so plain names resolve unambiguously.
-    c = F.col
-    valid = {s: _valid(c("kind"), c("start_date"), c("end_date"), c("alive_end"), c(f"_t_{s}")) for s in sfx}
-    any_valid = valid[sfx[0]]
-    for s in sfx[1:]:
-        any_valid = any_valid | valid[s]
-    on = (c("user_id") == c("_iv_user")) & (c("_salt") == c("_iv_salt")) & any_valid
-    j = p.join(iv, on).select(
-        *key_cols, "kind", "other_id", "start_date", *[valid[s].alias(f"_v_{s}") for s in sfx],
-    )
-
-    per_other = j.groupBy(*key_cols, "kind", "other_id").agg(
-        *[F.max(F.col(f"_v_{s}").cast("int")).alias(f"_v_{s}") for s in sfx],
-        *[F.max(F.when(F.col(f"_v_{s}"), F.col("start_date"))).alias(f"_st_{s}") for s in sfx],
-    )
-    kind, other = F.col("kind"), F.col("other_id")
+    dates = F.array(*[F.struct(F.lit(s).alias("_sfx"), F.col(c).alias("_t")) for s, c in times.items()])
+    p = probes.select(*key_cols, F.explode(dates).alias("r")).select(*key_cols, "r._sfx", "r._t")
+    names = list(COUNTS.values())
+    upto = Window.partitionBy("user_id").orderBy("_t")  # a RANGE frame: changes of the probe's own day count
+    rows = changes(intervals).unionByName(p, allowMissingColumns=True)
+    swept = rows.select(*key_cols, "_sfx", *[F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(c) for c in names])
+    at = lambda c, s: F.max(F.when(F.col("_sfx") == s, F.col(c)))
     aggs = []
-    for s in sfx:
-        v = F.col(f"_v_{s}")
-        aggs += [
-            F.coalesce(F.max(F.when(kind == MENTORED, v)), F.lit(0)).cast("int").alias(f"mentored_{s}"),
-            F.sum(F.when((kind == MENTEE) & other.isNotNull(), v)).cast("bigint").alias(f"mentees_{s}"),
-            F.sum(F.when((kind == CONTACT) & other.isNotNull(), v)).cast("bigint").alias(f"contacts_{s}"),
-            F.max(F.when(kind == CONTACT, v)).cast("int").alias(f"contact_rows_{s}"),
-            F.max(F.when(kind == CONTACT, F.col(f"_st_{s}"))).alias(f"contact_latest_{s}"),
-            F.sum(F.when(kind == CHAIN, v)).cast("bigint").alias(f"chain_{s}"),
-        ]
-    return per_other.groupBy(*key_cols).agg(*aggs)
+    for s in times:
+        aggs.append((at("mentors", s) > 0).cast("int").alias(f"mentored_{s}"))
+        aggs += [at(c, s).cast("bigint").alias(f"{c}_{s}") for c in names[1:]]
+    out = swept.where(F.col("_sfx").isNotNull()).groupBy(*key_cols).agg(*aggs)
+    if contacts is None:
+        return out
+    active = (F.col("user_id") == F.col("owner_id")) & (F.col("start_date") <= F.col("_t")) & (F.col("last_end") >= F.col("_t"))
+    latest = p.join(contacts, active).groupBy(*key_cols).agg(*[at("start_date", s).alias(f"contact_latest_{s}") for s in times])
+    return out.join(latest, key_cols, "left")

@@ -17,10 +17,22 @@ join with the cohort touches at most one row per member-day and kind:
   attended day.
 
 The facts are scanned and joined once, placed by (user, attended, id), and
-aggregated and windowed in that placement. The reduced rows are written once
-and joined on (user, year of `hi`): a window touches two or three years, so
-the rows that meet under one key are bounded by a year's days, and a hot
-member spreads over the years.
+aggregated and windowed in that placement; the reduced rows are written once.
+
+Windows are then read off running sums: the rows of a member, sorted by day, are
+added up, and a window's count of day rows is the sum at its last day less the
+sum on the day before its first. Nothing tests a day against an event, so the
+cost is facts + probes in one sort.
+
+A link row is in a window when lo and hi both are, a condition in two
+dimensions. It is taken apart on `lo`: a link row stands in one node of 2^k days
+per level k, a window covers the days of `lo` by a few nodes of different
+levels, and inside each node running sums over `hi` are read at the window's
+last day. Links longer than the longest window can be in none and are left
+out; only members that have links send probes to their nodes.
+
+Behind the reduction a member has at most a row per day and kind (nodes: per day
+and level), however many rows it had, so no sort holds a hot member's facts.
 """
 
 from __future__ import annotations
@@ -31,6 +43,7 @@ from pyspark.sql import functions as F
 from ..sources.scratch import materialize
 
 ABSENT, ATTENDED, CANCELLED, MEMBER = 0, 1, 2, 3
+PRE, POST = 0, 1
 
 
 def session_facts(attendance: DataFrame, sessions: DataFrame) -> DataFrame:
@@ -48,7 +61,7 @@ def session_facts(attendance: DataFrame, sessions: DataFrame) -> DataFrame:
     )
 
 
-def window_facts(facts: DataFrame, span: tuple[Column, Column] | None = None) -> DataFrame:
+def window_facts(facts: DataFrame, span: tuple[Column, Column] | None = None, longest: Column | None = None) -> DataFrame:
     """The reduced fact table: (user_id, kind, lo, hi, n, first_day).
 
     One row per (user, attended, id, day, cancelled) with its raw count, in one
@@ -57,6 +70,7 @@ def window_facts(facts: DataFrame, span: tuple[Column, Column] | None = None) ->
 
     `span` (first, last day) bounds every window of the batch: rows outside it
     can never be counted in a window, so only member rows come from them.
+    `longest` is the length in days of the longest window (last day less first).
     """
     dated = F.col("date").isNotNull()
     held = dated & ~F.col("cancelled")
@@ -66,6 +80,8 @@ def window_facts(facts: DataFrame, span: tuple[Column, Column] | None = None) ->
     counted = held & F.col("inside") & F.col("attended").isin(0, 1) & F.col("id").isNotNull()
     days = days.withColumn("inside", inside).withColumn("counted", counted)
     prev = F.lag("date").over(Window.partitionBy("user_id", "attended", "id", "counted").orderBy("date"))
+    if longest is not None:
+        prev = F.when(F.datediff("date", prev) <= longest, prev)
     n = F.col("n")
     rows = F.array(
         _row(F.lit(MEMBER), F.lit(None), F.lit(None), n, F.when(held & (F.col("attended") == 1), F.col("date"))),
@@ -99,36 +115,90 @@ def earliest_attendance(facts: DataFrame) -> DataFrame:
     return facts.where(held).groupBy("user_id").agg(F.min("date").alias("earliest_attendance"))
 
 
+# Levels of the nodes that link rows stand in: nodes of 1, 2, 4, ... 2^TOP days.
+TOP = 8
+# The node of day and member rows.
+DAYS = -1
+
+
+def _node(level: str, place: str) -> str:
+    return f"shiftleft(CAST({level} AS BIGINT), 32) + {place} + {1 << 30}"
+
+
+def _nodes_of(day: str) -> Column:
+    """The nodes, one per level, that hold a day (days since 1970, as SQL)."""
+    return F.expr(f"transform(sequence(0, {TOP}), k -> {_node('k', f'shiftright({day}, k)')})")
+
+
+def _cover(first: str, end: str) -> Column:
+    """The fewest nodes that hold the days first <= day < end, each day once."""
+    low, high = lambda k: f"shiftright({first} + shiftleft(1, {k}) - 1, {k})", lambda k: f"shiftright({end}, {k})"
+    sides = (
+        f"CASE WHEN {low('k')} & 1 = 1 THEN {_node('k', low('k'))} END",
+        f"CASE WHEN {high('k')} & 1 = 1 THEN {_node('k', high('k') + ' - 1')} END",
+    )
+    below = f"transform(sequence(0, {TOP - 1}), k -> CASE WHEN {low('k')} < {high('k')} THEN array({', '.join(sides)}) ELSE array() END)"
+    top = f"CASE WHEN {low(TOP)} < {high(TOP)} THEN transform(sequence({low(TOP)}, {high(TOP)} - 1), p -> {_node(str(TOP), 'p')}) ELSE array() END"
+    return F.expr(f"concat(array_compact(flatten({below})), {top})")
+
+
+def _readings(first: str, last: str, window: int) -> Column:
+    """Where the running sums are read for the window [first, last]: structs (node, t,
+    window, sign). A window whose last day is before its first has none; only a
+    member with links (column `linked`) reads the nodes."""
+    at = f"named_struct('node', {{0}}, 't', {{1}}, 'window', {window}, 'sign', {{2}})"
+    days = f"array({at.format(f'{DAYS}L', f'date_sub({first}, 1)', -1)}, {at.format(f'{DAYS}L', last, 1)})"
+    nodes = F.transform(_cover(f"unix_date({first})", f"unix_date({last})"), lambda n: F.struct(
+        n.alias("node"), F.col(last).alias("t"), F.lit(window).alias("window"), F.lit(1).alias("sign")
+    ))
+    held = F.when(F.col("linked"), F.concat(F.expr(days), nodes)).otherwise(F.expr(days))
+    return F.when(F.col(first) <= F.col(last), held).otherwise(F.slice(F.expr(days), 1, 0))
+
+
 def attendance_windows(probes: DataFrame, wfacts: DataFrame) -> DataFrame:
     """Counts per cohort row for the pre window [before, start] and post window [end, after].
 
     `probes` holds event_id, user_id, before_date, start_date, end_date,
-    after_date (one row per event and member). Left join, so every probe row
-    comes out, with zeros when nothing matches (Q10).
+    after_date (one row per event and member). Every probe row comes out, with
+    zeros when nothing matches (Q10).
     Output: event_id, user_id, attended_before, absent_before, attended_after,
     absent_after, cancelled_before, total_rows, earliest_attendance.
     """
     wfacts = materialize(wfacts, "member_days")
-    years = F.explode(F.sequence(F.year("before_date"), F.year("after_date"))).alias("year")
-    p = probes.select("event_id", "user_id", "before_date", "start_date", "end_date", "after_date", years)
-    dated = wfacts.where(F.col("kind") != MEMBER)
-    f = dated.select(F.col("user_id").alias("f_user_id"), F.year("hi").alias("f_year"), "kind", "lo", "hi", "n")
-    in_before = (f.lo >= p.before_date) & (f.hi <= p.start_date)
-    in_after = (f.lo >= p.end_date) & (f.hi <= p.after_date)
-    j = p.join(f, (p.user_id == f.f_user_id) & (p.year == f.f_year) & (in_before | in_after), "left")
-
-    def total_of(kind: int, window: Column) -> Column:
-        return F.coalesce(F.sum(F.when((F.col("kind") == kind) & window, F.col("n"))), F.lit(0)).cast("bigint")
-
-    counts = j.groupBy(p.event_id, p.user_id).agg(
-        total_of(ATTENDED, in_before).alias("attended_before"),
-        total_of(ABSENT, in_before).alias("absent_before"),
-        total_of(ATTENDED, in_after).alias("attended_after"),
-        total_of(ABSENT, in_after).alias("absent_after"),
-        total_of(CANCELLED, in_before).alias("cancelled_before"),
+    kind, n, link = F.col("kind"), F.col("n"), F.coalesce(F.col("lo") < F.col("hi"), F.lit(False))
+    counted = {"att": ATTENDED, "abs": ABSENT, "can": CANCELLED, "total": MEMBER}
+    node = F.when(link, _nodes_of("unix_date(lo)")).otherwise(F.array(F.lit(DAYS).cast("bigint")))
+    facts = wfacts.select(
+        "user_id", F.explode(node).alias("node"), F.col("hi").alias("t"), "first_day",
+        *[F.when(kind == of, n).alias(name) for name, of in counted.items()],
+    )
+
+    linked = wfacts.where(link).select("user_id", F.lit(True).alias("linked")).distinct()
+    readings = F.concat(_readings("before_date", "start_date", PRE), _readings("end_date", "after_date", POST))
+    read = probes.join(linked, "user_id", "left").select("event_id", "user_id", F.explode_outer(readings).alias("r"))
+    read = read.select("event_id", "user_id", F.coalesce("r.node", F.lit(DAYS).cast("bigint")).alias("node"), "r.t", "r.window", "r.sign")
+
+    # Rows of one day come before the reading of that day: a RANGE frame takes in the day's peers.
+    upto = Window.partitionBy("user_id", "node").orderBy("t")
+    rows = facts.unionByName(read.withColumn("probe", F.lit(True)), allowMissingColumns=True)
+    sums = rows.select(
+        "event_id", "user_id", "node", "window", "sign", "probe",
+        *[F.sum(name).over(upto).alias(name) for name in counted], F.min("first_day").over(upto).alias("first_day"),
+    ).where("probe")
+
+    def total_of(name: str, window: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("window") == window, F.col(name) * F.col("sign"))), F.lit(0)).cast("bigint")
+
+    of_member = F.col("node") == DAYS
+    return sums.groupBy("event_id", "user_id").agg(
+        total_of("att", PRE).alias("attended_before"),
+        total_of("abs", PRE).alias("absent_before"),
+        total_of("att", POST).alias("attended_after"),
+        total_of("abs", POST).alias("absent_after"),
+        total_of("can", PRE).alias("cancelled_before"),
+        F.coalesce(F.max(F.when(of_member, F.col("total"))), F.lit(0)).cast("bigint").alias("total_rows"),
+        F.min(F.when(of_member, F.col("first_day"))).alias("earliest_attendance"),
     )
-    member = wfacts.where(F.col("kind") == MEMBER).select("user_id", F.col("n").alias("total_rows"), F.col("first_day").alias("earliest_attendance"))
-    return counts.join(member, "user_id", "left").withColumn("total_rows", F.coalesce("total_rows", F.lit(0)))
 
 
 def dropped_before_event() -> Column:

@@ -4,10 +4,10 @@ Every event of the batch is measured at once: there is no loop over events.
 A profile is a population of cohort rows (event_id, user_id) plus metrics
 joined to it:
 
-* attendance counts per cohort row (`operators.attendance`), a left join of
-  the cohort onto per-member-day facts;
-* date-dependent metrics per cohort row (`operators.asof`), one interval join
-  evaluated at the start date and at the post-window end;
+* attendance counts per cohort row (`operators.attendance`), running sums over
+  per-member-day facts read at the ends of the windows;
+* date-dependent metrics per cohort row (`operators.asof`), one sweep over
+  intervals and probes at the start date and at the post-window end;
 * per-member facts that take no date (`operators.per_member`), one groupBy
   over all sources;
 * the member profile (`operators.cohort.member_profiles`).
@@ -126,24 +126,30 @@ class CohortPlan:
         facts = attendance.session_facts(i.attendance, i.sessions)
         b = self.bounds()
         span = None if b is None else (b.getField("first_window_day"), b.getField("last_day"))
-        return attendance.attendance_windows(pop, attendance.window_facts(facts, span))
+        longest = self.events("events_True" in self._memo).select(
+            F.max(F.greatest(F.datediff("start_date", "before_date"), F.datediff("after_date", "end_date")))
+        ).scalar()
+        return attendance.attendance_windows(pop, attendance.window_facts(facts, span, longest))
+
+    def as_of_span(self) -> tuple[Column, Column] | None:
+        """First and last as-of date of the batch: from its first start date to its
+        last post-window end. None for a run over the whole store."""
+        b = self.bounds()
+        return None if b is None else (b.getField("first_probe"), b.getField("last_day"))
 
     def intervals(self, kinds: tuple[int, ...]) -> DataFrame:
-        """The interval stack, limited to rows that can be valid at some as-of date of
-        the batch (every as-of date lies between its first start date and last
-        post-window end)."""
+        """The intervals of the kinds, limited to rows that can hold at some as-of date of the batch."""
         i = self.inputs
         leaders = None
         if asof.CHAIN in kinds:
             leaders = leadership.leader_intervals(i.study_groups, i.study_schedules, i.members)
-        b = self.bounds()
-        span = None if b is None else (b.getField("first_probe"), b.getField("last_day"))
-        return asof.interval_rows(i.mentorships, i.contact_chart, kinds, leaders, span)
+        return asof.interval_rows(i.mentorships, i.contact_chart if asof.CONTACT in kinds else None, kinds, leaders, self.as_of_span())
 
-    def as_of(self, rows: DataFrame, times: dict[str, str], kinds: tuple[int, ...]) -> DataFrame:
+    def as_of(self, rows: DataFrame, times: dict[str, str], kinds: tuple[int, ...], keys: list[str] = KEYS) -> DataFrame:
         """As-of metrics for cohort rows; eligibility is applied when the profile
         joins the metrics back."""
-        return asof.as_of_metrics(rows, KEYS, times, self.intervals(kinds))
+        contacts = asof.contact_starts(self.inputs.contact_chart, self.as_of_span()) if asof.CONTACT in kinds else None
+        return asof.as_of_metrics(rows, keys, times, self.intervals(kinds), contacts)
 
     def member_facts(self, parts: tuple[str, ...]) -> DataFrame:
         i = self.inputs
@@ -164,7 +170,7 @@ class CohortPlan:
             F.col("first_became_disciple"),
             F.col("earliest_led_bs"),
             F.col("first_became_dm"),
-            F.when(v("contact_rows") == 1, F.coalesce(v("contacts"), F.lit(0))).cast("bigint"),
+            F.when(v("contact_latest").isNotNull(), v("contacts")).cast("bigint"),
             v("contact_latest"),
             F.when(v("chain") > 0, v("chain")).cast("bigint"),
             F.when(F.col("is_mentor") == 1, F.coalesce(v("mentees"), F.lit(0))).cast("bigint"),
@@ -204,7 +210,7 @@ class CohortPlan:
     def key_metrics(self, kinds: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
         """As-of metrics per distinct (user_id, as_of) key of the cohort."""
         keys = cohort.as_of_keys(self.cohort())
-        return keys, asof.as_of_metrics(keys, ["user_id", "as_of"], {"k": "as_of"}, self.intervals(kinds))
+        return keys, self.as_of(keys, {"k": "as_of"}, kinds, ["user_id", "as_of"])
 
     def members_only(self, df: DataFrame) -> DataFrame:
         """Rows of members only (the reference's derived tables join the member table)."""
@@ -232,8 +238,8 @@ class CohortPlan:
     def contact_chart_depth(self) -> DataFrame:
         """A6 per key with active chart rows: distinct members and latest start."""
         _, m = self.key_metrics((asof.CONTACT,))
-        return self.members_only(m.where(F.col("contact_rows_k") == 1)).select(
-            "user_id", "as_of", F.coalesce(F.col("contacts_k"), F.lit(0)).cast("bigint").alias("count_of_DCC"),
+        return self.members_only(m.where(F.col("contact_latest_k").isNotNull())).select(
+            "user_id", "as_of", F.col("contacts_k").alias("count_of_DCC"),
             F.col("contact_latest_k").alias("latest_change_to_DC"),
         )
 

@@ -9,16 +9,16 @@ modulo rules, never by dropping rows.
 
 from __future__ import annotations
 
+from dataclasses import fields
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.decode import EVENT_TYPE_NAMES
 from ..operators import registration as reg
-from .scratch import materialize
 from .tables import CohortInputs
 
-DRIVER_TABLES = ("customer", "nation", "orders", "lineitem", "events")
-
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -130,8 +130,9 @@ def fixture_type_id(name: Column) -> Column:
 
 
 def program_event(registrations_typed: DataFrame) -> DataFrame:
-    """The event table after registering every fixture event (S4 on an empty store), written once."""
-    return materialize(reg.new_program_events(reg.batch_events(registrations_typed), None, fixture_type_id), "program_event")
+    """The event table after registering every fixture event (S4 on an empty store). The
+    numbering writes the events once; what reads them starts there."""
+    return reg.new_program_events(reg.batch_events(registrations_typed), None, fixture_type_id)
 
 
 def program_event_type(events: DataFrame) -> DataFrame:
@@ -230,24 +231,68 @@ def fixture_registrations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registrations_raw(driver_table(spark, sf_dir, "orders"))
 
 
-def fixture_inputs(spark: SparkSession, sf_dir: str) -> CohortInputs:
+class FixtureInputs:
+    """The native tables (as `CohortInputs`), each derived from the driver tables when
+    it is first asked for: a unit that reads no event numbers none."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def _driver(self, name: str) -> DataFrame:
+        return driver_table(self._spark, self._sf_dir, name)
+
+    def replace(self, **changes: DataFrame) -> CohortInputs:
+        return CohortInputs(**{f.name: changes.get(f.name) or getattr(self, f.name) for f in fields(CohortInputs)})
+
+    @cached_property
+    def program_event(self) -> DataFrame:
+        return program_event(registrations(self._driver("orders")))
+
+    @cached_property
+    def program_event_type(self) -> DataFrame:
+        return program_event_type(self.program_event)
+
+    @cached_property
+    def event_attendees(self) -> DataFrame:
+        return reg.registration_attendees(registrations(self._driver("orders")), self.program_event)
+
+    @cached_property
+    def members(self) -> DataFrame:
+        return members(self._driver("customer"), self._driver("events"))
+
+    @cached_property
+    def org_units(self) -> DataFrame:
+        return org_units(self._driver("nation"))
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return sessions(self._driver("orders"))
+
+    @cached_property
+    def attendance(self) -> DataFrame:
+        return attendance(self._driver("lineitem"), self._driver("orders"))
+
+    @cached_property
+    def mentorships(self) -> DataFrame:
+        return mentorships(self._driver("orders"))
+
+    @cached_property
+    def outreach_outcomes(self) -> DataFrame:
+        return outreach_outcomes(self._driver("orders"))
+
+    @cached_property
+    def study_groups(self) -> DataFrame:
+        return study_groups(self._driver("orders"))
+
+    @cached_property
+    def study_schedules(self) -> DataFrame:
+        return study_schedules(self._driver("lineitem"))
+
+    @cached_property
+    def contact_chart(self) -> DataFrame:
+        return contact_chart(self._driver("lineitem"), self._driver("orders"))
+
+
+def fixture_inputs(spark: SparkSession, sf_dir: str) -> FixtureInputs:
     """All native tables, derived lazily from the driver tables in `sf_dir`."""
-    t = {name: driver_table(spark, sf_dir, name) for name in DRIVER_TABLES}
-    regs = registrations(t["orders"])
-    events = program_event(regs)
-    # The type ids in use, straight from the batch's events (no id numbering needed).
-    type_ids = reg.batch_events(regs).select(fixture_type_id(F.col("event")).alias("type_id"))
-    return CohortInputs(
-        program_event=events,
-        program_event_type=program_event_type(type_ids),
-        event_attendees=reg.registration_attendees(regs, events),
-        members=members(t["customer"], t["events"]),
-        org_units=org_units(t["nation"]),
-        sessions=sessions(t["orders"]),
-        attendance=attendance(t["lineitem"], t["orders"]),
-        mentorships=mentorships(t["orders"]),
-        outreach_outcomes=outreach_outcomes(t["orders"]),
-        study_groups=study_groups(t["orders"]),
-        study_schedules=study_schedules(t["lineitem"]),
-        contact_chart=contact_chart(t["lineitem"], t["orders"]),
-    )
+    return FixtureInputs(spark, sf_dir)

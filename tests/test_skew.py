@@ -4,7 +4,6 @@ or when one member holds a large share of the facts."""
 from __future__ import annotations
 
 import random
-import re
 
 import pytest
 
@@ -64,18 +63,34 @@ def test_hot_member(spark):
     _check(_dataset(spark, w), expected(w))
 
 
-def test_interval_rows_are_dealt_over_the_salts(spark):
-    """A hot member's interval rows meet their probes under several join keys."""
+def test_changes_are_a_row_per_member_and_day(spark):
+    """What the sweep sorts of a hot member follows the days, not its intervals."""
     from cohortflow.operators import asof
 
-    iv = spark.range(4000).selectExpr(
-        "1L AS user_id", "2 AS kind", "id AS other_id", "DATE'2015-01-01' AS start_date",
-        "CAST(NULL AS DATE) AS end_date", "CAST(NULL AS DATE) AS alive_end",
+    iv = spark.range(40000).selectExpr(
+        "1L AS user_id", "CAST(2 AS INT) AS kind", "id AS other_id", "date_add(DATE'2015-01-01', CAST(id % 90 AS INT)) AS start_date",
+        "date_add(DATE'2015-06-01', CAST(id % 30 AS INT)) AS end_date",
     )
-    probes = spark.sql("SELECT 1L AS user_id, 10L AS event_id, DATE'2015-06-01' AS t")
+    assert asof.changes(iv).count() == 120
+    probes = spark.sql("SELECT 1L AS user_id, 10L AS event_id, DATE'2015-05-01' AS t UNION ALL SELECT 2L, 10L, DATE'2015-05-01'")
     out = asof.as_of_metrics(probes, ["event_id", "user_id"], {"k": "t"}, iv)
-    assert [(r.event_id, r.contacts_k) for r in out.collect()] == [(10, 4000)]
-    assert re.search(r"Join.*_salt#\d+\].*_iv_salt#\d+\]", out._jdf.queryExecution().executedPlan().toString())
+    assert sorted((r.event_id, r.user_id, r.contacts_k) for r in out.collect()) == [(10, 1, 40000), (10, 2, 0)]
+
+
+def test_validity_at_the_ends(spark):
+    """Closed intervals hold on their last day, half-open ones (MENTORED) do not; ends before
+    starts never hold; an open end always does."""
+    from cohortflow.operators import asof
+
+    rows = [(1, k, 5, day(10), day(20)) for k in asof.ALL_KINDS] + [(1, k, 6, day(30), day(29)) for k in asof.ALL_KINDS]
+    rows += [(1, k, 7, day(40), day(40)) for k in asof.ALL_KINDS] + [(1, k, 8, day(50), None) for k in asof.ALL_KINDS]
+    iv = asof.merged_intervals(spark.createDataFrame(rows, "user_id long, kind int, other_id long, start_date date, end_date date"), ["user_id", "kind", "other_id"])
+    days = [9, 10, 19, 20, 21, 29, 30, 40, 41, 49, 50, 5000]
+    probes = spark.createDataFrame([(1, day(d)) for d in days], "user_id long, t date")
+    out = {r.t: r for r in asof.as_of_metrics(probes, ["user_id", "t"], {"k": "t"}, iv).collect()}
+    closed = {10, 19, 20, 40, 50, 5000}
+    assert {d for d in days if out[day(d)].contacts_k} == closed == {d for d in days if out[day(d)].chain_k}
+    assert {d for d in days if out[day(d)].mentored_k} == {10, 19, 50, 5000}
 
 
 def test_merged_intervals(spark):
@@ -89,44 +104,55 @@ def test_merged_intervals(spark):
     )
 
 
-def test_hot_member_with_repeated_ids_splits_the_attendance_join(spark):
-    """One member holds over a third of the attendance rows and repeats ids over many days:
-    the year-keyed join is split, and the counts stay exact."""
+def test_hot_member_with_repeated_ids(spark):
+    """One member holds over a third of the attendance rows and repeats ids over many days."""
     w = _hot_world()
     r = random.Random(5)
     w["attendance"] = w["attendance"] + [(r.randrange(0, 12), 1, r.randrange(100, 142), r.choice([0, 1])) for _ in range(4000)]
     _check(_dataset(spark, w), expected(w))
 
 
-def test_aqe_splits_the_interval_join_for_a_hot_member(spark):
-    """AQE's skew-join split applies to the salted interval join without any forcing
-    setting (thresholds lowered to this fixture's size)."""
-    w = _hot_world()
-    r = random.Random(3)
-    w["contact_chart"] = w["contact_chart"] + [
-        (1, r.randrange(0, 5000), day(s), None) for s in (r.randrange(-300, 800) for _ in range(30000))
-    ]
-    inputs = make_inputs(
-        spark, members=[member(u) for u in range(1, 13)], org_units=[(1, "Campus", 1)],
-        program_event_type=[(1, "Missions")], **w,
-    )
-    conf = {
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    }
-    before = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        df = CohortPlan(inputs, CohortRules()).event_dataset()
-        got = {(x["event_name"], x["user_id"]): x.asDict() for x in df.collect()}
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert re.search(r"SortMergeJoin\(skew=true\) \[user_id#\d+L, _salt#\d+\], \[_iv_user#\d+L, _iv_salt#\d+\]", plan)
-    _check(got, expected(w))
+def test_window_nodes_hold_each_day_once(spark):
+    """The nodes that cover a window hold each of its days once and no other, for long windows too."""
+    from pyspark.sql import functions as F
+
+    from cohortflow.operators import attendance as at
+
+    r = random.Random(2)
+    spans = [(a, a + n) for a in (-700, -1, 0, 1, 255, 256, 16801) for n in (0, 1, 2, 3, 255, 256, 257, 700, 5000)]
+    spans += [(a, a + r.randrange(0, 300)) for a in (r.randrange(-1000, 20000) for _ in range(60))]
+    covers = spark.createDataFrame(spans, "a int, c int").select("a", "c", at._cover("a", "c").alias("cover")).collect()
+    days = spark.range(-1100, 25000).select(F.col("id").cast("int").alias("d"))
+    nodes = {x.d: set(x.nodes) for x in days.select("d", at._nodes_of("d").alias("nodes")).collect()}
+    assert len(set().union(*nodes.values())) > len(nodes)
+    for x in covers:
+        assert len(x.cover) <= 2 * at.TOP + 2 + (x.c - x.a) // 256
+        for d in range(x.a - 3, x.c + 3):
+            assert len(nodes[d] & set(x.cover)) == (x.a <= d < x.c), (x, d)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_distinct_ids_in_windows(spark, seed):
+    """Ids on many days, windows of any length, members with and without links, by brute force."""
+    from cohortflow.operators import attendance as at
+
+    r = random.Random(seed)
+    rows = [(r.randrange(25), r.randrange(1, 5), r.choice([0, 1]), day(r.randrange(0, 900)), r.random() < 0.1) for _ in range(600)]
+    rows += [(1000 + i, 6, 1, day(r.randrange(0, 900)), False) for i in range(50)] + [(1, 7, 1, None, False)]
+    facts = spark.createDataFrame(rows, "id long, user_id long, attended int, date date, cancelled boolean")
+    pop = []
+    for e in range(40):
+        a, b = r.randrange(0, 900), r.randrange(0, 900)
+        pop += [(e, u, day(a - r.randrange(0, 600)), day(a), day(b), day(b + r.randrange(-2, 600))) for u in range(1, 9)]
+    probes = spark.createDataFrame(pop, "event_id long, user_id long, before_date date, start_date date, end_date date, after_date date")
+    out = {(x.event_id, x.user_id): x for x in at.attendance_windows(probes, at.window_facts(facts)).collect()}
+    assert len(out) == len(pop)
+    for e, u, before, start, end, after in pop:
+        own = [x for x in rows if x[1] == u]
+        ids = lambda kind, a, b: len({x[0] for x in own if x[2] == kind and x[3] and not x[4] and a <= x[3] <= b})
+        x = out[e, u]
+        assert (x.attended_before, x.absent_before) == (ids(1, before, start), ids(0, before, start))
+        assert (x.attended_after, x.absent_after) == (ids(1, end, after), ids(0, end, after))
+        assert x.cancelled_before == sum(1 for y in own if y[4] and y[3] and before <= y[3] <= start)
+        assert x.total_rows == len(own)
+        assert x.earliest_attendance == min((y[3] for y in own if y[2] == 1 and y[3] and not y[4]), default=None)
