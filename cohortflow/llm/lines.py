@@ -5,8 +5,8 @@ are one node (the MD5 of the compared line). Each node's shingles of `CHARS`
 characters (the line is padded at its end, so short lines have some too) get
 `BANDS` x `ROWS` min-hashes; lines that agree on a whole band are candidates.
 At similarity 0.8 a pair is missed by every band with probability 3e-5.
-Candidates meet in one task per band bucket with their whole shingle sets and
-are verified exactly; a bucket of too many lines is divided by further
+Candidates meet in one task per band bucket as text and are verified exactly on
+their whole shingle sets; a bucket of too many lines is divided by further
 min-hashes first, and the lines of all such buckets then go through an exact
 prefix join, so a pair that meets in one is never missed. Components come from distributed union-find, and each keeps
 its first line, by id and line number.
@@ -100,16 +100,27 @@ def _once(batch: pa.RecordBatch) -> pa.RecordBatch:
     return batch.take(pa.array(np.sort(np.unique(nodes.indices.to_numpy(), return_index=True)[1])))
 
 
-def _packed(size: int, table):
+def _kept(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = _once(batch.filter(passing(table.value, batch.column("h"))))
-            blobs = [np.unique(h[a:b]).tobytes() for h, begin, end in shingle_runs(batch.column("line"), size) for a, b in zip(begin, end)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(blobs, pa.binary())], ["node", "set"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("line").cast(pa.binary())], ["node", "set"])
 
     return run
 
 
+class LineSets:
+    """The shingle sets of lines that travel as text: an eighth of the size of their hashes."""
+
+    def __init__(self, size: int) -> None:
+        self.size = size
+
+    def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
+        for hashes, begin, end in shingle_runs(column.cast(pa.string()), self.size):
+            for a, b in zip(begin.tolist(), end.tolist()):
+                yield np.unique(hashes[a:b])
+
+
 def near_duplicate_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, chars: int = CHARS, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT
 ) -> DataFrame:
@@ -124,9 +135,9 @@ def near_duplicate_lines(
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         found = filled.select("node", "line", F.xxhash64("node").alias("h"))
-        return found.mapInArrow(_packed(chars, bit_table(nodes, "node")), "node binary, set binary").dropDuplicates(["node"])
+        return found.mapInArrow(_kept(bit_table(nodes, "node")), "node binary, set binary").dropDuplicates(["node"])
 
-    roots = components(forest_links(sketch, sets_of, percent), "a", "b")
+    roots = components(forest_links(sketch, sets_of, percent, LineSets(chars)), "a", "b")
     places = lines.select("id", "line_no", "node")
     named = places.join(roots, "node", "left").select("id", "line_no", F.coalesce("root", "node").alias("component"))
     named = materialize(named, "lines")

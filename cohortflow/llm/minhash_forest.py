@@ -108,7 +108,7 @@ def shared_regions(sketch: DataFrame) -> DataFrame:
     return materialize(maybe.join(several, "region").select("region", "node"), "shared")
 
 
-def forest_regions(sketch: DataFrame, sets_of, limit: int = REGION) -> tuple[DataFrame, DataFrame, DataFrame]:
+def forest_regions(sketch: DataFrame, sets_of, limit: int = REGION, *, unpack: S.Unpack = S.unpack) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Bounded regions (region, node) of `sketch` (node, keys: its region in each
     order), the sets of their nodes, and the nodes of the regions over `limit`. `sets_of(nodes)` gives (node, set) for a table of nodes, each
     once; it may give others too."""
@@ -121,7 +121,7 @@ def forest_regions(sketch: DataFrame, sets_of, limit: int = REGION) -> tuple[Dat
     nodes = members[0].select("node").unionByName(rows.select("node")).distinct()
     sets = materialize(sets_of(nodes), "sets")
     if not rows.isEmpty():
-        deep = materialize(S.refined(rows, sets, LEVELS, DEEPER), "deeper")
+        deep = materialize(S.refined(rows, sets, LEVELS, DEEPER, unpack), "deeper")
         for level in range(LEVELS):
             rows = deep.select(F.col("keys")[level].alias("region"), "node", "keys")
             sizes = materialize(S.region_sizes(rows), "regions")
@@ -135,17 +135,17 @@ def forest_regions(sketch: DataFrame, sets_of, limit: int = REGION) -> tuple[Dat
     return out, sets, crowded
 
 
-def forest_links(sketch: DataFrame, sets_of, percent: int) -> DataFrame:
+def forest_links(sketch: DataFrame, sets_of, percent: int, unpack: S.Unpack = S.unpack) -> DataFrame:
     """Links (a, b) between the nodes of `sketch` that connect all that share a
-    region and are linked."""
-    members, sets, crowded = forest_regions(sketch, sets_of)
-    links = S.linked(members, sets, percent)
+    region and are linked. `unpack` reads the sets that `sets_of` gives."""
+    members, sets, crowded = forest_regions(sketch, sets_of, unpack=unpack)
+    links = S.linked(members, sets, percent, unpack)
     if crowded.isEmpty():
         return links
     links = materialize(links, "links")
     parts = crowded.join(components(links, "a", "b"), "node", "left").select("node", F.coalesce("root", "node").alias("part"))
     crowd = materialize(parts.join(sets, "node").select("node", "part", "set"), "crowd")
-    return links.unionByName(prefix_links(crowd, percent))
+    return links.unionByName(prefix_links(crowd, percent, unpack=unpack))
 
 
 def near_duplicates(

@@ -39,20 +39,23 @@ def _bucket(items: np.ndarray) -> np.ndarray:
     return (mix(items.copy()) % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(BUCKETS, dtype=np.int64)
-    for batch in batches:
-        for blob in batch.column("set"):
-            total += 0 if not len(items := S.unpack(blob.as_py())) else np.bincount(_bucket(items), minlength=BUCKETS)
-    found = np.flatnonzero(total)
-    for at in range(0, len(found), 1 << 16):
-        part = found[at : at + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["bucket", "n"])
-
-
-def element_counts(sets: DataFrame) -> np.ndarray:
+def _tallied(unpack: S.Unpack):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for items in unpack(batch.column("set")):
+                np.add.at(total, _bucket(items), 1)
+        found = np.flatnonzero(total)
+        for at in range(0, len(found), 1 << 16):
+            part = found[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["bucket", "n"])
+
+    return run
+
+
+def element_counts(sets: DataFrame, unpack: S.Unpack = S.unpack) -> np.ndarray:
     """For each bucket of elements an upper bound of the sets that hold one of them."""
-    rows = sets.select("set").mapInArrow(_tallied, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = sets.select("set").mapInArrow(_tallied(unpack), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(BUCKETS, dtype=np.uint32)
     table[rows.bucket.to_numpy(dtype=np.int64)] = np.minimum(rows.n.to_numpy(dtype=np.int64), 0xFFFFFFFF)
     return table
@@ -66,12 +69,11 @@ def prefix(items: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndar
     return items[order[at]], at
 
 
-def _posted(counts, percent: int):
+def _posted(counts, percent: int, unpack: S.Unpack):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, found = [], [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
-            for blob in batch.column("set"):
-                items = S.unpack(blob.as_py())
+            for items in unpack(batch.column("set")):
                 sizes.append(len(items))
                 found.append(prefix(items, counts.value, percent))
             row = np.repeat(np.arange(len(sizes)), [len(f[0]) for f in found[1:]])
@@ -154,13 +156,13 @@ def cells(postings: DataFrame, opened: DataFrame, block: int) -> DataFrame:
     return rows.withColumn("mine", mine).select(F.explode(found).alias("cell"), "node", "part", "n", "at")
 
 
-def candidates(crowd: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+def candidates(crowd: DataFrame, percent: int, block: int = BLOCK, unpack: S.Unpack = S.unpack) -> DataFrame:
     """(a, b, low, high): all pairs of `crowd` (node, part, set) of two parts
     that may be linked, a < b, with their parts, low < high."""
     node = crowd.schema["node"].dataType.simpleString()
-    counts = crowd.sparkSession.sparkContext.broadcast(element_counts(crowd))
+    counts = crowd.sparkSession.sparkContext.broadcast(element_counts(crowd, unpack))
     row = f"element long, node {node}, part {node}, n int, at int"
-    postings = materialize(crowd.select("node", "part", "set").mapInArrow(_posted(counts, percent), row), "postings")
+    postings = materialize(crowd.select("node", "part", "set").mapInArrow(_posted(counts, percent, unpack), row), "postings")
     parts = postings.groupBy("element", "part").agg(F.count(F.lit(1)).alias("n"))
     held = parts.groupBy("element").agg(F.sum("n").alias("m"), F.max(F.struct("n", "part")).alias("top"), F.count(F.lit(1)).alias("parts"))
     opened = held.where("parts > 1").select("element", "m", (F.col("m") - F.col("top.n")).alias("k"), F.col("top.part").alias("major"))
@@ -172,22 +174,22 @@ def candidates(crowd: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     return found.select(*ordered).distinct()
 
 
-def _verified(pairs: DataFrame, crowd: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, crowd: DataFrame, percent: int, unpack: S.Unpack) -> DataFrame:
     members = pairs.select(F.xxhash64("a", "b").alias("region"), F.explode(F.array("a", "b")).alias("node"))
-    return S.region_join(members, crowd.select("node", "set"), percent)
+    return S.region_join(members, crowd.select("node", "set"), percent, unpack)
 
 
-def prefix_links(crowd: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+def prefix_links(crowd: DataFrame, percent: int, block: int = BLOCK, unpack: S.Unpack = S.unpack) -> DataFrame:
     """Links (a, b) between rows of `crowd` (node, part, set) that connect what
     all links between its parts connect. One pair of each two parts is verified
     first, then all pairs of parts that are still apart."""
-    pairs = materialize(candidates(crowd, percent, block), "candidates")
+    pairs = materialize(candidates(crowd, percent, block, unpack), "candidates")
     one = pairs.groupBy("low", "high").agg(F.min(F.struct("a", "b")).alias("pair")).select("low", "high", "pair.a", "pair.b")
-    first = materialize(_verified(one, crowd, percent), "links")
+    first = materialize(_verified(one, crowd, percent, unpack), "links")
     joined = one.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"])
     roots = components(joined.select("low", "high"), "low", "high")
     low = roots.select(F.col("node").alias("low"), F.col("root").alias("low_root"))
     high = roots.select(F.col("node").alias("high"), F.col("root").alias("high_root"))
     apart = pairs.join(low, "low", "left").join(high, "high", "left").where(F.coalesce("low_root", "low") != F.coalesce("high_root", "high"))
     apart = apart.join(one.select("a", "b"), ["a", "b"], "left_anti")
-    return first.unionByName(_verified(apart.select("a", "b"), crowd, percent))
+    return first.unionByName(_verified(apart.select("a", "b"), crowd, percent, unpack))

@@ -8,7 +8,7 @@ links, so neither the pairs nor the links of a group of copies are written out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,13 @@ EARLY = 4
 CELLS = 1 << 22
 
 
-def unpack(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, dtype=np.uint64)
+#: Gives the sorted distinct elements of each row of a "set" column, one row at a time.
+Unpack = Callable[[pa.Array], Iterator[np.ndarray]]
+
+
+def unpack(column: pa.Array) -> Iterator[np.ndarray]:
+    """Sets that are stored as packed 64-bit elements."""
+    return (np.frombuffer(blob.as_buffer(), dtype=np.uint64) for blob in column)
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -44,10 +49,11 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     off = np.zeros((n, n), dtype=np.float32)
     if len(item):
         item = np.cumsum(np.concatenate([[0], np.diff(item) != 0]))
+        count = int(item[-1]) + 1
         step = max(1, CELLS // n)
-        for low in range(0, int(item[-1]) + 1, step):
+        for low in range(0, count, step):
             a, b = np.searchsorted(item, [low, low + step])
-            cells = np.zeros((n, step), dtype=np.float32)
+            cells = np.zeros((n, min(step, count - low)), dtype=np.float32)
             cells[owners[a:b], item[a:b] - low] = 1
             off += cells @ cells.T
     np.fill_diagonal(off, 0)
@@ -73,7 +79,7 @@ def region_links(ids: list, sets: list[np.ndarray], percent: int) -> Iterator[tu
             yield ids[a], ids[b]
 
 
-def _verified(percent: int):
+def _verified(percent: int, unpack: Unpack):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         region, ids, sets, kind = None, [], [], None
         links: list[tuple] = []
@@ -89,12 +95,12 @@ def _verified(percent: int):
 
         for batch in batches:
             kind = batch.schema.field("node").type
-            for key, node, blob in zip(*(batch.column(c).to_pylist() for c in ("region", "node", "set"))):
+            for key, node, items in zip(batch.column("region").to_pylist(), batch.column("node").to_pylist(), unpack(batch.column("set"))):
                 if key != region:
                     close()
                     region, ids, sets = key, [], []
                 ids.append(node)
-                sets.append(unpack(blob))
+                sets.append(items)
             if len(links) > 50_000:
                 yield out()
         close()
@@ -104,11 +110,11 @@ def _verified(percent: int):
     return run
 
 
-def region_join(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def region_join(members: DataFrame, sets: DataFrame, percent: int, unpack: Unpack = unpack) -> DataFrame:
     """Links (a, b) between members of one region.
 
     `members` (region, node) has regions of a bounded number of rows; `sets`
-    (node, set) has each node's distinct sorted 64-bit elements, packed.
+    (node, set) has what `unpack` turns into each node's elements.
     """
     node = members.schema["node"].dataType.simpleString()
     return (
@@ -116,11 +122,11 @@ def region_join(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .select("region", "node", "set")
         .repartition("region")
         .sortWithinPartitions("region", "node")
-        .mapInArrow(_verified(percent), f"a {node}, b {node}")
+        .mapInArrow(_verified(percent, unpack), f"a {node}, b {node}")
     )
 
 
-def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def linked(members: DataFrame, sets: DataFrame, percent: int, unpack: Unpack = unpack) -> DataFrame:
     """Links (a, b) that connect what the links of all regions connect.
 
     A share of the regions is compared first. Of the others only those are
@@ -129,23 +135,23 @@ def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     members = materialize(members, "members")
     early = F.pmod(F.xxhash64("region"), F.lit(EARLY)) == 0
-    roots = components(region_join(members.where(early), sets, percent), "a", "b")
+    roots = components(region_join(members.where(early), sets, percent, unpack), "a", "b")
     named = members.where(~early).join(roots, "node", "left").select("region", "node", F.coalesce("root", "node").alias("part"))
     open_regions = named.groupBy("region").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
     rest = named.join(open_regions.select("region"), "region").select("region", "node")
-    return region_join(rest, sets, percent).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    return region_join(rest, sets, percent, unpack).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
 
-def _deeper(levels: int, hashes: int):
+def _deeper(levels: int, hashes: int, unpack: Unpack):
     """Region keys of `levels` more levels: each adds `hashes` min-hashes under
     permutations that all rows of the region share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = np.zeros((batch.num_rows, levels), dtype=np.int64)
-            for row, (key, blob) in enumerate(zip(batch.column("region").to_pylist(), batch.column("set"))):
+            for row, (key, items) in enumerate(zip(batch.column("region").to_pylist(), unpack(batch.column("set")))):
                 seed = np.uint64(key & 0xFFFFFFFFFFFFFFFF)
-                low = signature(unpack(blob.as_py()), *permutations(levels * hashes, seed))[None, :]
+                low = signature(items, *permutations(levels * hashes, seed))[None, :]
                 for level in range(levels):
                     seed = combined(low[:, level * hashes : (level + 1) * hashes], seed).view(np.uint64)[0]
                     keys[row, level] = seed.view(np.int64)
@@ -197,12 +203,12 @@ def bounded_regions(rows: DataFrame, sizes: DataFrame, limit: int) -> DataFrame:
     return rows.join(once.select("region"), "region").select("region", "node")
 
 
-def refined(rows: DataFrame, sets: DataFrame, levels: int, hashes: int) -> DataFrame:
+def refined(rows: DataFrame, sets: DataFrame, levels: int, hashes: int, unpack: Unpack = unpack) -> DataFrame:
     """(keys, node): for each row of a too large region its region keys on the
     next `levels` levels."""
     node = rows.schema["node"].dataType.simpleString()
     joined = rows.join(sets, "node").select("region", "node", "set")
-    return joined.mapInArrow(_deeper(levels, hashes), f"keys array<long>, node {node}")
+    return joined.mapInArrow(_deeper(levels, hashes, unpack), f"keys array<long>, node {node}")
 
 
 def blocked(rows: DataFrame, sizes: DataFrame, limit: int) -> DataFrame:

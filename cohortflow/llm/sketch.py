@@ -112,7 +112,7 @@ def with_successors(docs: DataFrame, parts: int) -> DataFrame:
     ghosts = firsts.select("part", F.coalesce(F.lead("low").over(order), F.first("low").over(whole)).alias("next"))
     ghosts = ghosts.select("part", F.lit(None).cast("long").alias("id"), F.col("next.text").alias("text"), F.lit(1).alias("ghost"))
     both = rows.select("part", F.col("id").cast("long"), "text", F.lit(0).alias("ghost")).unionByName(ghosts)
-    return both.repartition(parts, "part").sortWithinPartitions("part", "ghost", F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    return both.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "ghost", F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
 
 
 def edited_text(text: str, successor: str) -> str:

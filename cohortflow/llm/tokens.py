@@ -41,6 +41,8 @@ END = 1
 NO_ID = -(1 << 63)
 #: Distinct chunks that one worker remembers: this many new ones, and as many from before.
 CACHED = 400_000
+#: First code points of a text that divide the rows of one id over shards.
+DIVIDING = 64
 _MARK = "<|endoftext|>"
 
 
@@ -156,7 +158,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     order = [F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    sized = narrow.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(*order)
+    # The start of the text divides the rows of one hot id, or of none, without changing the order.
+    sized = narrow.repartitionByRange(order[0], F.substring("text", 1, DIVIDING).asc_nulls_first()).sortWithinPartitions(*order)
     shards = materialize(sized.mapInArrow(_written(folder, tokenizer, dtype, end), "shard long, docs long, tokens long, low long, high long"), "manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
     return shards.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)).cast("long"))
@@ -202,7 +205,8 @@ def _read(folder: str, dtype: str):
 def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame, dtype: str = "<u2") -> DataFrame:
     """One row per document of the files: id, start (ids of all documents
     before it), n_tokens (with the end id) and ids_crc32 (CRC-32 of its ids as
-    little-endian unsigned 32-bit integers)."""
-    shards = manifest.select("shard", "base").repartition("shard")
+    little-endian unsigned 32-bit integers). Each shard is a task of its own."""
+    last = manifest.agg(F.max("shard")).first()[0]
+    shards = manifest.select("shard", "base").repartitionById(1 + (last or 0), F.col("shard").cast("int"))
     found = shards.mapInArrow(_read(folder, dtype), "id long, start long, n_tokens long, ids_crc32 long")
     return found.withColumn("id", F.when(F.col("id") != NO_ID, F.col("id")))
