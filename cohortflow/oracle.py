@@ -441,3 +441,5 @@ FROM p1 JOIN (SELECT event_id, start_date >= DATE '1998-01-01' AS late, after_da
 SELECT p1.* EXCLUDE (event_id), w.after_date AS "3_mo_after", w.fy AS "FY", p2.* EXCLUDE (event_id, user_id), {_LEAD_SELECT}
 FROM p1 JOIN event_windows w USING (event_id) JOIN p2 USING (event_id, user_id) JOIN l1 USING (event_id, user_id) JOIN l2 USING (event_id, user_id)""",
 }
+
+ORACLE_SQL["dataset_files"] = ORACLE_SQL["event_dataset"]

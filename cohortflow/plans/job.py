@@ -2,16 +2,17 @@
 
 1. read the file (S1), parse dates, reject malformed rows and unreadable dates
    (Q17), optionally apply the written preparation screen (F13);
-2. append events the store lacks, numbered after the largest stored id (S4);
-3. append attendees the store lacks (S5); both appends are idempotent, so a
-   failed run is completed by running it again;
+2. write the events the store lacks, numbered after the largest stored id (S4);
+3. write the attendees the store lacks (S5), and publish both as the store's next
+   version at once; a failed run leaves the version before, and is run again;
 4. read the stores back (S3) and build the wide dataset for the batch's
    events over all their stored attendees (Q16);
 5. write the dataset under a dated name (S6, S7), plus the reject table and
    the run counts (A10).
 
-The store has one writer at a time, which is checked. The store writes are the
-lineage cut between registering and measuring; parsed rows, event dimension and
+Runs may overlap: the second to publish a version number registers its batch
+again, against the first one's version. The store writes are the lineage cut
+between registering and measuring; parsed rows, event dimension and
 cohort are written once to the cluster's shared `spark.checkpoint.dir`, so the
 branches that read them share one copy and a lost executor costs at most the
 stage it ran.
@@ -39,6 +40,8 @@ from .profiles import CohortPlan
 
 # The tables whose bytes decide the number of shuffle partitions.
 FACT_TABLES = ("attendance", "sessions", "mentorships", "study_groups", "study_schedules", "contact_chart", "event_attendees")
+# How often a batch is registered anew because another run published first.
+ATTEMPTS = 5
 
 
 @dataclass(frozen=True)
@@ -61,21 +64,40 @@ def register_batch(
     good = reg.accepted(parsed.rows)
     batch = reg.batch_events(good)
 
-    with sinks.single_writer(spark, store_path):
-        stored_events = sinks.read_table_if_exists(spark, store_path, "program_event")
-        sinks.append_table(reg.new_program_events(batch, stored_events, type_id), store_path, "program_event")
-        events = sinks.read_table_if_exists(spark, store_path, "program_event")
-        if events is None:  # nothing stored and nothing new: an empty store
-            events = spark.createDataFrame([], NATIVE_TABLES["program_event"])
-
-        attendees = reg.registration_attendees(good, events)
-        stored_attendees = sinks.read_table_if_exists(spark, store_path, "event_attendees")
-        sinks.append_table(reg.new_event_attendees(attendees, stored_attendees), store_path, "event_attendees")
-
+    for attempt in range(ATTEMPTS):
+        try:
+            events = append_batch(spark, good, store_path, type_id)
+            break
+        except sinks.StaleVersion:  # another run was faster: number and compare again, against its version
+            if attempt == ATTEMPTS - 1:
+                raise
     ids = materialize(reg.resolve_event_ids(batch, events), "batch_events")
     return RegisteredBatch(ids, reg.rejected(parsed.rows), reg.registration_summary(parsed, events))
 
 
+def append_batch(spark: SparkSession, good: DataFrame, store_path: str, type_id: reg.TypeId) -> DataFrame:
+    """What the store lacks of the batch's events and attendees, published
+    together as its next version. Returns the events of that version."""
+    seen = sinks.store_version(spark, store_path)
+    added: dict[str, str | None] = {}
+    stored = sinks.read_parts(spark, store_path, "program_event", seen.parts["program_event"])
+    try:
+        added["program_event"] = sinks.write_part(reg.new_program_events(reg.batch_events(good), stored, type_id), store_path, "program_event")
+        parts = seen.parts["program_event"] + ((added["program_event"],) if added["program_event"] else ())
+        events = sinks.read_parts(spark, store_path, "program_event", parts)
+        if events is None:  # nothing stored and nothing new: an empty store
+            events = spark.createDataFrame([], NATIVE_TABLES["program_event"])
+        held = sinks.read_parts(spark, store_path, "event_attendees", seen.parts["event_attendees"])
+        fresh = reg.new_event_attendees(reg.registration_attendees(good, events), held)
+        added["event_attendees"] = sinks.write_part(fresh, store_path, "event_attendees")
+        sinks.publish(spark, store_path, seen, added)
+    except Exception:
+        for name, part in added.items():
+            sinks.drop_part(spark, store_path, name, part)
+        raise
+    return events
+
+
 def run(
     spark: SparkSession,
     registrations_path: str,
@@ -104,7 +126,7 @@ def run(
     if stored is not None:
         reg.event_report(stored).write.mode("overwrite").option("header", True).csv(f"{output_dir.rstrip('/')}/events_{stamp}")
 
-    inputs = read_native_tables(spark, store_path)
+    inputs = read_native_tables(spark, store_path, versioned={name: sinks.read_table_if_exists(spark, store_path, name) for name in sinks.VERSIONED})
     batch_ids = batch.batch_event_ids.select("event_id")
     if completed_only:  # Q20: only events whose post window has ended by the run date
         done = cohort.completed_events(inputs.program_event, F.lit(run_date), calendar)

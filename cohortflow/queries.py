@@ -6,6 +6,7 @@ equivalent DuckDB SQL for each lives in `cohortflow.oracle`.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,10 @@ from pyspark.sql import functions as F
 from .config import FIXTURE_RULES
 from .operators import cohort, mentorship, leadership, registration as reg
 from .operators.attendance import earliest_attendance, session_facts
+from .plans.job import append_batch
 from .plans.profiles import CohortPlan
 from .sources import fixtures as fx, sinks
+from .sources.schemas import EVENT_ATTENDEES
 from .sources.scratch import scratch_path
 from .sources.tables import read_registrations_csv
 
@@ -73,21 +76,30 @@ def program_events_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attendees_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registration file is written as CSV and read back by name, the
-    registrations before the split date are stored, and the whole file is then
-    registered against the store. Rows to append: event_id, user_id."""
+    registrations before the split date are published to a store, and the whole file
+    is then registered against it. The rows it appended: event_id, user_id."""
     files, store = scratch_path(spark, "registrations"), scratch_path(spark, "store")
     fx.fixture_registrations_raw(spark, sf_dir).write.option("header", True).csv(files)
     good = reg.accepted(reg.parsed_once(read_registrations_csv(spark, files)).rows)
     early = good.where(F.col("start_date") < F.lit(UPSERT_STORE_BEFORE).cast("date"))
-    for rows in (early, good):
-        stored = sinks.read_table_if_exists(spark, store, "program_event")
-        sinks.append_table(reg.new_program_events(reg.batch_events(rows), stored, fx.fixture_type_id), store, "program_event")
-        events = sinks.read_table_if_exists(spark, store, "program_event")
-        held = sinks.read_table_if_exists(spark, store, "event_attendees")
-        fresh = reg.new_event_attendees(reg.registration_attendees(rows, events), held)
-        if held is None:
-            sinks.append_table(fresh, store, "event_attendees")
-    return fresh
+    append_batch(spark, early, store, fx.fixture_type_id)
+    before = sinks.store_version(spark, store).parts["event_attendees"]
+    append_batch(spark, good, store, fx.fixture_type_id)
+    after = sinks.store_version(spark, store).parts["event_attendees"]
+    fresh = sinks.read_parts(spark, store, "event_attendees", tuple(part for part in after if part not in before))
+    return spark.createDataFrame([], EVENT_ATTENDEES) if fresh is None else fresh
+
+
+def dataset_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dataset written twice under one dated name, first of the early
+    events, then of all, and read back from its files."""
+    out, run_date = scratch_path(spark, "dataset"), dt.date(2026, 12, 3)
+    inputs = fx.fixture_inputs(spark, sf_dir)
+    early = inputs.program_event.where(F.col("start_date") < F.lit(STACK_SPLIT).cast("date")).select(F.col("id").alias("event_id"))
+    sinks.write_dataset(CohortPlan(inputs, FIXTURE_RULES, batch_event_ids=early).event_dataset(), out, run_date)
+    whole = CohortPlan(inputs, FIXTURE_RULES).event_dataset()
+    path = sinks.write_dataset(whole, out, run_date)
+    return spark.read.schema(whole.schema).parquet(path).select(*whole.columns)
 
 
 def batch_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,6 +222,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "program_events": program_events,
     "program_events_upsert": program_events_upsert,
     "attendees_upsert": attendees_upsert,
+    "dataset_files": dataset_files,
     "batch_event_ids": batch_event_ids,
     "event_attendees": event_attendees,
     "calendar_windows": calendar_windows,

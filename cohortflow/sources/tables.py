@@ -116,14 +116,19 @@ def first_line(spark: SparkSession, file: str) -> str | None:
         stream.close()
 
 
-def read_native_tables(spark: SparkSession, base_path: str, fmt: str = "parquet") -> CohortInputs:
+def read_native_tables(spark: SparkSession, base_path: str, fmt: str = "parquet", versioned: dict[str, DataFrame | None] | None = None) -> CohortInputs:
     """One directory per table under `base_path` (parquet by default).
 
     Columns are selected by name in schema order, so extra columns in the files
-    are pruned at the scan.
+    are pruned at the scan. `versioned` has tables that are read in a published
+    version (`sinks.read_table_if_exists`); None stands for a table without rows.
     """
+    versioned = versioned or {}
     frames = {}
     for name, schema in NATIVE_TABLES.items():
+        if name in versioned:
+            frames[name] = spark.createDataFrame([], schema) if versioned[name] is None else versioned[name]
+            continue
         df = spark.read.format(fmt).load(f"{base_path}/{name}")
         frames[name] = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
     return CohortInputs(**frames)

@@ -233,21 +233,92 @@ def test_stream_rejects_equal_batch_rejects(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 0
 
 
-def test_one_writer_and_other_failures_are_raised(spark):
+def test_other_failures_are_raised(spark):
     import pytest
 
     root = tempfile.mkdtemp(prefix="cohortflow-store-")
-    with sinks.single_writer(spark, root):
-        with pytest.raises(RuntimeError, match="another run"):
-            with sinks.single_writer(spark, root):
-                pass
-    with sinks.single_writer(spark, root):
-        pass
     assert sinks.read_table_if_exists(spark, root, "members") is None
     with pytest.raises(Exception, match="no-such-scheme"):
         sinks.read_table_if_exists(spark, "no-such-scheme*?[", "members")
 
 
+def _good(spark, rows):
+    return spark.createDataFrame([(u, e, dt.date(2015, 10, 3), dt.date(2015, 10, 5)) for u, e in rows], "user_id long, event string, start_date date, end_date date")
+
+
+def _stored(spark, base):
+    return tuple(
+        sorted(tuple(r)[:2] for r in df.collect()) if (df := sinks.read_table_if_exists(spark, base, name)) is not None else []
+        for name in sinks.VERSIONED
+    )
+
+
+def test_a_run_that_dies_between_both_writes_shows_nothing(spark, monkeypatch):
+    import pytest
+
+    base = tempfile.mkdtemp(prefix="cohortflow-store-")
+    job.append_batch(spark, _good(spark, [(1, "Camp")]), base, 1)
+    before = _stored(spark, base)
+    assert before == ([(1, "Camp")], [(1, 1)])
+
+    def dies(*_):
+        raise KeyboardInterrupt  # nothing is cleaned up after it
+
+    monkeypatch.setattr(job.reg, "new_event_attendees", dies)
+    with pytest.raises(KeyboardInterrupt):
+        job.append_batch(spark, _good(spark, [(1, "Camp"), (2, "Retreat")]), base, 1)
+    assert len(os.listdir(sinks.table_path(base, "program_event"))) == 2  # its events were written
+    assert _stored(spark, base) == before
+    monkeypatch.undo()
+    job.append_batch(spark, _good(spark, [(1, "Camp"), (2, "Retreat")]), base, 1)
+    assert _stored(spark, base) == ([(1, "Camp"), (2, "Retreat")], [(1, 1), (2, 2)])
+
+
+def test_two_runs_at_once(spark, monkeypatch):
+    """The run that publishes second registers again: no id is issued twice, nothing is lost."""
+    base = tempfile.mkdtemp(prefix="cohortflow-store-")
+    publish, others = sinks.publish, [[(2, "Retreat")], [(3, "Gala")]]
+
+    def late(*args):
+        if others:
+            rows = others.pop()
+            monkeypatch.setattr(sinks, "publish", publish)
+            job.append_batch(spark, _good(spark, rows), base, 1)
+            monkeypatch.setattr(sinks, "publish", late)
+        return publish(*args)
+
+    monkeypatch.setattr(sinks, "publish", late)
+    raw = spark.createDataFrame([(1.0, "Camp", "10/3/2015", "10/5/2015")], "member_id double, event string, start_date string, end_date string")
+    job.register_batch(spark, raw, base, 1)
+    assert _stored(spark, base) == ([(1, "Gala"), (2, "Retreat"), (3, "Camp")], [(1, 3), (2, 2), (3, 1)])
+    assert sinks.store_version(spark, base).number == 3
+    folders = [f for f in os.listdir(sinks.table_path(base, "program_event")) if f.startswith("batch=")]
+    assert len(folders) == 3  # the parts of the attempts that came too late are gone
+    # Nothing new: no version, no part.
+    job.register_batch(spark, raw, base, 1)
+    assert sinks.store_version(spark, base).number == 3
+
+
+def test_a_store_without_versions_is_taken_over(spark):
+    base = tempfile.mkdtemp(prefix="cohortflow-store-")
+    rows = [(7, "Camp", 1, dt.date(2015, 10, 3), dt.date(2015, 10, 5))]
+    spark.createDataFrame(rows, NATIVE_TABLES["program_event"]).write.parquet(sinks.table_path(base, "program_event"))
+    assert _stored(spark, base) == ([(7, "Camp")], [])
+    job.append_batch(spark, _good(spark, [(1, "Camp"), (2, "Retreat")]), base, 1)
+    assert _stored(spark, base) == ([(7, "Camp"), (8, "Retreat")], [(7, 1), (8, 2)])
+
+
+def test_dataset_years_are_sized_and_replaced(spark):
+    out = tempfile.mkdtemp(prefix="cohortflow-out-")
+    rows = spark.range(3000).selectExpr("id", "CAST(2015 + id % 3 AS INT) AS FY").repartition(40)
+    path = sinks.write_dataset(rows, out, RUN_DATE)
+    files = [f for f in spark.read.parquet(path).inputFiles()]
+    assert len(files) == 3  # not one per task and year
+    sinks.write_dataset(spark.sql("SELECT -1L AS id, 2016 AS FY"), out, RUN_DATE)
+    back = {r.FY: r["count"] for r in spark.read.parquet(path).groupBy("FY").count().collect()}
+    assert back == {2015: 1000, 2016: 1, 2017: 1000}
+
+
 def test_screen_without_a_members_table(spark):
     root = tempfile.mkdtemp(prefix="cohortflow-store-")
     _csv(spark, f"{root}/in")
