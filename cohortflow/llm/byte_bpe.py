@@ -46,7 +46,7 @@ from .text import sliced, text_bytes
 PIECE, BLOCK = 1 << 20, 128
 #: Distinct slices that one worker remembers: this many new ones or so many bytes of them, and as many from before;
 #: slices looked up at a time.
-CACHED, CACHED_BYTES, SLICES = 200_000, 32 << 20, 100_000
+CACHED, CACHED_BYTES, SLICES = 400_000, 32 << 20, 100_000
 #: Slices of up to so many bytes are merged in a list, longer ones from a heap.
 SHORT_SLICE = 100
 
