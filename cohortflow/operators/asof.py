@@ -88,10 +88,10 @@ def interval_rows(
             raise ValueError("CHAIN rows need the leader intervals")
         pairs = ms.mentorship_pairs(mentorships)
         led = merged_intervals(within(leaders, span), ["leader_id"])
-        end = F.least(open_end(led.end_date), pairs.pair_end)
+        # A pair that ended before the study began: the interval is empty, its two changes fall on one day.
+        end = F.greatest(F.least(open_end(led.end_date), pairs.pair_end), F.date_sub(led.start_date, 1))
         parts.append(
             pairs.join(led, pairs.user_id == led.leader_id)
-            .where(end >= led.start_date)
             .select(
                 pairs.parent_user_id.alias("user_id"), F.lit(CHAIN).alias("kind"), pairs.user_id.alias("other_id"), led.start_date,
                 F.when(end < F.lit(OPEN_END).cast("date"), end).alias("end_date"),
