@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark import TaskContext
 
 from ..sources.scratch import materialize
+from .text import sliced
 
 END = 1
 NO_ID = -(1 << 63)
@@ -81,16 +82,20 @@ class Encoder:
             self.cache[chunk] = self._ids(chunk.decode()).tobytes()
 
     def encode(self, text: str | None) -> bytes:
-        chunks = (text or "").encode().split()
-        missing = set(chunks).difference(self.cache)
+        return self.encode_all([(text or "").encode()])[0]
+
+    def encode_all(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of each text. What the cache lacks of all of them is encoded in one go."""
+        split = [(text or b"").split() for text in texts]
+        known = set().union(*split)
+        missing = known.difference(self.cache)
         if missing:
             if len(self.cache) + len(missing) > CACHED:
-                self.cache, self.old = {}, self.cache
-                missing = set(chunks)
+                self.cache, self.old, missing = {}, self.cache, known
             for chunk in [c for c in missing if c in self.old]:
                 self.cache[chunk] = self.old.pop(chunk)
             self._learn(list(missing.difference(self.cache)))
-        return b"".join(map(self.cache.__getitem__, chunks))
+        return [b"".join(map(self.cache.__getitem__, chunks)) for chunks in split]
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -121,9 +126,7 @@ def _written(folder: str, path: str, dtype: str, end: int):
         attempt, names, files = uuid.uuid4().hex, {}, {}
         docs = tokens = 0
         low = high = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in sliced(batches, 1):
             if not files:
                 for kind in ("bin", "idx", "ids"):
                     names[kind] = f"{root}/shard-{shard:05d}.{kind}"
@@ -131,10 +134,10 @@ def _written(folder: str, path: str, dtype: str, end: int):
                 files["idx"].write(np.zeros(1, "<i8").tobytes())
             ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype("<i8")
             sizes = np.zeros(batch.num_rows, dtype="<i8")
-            for row, text in enumerate(batch.column(1)):
-                blob = encoder.encode(text.as_py()) + tail
-                files["bin"].write(blob)
-                sizes[row] = len(blob) // width
+            blobs = encoder.encode_all(batch.column(1).cast(pa.binary()).to_pylist())
+            for row, blob in enumerate(blobs):
+                sizes[row] = len(blob) // width + 1
+            files["bin"].write(tail.join([*blobs, b""]))
             files["ids"].write(ids.tobytes())
             files["idx"].write((np.cumsum(sizes) + tokens).astype("<i8").tobytes())
             docs, tokens = docs + len(ids), tokens + int(sizes.sum())
