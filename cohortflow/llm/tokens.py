@@ -133,10 +133,8 @@ def _written(folder: str, path: str, dtype: str, end: int):
                     files[kind] = store.open_output_stream(f"{names[kind]}.{attempt}")
                 files["idx"].write(np.zeros(1, "<i8").tobytes())
             ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype("<i8")
-            sizes = np.zeros(batch.num_rows, dtype="<i8")
             blobs = encoder.encode_all(batch.column(1).cast(pa.binary()).to_pylist())
-            for row, blob in enumerate(blobs):
-                sizes[row] = len(blob) // width + 1
+            sizes = np.fromiter(map(len, blobs), "<i8", len(blobs)) // width + 1
             files["bin"].write(tail.join([*blobs, b""]))
             files["ids"].write(ids.tobytes())
             files["idx"].write((np.cumsum(sizes) + tokens).astype("<i8").tobytes())
@@ -194,11 +192,13 @@ def _read(folder: str, dtype: str):
         for batch in batches:
             for shard, base in zip(batch.column("shard").to_pylist(), batch.column("base").to_pylist()):
                 part = TokenShard(folder, shard, dtype)
-                for at in range(0, len(part), 10_000):
-                    rows = range(at, min(at + 10_000, len(part)))
-                    ids = pa.array(np.array(part.ids[at : rows.stop]), pa.int64())
-                    offsets = np.array(part.offsets[at : rows.stop + 1])
-                    crc = [zlib.crc32(np.asarray(part[row]).astype("<u4").tobytes()) for row in rows]
+                for at in range(0, len(part), 1_000):
+                    stop = min(at + 1_000, len(part))
+                    ids = pa.array(np.array(part.ids[at:stop]), pa.int64())
+                    offsets = np.array(part.offsets[at : stop + 1])
+                    wide = memoryview(np.asarray(part.tokens[offsets[0] : offsets[-1]]).astype("<u4")).cast("B")
+                    cuts = ((offsets - offsets[0]) * 4).tolist()
+                    crc = [zlib.crc32(wide[a:b]) for a, b in zip(cuts, cuts[1:])]
                     columns = [ids, pa.array(offsets[:-1] + base), pa.array(np.diff(offsets)), pa.array(crc, pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, ["id", "start", "n_tokens", "ids_crc32"])
 
