@@ -1,11 +1,22 @@
 """Language-model scoring with Brown class-based bigrams.
 
 Words are `[^\\x20\\x09-\\x0D]+` after folding A-Z; every text ends with one end
-token. The classes come from exchange clustering: each unit moves to the class
-that raises the likelihood of the class bigrams most, until nothing moves. Units
-are the `TOP` most frequent words, and for all other words their endings
-(`ENDINGS` buckets), so every word of any vocabulary has a class while the
-clustering works on a matrix of fixed size. Counts are over all training texts.
+token. The classes come from exchange clustering of all words that occur at
+least `FLOOR` times, so the clustered vocabulary grows with the corpus:
+
+1. Seed. The `TOP` most frequent words, and the endings (`ENDINGS` buckets) of
+   all other words, are exchanged on their bigram matrix: a unit moves to the
+   class that raises the likelihood of the class bigrams most.
+2. Rounds on Spark. Every other word starts in the class of its ending. A round
+   counts each word's neighbours by class (a sparse table, shuffled by word) and
+   moves each word to the class that its neighbours make likeliest, its own
+   counts taken out of its present class. A round counts if it raises the mutual
+   information of the class bigrams by more than `TOLERANCE`; the first that
+   does not ends the training, and the better classes stay.
+
+Words below the floor keep the class of their ending: a few occurrences say
+more about chance than about class. The texts are read once; rounds read them
+as unit numbers, written to the shared folder. Counts are over all training texts.
 
 With c the class of w and c' that of the word before,
 
@@ -15,8 +26,9 @@ With c the class of w and c' that of the word before,
 
 Every class has one unseen word, so P sums to one. E(w | c) / base(w) depends
 on the class only. So the score is the base score plus a sum over classes, and
-word counts are needed for the base score alone: the most frequent words'
-counts are broadcast (at most `HEAD` words), all others are joined.
+word counts are needed for the base score alone: counts and classes of the most
+frequent words are broadcast (at most `HEAD` words, 17 bytes each; only these
+move in the rounds), counts of all others are joined.
 
 Defined results: a null text is an empty one, with its end token alone; a null
 id is in training (no remainder); equal rows count and score each; without any
@@ -35,14 +47,20 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import discard, materialize
 from .text import FOLD, SPACED, sliced, text_bytes, words
 
 TOP, ENDINGS, CLASSES = 1000, 256, 64
-#: Words whose counts are broadcast: 16 bytes each.
+#: Least count of a word with a class of its own.
+FLOOR = 8
+#: Words whose counts and classes are broadcast: 17 bytes each.
 HEAD = 1 << 19
-#: Rounds of exchange at most, weight of the class model, added count of a class transition.
-ROUNDS, MIX, ADDED = 20, 0.95, 0.5
+#: Least relative gain of a round, weight of the class model, added count of a class transition.
+TOLERANCE, MIX, ADDED = 0.005, 0.95, 0.5
+#: Tokens in a row of unit numbers; ranges of words that are moved together.
+CHUNK, BUCKETS = 1024, 512
+#: Counts of a moving word: classes behind it, classes before it, itself behind itself.
+CELLS = 2 * CLASSES + 1
 PRIOR = 0.1
 #: Words that a counting task holds before it hands them on.
 PENDING = 1_000_000
@@ -98,25 +116,45 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _units(keys: np.ndarray, endings: np.ndarray, top: np.ndarray) -> np.ndarray:
-    """Frequent words by their place in `top` (ascending keys), others behind them by ending."""
-    if not len(top):
+def _units(keys: np.ndarray, endings: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """Frequent words by their place in `head` (ascending keys), others behind them by ending."""
+    if not len(head):
         return endings
-    place = np.minimum(np.searchsorted(top, keys), len(top) - 1)
-    return np.where(top[place] == keys, place, len(top) + endings)
+    place = np.minimum(np.searchsorted(head, keys), len(head) - 1)
+    return np.where((head[place] == keys) & (endings != ENDINGS), place, len(head) + endings)
 
 
-def _paired(top: np.ndarray):
-    size = len(top) + ENDINGS + 1
-    end = size - 1
+def _numbered(shared):
+    """Texts as rows of unit numbers, each with the unit before its first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = np.zeros(size * size, dtype=np.int64)
+        head = shared.value
         for batch in sliced(batches, 0):
             keys, endings, _ = sequence(batch.column(0))
-            units = np.where(endings == ENDINGS, end, _units(keys, endings, top))
-            before = np.concatenate([[end], units[:-1]])
-            pairs += np.bincount(before * size + units, minlength=size * size)
+            units = np.concatenate([[len(head) + ENDINGS], _units(keys, endings, head)]).astype(np.int32)
+            rows = [units[at : at + CHUNK + 1].tobytes() for at in range(0, len(units) - 1, CHUNK)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["units"])
+
+    return run
+
+
+def _bigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(before, unit) of all tokens in rows of unit numbers."""
+    rows = [np.frombuffer(row, np.int32) for row in column.to_pylist()]
+    if not rows:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    return np.concatenate([r[:-1] for r in rows]), np.concatenate([r[1:] for r in rows])
+
+
+def _paired(shared, size: int):
+    """Bigram counts of seed units, as sparse rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seed_of = shared.value
+        pairs = np.zeros(size * size, dtype=np.int64)
+        for batch in batches:
+            before, units = _bigrams(batch.column(0))
+            pairs += np.bincount(seed_of[before] * size + seed_of[units], minlength=size * size)
         pairs = pairs.reshape(size, size)
         for at in range(0, size, 128):
             rows = [row for row in range(at, min(at + 128, size)) if pairs[row].any()]
@@ -149,8 +187,15 @@ def _f(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
-    """Classes of the units of a bigram count matrix, by the exchange algorithm."""
+def information(block: np.ndarray) -> float:
+    """Mutual information of class bigrams, times their number."""
+    block = block.astype(np.float64)
+    return float(_f(block).sum() - _f(block.sum(1)).sum() - _f(block.sum(0)).sum() + _f(block.sum()))
+
+
+def exchange(pairs: np.ndarray, classes: int = CLASSES, tolerance: float = TOLERANCE) -> np.ndarray:
+    """Classes of the units of a bigram count matrix, by the exchange algorithm;
+    ends with the first round that gains less than `tolerance`."""
     n = pairs.astype(np.float64)
     size = len(n)
     order = np.argsort(-(n.sum(0) + n.sum(1)), kind="stable")
@@ -160,8 +205,8 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
     member[np.arange(size), own] = 1
     right, left = n @ member, n.T @ member  # of each unit: counts with each class behind it, before it
     block = member.T @ right
-    for _ in range(rounds):
-        moved = 0
+    reached = information(block)
+    while True:
         for u in order:
             a = own[u]
             loop = n[u, u]
@@ -184,30 +229,154 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
             block[:, b] += into
             block[b, b] += loop
             if a != b:
-                moved += 1
                 own[u] = b
                 right[:, a] -= n[:, u]
                 right[:, b] += n[:, u]
                 left[:, a] -= n[u, :]
                 left[:, b] += n[u, :]
-        if not moved:
-            break
-    return own
+        before, reached = reached, information(block)
+        if reached <= before * (1 + tolerance) + 1e-6:
+            return own
+
+
+def _blocks(shared):
+    """Class bigram counts of a task's tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value.astype(np.int64)
+        block = np.zeros(CLASSES * CLASSES, dtype=np.int64)
+        for batch in batches:
+            before, units = _bigrams(batch.column(0))
+            block += np.bincount(own[before] * CLASSES + own[units], minlength=CLASSES * CLASSES)
+        at = np.flatnonzero(block)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(block[at])], ["cell", "n"])
+
+    return run
+
+
+def class_bigrams(units: DataFrame, own: np.ndarray) -> np.ndarray:
+    shared = units.sparkSession.sparkContext.broadcast(own)
+    block = np.zeros(CLASSES * CLASSES, dtype=np.int64)
+    for row in units.mapInArrow(_blocks(shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        block[row.cell] = row.n
+    return block.reshape(CLASSES, CLASSES)
+
+
+def _neighbours(shared, width: int):
+    """Counts of the moving words' neighbours by class: packets (bucket, steps
+    between ascending cells, n) for ranges of `width` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, moving = shared.value
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            cells, n = (np.concatenate(x) for x in zip(*parts))
+            found, back = np.unique(cells, return_inverse=True)
+            return found, np.bincount(back, weights=n).astype(np.int64)
+
+        def packets() -> pa.RecordBatch:
+            cells, n = merged()
+            parts.clear()
+            bucket = cells // (width * CELLS)
+            cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(cells)]
+            spans = [(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
+            columns = [
+                pa.array([int(bucket[a]) for a, _ in spans], pa.int32()),
+                pa.array([np.diff(cells[a:b], prepend=bucket[a] * width * CELLS).astype(np.uint32).tobytes() for a, b in spans], pa.binary()),
+                pa.array([n[a:b].astype(np.int64).tobytes() for a, b in spans], pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["bucket", "steps", "n"])
+
+        for batch in batches:
+            before, units = _bigrams(batch.column(0))
+            before, units = before.astype(np.int64), units.astype(np.int64)
+            same = before == units
+            behind = before * CELLS + np.where(same, 2 * CLASSES, own[units])
+            ahead = units * CELLS + CLASSES + own[before]
+            found, n = np.unique(np.concatenate([behind[moving[before]], ahead[moving[units] & ~same]]), return_counts=True)
+            parts.append((found, n))
+            if sum(len(p[0]) for p in parts) > 2 * PENDING:
+                parts[:] = [merged()]
+                if len(parts[0][0]) > PENDING:
+                    yield packets()
+        if parts:
+            yield packets()
+
+    return run
+
+
+def best_classes(cells: np.ndarray, own: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """The class that each word's neighbours make likeliest. cells: a row of
+    `CELLS` counts per word; own: present classes; block: class bigrams."""
+    out, into, loop = cells[:, :CLASSES].astype(float), cells[:, CLASSES : 2 * CLASSES].astype(float), cells[:, 2 * CLASSES].astype(float)
+    block, added, whole = block.astype(float), ADDED, ADDED * CLASSES
+    rows, cols = block.sum(1), block.sum(0)
+    after = np.log(block + added) - np.log(rows + whole)[:, None]  # of a class, given the one before it
+    ahead = np.log(block + added) - np.log(cols + whole)[None, :]
+    cell = np.log(np.diag(block) + added) - np.log(rows + whole) - np.log(cols + whole)
+    value = out @ after.T + into @ ahead + loop[:, None] * cell[None, :]
+    at = np.arange(len(own))
+    inner = block[own, own] - out[at, own] - into[at, own] - loop
+    n_out, n_in = out.sum(1) + loop, into.sum(1) + loop
+    left_out, left_in = block[own] - out, block[:, own].T - into
+    left_out[at, own] = left_in[at, own] = inner
+    row = np.log(np.maximum(rows[own] - n_out, 0) + whole)
+    col = np.log(np.maximum(cols[own] - n_in, 0) + whole)
+    stay = (out * (np.log(np.maximum(left_out, 0) + added) - row[:, None])).sum(1)
+    stay += (into * (np.log(np.maximum(left_in, 0) + added) - col[:, None])).sum(1)
+    stay += loop * (np.log(np.maximum(inner, 0) + added) - row - col)
+    value[at, own] = stay
+    best = value.argmax(1)
+    return np.where(value[at, best] > stay + 1e-9, best, own)
+
+
+def _moved(shared, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, moving, block = shared.value
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for bucket, steps, n in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                cells = total.setdefault(bucket, np.zeros(width * CELLS, dtype=np.int64))
+                cells[np.cumsum(np.frombuffer(steps, np.uint32).astype(np.int64))] += np.frombuffer(n, np.int64)
+        for bucket, cells in total.items():
+            old = own[bucket * width : (bucket + 1) * width]
+            go = moving[bucket * width : (bucket + 1) * width]
+            new = np.where(go, best_classes(cells.reshape(width, CELLS)[: len(old)], old.astype(np.int64), block), old)
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([new.astype(np.uint8).tobytes()], pa.binary())], ["bucket", "own"])
+
+    return run
+
+
+def moved(units: DataFrame, own: np.ndarray, moving: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Classes after one round in which every moving word may change its class."""
+    spark = units.sparkSession
+    width = max(1, -(-len(own) // BUCKETS))
+    shared = spark.sparkContext.broadcast((own, moving))
+    state = spark.sparkContext.broadcast((own, moving, block))
+    packets = units.mapInArrow(_neighbours(shared, width), "bucket int, steps binary, n binary")
+    parts = min(BUCKETS, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    out = own.copy()
+    for row in packets.repartition(parts, "bucket").mapInArrow(_moved(state, width), "bucket int, own binary").collect():  # a byte per word
+        new = np.frombuffer(row.own, np.uint8)
+        out[row.bucket * width : row.bucket * width + len(new)] = new
+    return out
 
 
 @dataclass
 class Model:
-    """What scoring needs, of fixed size: frequent words, each unit's class,
-    log10 of the factor on the base probability by class pair, corpus totals,
-    and the broadcast counts."""
+    """What scoring needs, of bounded size: the most frequent words (ascending
+    keys) with their counts, the class of each unit (those words, then the
+    endings, then the end token), log10 of the factor on the base probability by
+    class pair, and corpus totals."""
 
-    top: np.ndarray
-    classes: np.ndarray
+    head: np.ndarray
+    head_n: np.ndarray
+    own: np.ndarray
     factor: np.ndarray
     tokens: int
     types: int
-    head: np.ndarray
-    head_n: np.ndarray
+    ends: int
 
 
 def head_level(sizes: list[tuple[int, int]], limit: int) -> int:
@@ -222,55 +391,75 @@ def head_level(sizes: list[tuple[int, int]], limit: int) -> int:
     return level
 
 
-def train(docs: DataFrame, text_col: str = "text", head: int = HEAD) -> tuple[Model, DataFrame]:
+def seeded(units: DataFrame, n: np.ndarray, endings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(classes of all units, whether a unit is a seed) from the exchange of the
+    most frequent words and of the other words' endings. n, endings: of the head words."""
+    context = units.sparkSession.sparkContext
+    top = np.sort(np.argsort(-n, kind="stable")[:TOP])
+    size = len(top) + ENDINGS + 1
+    seed_of = len(top) + np.concatenate([endings, np.arange(ENDINGS + 1)])
+    seed_of[top] = np.arange(len(top))
+    rows = units.mapInArrow(_paired(context.broadcast(seed_of), size), "unit int, cols binary, n binary")
+    parts = max(8, int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pairs = np.zeros((size, size), dtype=np.int64)
+    for row in rows.repartition(parts, "unit").mapInArrow(_summed(size), "unit int, n binary").collect():
+        pairs[row.unit] = np.frombuffer(row.n, np.int64)
+    seeds = np.zeros(len(seed_of), dtype=bool)
+    seeds[top] = True
+    return exchange(pairs)[seed_of].astype(np.uint8), seeds
+
+
+def train(docs: DataFrame, text_col: str = "text", head: int = HEAD, floor: int = FLOOR) -> tuple[Model, DataFrame]:
     """The model of `docs`, and all word counts as a table (word, ending, n)."""
+    context = docs.sparkSession.sparkContext
     texts = docs.select(F.col(text_col).alias("text"))
     counts = texts.mapInArrow(_counted, "word long, ending int, n long").groupBy("word").agg(F.any_value("ending").alias("ending"), F.sum("n").alias("n"))
     counts = materialize(counts, "counts")
     level = F.floor(F.log2("n") * 4).cast("int")
     by_ending = {r.ending: (r.types, r.n) for r in counts.groupBy("ending").agg(F.count(F.lit(1)).alias("types"), F.sum("n").alias("n")).collect()}
     tokens, types = sum(n for _, n in by_ending.values()), sum(t for t, _ in by_ending.values())
-    ranked = counts.where(F.col("ending") < ENDINGS).orderBy(F.desc("n"), "word").limit(TOP).toPandas().sort_values("word", key=lambda s: s.to_numpy().view(np.uint64))
-    top = ranked.word.to_numpy().astype(np.int64).view(np.uint64)
-    size = len(top) + ENDINGS + 1
-    rows = texts.mapInArrow(_paired(top), "unit int, cols binary, n binary").repartition("unit").mapInArrow(_summed(size), "unit int, n binary").collect()
-    pairs = np.zeros((size, size), dtype=np.int64)
-    for row in rows:
-        pairs[row.unit] = np.frombuffer(row.n, np.int64)
-    own = exchange(pairs)
-    member = np.zeros((size, CLASSES))
-    member[np.arange(size), own] = 1
-    block = member.T @ pairs @ member
-    unit_types = np.ones(size)
-    for ending in range(ENDINGS):
-        unit_types[len(top) + ending] = by_ending.get(ending, (0, 0))[0] - int((ranked.ending == ending).sum())
-    class_types, class_tokens = unit_types @ member, block.sum(0)
-    change = (block + ADDED) / (block.sum(1, keepdims=True) + ADDED * CLASSES)
-    lift = (tokens + PRIOR * (types + 1)) / (class_tokens + PRIOR * (class_types + 1))
-    factor = np.log10(MIX * change * lift[None, :] + 1 - MIX)
     lowest = head_level([(r.level, r["count"]) for r in counts.groupBy(level.alias("level")).count().collect()], head)
-    frequent = counts.where(level >= lowest).select("word", "n").toPandas()
+    frequent = counts.where((F.col("ending") < ENDINGS) & (level >= lowest)).toPandas()
     keys = frequent.word.to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return Model(top, own, factor, tokens, types, keys[order], frequent.n.to_numpy().astype(np.int64)[order]), counts
+    keys, n, endings = keys[order], frequent.n.to_numpy().astype(np.int64)[order], frequent.ending.to_numpy().astype(np.int64)[order]
+
+    units = materialize(texts.mapInArrow(_numbered(context.broadcast(keys)), "units binary"), "units")
+    own, seeds = seeded(units, n, endings)
+    moving = np.concatenate([n >= floor, np.zeros(ENDINGS + 1, dtype=bool)]) & ~seeds
+    block = class_bigrams(units, own)
+    while moving.any():
+        new = moved(units, own, moving, block)
+        new_block = class_bigrams(units, new)
+        gained = information(new_block) > information(block) * (1 + TOLERANCE) + 1e-6
+        if information(new_block) > information(block):
+            own, block = new, new_block
+        if not gained:
+            break
+    discard(units)
+
+    unit_types = np.concatenate([np.ones(len(keys)), np.zeros(ENDINGS), [1]])
+    rest = np.array([by_ending.get(e, (0, 0))[0] for e in range(ENDINGS)]) - np.bincount(endings, minlength=ENDINGS)
+    unit_types[len(keys) : len(keys) + ENDINGS] = rest
+    class_types, class_tokens = np.bincount(own, weights=unit_types, minlength=CLASSES), block.sum(0)
+    change = (block + ADDED) / (block.sum(1, keepdims=True) + ADDED * CLASSES)
+    lift = (tokens + PRIOR * (types + 1)) / (class_tokens + PRIOR * (class_types + 1))
+    return Model(keys, n, own, np.log10(MIX * change * lift[None, :] + 1 - MIX), tokens, types, by_ending.get(ENDINGS, (0, 0))[1]), counts
 
 
 def _scored(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        end = len(model.classes) - 1
+        end = model.own[-1]
         row = TaskContext.get().partitionId() << 40
         for batch in sliced(batches, 1):
             keys, endings, first = sequence(batch.column(1))
             found, at, back = np.unique(keys, return_index=True, return_inverse=True)
-            unit = np.where(endings[at] == ENDINGS, end, _units(found, endings[at], model.top))
-            classes = model.classes[unit][back]
-            lead = np.concatenate([[model.classes[end]], classes[:-1]])
-            lead[first[:-1]] = model.classes[end]
-            n = np.zeros(len(found))
-            if len(model.head):
-                place = np.minimum(np.searchsorted(model.head, found), len(model.head) - 1)
-                n = np.where(model.head[place] == found, model.head_n[place], 0)
+            unit = _units(found, endings[at], model.head)
+            classes = model.own[unit][back]
+            lead = np.concatenate([[end], classes[:-1]])
+            lead[first[:-1]] = end
+            n = np.concatenate([model.head_n, np.zeros(ENDINGS, np.int64), [model.ends]])[unit]
             known = (n > 0)[back]
             logs = np.where(known, np.log10(n + PRIOR)[back], 0.0)
             total = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  every row has an end token

@@ -12,6 +12,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -341,20 +342,98 @@ def test_brown_scores(spark, monkeypatch):
         assert found == want
 
 
-def test_brown_probabilities_sum_to_one(spark):
+@pytest.mark.parametrize("head", [brown.HEAD, 20])
+def test_brown_probabilities_sum_to_one(spark, head):
     docs = frame(spark, awkward(n=60))
-    model, counts = brown.train(docs)
+    model, counts = brown.train(docs, head=head)
     rows = counts.collect()
     keys, endings, n = (np.array([r[c] for r in rows]) for c in ("word", "ending", "n"))
-    end = len(model.classes) - 1
-    units = np.where(endings == brown.ENDINGS, end, brown._units(keys.astype(np.int64).view(np.uint64), endings, model.top))
+    classes = model.own[brown._units(keys.astype(np.int64).view(np.uint64), endings, model.head)]
     base = (n + 0.1) / (model.tokens + 0.1 * (model.types + 1))
     for lead in range(brown.CLASSES):
-        p = base * 10 ** model.factor[lead, model.classes[units]]
+        p = base * 10 ** model.factor[lead, classes]
         # What is missing is the unseen words' share, one in every class and one in the base.
         assert 0.6 < p.sum() <= 1 + 1e-9
 
 
+def class_texts(seed=4, words=3000, texts=300):
+    """Texts in which words of four kinds, of any ending, follow each other in turn; words get rarer."""
+    rng = random.Random(seed)
+    kinds = [[f"w{k}{i}{rng.choice('abcdefgh')}{rng.choice('abcdefgh')}" for i in range(words // 4)] for k in range(4)]
+    weights = [1 / (i + 10) for i in range(words // 4)]
+    rows = []
+    for doc in range(texts):
+        start = rng.randrange(4)
+        rows.append((doc, " ".join(rng.choices(kinds[(start + j) % 4], weights)[0] for j in range(400)), "en", "s"))
+    return kinds, rows
+
+
+def test_brown_score_equals_plain_python(spark):
+    """The whole score, from the model's classes, in plain Python; and the classes found beyond the seeds."""
+    kinds, rows = class_texts()
+    docs = frame(spark, rows)
+    out = brown.held_out(F.col("doc_id"))
+    model, counts = brown.train(docs.where(~out))
+    train = [spaced(r[1]) for r in rows if zlib.crc32(str(r[0]).encode()) % 10]
+    n = Counter(w for text in train for w in [*text, None])
+
+    vocabulary = sorted({w for r in rows for w in spaced(r[1])})
+    keys, endings, _ = brown.sequence(pa.array([" ".join(vocabulary)]))
+    own = dict(zip([*vocabulary, None], model.own[brown._units(keys, endings, model.head)].tolist()))
+    pairs, tokens, types = Counter(), Counter(), Counter()
+    for text in train:
+        for a, b in zip([None, *text], [*text, None]):
+            pairs[own[a], own[b]] += 1
+    for w, times in n.items():
+        tokens[own[w]] += times
+        types[own[w]] += 1
+    lead = Counter()
+    for (a, _), times in pairs.items():
+        lead[a] += times
+    total = sum(n.values())
+
+    def probability(before, w):
+        base = (n[w] + 0.1) / (total + 0.1 * (len(n) + 1))
+        change = (pairs[own[before], own[w]] + 0.5) / (lead[own[before]] + 0.5 * brown.CLASSES)
+        emit = (n[w] + 0.1) / (tokens[own[w]] + 0.1 * (types[own[w]] + 1))
+        return 0.95 * change * emit + 0.05 * base
+
+    texts = {r[0]: spaced(r[1]) for r in rows}
+    found = brown.scored(docs, model, counts).collect()
+    for r in found:
+        text = texts[r.doc_id]
+        want = sum(math.log10(probability(a, b)) for a, b in zip([None, *text], [*text, None]))
+        assert r.score == pytest.approx(want, rel=1e-9)
+    # Every class of the words above the floor belongs to one kind, also behind the TOP seeds.
+    kind = {w: k for k, words in enumerate(kinds) for w in words}
+    by_class: dict[int, Counter] = {}
+    above = [w for w in kind if n[w] >= brown.FLOOR]
+    assert len(above) > 1.5 * brown.TOP
+    for w in above:
+        by_class.setdefault(own[w], Counter())[kind[w]] += 1
+    assert sum(max(c.values()) for c in by_class.values()) > 0.97 * len(above)
+    held = [r for r in found if zlib.crc32(str(r.doc_id).encode()) % 10 == 0]
+    assert sum(r.score for r in held) > 0.9 * sum(r.base_score for r in held)
+
+
+def test_best_classes_against_the_likelihood():
+    """One word moved at a time: the class chosen is the likeliest by the change of mutual information."""
+    rng = np.random.default_rng(3)
+    kind = rng.integers(0, 4, 200)
+    order = rng.integers(0, 50, (20_000,)) * 4
+    units = np.array([rng.choice(np.flatnonzero(kind == i % 4)) for i in range(len(order))])
+    own = kind.copy()
+    own[:3] = (own[:3] + 1) % 4  # three words in a wrong class
+    a, b = units[:-1], units[1:]
+    block = np.zeros((brown.CLASSES, brown.CLASSES))
+    np.add.at(block, (own[a], own[b]), 1)
+    cells = np.zeros((200, brown.CELLS))
+    same = a == b
+    np.add.at(cells, (a, np.where(same, 2 * brown.CLASSES, own[b])), 1)
+    np.add.at(cells, (b[~same], brown.CLASSES + own[a[~same]]), 1)
+    assert (brown.best_classes(cells, own, block) == kind).all()
+
+
 def test_exchange_finds_planted_classes():
     rng = np.random.default_rng(1)
     kind = rng.integers(0, 4, 60)
