@@ -429,8 +429,10 @@ def train(docs: DataFrame, text_col: str = "text", head: int = HEAD, floor: int
     moving = np.concatenate([n >= floor, np.zeros(ENDINGS + 1, dtype=bool)]) & ~seeds
     block = class_bigrams(units, own)
     while moving.any():
-        new = moved(units, own, moving, block)
-        new_block = class_bigrams(units, new)
+        new, new_block = own, block
+        for half in (0, 1):  # words that move together do not chase each other
+            new = moved(units, new, moving & (np.arange(len(moving)) % 2 == half), new_block)
+            new_block = class_bigrams(units, new)
         gained = information(new_block) > information(block) * (1 + TOLERANCE) + 1e-6
         if information(new_block) > information(block):
             own, block = new, new_block
