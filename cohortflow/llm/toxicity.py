@@ -20,10 +20,12 @@ columns pass through; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
+import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,6 @@ from pyspark.sql import functions as F
 
 #: Labelled rows that the lexicon is learned from, at most.
 SAMPLE = 12_000
-#: Lexicon entries and exception phrases kept, the most telling first.
-ENTRIES = 20_000
 #: Least likelihood ratio (G^2) and labelled documents of an entry. Copies of one text count once.
 EVIDENCE, SUPPORT = 30.0, 5
 #: Least weight: 20 times likelier in a toxic document.
@@ -86,9 +86,13 @@ def matches(automaton, folded: str) -> Iterator[tuple[int, int, float]]:
     if not len(automaton):
         return
     found = [(end + 1 - size, end + 1, weight) for end, (size, weight) in automaton.iter(folded)]
-    spared = [(a, b) for a, b, weight in found if weight is None]
+    spared = sorted((a, b) for a, b, weight in found if weight is None)
+    starts, reach = [a for a, _ in spared], list(accumulate((b for _, b in spared), max))
     for a, b, weight in found:
-        if weight is not None and not any(x <= a + 1 and b - 1 <= y for x, y in spared):
+        if weight is None:
+            continue
+        before = bisect_right(starts, a + 1)  # phrases that begin no later; the farthest of them
+        if not before or reach[before - 1] < b - 1:
             yield a, b, weight
 
 
@@ -149,11 +153,16 @@ def _phrases(lexicon: Lexicon):
         nonlocal automaton
         automaton = automaton if automaton is not None else lexicon.matcher()
         folded, out = fold(text), set()
-        for a, b, _ in matches(automaton, folded):
+        found = list(matches(automaton, folded))
+        spans = [m.span() for m in re.finditer(r"\S+", folded)] if found else []
+        starts = [low for low, _ in spans]
+        for a, b, _ in found:
             low, high = a + 1, folded.index(" ", b - 1)
-            before, after = folded[:low].split()[-1:], folded[high : high + 200].split()[:1]
-            out.update(f" {w} {folded[low:high]} " for w in before)
-            out.update(f" {folded[low:high]} {w} " for w in after)
+            before, after = bisect_left(starts, low) - 1, bisect_left(starts, high)
+            if before >= 0:
+                out.add(f" {folded[slice(*spans[before])]} {folded[low:high]} ")
+            if after < len(spans):
+                out.add(f" {folded[low:high]} {folded[slice(*spans[after])]} ")
         return out
 
     return of
@@ -202,11 +211,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         sums = [F.sum("bad").alias("bad"), F.sum("good").alias("good")]
         counts = rows.mapInArrow(_counted(lambda text: grams(fold(text))), schema).groupBy("pattern").agg(*sums)
         best = _telling(counts, bad, good).where((F.col("bad") >= SUPPORT) & (F.col("evidence") >= EVIDENCE) & (F.col("weight") >= WEIGHT))
-        found = best.orderBy(F.desc("evidence"), "pattern").limit(ENTRIES).collect()
+        found = best.collect()  # as many as the sample's documents support
         lexicon = Lexicon(closed([(r.pattern, r.bad, r.weight) for r in found]))
         phrases = rows.mapInArrow(_counted(_phrases(lexicon)), schema).groupBy("pattern").agg(*sums)
-        spared = phrases.where((F.col("good") >= SUPPORT) & (F.col("bad") * good < F.col("good") * bad)).orderBy(F.desc("good"), "pattern")
-        lexicon.exceptions = tuple(r.pattern for r in spared.limit(ENTRIES).collect())
+        spared = phrases.where((F.col("good") >= SUPPORT) & (F.col("bad") * good < F.col("good") * bad))
+        lexicon.exceptions = tuple(sorted(r.pattern for r in spared.collect()))
         sums = scored(rows, lexicon, "text", raw=True).select("label", "__tox_sum", "__tox_words").toPandas()
         lexicon.curve = fit_curve(*(sums[c].to_numpy(dtype=float) for c in ("__tox_sum", "__tox_words", "label")))
         return lexicon

@@ -1,6 +1,7 @@
 """Toxicity lexicon: folding, learning, exceptions, held-out accuracy."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -48,6 +49,45 @@ def test_exception_phrases():
     assert T.features(T.Lexicon().matcher(), "anything") == (0, 1)
 
 
+def naive_matches(lexicon, folded):
+    """Every pattern at every position, every match against every exception phrase."""
+    at = lambda p: [i for i in range(len(folded)) if folded.startswith(p, i)]
+    spared = [(i, i + len(p)) for p in lexicon.exceptions for i in at(p)]
+    found = [(i, i + len(p), w) for p, w in lexicon.weights.items() for i in at(p)]
+    return sorted((a, b, w) for a, b, w in found if not any(x <= a + 1 and b - 1 <= y for x, y in spared))
+
+
+def test_matches_against_a_naive_scan():
+    rng = random.Random(11)
+    words = ["a", "ab", "abb", "ba", "bab", "bb", "abab"]
+    for _ in range(300):
+        weights = {f" {rng.choice(words)}{rng.choice([' ', ''])}": rng.random() for _ in range(rng.randint(0, 4))}
+        spared = {f" {rng.choice(words)} {rng.choice(words)} " for _ in range(rng.randint(0, 4))}
+        lexicon = T.Lexicon(weights, tuple(sorted(spared)))
+        folded = T.fold(" ".join(rng.choices(words, k=rng.randint(0, 30))))
+        assert sorted(T.matches(lexicon.matcher(), folded)) == naive_matches(lexicon, folded)
+
+
+def test_neighbours_of_matches():
+    lexicon = T.Lexicon({" bad ": 4.0, " wor": 4.0})
+    long = "x" * 3000
+    assert T._phrases(lexicon)(f"bad  {long} worse, bad") == {f" bad {long} ", f" {long} worse ", " worse bad "}
+    assert T._phrases(lexicon)("a\xa0bad b\xa0worse") == set()  # only a plain space begins a pattern
+    assert T._phrases(lexicon)("a\xa0b bad c\xa0d") == {" b bad ", " bad c "}
+    assert T._phrases(lexicon)("fine") == set() == T._phrases(lexicon)(None)
+
+
+def test_time_grows_with_the_text():
+    """A match and a spared phrase in every few words of 2 MB."""
+    lexicon = T.Lexicon({" grumbier ": 5.0, " swind": 4.0}, (" toy grumbier ",), (-3.0, 2.0, 1.0))
+    automaton, of = lexicon.matcher(), T._phrases(lexicon)
+    text = "a toy grumbler, the swindles of a grumbler; " * 48_000
+    began = time.process_time()
+    assert T.features(automaton, text)[0] == 9.0 * 48_000
+    assert of(text) == {" the swindies ", " swindies of ", " a grumbier ", " grumbier a "}
+    assert time.process_time() - began < 10
+
+
 def test_length_normalised():
     curve = T.fit_curve(*(__import__("numpy").array(x, float) for x in ([5, 5, 0, 0, 9, 0], [10, 400, 10, 400, 50, 50], [1, 0, 0, 0, 1, 0])))
     score = lambda total, n: float(T._inputs(*(__import__("numpy").array([x], float) for x in (total, n)))[0] @ curve)
