@@ -33,7 +33,7 @@ from .text import mix, sliced, text_shingles
 
 WORDS = 5
 #: One of so many shingle hashes is retained.
-SCALE = 8
+SCALE = 2
 NO_ID = -(1 << 63)
 
 
