@@ -10,7 +10,8 @@ least `FLOOR` times, so the clustered vocabulary grows with the corpus:
 2. Rounds on Spark. Every other word starts in the class of its ending. A round
    counts each word's neighbours by class (a sparse table, shuffled by word) and
    moves each word to the class that its neighbours make likeliest, its own
-   counts taken out of its present class. A round counts if it raises the mutual
+   counts taken out of its present class; first one half of the words, then the
+   other. A round counts if it raises the mutual
    information of the class bigrams by more than `TOLERANCE`; the first that
    does not ends the training, and the better classes stay.
 

@@ -470,7 +470,7 @@ def test_brown_beats_unigrams_on_held_out_text(spark):
     out = brown.held_out(F.col("doc_id"))
     model, counts = brown.train(docs.where(~out))
     row = brown.scored(docs.where(out), model, counts).agg(F.sum("score"), F.sum("base_score")).first()
-    assert row[0] > 0.98 * row[1]
+    assert row[0] > 0.95 * row[1]
 
 
 def test_brown_without_text(spark):
