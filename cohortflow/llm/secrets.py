@@ -11,7 +11,8 @@ serves rules that ignore case as well.
 Texts are whole, rows are independent and nothing is shuffled.
 
 Defined results: a null text is an empty one, without spans; repeated ids and
-rows stay; extra columns pass through; an empty table gives an empty result.
+rows stay; extra columns pass through and may have any name but `__secrets`; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import FOLD, sliced, text_bytes
+from .text import FOLD, map_rows, sliced, text_bytes
 
 #: Strings that a part of a pattern may stand for before it counts as unknown, and the largest class that is spelt out.
 STRINGS, CLASS = 64, 8
@@ -206,4 +207,4 @@ def scan(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = (*BA
     """`docs` with __secrets: spans (kind, start, end) in code points, end
     exclusive, by start and then in the order of the rules."""
     schema = docs.select("*", F.array().cast("array<struct<kind:string,start:int,end:int>>").alias("__secrets")).schema
-    return docs.mapInArrow(_scanned(rules, docs.columns.index(text_col)), schema)
+    return map_rows(docs, _scanned(rules, docs.columns.index(text_col)), schema)

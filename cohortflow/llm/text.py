@@ -14,6 +14,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructField, StructType
 
 PIECE = 1 << 20
 SLICE = 2 << 20
@@ -60,6 +62,14 @@ def sliced(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatc
                 yield batch.slice(a, b - a)
 
 
+def map_rows(rows: DataFrame, run, schema: StructType | None = None) -> DataFrame:
+    """`rows.mapInArrow(run)`, for rows with columns of any names, dots included.
+    `run` sees plain names and finds columns by their place."""
+    schema = schema or rows.schema
+    out = StructType([StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(schema)])
+    return rows.toDF(*[f"c{i}" for i in range(len(rows.columns))]).mapInArrow(run, out).toDF(*schema.names)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (two multiply-xorshift rounds); changes and returns `x`."""
     x ^= x >> np.uint64(30)

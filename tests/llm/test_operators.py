@@ -188,13 +188,13 @@ def hits(text, bench, size=10):
     return flags, sorted(found)
 
 
-@pytest.mark.parametrize("block", [decontaminate.BLOCK, 40])
-def test_contamination(spark, block):
+@pytest.mark.parametrize("block, chain", [(decontaminate.BLOCK, 1), (40, 100), (40, 1)])
+def test_contamination(spark, block, chain):
     rng = random.Random(8)
     bench = items(rng)
     rows = leaky(rng, bench)
     docs, table = frame(spark, rows), spark.createDataFrame(bench, "item_id long, text string")
-    out = decontaminate.contamination(docs, table, block=block)
+    out = decontaminate.contamination(docs, table, block=block, chain=chain)
     assert out.columns[: len(docs.columns)] == docs.columns
     found = Counter((r.doc_id, r.text, r["__bench_words"], r.n_hit, tuple(r["__bench_items"])) for r in out.withColumn("n_hit", decontaminate.hit_words()).collect())
     want = Counter()
@@ -205,16 +205,34 @@ def test_contamination(spark, block):
     assert sum(k[3] > 0 for k in want) >= 5
 
 
-def test_spans_are_cut(spark):
+def test_window_of_many_items(spark):
+    """A template that all items share: its pairs are dealt to several blocks, or joined."""
+    template = "one two three four five six seven eight nine ten"
+    bench = [(i, f"{template} item{i}") for i in range(300)]
+    docs = spark.createDataFrame([(1, f"x {template} y"), (2, f"{template} item7"), (3, "clean")], "`doc.id` long, text string")
+    table = spark.createDataFrame(bench, "item_id long, text string")
+    pairs = decontaminate.benchmark_windows(table, "item_id", "text")
+    blocks = decontaminate.window_blocks(pairs, 12)
+    assert max(sum(map(len, block.value.values())) for block in blocks) <= 100
+    everything = sorted(str(i) for i in range(300))
+    for chain in (100, 1):
+        found = decontaminate.contamination(docs, table, block=100, chain=chain).collect()
+        assert {r["doc.id"]: r["__bench_items"] for r in found} == {1: everything, 2: everything, 3: []}
+        assert {r["doc.id"]: [s.asDict() for s in r["__bench_spans"]] for r in found}[1] == [{"first": 1, "last": 10, "start": 2, "end": 2 + len(template)}]
+        assert [r["doc.id"] for r in decontaminate.decontaminated(docs, table, block=100, chain=chain).collect()] == [3]
+
+
+@pytest.mark.parametrize("chain", [1, 0])
+def test_spans_are_cut(spark, chain):
     rng = random.Random(8)
     bench = items(rng)
     rows = leaky(rng, bench)
     docs, table = frame(spark, rows), spark.createDataFrame(bench, "item_id long, text string")
     clean = [r for r in rows if not any(hits(r[1], bench)[0])]
-    left = decontaminate.decontaminated(docs, table)
+    left = decontaminate.decontaminated(docs, table, chain=chain)
     assert left.columns == docs.columns
     assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(r[:2] for r in clean)
-    cut = {(r.doc_id, r.text) for r in decontaminate.decontaminated(docs, table, remove="spans").collect()}
+    cut = {(r.doc_id, r.text) for r in decontaminate.decontaminated(docs, table, remove="spans", chain=chain).collect()}
     assert cut >= {r[:2] for r in clean}
     for doc, text in cut:
         assert not any(hits(text, bench)[0]) or doc == 450, doc
@@ -225,7 +243,8 @@ def test_spans_are_cut(spark):
 
 def test_no_benchmark_and_no_documents(spark):
     docs, nothing = frame(spark, awkward()), spark.createDataFrame([], "item_id long, text string")
-    assert decontaminate.decontaminated(docs, nothing).count() == docs.count()
+    for chain in (1, 0):
+        assert decontaminate.decontaminated(docs, nothing, chain=chain).count() == docs.count()
     assert decontaminate.contamination(frame(spark, []), nothing).count() == 0
 
 
@@ -259,6 +278,9 @@ def test_secrets(spark):
         want[doc, text, tuple((rules[k].kind, a, b) for a, k, b in sorted(spans))] += 1
     assert found == want and total > 40
     assert secrets.scan(frame(spark, [])).count() == 0
+    dotted = spark.createDataFrame([("AKIA" + "Z" * 20, 1)], "text string, `a.b` int")
+    assert secrets.scan(dotted).columns == ["text", "a.b", "__secrets"]
+    assert [tuple(s) for s in secrets.scan(dotted).first()["__secrets"]][0] == ("access", 0, 24)
 
 
 def test_trigram_queries():
