@@ -14,8 +14,9 @@ its first line, by id and line number.
 Defined results: null and empty texts have no lines; blank lines are never
 duplicates and are always kept; rows that share an id share their lines' fate
 by text, and the earliest of equal (id, line) places is kept in each of them;
-null ids sort first; extra columns are ignored; an empty table gives an empty
-result.
+null ids sort first; extra columns are ignored, and passed through by
+`deduplicated` under any name that does not start with `__line_`; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from . import sets as S
 from .components import components
 from .membership import bit_table, passing
 from .minhash_forest import forest_links
-from .text import rolled
+from .text import map_rows, rolled, sliced
 
 CHARS, BANDS, ROWS, PERCENT = 8, 20, 4, 80
 #: Characters that are sketched in one step.
@@ -159,6 +160,22 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     cut = near_duplicate_lines(docs, id_col, text_col, **options).where(~F.col("kept"))
     cut = cut.groupBy(F.col(id_col).alias("__line_id")).agg(F.collect_set(F.col("line_no").cast("int")).alias("__line_cut"))
     out = docs.join(cut, F.col(id_col).eqNullSafe(F.col("__line_id")), "left")
-    stay = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains("__line_cut", i))
-    text = F.when(F.col("__line_cut").isNull(), F.col(text_col)).otherwise(F.array_join(stay, "\n"))
-    return out.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    out = out.select(*[F.col(f"`{c}`") for c in docs.columns], "__line_cut")
+    return map_rows(out, _without_lines(docs.columns.index(text_col)), docs.schema)
+
+
+def _without_lines(text_at: int):
+    """Cuts the lines whose numbers the last column lists, and the column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, text_at):
+            columns, cuts = list(batch.columns[:-1]), batch.column(batch.num_columns - 1).to_pylist()
+            texts = columns[text_at].to_pylist()
+            for row, numbers in enumerate(cuts):
+                if numbers:
+                    gone = set(numbers)
+                    texts[row] = "\n".join(line for i, line in enumerate(texts[row].split("\n")) if i not in gone)
+            columns[text_at] = pa.array(texts, columns[text_at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    return run

@@ -20,8 +20,8 @@ finds every link between the components known so far.
 Defined results: null and empty texts and texts without words have the empty
 set and are linked with nothing; rows that share an id count as one document;
 a row without id keeps its set size, has no component and is kept; columns of
-other names are ignored, whatever they are called; an empty table gives an
-empty result.
+other names are ignored, whatever they are called (`deduplicated` passes them
+through; none may be `__id`); an empty table gives an empty result.
 """
 
 from __future__ import annotations

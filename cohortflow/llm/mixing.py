@@ -16,7 +16,8 @@ ever held by one task.
 Defined results: rows that share source and id are one document, drawn
 together; a null text has 0 words; documents without words are never taken;
 null source is the last source; null ids are ordinary, equal ids; `u` comes
-from an MD5 of id and seed, so reruns agree; extra columns are ignored; an
+from an MD5 of id and seed, so reruns agree; extra columns are ignored, and
+passed through by `mixed` under any name that does not start with `__mix_`; an
 empty table gives an empty result.
 """
 

@@ -15,7 +15,8 @@ Defined results: null and empty texts score like a text without matches;
 without usable labels the lexicon is empty and every score is 0; labels with a
 null id or value are ignored and of several labels of one document the largest
 counts; rows are scored one by one, so repeated ids and rows stay; extra
-columns pass through; an empty table gives an empty result.
+columns pass through and may have any name that does not start with `__tox_`;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import map_rows
+
 #: Labelled rows that the lexicon is learned from, at most.
 SAMPLE = 12_000
 #: Least likelihood ratio (G^2) and labelled documents of an entry. Copies of one text count once.
@@ -241,7 +244,7 @@ def _scored(lexicon: Lexicon, text_at: int):
 def scored(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", raw: bool = False) -> DataFrame:
     """`docs` with __tox_score (0 to 1) and, if `raw`, __tox_sum and __tox_words."""
     schema = docs.select("*", F.lit(0.0).alias("__tox_sum"), F.lit(0).cast("long").alias("__tox_words"), F.lit(0.0).alias("__tox_score")).schema
-    out = docs.mapInArrow(_scored(lexicon, docs.columns.index(text_col)), schema)
+    out = map_rows(docs, _scored(lexicon, docs.columns.index(text_col)), schema)
     return out if raw else out.drop("__tox_sum", "__tox_words")
 
 

@@ -101,6 +101,8 @@ def test_rows_pass_through(spark):
     out = T.scored(docs, lexicon)
     assert out.columns == [*docs.columns, "__tox_score"] and out.count() == docs.count()
     assert out.where("not (__tox_score between 0 and 1)").count() == 0
+    dotted = spark.createDataFrame([("a text", 1)], "text string, `a.b` int")
+    assert [tuple(r)[:2] for r in T.scored(dotted, lexicon).collect()] == [("a text", 1)]
     empty = [r["__tox_score"] for r in out.where("text is null or text = ''").collect()]
     assert len(set(empty)) == 1 and empty[0] < 0.5
 
