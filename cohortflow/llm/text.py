@@ -9,6 +9,7 @@ not follow the longest text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,10 +50,22 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return to the system what earlier steps of this worker have freed.
+
+    Workers serve many tasks, and the allocators keep freed memory for the
+    next; stages of different needs would otherwise add up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about `SLICE` bytes of text (column `at`), so that
     the arrays of a worker's step follow neither the batch size nor the mean
     text; a longer text is a slice of its own."""
+    give_back()
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         part = (np.cumsum(size) - size) // SLICE
@@ -60,6 +73,7 @@ def sliced(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatc
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+    give_back()
 
 
 def map_rows(rows: DataFrame, run, schema: StructType | None = None) -> DataFrame:
