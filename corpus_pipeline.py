@@ -17,6 +17,10 @@ from cohortflow.session import prepare_workers
 from cohortflow.sources.scratch import materialize, scratch_path
 
 
+#: Chunks that a token worker remembers: fewer than on its own, as the workers served other stages before.
+CACHED_CHUNKS = 150_000
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5 for toxicity stay."""
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
@@ -42,7 +46,7 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as token files, read back: doc_id, start, n_tokens, ids_crc32."""
     prepare_workers(spark)
     folder = scratch_path(spark, "tokens")
-    manifest = tokens.write_tokens(docs, folder, tokenizer_path())
+    manifest = tokens.write_tokens(docs, folder, tokenizer_path(), cached=CACHED_CHUNKS)
     return tokens.read_tokens(spark, folder, manifest).withColumnRenamed("id", "doc_id")
 
 
