@@ -1,10 +1,12 @@
 """Connected components of a link table by distributed union-find.
 
 Links are first contracted inside each partition (a union-find over that
-partition's links), then alternating large-star and small-star rounds hang
-every node below the smallest of its component. Each round is a groupBy-min
-and a join, so a node with a third of all links is pre-aggregated and its join
-can be split. Only counts reach the driver.
+partition's links), and what is left of them once more in partitions of up to
+`TASK_LINKS` links. Links that fill one such partition are then done; beyond
+that, alternating large-star and small-star rounds hang every node below the
+smallest of its component. Each round is a groupBy-min and a join, so a node
+with a third of all links is pre-aggregated and its join can be split. Only
+counts reach the driver.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import discard, materialize
 
+#: Links that one task contracts: a union-find of some 30 MB.
+TASK_LINKS = 100_000
+
 
 class Forest:
     """Union-find over hashable, ordered nodes; a root is its tree's smallest node."""
@@ -79,6 +84,12 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """
     links = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     links = materialize(links.mapInArrow(_contracted, links.schema), "links")
+    tasks = -(-links.count() // TASK_LINKS)
+    if tasks < links.rdd.getNumPartitions():
+        done, links = links, materialize(links.coalesce(max(1, tasks)).mapInArrow(_contracted, links.schema), "links")
+        discard(done)
+    if tasks <= 1:
+        return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
     before = None
     while True:
         # Links point from a larger to a smaller node from here on.

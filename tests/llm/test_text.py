@@ -68,3 +68,20 @@ def test_components_equal_union_find(spark, seed):
 
 def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "a string, b string"), "a", "b").count() == 0
+
+
+def test_few_links_are_contracted_without_rounds(spark, monkeypatch):
+    from cohortflow.llm import components as C
+
+    def fails(links):
+        raise AssertionError("a round of shuffles for a few links")
+
+    links = [(i, i + 1) for i in range(0, 60)] + [(100, 103), (103, 101)]
+    table = spark.createDataFrame(links, "a long, b long").repartition(7)
+    want = {i: 0 for i in range(1, 61)} | {103: 100, 101: 100}
+    with monkeypatch.context() as patch:
+        patch.setattr(C, "_large_star", fails)
+        assert {r.node: r.root for r in C.components(table, "a", "b").collect()} == want
+    for limit in (5, 40):  # more links than a task takes: rounds, and the same roots
+        monkeypatch.setattr(C, "TASK_LINKS", limit)
+        assert {r.node: r.root for r in C.components(table, "a", "b").collect()} == want
