@@ -3,9 +3,11 @@ or when one member holds a large share of the facts."""
 
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from builders import make_inputs, member
 from cohortflow.config import CohortRules
@@ -156,3 +158,42 @@ def test_distinct_ids_in_windows(spark, seed):
         assert x.cancelled_before == sum(1 for y in own if y[4] and y[3] and before <= y[3] <= start)
         assert x.total_rows == len(own)
         assert x.earliest_attendance == min((y[3] for y in own if y[2] == 1 and y[3] and not y[4]), default=None)
+
+
+def test_tasks_of_attendance_windows_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    from cohortflow.operators import attendance as at
+
+    monkeypatch.setattr(at, "TASK_ROWS", 50)
+    days = [dt.date(2020, 1, 1) + dt.timedelta(i) for i in range(5)]
+    wfacts = spark.createDataFrame([(u, 1, d, d, 1, None) for u in range(30) for d in days], "user_id long, kind int, lo date, hi date, n long, first_day date")
+    probes = spark.createDataFrame(
+        [(1, u, days[0], days[2], days[2], days[4]) for u in range(30)],
+        "event_id long, user_id long, before_date date, start_date date, end_date date, after_date date",
+    )
+    for total in (None, 180):
+        out = at.attendance_windows(probes, wfacts, total)
+        assert out.rdd.getNumPartitions() == 4  # 180 rows
+        assert {(r.attended_before, r.attended_after) for r in out.collect()} == {(3, 3)}
+
+
+def test_merged_intervals_hold_one_sort_of_their_rows(spark):
+    from cohortflow.operators.asof import merged_intervals
+
+    rows = spark.createDataFrame([(1, dt.date(2020, 1, 1), None)], "k long, start_date date, end_date date")
+    plan = merged_intervals(rows, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and "Aggregate" not in plan
+
+
+def test_plans_that_share_tables_give_the_same_rows(spark):
+    from cohortflow.config import FIXTURE_RULES
+    from cohortflow.plans.profiles import CohortPlan
+    from cohortflow.sources.fixtures import fixture_inputs
+    from conftest import SF001
+
+    inputs, shared = fixture_inputs(spark, SF001), {}
+    batch = inputs.program_event.where("id % 3 = 0").select(F.col("id").alias("event_id"))
+    for ids in (batch, None):
+        alone = CohortPlan(inputs, FIXTURE_RULES, batch_event_ids=ids).event_dataset()
+        together = CohortPlan(inputs, FIXTURE_RULES, batch_event_ids=ids, shared=shared).event_dataset()
+        assert together.exceptAll(alone).count() == 0 and alone.exceptAll(together).count() == 0 and alone.count() > 0
+    assert {"member_days", "contact_chart", "contact_starts"} <= set(shared)
