@@ -14,6 +14,9 @@ into memory.
 
 A text is cut at ASCII white space, which the tokenizer drops, and each
 distinct chunk is encoded once per worker; the ids are those of the whole text.
+Where the tokenizer's own description says that it folds case and encodes runs
+of letters, digits and other characters apart, a chunk of ASCII and Latin-1
+letters is cut into these runs, and only runs not seen before go to its model.
 
 Defined results: null text encodes like an empty one, to the end id alone;
 rows that share an id keep their rows in text order (null first); a null id
@@ -23,7 +26,9 @@ empty table writes no shard and gives no rows.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -45,6 +50,27 @@ CACHED = 400_000
 #: First code points of a text that divide the rows of one id over shards.
 DIVIDING = 64
 _MARK = "<|endoftext|>"
+#: How a tokenizer folds and cuts whose runs are encoded apart from each other, and the same cuts for folded `_PLAIN` text.
+_FOLDS = ["NFC", "Replace", "Lowercase"]
+_CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN_CUTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+class _Remembered(dict):
+    """What `encode` gives for each key. When `most` keys are there they become
+    the old ones, and what was old and nobody asked for again is forgotten."""
+
+    def __init__(self, encode, most: int) -> None:
+        self.encode, self.most, self.old = encode, most, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        found = self.old.pop(key, None)
+        self[key] = found = self.encode(key) if found is None else found
+        return found
 
 
 class Encoder:
@@ -52,6 +78,8 @@ class Encoder:
 
     The cache has two halves. When the new half is full it becomes the old
     one, and what the old one held and nobody asked for again is forgotten.
+    Where the tokenizer encodes runs apart (`_cuts_apart`) there is such a
+    cache of runs too, half as large, from which chunks are put together.
     """
 
     def __init__(self, path: str, dtype: str, cached: int | None = None) -> None:
@@ -64,6 +92,35 @@ class Encoder:
         self.mark = self.tokenizer.token_to_id(_MARK)
         self.cache: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.chunks = self.runs = None
+        if self._cuts_apart():
+            self.model = self.tokenizer.model
+            self.letters = str.maketrans({c: self._byte_level(c) for c in "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"})
+            self.chunks = _Remembered(self._chunk, self.cached)
+            self.runs = _Remembered(self._run, max(1, self.cached // 2))
+
+    def _cuts_apart(self) -> bool:
+        """Whether the tokenizer folds and cuts as `_PLAIN_CUTS` does on folded text and then encodes each run alone."""
+        own = json.loads(self.tokenizer.to_str())
+        steps = (own["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        folds = [n["type"] for n in (own["normalizer"] or {}).get("normalizers") or []]
+        cut = steps[0].get("pattern") == {"Regex": _CUTS} and steps[0].get("behavior") == "Removed" and steps[0].get("invert")
+        rest = [(step["type"], step.get("add_prefix_space"), step.get("use_regex")) for step in steps[1:]]
+        special = all(t["content"].startswith("<|") and not t["normalized"] for t in own["added_tokens"])
+        return bool(own["model"]["type"] == "BPE" and not own["model"].get("dropout") and special and cut and folds == _FOLDS and rest == [("ByteLevel", False, False)])
+
+    def _byte_level(self, text: str) -> str:
+        """How the tokenizer's model sees a run."""
+        return "".join(piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text))
+
+    def _run(self, run: str) -> bytes:
+        return np.array([token.id for token in self.model.tokenize(run.translate(self.letters))], dtype=self.dtype).tobytes()
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        if b"<|" in chunk or not _PLAIN.fullmatch(text):
+            return self._ids(text).tobytes()
+        return b"".join(map(self.runs.__getitem__, _PLAIN_CUTS.findall(text.lower())))
 
     def _ids(self, text: str) -> np.ndarray:
         encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
@@ -87,6 +144,10 @@ class Encoder:
 
     def encode_all(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text. What the cache lacks of all of them is encoded in one go."""
+        if self.chunks is not None:
+            # Folded first, so that fewer chunks differ; but "<|ENDOFTEXT|>" is no special token.
+            folded = (text if b"<|" in text else text.lower() for text in (text or b"" for text in texts))
+            return [b"".join(map(self.chunks.__getitem__, text.split())) for text in folded]
         split = [(text or b"").split() for text in texts]
         known = set().union(*split)
         missing = known.difference(self.cache)

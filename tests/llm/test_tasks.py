@@ -47,3 +47,32 @@ def test_empty_tables(spark):
     folder = scratch_path(spark, "tokens")
     assert tokens.read_tokens(spark, folder, tokens.write_tokens(none, folder, public_tokenizers.path("word_bpe_49k.json"))).count() == 0
     assert sketch.edited(none).count() == 0
+
+
+def test_runs_of_known_letters_are_encoded_once():
+    encoder = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"), "<u2")
+    calls, whole, runs, one = [], encoder._ids, [], encoder.runs.encode
+    encoder._ids = lambda text: calls.append(text) or whole(text)
+    encoder.runs.encode = lambda run: runs.append(run) or one(run)
+    plain = ["Tokens, 'tokens' TOKENS!!! don't 's3 12", "tokens. (TOKENS) 3's don't Gr\u00fc\u00dfe \u00c9T\u00c9s gr\u00fc\u00dfe\u00d8\u00fe\u00ff"]
+    odd = ["\x01 a\x01b \x1c\x7f H\u0331 'LL <|endoftext|> <|ENDOFTEXT|>x \u0130I e\u0301", "\u00d7\u00f7 \u00aa\u00b2\u00bd a\u00a0b \u0440\u0443\u0441 \u65e5\u672c \u212b \u03a3\u03a3 \u00b5"]
+    for text in plain:
+        assert encoder.encode(text) == whole(text).tobytes()
+    assert not calls and len(runs) == len(set(runs)) and "tokens" in runs and "grü\u00dfe" in runs
+    for text in plain + odd + [None]:
+        assert encoder.encode(text) == whole(text or "").tobytes()
+    small = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"), "<u4", 4)  # forgets
+    for text in (plain + odd) * 2:
+        assert small.encode(text) == whole(text).astype("<u4").tobytes() and len(small.chunks) <= 4 and len(small.runs) <= 2
+
+
+def test_other_tokenizers_encode_whole_chunks(tmp_path):
+    import json
+
+    own = json.loads(open(public_tokenizers.path("word_bpe_49k.json")).read())
+    own["normalizer"]["normalizers"].pop()  # keeps capitals
+    (tmp_path / "own.json").write_text(json.dumps(own))
+    encoder = tokens.Encoder(str(tmp_path / "own.json"), "<u2")
+    assert encoder.chunks is None
+    for text in ("Some TEXT, don't", "<| \x01 a"):
+        assert encoder.encode(text) == encoder._ids(text).tobytes()
