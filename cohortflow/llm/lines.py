@@ -22,11 +22,12 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
@@ -34,23 +35,25 @@ from . import sets as S
 from .components import components
 from .membership import bit_table, passing
 from .minhash_forest import forest_links
-from .text import map_rows, rolled, sliced
+from .text import distinct, map_rows, rolled, sliced
 
 CHARS, BANDS, ROWS, PERCENT = 8, 20, 4, 80
 #: Characters that are sketched in one step.
 STEP = 1 << 16
+#: Nodes that a task remembers, to sketch each once.
+SEEN = 100_000
 
 
-def compared(line: Column) -> Column:
-    return F.lower(F.trim(line))
-
-
-def exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, line_no, line, node): the lines of all rows; node is null for a blank line."""
-    text = F.when(F.length(text_col) > 0, F.col(text_col))
-    lines = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    line = compared(F.col("line"))
-    return lines.select("id", "line_no", line.alias("line"), F.when(F.length(line) > 0, F.unhex(F.md5(line))).alias("node"))
+def cut_lines(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, list[bytes | None]]:
+    """(row, line number, trimmed line, node) of the lines of lower-cased texts;
+    the node is None for a blank line. A null or empty text has none."""
+    at = np.flatnonzero(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    split = pc.split_pattern(column.take(pa.array(at)), "\n")
+    count = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+    number = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    lines = pc.utf8_trim(split.flatten(), " ")
+    nodes = [md5(line, usedforsecurity=False).digest() if line else None for line in lines.cast(pa.binary()).to_pylist()]
+    return np.repeat(at, count), number.astype(np.int32), lines, nodes
 
 
 def shingle_runs(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -73,39 +76,72 @@ def shingle_runs(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.n
         low = high
 
 
-def _banded(size: int, bands: int, rows: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = S.permutations(bands * rows)
-        for batch in batches:
-            batch = _once(batch)
-            parts = [np.zeros((0, bands * rows), np.uint32)]
-            for hashes, begin, end in shingle_runs(batch.column("line"), size):
-                short = (hashes >> np.uint64(32)).astype(np.uint32)
-                edges = np.stack([begin, end], axis=1).ravel()
-                short = np.append(short, np.uint32(0xFFFFFFFF))
-                part = np.empty((len(begin), bands * rows), np.uint32)
-                for p in range(bands * rows):
-                    part[:, p] = np.minimum.reduceat(short * a[p] + b[p], edges)[::2]
-                parts.append(part)
-            low = np.concatenate(parts)
-            keys = np.stack([S.combined(low[:, t * rows : (t + 1) * rows], t + 1) for t in range(bands)], axis=1)
-            lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, bands, dtype=np.int32), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), lists], ["node", "keys"])
+def band_keys(lines: pa.Array, size: int, bands: int, rows: int) -> np.ndarray:
+    """The band keys of each line, as lines x bands."""
+    a, b = S.permutations(bands * rows)
+    parts = [np.zeros((0, bands * rows), np.uint32)]
+    for hashes, begin, end in shingle_runs(lines, size):
+        short = np.append((hashes >> np.uint64(32)).astype(np.uint32), np.uint32(0xFFFFFFFF))
+        edges = np.stack([begin, end], axis=1).ravel()
+        part, own = np.empty((bands * rows, len(begin)), np.uint32), np.empty_like(short)
+        for p in range(bands * rows):
+            np.multiply(short, a[p], out=own)
+            own += b[p]
+            part[p] = np.minimum.reduceat(own, edges)[::2]
+        parts.append(part.T)
+    low = np.concatenate(parts)
+    return np.stack([S.combined(low[:, t * rows : (t + 1) * rows], t + 1) for t in range(bands)], axis=1)
 
-    return run
 
+class _Seen:
+    """Tells the first rows of each node that a task meets, as far as it remembers."""
+
+    def __init__(self) -> None:
+        self.nodes: set[bytes] = set()
+
+    def new(self, nodes: list[bytes | None]) -> np.ndarray:
+        if len(self.nodes) > SEEN:
+            self.nodes.clear()
+        first = []
+        for at, node in enumerate(nodes):
+            if node is not None and node not in self.nodes:
+                self.nodes.add(node)
+                first.append(at)
+        return np.array(first, dtype=np.int64)
 
-def _once(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The batch's first row of each node."""
-    nodes = batch.column("node").dictionary_encode()
-    return batch.take(pa.array(np.sort(np.unique(nodes.indices.to_numpy(), return_index=True)[1])))
+
+def _sketched(size: int, bands: int, rows: int):
+    """(id, line_no, node, keys) of all lines; a line that the task has met before has no keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
+        for batch in sliced(batches, 1):
+            row, number, lines, nodes = cut_lines(batch.column(1))
+            first = seen.new(nodes)
+            keys = band_keys(lines.take(pa.array(first)), size, bands, rows)
+            place = np.full(len(nodes), len(first))
+            place[first] = np.arange(len(first))
+            packed = S.packed(keys).take(pa.array(place, mask=place == len(first)))
+            columns = [batch.column(0).take(pa.array(row)), pa.array(number), pa.array(nodes, pa.binary()), packed]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "line_no", "node", "keys"])
+
+    return run
 
 
 def _kept(table):
+    """(node, set): the lines of the nodes in the table, as text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = _once(batch.filter(passing(table.value, batch.column("h"))))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("line").cast(pa.binary())], ["node", "set"])
+        seen = _Seen()
+        for batch in sliced(batches, 0):
+            _, _, lines, nodes = cut_lines(batch.column(0))
+            filled = np.array([at for at, node in enumerate(nodes) if node is not None], dtype=np.int64)
+            hashes = np.frombuffer(b"".join(nodes[at] for at in filled.tolist()), ">i8")[::2]
+            filled = filled[passing(table.value, pa.array(hashes.astype(np.int64))).to_numpy(zero_copy_only=False)]
+            found = [nodes[at] for at in filled.tolist()]
+            first = seen.new(found)
+            columns = [pa.array([found[at] for at in first.tolist()], pa.binary()), lines.take(pa.array(filled[first])).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "set"])
 
     return run
 
@@ -119,7 +155,7 @@ class LineSets:
     def __call__(self, column: pa.Array) -> Iterator[np.ndarray]:
         for hashes, begin, end in shingle_runs(column.cast(pa.string()), self.size):
             for a, b in zip(begin.tolist(), end.tolist()):
-                yield np.unique(hashes[a:b])
+                yield distinct(hashes[a:b])
 
 
 def near_duplicate_lines(
@@ -129,15 +165,16 @@ def near_duplicate_lines(
     lines share; null for a blank line), first_id and first_line (the
     component's first place) and kept."""
     kind = docs.schema[id_col].dataType.simpleString()
-    lines = exploded(docs, id_col, text_col)
-    filled = lines.where("node is not null").select("node", "line")
-    sketch = filled.mapInArrow(_banded(chars, bands, rows), "node binary, keys array<long>")
-    sketch = materialize(sketch.groupBy("node").agg(F.any_value("keys").alias("keys")), "bands")
+    folded = docs.select(F.col(id_col).alias("id"), F.lower(text_col).alias("text"))
+    lines = folded.mapInArrow(_sketched(chars, bands, rows), f"id {kind}, line_no int, node binary, keys binary")
+    lines = materialize(lines, "sketch")
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        found = filled.select("node", "line", F.xxhash64("node").alias("h"))
-        return found.mapInArrow(_kept(bit_table(nodes, "node")), "node binary, set binary").dropDuplicates(["node"])
+        start = F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long")  # MD5 is a hash already
+        table = bit_table(nodes.select(start.alias("h")), "h", hashed=True)
+        return folded.select("text").mapInArrow(_kept(table), "node binary, set binary").dropDuplicates(["node"])
 
+    sketch = lines.where("keys is not null").select("node", "keys")
     roots = components(forest_links(sketch, sets_of, percent, LineSets(chars)), "a", "b")
     places = lines.select("id", "line_no", "node")
     named = places.join(roots, "node", "left").select("id", "line_no", F.coalesce("root", "node").alias("component"))

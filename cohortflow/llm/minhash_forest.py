@@ -45,6 +45,8 @@ TREES, DEPTH = 24, 5
 REGION = 256
 #: How often a too large region is divided by `DEEPER` more min-hashes.
 LEVELS, DEEPER = 4, 4
+#: Keys that a task packs at once, and parts of the packed keys for each shuffle partition.
+DEALT, PARTS = 1 << 20, 4
 
 
 def tree_keys(signatures: np.ndarray, trees: int, depth: int) -> np.ndarray:
@@ -63,8 +65,7 @@ def _sketched(size: int, trees: int, depth: int):
                 two.append(int(mix(items ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)) if len(items) else 0)
                 signatures.append(S.signature(items, a, b))
             keys = tree_keys(np.stack(signatures), trees, depth)
-            lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, trees, dtype=np.int32), pa.array(keys.ravel()))
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), lists]
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), S.packed(keys)]
             yield pa.RecordBatch.from_arrays(columns, ["id", "n", "one", "two", "keys"])
 
     return run
@@ -79,38 +80,96 @@ def _packed(size: int, table):
     return run
 
 
-def _in_table(table):
-    """(region, node) of the keys that pass the bit table."""
+def _regions(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(part, 32 bits of the rest) of each key; both together are its region."""
+    return keys % np.uint64(parts), keys // np.uint64(parts) & np.uint64(0xFFFFFFFF)
+
+
+def _in_table(table, parts: int):
+    """(region, node) of the keys whose regions pass the bit table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, hashes = batch.column("keys"), batch.column("hashes").flatten()
-            row = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
-            mask = passing(table.value, hashes)
-            yield pa.RecordBatch.from_arrays(
-                [keys.flatten().filter(mask), batch.column("node").take(pa.array(row).filter(mask))], ["region", "node"]
-            )
+            keys, count = S.unpacked(batch.column("keys"))
+            part, rest = _regions(keys, parts)
+            regions = pa.array((part << np.uint64(32) | rest).view(np.int64))
+            row = pa.array(np.repeat(np.arange(batch.num_rows), count))
+            mask = passing(table.value, regions)
+            yield pa.RecordBatch.from_arrays([regions.filter(mask), batch.column("node").take(row.filter(mask))], ["region", "node"])
 
     return run
 
 
+def _dealt(parts: int):
+    """(part, rows): the rests of the keys of one part, each with 32 bits of its node's hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def out() -> pa.RecordBatch:
+            part, rows = (np.concatenate(x) for x in zip(*found))
+            found.clear()
+            order = np.argsort(part, kind="stable")
+            part, rows = part[order], rows[order]
+            own, cuts = np.unique(part, return_index=True)
+            packed = [rows[a:b].tobytes() for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)])]
+            return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(packed, pa.binary())], ["part", "rows"])
+
+        for batch in batches:
+            keys, count = S.unpacked(batch.column("keys"))
+            part, rest = _regions(keys, parts)
+            owner = batch.column("h").to_numpy(zero_copy_only=False).astype(np.uint64) & np.uint64(0xFFFFFFFF)
+            found.append((part.astype(np.uint16 if parts < 1 << 16 else np.int32), rest << np.uint64(32) | np.repeat(owner, count)))
+            if sum(len(rows) for _, rows in found) > DEALT:
+                yield out()
+        if found:
+            yield out()
+
+    return run
+
+
+def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The regions of two nodes or more, part by part."""
+    part, found = None, []
+
+    def out() -> pa.RecordBatch:
+        rows = np.sort(np.concatenate(found))
+        found.clear()
+        rest = rows >> np.uint64(32)
+        both = (rest[1:] == rest[:-1]) & (rows[1:] != rows[:-1])
+        return pa.RecordBatch.from_arrays([pa.array((np.unique(rest[1:][both]) | np.uint64(part) << np.uint64(32)).view(np.int64))], ["region"])
+
+    for batch in batches:
+        for own, rows in zip(batch.column("part").to_pylist(), batch.column("rows")):
+            if own != part and found:
+                yield out()
+            part = own
+            found.append(np.frombuffer(rows.as_buffer(), np.uint64))
+    if found:
+        yield out()
+
+
 def shared_regions(sketch: DataFrame) -> DataFrame:
-    """(region, node) for the keys of `sketch` (node, keys) that two nodes or more have.
+    """(region, node), each once, for the keys of `sketch` (node, keys: packed
+    or as array) that two nodes or more have; a node may have several rows.
 
-    Keys are counted alone; most are nobody else's and are dropped in place by
-    a bounded bit table of the others before anything with nodes is shuffled.
+    Keys are counted apart from their nodes, packed; most are nobody else's and
+    are dropped in place by a bounded bit table of the others before anything
+    with nodes is shuffled.
     """
-    counts = sketch.select(F.explode("keys").alias("region")).groupBy("region").agg(F.count(F.lit(1)).alias("n"))
-    several = materialize(counts.where("n > 1").select("region"), "several")
+    spark = sketch.sparkSession
+    parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = sketch.select("keys", F.xxhash64("node").alias("h")).mapInArrow(_dealt(parts), "part int, rows binary")
+    several = packed.repartition("part").sortWithinPartitions("part").mapInArrow(_several, "region long")
+    several = materialize(several, "several")
     kind = sketch.schema["node"].dataType.simpleString()
-    hashed = sketch.select("node", "keys", F.transform("keys", lambda key: F.xxhash64(key)).alias("hashes"))
-    maybe = hashed.mapInArrow(_in_table(bit_table(several, "region")), f"region long, node {kind}")
-    return materialize(maybe.join(several, "region").select("region", "node"), "shared")
+    maybe = sketch.select("node", "keys").mapInArrow(_in_table(bit_table(several, "region", hashed=True), parts), f"region long, node {kind}")
+    return materialize(maybe.join(several, "region").select("region", "node").distinct(), "shared")
 
 
 def forest_regions(sketch: DataFrame, sets_of, limit: int = REGION, *, unpack: S.Unpack = S.unpack) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Bounded regions (region, node) of `sketch` (node, keys: its region in each
-    order), the sets of their nodes, and the nodes of the regions over `limit`. `sets_of(nodes)` gives (node, set) for a table of nodes, each
+    """Bounded regions (region, node) of `sketch` (node, keys: its packed regions,
+    one in each order), the sets of their nodes, and the nodes of the regions over `limit`. `sets_of(nodes)` gives (node, set) for a table of nodes, each
     once; it may give others too."""
     rows = shared_regions(sketch)
     sizes = materialize(S.region_sizes(rows), "regions")
@@ -157,7 +216,7 @@ def near_duplicates(
     kind = docs.schema[id_col].dataType.simpleString()
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sketch = materialize(
-        narrow.mapInArrow(_sketched(words, trees, depth), f"id {kind}, n long, one long, two long, keys array<long>"), "sketch"
+        narrow.mapInArrow(_sketched(words, trees, depth), f"id {kind}, n long, one long, two long, keys binary"), "sketch"
     )
     same = ["n", "one", "two"]
     classes = materialize(

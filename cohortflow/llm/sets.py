@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
-from .components import Forest, components
+from .components import components
 from .text import mix
 
 #: One of so many regions is compared first.
 EARLY = 4
 #: Cells of the 0/1 matrix that one comparison step holds.
 CELLS = 1 << 22
+#: Bytes of a packed key.
+KEY = 5
 
 
 #: Gives the sorted distinct elements of each row of a "set" column, one row at a time.
@@ -64,19 +66,27 @@ def region_links(ids: list, sets: list[np.ndarray], percent: int) -> Iterator[tu
     """A spanning forest of the region's links: 100 * shared >= percent * union."""
     sizes = np.array([len(s) for s in sets], dtype=np.float64)
     if len(sets) == 2:
-        small, large = sorted(sets, key=len)
-        if 100 * len(small) < percent * len(large):
+        if 100 * sizes.min() < percent * sizes.max():
             return
-        shared = float(np.isin(small, large, assume_unique=True).sum())
+        both = np.sort(np.concatenate(sets))
+        shared = float(np.count_nonzero(both[1:] == both[:-1]))
         if 100 * shared >= percent * (sizes.sum() - shared):
             yield ids[0], ids[1]
         return
     shared = intersections(sets)
     linked = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
-    forest = Forest()
-    for a, b in zip(*np.nonzero(np.triu(linked, 1))):
-        if forest.union(int(a), int(b)):
-            yield ids[a], ids[b]
+    apart = np.ones(len(ids), dtype=bool)
+    for start in range(len(ids)):
+        if not apart[start]:
+            continue
+        apart[start] = False
+        reached = [start]
+        for a in reached:
+            found = np.flatnonzero(linked[a] & apart)
+            apart[found] = False
+            for b in found.tolist():
+                reached.append(b)
+                yield ids[a], ids[b]
 
 
 def _verified(percent: int, unpack: Unpack):
@@ -186,6 +196,29 @@ def combined(hashes: np.ndarray, salt) -> np.ndarray:
     return key.view(np.int64)
 
 
+def packed(keys: np.ndarray) -> pa.Array:
+    """Each row of a matrix of 64-bit keys as one binary value, `KEY` bytes of
+    each key. Keys of two columns stay apart, and those of one column that are
+    taken for equal by chance only cost a comparison."""
+    own = np.ascontiguousarray(keys.astype("<i8").view(np.uint8).reshape(*keys.shape, 8)[:, :, :KEY])
+    offsets = np.arange(len(keys) + 1, dtype=np.int32) * np.int32(KEY * keys.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer(offsets), pa.py_buffer(own)])
+
+
+def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, number of keys of each row) of a column that `packed` made, or of lists."""
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.diff(column.offsets.to_numpy())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+    own = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    count = np.diff(offsets) // KEY
+    wide = np.zeros((len(own) // KEY, 8), np.uint8)
+    wide[:, :KEY] = own.reshape(-1, KEY)
+    place = np.arange(len(wide)) - np.repeat(np.cumsum(count) - count, count)
+    return wide.view("<u8").ravel().astype(np.uint64) | place.astype(np.uint64) << np.uint64(8 * KEY), count
+
+
 def region_sizes(rows: DataFrame) -> DataFrame:
     """Regions of two rows or more: (region, n, digest of the members)."""
     return (

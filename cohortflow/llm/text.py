@@ -156,11 +156,26 @@ def rolled(hashes: np.ndarray, size: int) -> np.ndarray:
     """One hash for each run of `size` consecutive word hashes."""
     if len(hashes) < size:
         return np.zeros(0, np.uint64)
-    factor = powers(size + 1)[1:]
-    out = hashes[: len(hashes) - size + 1] * factor[0]
-    for j in range(1, size):
-        out += hashes[j : len(hashes) - size + 1 + j] * factor[j]
-    return mix(out + np.uint64(size))
+    factor = powers(size + 1)
+    # The sum of hashes[i + j] * factor[j + 1] over j, from the sums over 1, 2, 4, ... of them.
+    span, done, out, part = 1, 0, None, hashes * factor[1]
+    while True:
+        if size & span:
+            own = part[done : done + len(hashes) - size + 1]
+            out = own * factor[done] if out is None else out + own * factor[done]
+            done += span
+        if done == size:
+            return mix(out + np.uint64(size))
+        part = part[: len(part) - span] + part[span:] * factor[span]
+        span *= 2
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """The sorted distinct hashes; quicker on short arrays than `np.unique`."""
+    out = np.sort(hashes)
+    new = np.ones(len(out), dtype=bool)
+    np.not_equal(out[1:], out[:-1], out=new[1:])
+    return out[new]
 
 
 def shingle_sets(hashes: np.ndarray, first: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -169,7 +184,7 @@ def shingle_sets(hashes: np.ndarray, first: np.ndarray, size: int) -> Iterator[n
     runs = rolled(hashes, size)
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= size:
-            yield np.unique(runs[a : b - size + 1])
+            yield distinct(runs[a : b - size + 1])
         elif b > a:
             yield rolled(hashes[a:b], b - a)
         else:

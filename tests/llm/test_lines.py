@@ -2,10 +2,16 @@
 
 import random
 
+import hashlib
+
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from corpus_fixtures import awkward, frame, prose
 from cohortflow.llm import lines as L
+from cohortflow.llm import minhash_forest as M
+from cohortflow.llm import sets as S
 from cohortflow.llm.components import Forest
 from cohortflow.llm.sets import intersections
 
@@ -97,3 +103,36 @@ def test_lines_are_cut(spark):
 def test_empty_table(spark):
     assert L.near_duplicate_lines(frame(spark, [])).count() == 0
     assert L.deduplicated(frame(spark, [])).count() == 0
+
+
+def test_lines_are_cut_as_spark_does(spark):
+    texts = [None, "", "\n", " \n\n a\t\r\n\u00a0B ", "\u0130I \u039f\u03a3\n\u03a3", "x" * 9 + "\n  X" + "x" * 8 + "  \n", "\u00c9t\u00e9"]
+    docs = frame(spark, [(i, text, "en", "s") for i, text in enumerate(texts)])
+    line = F.lower(F.trim("line"))
+    cut = docs.where(F.length("text") > 0).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    want = cut.select("doc_id", "line_no", F.when(F.length(line) > 0, F.md5(line)).alias("node"))
+    got = L.near_duplicate_lines(docs).select("doc_id", F.col("line_no").cast("int").alias("line_no"), "component")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_a_task_sketches_a_line_once():
+    batch = pa.record_batch({"id": [1, 2, 3], "text": ["one line of text\n\none line of text", None, "another\none line of text"]})
+    (out,) = L._sketched(L.CHARS, L.BANDS, L.ROWS)([batch])
+    assert out.column("id").to_pylist() == [1, 1, 1, 3, 3] and out.column("line_no").to_pylist() == [0, 1, 2, 0, 1]
+    node = hashlib.md5(b"one line of text").digest()
+    assert [n == node for n in out.column("node").to_pylist()] == [True, False, True, False, True]
+    keys = out.column("keys")
+    assert keys.is_valid().to_pylist() == [True, False, False, True, False]
+    assert S.unpacked(keys)[1].tolist() == [20, 0, 0, 20, 0] and len(keys[0].as_py()) == 20 * S.KEY
+
+
+def test_keys_of_one_node_only_are_not_shared(spark):
+    """Rows of one node in several tasks: counting rows would call all their keys shared."""
+    keys = np.arange(12, dtype=np.int64).reshape(4, 3) << 50 | 7  # only the high bytes differ
+    keys[3] = [1, 2, 3]
+    rows = [(b"a", 0), (b"a", 0), (b"b", 3), (b"c", 3), (b"b", 3)]
+    sketch = spark.createDataFrame([(node, S.packed(keys)[row].as_py()) for node, row in rows], "node binary, keys binary").repartition(5)
+    found = M.shared_regions(sketch).collect()
+    assert sorted(bytes(r.node) for r in found) == [b"b"] * 3 + [b"c"] * 3 and len({r.region for r in found}) == 3
+    values, count = S.unpacked(S.packed(keys))
+    assert count.tolist() == [3] * 4 and values.reshape(4, 3)[3].tolist() == [1, 2 | 1 << 40, 3 | 2 << 40]
