@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import discard, materialize
 from . import sets as S
 from .components import components
 from .membership import bit_table, passing
@@ -168,15 +168,16 @@ def near_duplicate_lines(
     folded = docs.select(F.col(id_col).alias("id"), F.lower(text_col).alias("text"))
     lines = folded.mapInArrow(_sketched(chars, bands, rows), f"id {kind}, line_no int, node binary, keys binary")
     lines = materialize(lines, "sketch")
+    places = materialize(lines.select("id", "line_no", "node"), "places")
 
     def sets_of(nodes: DataFrame) -> DataFrame:
+        discard(lines)  # the nodes come from the regions, which are written: nothing reads the keys any more
         start = F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long")  # MD5 is a hash already
         table = bit_table(nodes.select(start.alias("h")), "h", hashed=True)
         return folded.select("text").mapInArrow(_kept(table), "node binary, set binary").dropDuplicates(["node"])
 
     sketch = lines.where("keys is not null").select("node", "keys")
     roots = components(forest_links(sketch, sets_of, percent, LineSets(chars)), "a", "b")
-    places = lines.select("id", "line_no", "node")
     named = places.join(roots, "node", "left").select("id", "line_no", F.coalesce("root", "node").alias("component"))
     named = materialize(named, "lines")
     firsts = named.where("component is not null").groupBy(F.col("component").alias("c")).agg(F.min(F.struct("id", "line_no")).alias("first"))
